@@ -219,4 +219,182 @@ def registry() -> dict[str, str]:
     for r in RULE_SQL:
         out[f"detect_{r}"] = detect_rule_sql(r)
     out["detect_all"] = detect_all_sql()
+    out.update(alert_registry())
     return out
+
+
+# ---------------------------------------------------------------------------
+# Alert handling, store and reports.
+# ---------------------------------------------------------------------------
+KEY_TS = "strftime({c}, '%Y-%m-%d %H:%M:%S')"
+ISO_TS = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+MSGS_CTE = """
+msgs AS (
+SELECT a.* REPLACE (CASE WHEN e.emission = 0 THEN a.request_count // 2 ELSE a.request_count END AS request_count),
+ e.emission, (e.emission = 0 AND a.request_count % 2 = 1) AS corrupt,
+ a.window_end + to_seconds(e.emission) AS arrival,
+ concat_ws('|', a.src_ip, a.attack_type, strftime(a.window_end, '%Y-%m-%d %H:%M:%S'), a.window_size) AS msg_key
+FROM alerts a, (SELECT unnest([0, 1]) AS emission) e),
+gated AS (SELECT * FROM msgs WHERE NOT corrupt AND lower(severity) = 'critical'),
+gpairs AS (SELECT msg_key AS k, arrival AS t, min(coalesce(signal_reason, '')) AS first FROM gated GROUP BY 1, 2),
+dclaims(k, t) AS (
+  SELECT k, min(t) FROM gpairs GROUP BY k
+  UNION ALL
+  SELECT k2, t2 FROM (SELECT c.k AS k2, min(p.t) AS t2 FROM dclaims c JOIN gpairs p
+                      ON p.k = c.k AND p.t >= c.t + INTERVAL 300 SECOND GROUP BY c.k)),
+won AS (SELECT p.k, p.t, p.first FROM gpairs p JOIN dclaims c USING (k, t)),
+disp AS (
+SELECT m.*, CASE WHEN corrupt THEN 'invalid' WHEN lower(severity) <> 'critical' THEN 'skipped_severity'
+  WHEN w.k IS NOT NULL THEN 'accepted' ELSE 'duplicate' END AS disposition
+FROM msgs m LEFT JOIN won w ON NOT m.corrupt AND lower(m.severity) = 'critical'
+  AND w.k = m.msg_key AND w.t = m.arrival AND w.first = coalesce(m.signal_reason, '')),
+acc AS (SELECT * FROM disp WHERE disposition = 'accepted'),
+stored AS (
+SELECT * EXCLUDE (emission, corrupt, arrival, msg_key) REPLACE (arrival AS detected_at),
+ msg_key AS alert_key, arrival AS "@timestamp", CAST(arrival AS DATE) AS alert_date, CAST(emission AS BIGINT) AS batch_id
+FROM msgs WHERE NOT corrupt),
+latest AS (
+SELECT * FROM stored
+QUALIFY row_number() OVER (PARTITION BY alert_date, alert_key
+  ORDER BY "@timestamp" DESC, batch_id DESC, signal_reason DESC NULLS LAST, severity_rank DESC, request_count DESC) = 1),
+dash AS (SELECT * FROM latest WHERE "@timestamp" >= (SELECT max("@timestamp") FROM latest) - INTERVAL 300 SECOND
+  AND "@timestamp" <= (SELECT max("@timestamp") FROM latest))"""
+
+DIGEST_CTE = """
+dk AS (
+SELECT coalesce(attack_type, 'unknown') AS attack_type, coalesce(severity, 'unknown') AS severity,
+ coalesce(window_size, 'unknown') AS window_size, coalesce(signal_reason, 'unknown') AS signal_reason,
+ coalesce(src_ip, 'unknown') AS ip, arrival, window_end, CAST(request_count AS DOUBLE) AS rc, rps
+FROM acc),
+dk2 AS (SELECT *, concat_ws(chr(1), attack_type, severity, window_size, signal_reason) AS k FROM dk),
+dpairs AS (SELECT DISTINCT k, arrival AS t FROM dk2),
+opens(k, t) AS (
+  SELECT k, min(t) FROM dpairs GROUP BY k
+  UNION ALL
+  SELECT k2, t2 FROM (SELECT c.k AS k2, min(p.t) AS t2 FROM opens c JOIN dpairs p
+                      ON p.k = c.k AND p.t >= c.t + INTERVAL 10 SECOND GROUP BY c.k)),
+assigned AS (SELECT d.*, (SELECT max(o.t) FROM opens o WHERE o.k = d.k AND o.t <= d.arrival) AS opened_at FROM dk2 d),
+firsts AS (SELECT attack_type, severity, window_size, signal_reason, opened_at, ip, min(arrival) AS first_seen
+  FROM assigned GROUP BY ALL),
+iplists AS (SELECT attack_type, severity, window_size, signal_reason, opened_at,
+  list(ip ORDER BY first_seen, ip)[1:50] AS ips FROM firsts GROUP BY ALL),
+digests AS (
+SELECT a.attack_type, a.severity, a.window_size, a.signal_reason, a.opened_at,
+ min(window_end) AS window_end_min, max(window_end) AS window_end_max, any_value(l.ips) AS ips,
+ count(DISTINCT ip) AS ip_count, CAST(sum(CAST(rc AS DECIMAL(38,12))) AS DOUBLE) AS request_count_sum,
+ CAST(sum(CAST(rps AS DECIMAL(38,12))) AS DOUBLE) AS rps_sum, count(*) AS alerts
+FROM assigned a JOIN iplists l USING (attack_type, severity, window_size, signal_reason, opened_at)
+GROUP BY a.attack_type, a.severity, a.window_size, a.signal_reason, a.opened_at)"""
+
+
+def _alerts_with(*extra: str) -> str:
+    return "WITH RECURSIVE " + ",".join((TRAFFIC_SQL, NORM_SQL, ALERTS_CTE.replace(
+        "\nalerts AS (\n", "\nalerts0 AS (\n"), "\nalerts AS (SELECT *, window_end AS detected_at FROM alerts0)") + extra) + "\n"
+
+
+def alert_keys_sql() -> str:
+    return _alerts_with() + """SELECT concat_ws('|', src_ip, attack_type, strftime(window_end, '%Y-%m-%d %H:%M:%S'), window_size) AS alert_key,
+ concat_ws('|', coalesce(src_ip, 'unknown'), attack_type, strftime(window_end, '%Y-%m-%dT%H:%M:%S.%gZ'), window_size) AS fallback_key,
+ signal_reason FROM alerts"""
+
+
+def severity_gated_sql() -> str:
+    return _alerts_with() + "SELECT * FROM alerts WHERE lower(severity) = 'critical'"
+
+
+def dispositions_sql() -> str:
+    return _alerts_with(MSGS_CTE) + "SELECT disposition, count(*) AS message_count FROM disp GROUP BY disposition"
+
+
+def dedupe_ttl_sql() -> str:
+    return """WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) || '|' || event_type AS k, ts FROM events),
+c(k, t) AS (
+  SELECT k, min(ts) FROM e GROUP BY k
+  UNION ALL
+  SELECT k2, t2 FROM (SELECT c.k AS k2, min(e.ts) AS t2
+                      FROM c JOIN e ON e.k = c.k AND e.ts >= c.t + INTERVAL 6 HOUR
+                      GROUP BY c.k))
+SELECT k, t FROM c"""
+
+
+def alert_digest_sql() -> str:
+    return _alerts_with(MSGS_CTE, DIGEST_CTE) + "SELECT * FROM digests"
+
+
+def digest_text_sql() -> str:
+    return _alerts_with(MSGS_CTE, DIGEST_CTE) + """SELECT attack_type, signal_reason, opened_at,
+ 'DDoS Alert' || chr(10) || 'IP: ' || (array_to_string(ips, ', ') ||
+   CASE WHEN ip_count > len(ips) THEN ', ...(+' || CAST(ip_count - len(ips) AS VARCHAR) || ' more)' ELSE '' END)
+ || chr(10) || 'Attack: ' || attack_type || chr(10) || 'Severity: ' || severity || chr(10)
+ || 'Window: ' || window_size || ' ending ' || strftime(window_end_max, '%Y-%m-%dT%H:%M:%S.%gZ') || chr(10)
+ || 'Requests: ' || printf('%.0f', request_count_sum) || ' | RPS: ' || printf('%.2f', rps_sum) || chr(10)
+ || 'Reason: ' || signal_reason AS text
+FROM digests"""
+
+
+def alert_text_sql() -> str:
+    return _alerts_with(MSGS_CTE) + """SELECT msg_key AS dedupe_key,
+ 'DDoS Alert' || chr(10) || 'IP: ' || coalesce(src_ip, 'unknown') || chr(10) || 'Attack: ' || attack_type || chr(10)
+ || 'Severity: ' || severity || chr(10) || 'Window: ' || window_size || ' ending '
+ || strftime(window_end, '%Y-%m-%dT%H:%M:%S.%gZ') || chr(10)
+ || 'Requests: ' || CAST(request_count AS VARCHAR) || ' | RPS: ' || CAST(rps AS VARCHAR) || chr(10)
+ || 'Reason: ' || signal_reason AS text
+FROM acc"""
+
+
+def latest_alerts_sql() -> str:
+    return _alerts_with(MSGS_CTE) + "SELECT * FROM latest"
+
+
+def retained_alerts_sql() -> str:
+    return _alerts_with(MSGS_CTE, """
+shifted AS (SELECT * REPLACE (CASE WHEN request_count % 2 = 0 THEN "@timestamp" - INTERVAL 2 DAY ELSE "@timestamp" END AS "@timestamp") FROM stored),
+shifted2 AS (SELECT * REPLACE (CAST("@timestamp" AS DATE) AS alert_date) FROM shifted)""") + """SELECT * FROM shifted2
+WHERE alert_date >= CAST((SELECT max("@timestamp") FROM shifted2) AS DATE) - 1"""
+
+
+def bucket_sql(metric: str, how: str, name: str) -> str:
+    agg = (f"sum({metric})" if how == "sum" else
+           f"CAST(sum(CAST({metric} AS DECIMAL(38,12))) AS DOUBLE) / count({metric})")
+    fill = f"coalesce(CAST(v AS BIGINT), 0)" if how == "sum" else "v"
+    return _alerts_with(MSGS_CTE, f"""
+bounds AS (SELECT epoch_us(max("@timestamp")) AS hi FROM latest),
+series AS (SELECT unnest(generate_series((hi - 300000000) - ((hi - 300000000) % 5000000), hi - hi % 5000000, 5000000)) AS b FROM bounds),
+vals AS (SELECT epoch_us("@timestamp") - epoch_us("@timestamp") % 5000000 AS b, {agg} AS v FROM dash GROUP BY 1)""") + f"""SELECT make_timestamp(s.b) AS bucket_start, {fill} AS {name}
+FROM series s LEFT JOIN vals v USING (b)"""
+
+
+def top_terms_sql(field: str) -> str:
+    return _alerts_with(MSGS_CTE) + f"""SELECT {field}, count(*) AS alert_count FROM dash GROUP BY {field}
+ORDER BY alert_count DESC, {field} ASC LIMIT 5"""
+
+
+def recent_alerts_sql() -> str:
+    return _alerts_with(MSGS_CTE) + """SELECT * FROM dash ORDER BY "@timestamp" DESC, alert_key ASC LIMIT 50"""
+
+
+def alert_stats_sql() -> str:
+    return _alerts_with() + "SELECT attack_type, count(*) AS alert_count FROM alerts GROUP BY attack_type"
+
+
+def alert_registry() -> dict[str, str]:
+    return {
+        "alert_keys": alert_keys_sql(),
+        "severity_gated": severity_gated_sql(),
+        "dispositions": dispositions_sql(),
+        "dedupe_ttl": dedupe_ttl_sql(),
+        "alert_digest": alert_digest_sql(),
+        "digest_text": digest_text_sql(),
+        "alert_text": alert_text_sql(),
+        "latest_alerts": latest_alerts_sql(),
+        "retained_alerts": retained_alerts_sql(),
+        "bucket_requests": bucket_sql("request_count", "sum", "request_count_sum"),
+        "bucket_rps": bucket_sql("rps", "avg", "rps_avg"),
+        "bucket_error_ratio": bucket_sql("error_ratio", "avg", "error_ratio_avg"),
+        "bucket_unique_paths": bucket_sql("unique_path_count", "avg", "unique_path_count_avg"),
+        "top_attack_types": top_terms_sql("attack_type"),
+        "top_severities": top_terms_sql("severity"),
+        "recent_alerts": recent_alerts_sql(),
+        "alert_stats": alert_stats_sql(),
+    }

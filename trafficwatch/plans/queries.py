@@ -12,7 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trafficwatch.config import AlertConfig
+from trafficwatch.functions.alerts import alert_json, alert_key, format_alert, format_digest, message_key
+from trafficwatch.operators.alerting import (
+    decode_alert_messages,
+    disposition_counts,
+    severity_gate,
+    typed_alert_columns,
+    with_dispositions,
+)
 from trafficwatch.operators.detect import detect_rules
+from trafficwatch.operators.digest import digest
+from trafficwatch.operators.report import alert_stats, bucketed, recent, time_range, top_terms
+from trafficwatch.operators.store import latest_alerts, retained, to_stored
+from trafficwatch.operators.ttl import ttl_claims
 from trafficwatch.operators.normalize import normalize
 from trafficwatch.operators.rules import (
     FAST_WINDOW,
@@ -24,7 +37,7 @@ from trafficwatch.operators.rules import (
 from trafficwatch.operators.windows import path_windows_exact, source_windows_exact
 from trafficwatch.schema import RULE_OUTPUT_COLUMNS
 from trafficwatch.session import pin_utc
-from trafficwatch.sources.fixtures import traffic
+from trafficwatch.sources.fixtures import alert_messages, read_table, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +116,141 @@ RULE_QUERIES = (
 )
 
 
+# ---------------------------------------------------------------------------
+# Alert handling, store and reports (inputs derived from detect_all).
+# ---------------------------------------------------------------------------
+ALERTS = AlertConfig()
+DEDUPE_FIXTURE_TTL_SECONDS = 6 * 3600
+
+
+def messages(spark, sf_dir):
+    return decode_alert_messages(alert_messages(alerts(spark, sf_dir)))
+
+
+def dispositions(spark, sf_dir):
+    tie = F.coalesce(F.col("signal_reason"), F.lit(""))
+    return with_dispositions(messages(spark, sf_dir), F.col("arrival"), tie, ALERTS)
+
+
+def accepted(spark, sf_dir):
+    return dispositions(spark, sf_dir).filter(F.col("disposition") == "accepted")
+
+
+def stored(spark, sf_dir):
+    valid = messages(spark, sf_dir).filter("valid")
+    typed = valid.select(*typed_alert_columns(), "key", "arrival", "emission")
+    return to_stored(typed, F.col("key"), F.col("arrival"), F.col("emission"))
+
+
+def latest(spark, sf_dir):
+    return latest_alerts(stored(spark, sf_dir))
+
+
+def _now(df):
+    return df.select(F.max("`@timestamp`")).scalar()
+
+
+def dashboard(spark, sf_dir):
+    """Latest stored alerts within the last 5 minutes before the newest one."""
+    lt = latest(spark, sf_dir)
+    return time_range(lt, _now(lt), 300)
+
+
+def q_alert_keys(spark, sf_dir):
+    """Stream key of each alert, and the fallback key rebuilt from its JSON record."""
+    a = alerts(spark, sf_dir)
+    wire = a.select(alert_key().alias("alert_key"), F.lit("").alias("key"), alert_json().alias("value"))
+    dec = decode_alert_messages(wire)
+    return dec.select("alert_key", message_key(F.col("key")).alias("fallback_key"), "signal_reason")
+
+
+def q_alert_json(spark, sf_dir):
+    return alert_messages(alerts(spark, sf_dir)).filter(F.col("emission") == 1).select("key", "value")
+
+
+def q_severity_gated(spark, sf_dir):
+    return as_ntz(severity_gate(alerts(spark, sf_dir), ALERTS.min_severity))
+
+
+def q_dispositions(spark, sf_dir):
+    return disposition_counts(dispositions(spark, sf_dir))
+
+
+def q_dedupe_ttl(spark, sf_dir):
+    pin_utc(spark)
+    ev = read_table(spark, sf_dir, "events")
+    key = F.concat_ws("|", F.col("user_id").cast("string"), F.col("event_type"))
+    claims = ttl_claims(ev, key, F.col("ts"), DEDUPE_FIXTURE_TTL_SECONDS).filter("claimed")
+    return claims.select(F.col("k"), F.timestamp_micros("t_us").cast("timestamp_ntz").alias("t"))
+
+
+def _digests(spark, sf_dir):
+    return digest(accepted(spark, sf_dir), F.col("arrival"), ALERTS.batch_window_seconds, ALERTS.batch_max_ips)
+
+
+def q_alert_digest(spark, sf_dir):
+    return as_ntz(_digests(spark, sf_dir))
+
+
+def q_digest_text(spark, sf_dir):
+    d = _digests(spark, sf_dir)
+    return as_ntz(d.select("attack_type", "signal_reason", "opened_at", format_digest().alias("text")))
+
+
+def q_alert_text(spark, sf_dir):
+    return accepted(spark, sf_dir).select("dedupe_key", format_alert().alias("text"))
+
+
+def q_latest_alerts(spark, sf_dir):
+    return as_ntz(latest(spark, sf_dir))
+
+
+def q_retained_alerts(spark, sf_dir):
+    st = stored(spark, sf_dir)
+    even = F.col("request_count") % 2 == 0
+    shifted_ts = F.when(even, F.col("`@timestamp`") - F.make_dt_interval(days=F.lit(2))).otherwise(F.col("`@timestamp`"))
+    st = st.withColumn("@timestamp", shifted_ts).withColumn("alert_date", F.to_date(F.col("`@timestamp`")))
+    return as_ntz(retained(st, _now(st)))
+
+
+def _bucket_query(metric: str, how: str, name: str):
+    def q(spark, sf_dir):
+        lt = latest(spark, sf_dir)
+        now = _now(lt)
+        lo = now - F.make_dt_interval(secs=F.lit(300))
+        d = time_range(lt, now, 300)
+        if how == "sum":
+            out = bucketed(d, F.col(metric), "sum", lo, now, 5, name=name)
+        else:
+            # exact average: decimal sum / count, so no dependence on summation order
+            sums = bucketed(d, F.col(metric).cast("decimal(38,12)"), "sum", lo, now, 5, name="_s")
+            cnts = bucketed(d, F.col(metric), "count", lo, now, 5, name="_n")
+            out = sums.join(cnts, on="bucket_start").select(
+                "bucket_start",
+                F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.col("_n")).alias(name),
+            )
+        return as_ntz(out)
+
+    q.__name__ = f"q_bucket_{name}"
+    return q
+
+
+def q_top_attack_types(spark, sf_dir):
+    return top_terms(dashboard(spark, sf_dir), "attack_type", 5)
+
+
+def q_top_severities(spark, sf_dir):
+    return top_terms(dashboard(spark, sf_dir), "severity", 5)
+
+
+def q_recent_alerts(spark, sf_dir):
+    return as_ntz(recent(dashboard(spark, sf_dir), 50))
+
+
+def q_alert_stats(spark, sf_dir):
+    return alert_stats(alerts(spark, sf_dir))
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {
         "normalize_requests": q_normalize_requests,
@@ -115,4 +263,26 @@ def registry() -> dict[str, Query]:
     for r in RULE_QUERIES:
         out[f"detect_{r}"] = _detect_one(r)
     out["detect_all"] = q_detect_all
+    out.update(
+        {
+            "alert_keys": q_alert_keys,
+            "alert_json": q_alert_json,
+            "severity_gated": q_severity_gated,
+            "dispositions": q_dispositions,
+            "dedupe_ttl": q_dedupe_ttl,
+            "alert_digest": q_alert_digest,
+            "digest_text": q_digest_text,
+            "alert_text": q_alert_text,
+            "latest_alerts": q_latest_alerts,
+            "retained_alerts": q_retained_alerts,
+            "bucket_requests": _bucket_query("request_count", "sum", "request_count_sum"),
+            "bucket_rps": _bucket_query("rps", "avg", "rps_avg"),
+            "bucket_error_ratio": _bucket_query("error_ratio", "avg", "error_ratio_avg"),
+            "bucket_unique_paths": _bucket_query("unique_path_count", "avg", "unique_path_count_avg"),
+            "top_attack_types": q_top_attack_types,
+            "top_severities": q_top_severities,
+            "recent_alerts": q_recent_alerts,
+            "alert_stats": q_alert_stats,
+        }
+    )
     return out
