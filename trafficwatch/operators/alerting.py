@@ -63,10 +63,7 @@ def with_dispositions(
     """
     gated = F.col("valid") & (severity_rank_of(F.col("severity")) >= F.lit(min_rank(config.min_severity)))
     df = messages.withColumn("dedupe_key", F.when(F.col("valid"), message_key(F.col(key_col))))
-    candidates = df.filter(gated)
-    others = df.filter(~gated).withColumn("is_duplicate", F.lit(None).cast("boolean"))
-    checked = dedupe_ttl(candidates, F.col("dedupe_key"), time, config.dedupe_ttl_seconds, tie)
-    out = checked.unionByName(others)
+    out = dedupe_ttl(df, F.col("dedupe_key"), time, config.dedupe_ttl_seconds, tie, where=gated)
     disp = (
         F.when(~F.col("valid"), "invalid")
         .when(F.col("is_duplicate").isNull(), "skipped_severity")

@@ -43,6 +43,9 @@ def detect_rules(
     plan="grain" (batch, exact): one scan + two aggregations for all windows.
     plan="windowed": one ``groupBy(window(...))`` per window family, rules
     inlined on each, union across families; the streaming shape.
+    plan="union": the windowed aggregates with one filter+select branch per
+    rule, unioned (the textbook shape; kept as a benchmark comparator - each
+    branch re-plans its aggregate).
     plan="auto": grain for exact batch input, windowed otherwise.
     """
     if plan == "auto":
@@ -61,7 +64,10 @@ def detect_rules(
             m = source_windows(df, spec, exact)
         else:
             m = path_windows(df, spec, exact)
-        parts.append(apply_rules(m, family, check_window=False))
+        if plan == "union":
+            parts.extend(apply_rules(m, [r], check_window=False) for r in family)
+        else:
+            parts.append(apply_rules(m, family, check_window=False))
     return union_all(parts).select(*RULE_OUTPUT_COLUMNS)
 
 

@@ -110,29 +110,41 @@ def ttl_claims(
     ttl_us = int(round(ttl_seconds * 1_000_000))
     if ttl_us <= 0:
         raise ValueError("ttl must be positive")
-    tie_col = (tie if tie is not None else F.lit(None)).cast("string")
-    pairs = (
-        df.select(key.cast("string").alias("k"), F.unix_micros(time.cast("timestamp")).alias("t_us"), tie_col.alias("tie"))
-        .filter(F.col("t_us").isNotNull())
-        .groupBy("k", "t_us")
-        .agg(F.min("tie").alias("first"))
-    )
+    base = df.select(key.cast("string").alias("k"), F.unix_micros(time.cast("timestamp")).alias("t_us"), *(
+        [tie.cast("string").alias("tie")] if tie is not None else []
+    )).filter(F.col("t_us").isNotNull())
+    if tie is None:
+        pairs = base.distinct().withColumn("first", F.lit(None).cast("string"))
+    else:
+        pairs = base.groupBy("k", "t_us").agg(F.min("tie").alias("first"))
     pairs = pairs.repartition(partitions, "k") if partitions else pairs.repartition("k")
     return pairs.sortWithinPartitions("k", "t_us").mapInPandas(_fold(ttl_us), CLAIM_SCHEMA)
 
 
-def dedupe_ttl(df: DataFrame, key: Column, time: Column, ttl_seconds: float, tie: Column) -> DataFrame:
+def dedupe_ttl(
+    df: DataFrame,
+    key: Column,
+    time: Column,
+    ttl_seconds: float,
+    tie: Column,
+    where: Column | None = None,
+) -> DataFrame:
     """``df`` plus ``is_duplicate``: False only for the row that claims its key.
 
     ``tie`` orders rows that share key and time (e.g. a message offset); it
-    must be unique within (key, time).  Rows with a null time never claim.
+    must be unique within (key, time).  Only rows matching ``where`` take
+    part; the others get a null ``is_duplicate``.  ``df`` is read twice
+    (claims, then the probe), so materialise an expensive input first.
     """
-    claims = ttl_claims(df, key, time, ttl_seconds, tie=tie).filter("claimed")
-    rows = df.withColumn("_k", key.cast("string")).withColumn("_t", F.unix_micros(time.cast("timestamp"))).withColumn("_tie", tie.cast("string"))
+    part = df if where is None else df.filter(where)
+    claims = ttl_claims(part, key, time, ttl_seconds, tie=tie).filter("claimed")
+    rows = df.withColumn("_k", key.cast("string")).withColumn("_t", F.unix_micros(time.cast("timestamp")))
+    rows = rows.withColumn("_tie", tie.cast("string")).withColumn("_in", F.lit(True) if where is None else where)
     won = claims.select(F.col("k").alias("_k"), F.col("t_us").alias("_t"), F.col("first").alias("_first"))
     out = rows.join(won, on=["_k", "_t"], how="left")
-    is_dup = ~F.coalesce(F.col("_first").isNotNull() & (F.col("_tie") == F.col("_first")), F.lit(False))
-    return out.withColumn("is_duplicate", is_dup).drop("_k", "_t", "_tie", "_first")
+    won_here = F.coalesce(F.col("_first").isNotNull() & (F.col("_tie") == F.col("_first")), F.lit(False))
+    is_dup = F.when(F.coalesce(F.col("_in"), F.lit(False)), ~won_here)
+    return out.withColumn("is_duplicate", is_dup).drop("_k", "_t", "_tie", "_first", "_in")
 
 
 def assign_first_arrival(df: DataFrame, key: Column, time: Column, window_seconds: float) -> DataFrame:

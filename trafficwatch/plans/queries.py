@@ -6,6 +6,8 @@ reads the same in every engine and session time zone.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,7 @@ from trafficwatch.operators.rules import (
 )
 from trafficwatch.operators.windows import path_windows_exact, source_windows_exact
 from trafficwatch.schema import RULE_OUTPUT_COLUMNS
-from trafficwatch.session import pin_utc
+from trafficwatch.session import checkpoint_dir, pin_utc
 from trafficwatch.sources.fixtures import alert_messages, read_table, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,13 +125,45 @@ ALERTS = AlertConfig()
 DEDUPE_FIXTURE_TTL_SECONDS = 6 * 3600
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor never recomputes the upstream plan) and,
+    unlike ``checkpoint()``, computes the input only once.
+    """
+    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    path = f"{base.rstrip('/')}/trafficwatch-tables/{uuid.uuid4().hex}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def table(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, materialised once per session with a reliable checkpoint.
+
+    The alert-side queries read the alert stream, the handled alerts and the
+    store as tables - as a deployment does - instead of re-deriving them
+    inside every plan.
+    """
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = materialize(spark, build(), name)
+    return _TABLES[key]
+
+
 def messages(spark, sf_dir):
-    return decode_alert_messages(alert_messages(alerts(spark, sf_dir)))
+    """Decoded alert records (the alert topic as a table)."""
+    return table("messages", spark, sf_dir, lambda: decode_alert_messages(alert_messages(alerts(spark, sf_dir))))
 
 
 def dispositions(spark, sf_dir):
-    tie = F.coalesce(F.col("signal_reason"), F.lit(""))
-    return with_dispositions(messages(spark, sf_dir), F.col("arrival"), tie, ALERTS)
+    def build():
+        tie = F.coalesce(F.col("signal_reason"), F.lit(""))
+        return with_dispositions(messages(spark, sf_dir), F.col("arrival"), tie, ALERTS)
+
+    return table("dispositions", spark, sf_dir, build)
 
 
 def accepted(spark, sf_dir):
@@ -137,13 +171,17 @@ def accepted(spark, sf_dir):
 
 
 def stored(spark, sf_dir):
-    valid = messages(spark, sf_dir).filter("valid")
-    typed = valid.select(*typed_alert_columns(), "key", "arrival", "emission")
-    return to_stored(typed, F.col("key"), F.col("arrival"), F.col("emission"))
+    """Every valid record as stored: + alert_key, @timestamp (arrival), alert_date, batch_id."""
+    def build():
+        valid = messages(spark, sf_dir).filter("valid")
+        typed = valid.select(*typed_alert_columns(), "key", "arrival", "emission")
+        return to_stored(typed, F.col("key"), F.col("arrival"), F.col("emission"))
+
+    return table("stored", spark, sf_dir, build)
 
 
 def latest(spark, sf_dir):
-    return latest_alerts(stored(spark, sf_dir))
+    return table("latest", spark, sf_dir, lambda: latest_alerts(stored(spark, sf_dir)))
 
 
 def _now(df):
@@ -251,6 +289,27 @@ def q_alert_stats(spark, sf_dir):
     return alert_stats(alerts(spark, sf_dir))
 
 
+# ---------------------------------------------------------------------------
+# Streaming replays (file source, availableNow, several micro-batches).
+# ---------------------------------------------------------------------------
+
+
+def q_stream_detect_all(spark, sf_dir):
+    from trafficwatch.schema import RULE_OUTPUT_COLUMNS as cols
+    from trafficwatch.streaming.replay import replay_detection
+
+    pin_utc(spark)
+    latest_rows = replay_detection(spark, traffic(spark, sf_dir))
+    return as_ntz(latest_rows.select(*cols).withColumn("detected_at", F.col("window_end")))
+
+
+def q_stream_dedupe(spark, sf_dir):
+    from trafficwatch.streaming.replay import replay_alerting
+
+    out = replay_alerting(spark, alert_messages(alerts(spark, sf_dir)), ALERTS)
+    return as_ntz(out.select("dedupe_key", "arrival", "attack_type", "signal_reason", "request_count"))
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {
         "normalize_requests": q_normalize_requests,
@@ -283,6 +342,8 @@ def registry() -> dict[str, Query]:
             "top_severities": q_top_severities,
             "recent_alerts": q_recent_alerts,
             "alert_stats": q_alert_stats,
+            "stream_detect_all": q_stream_detect_all,
+            "stream_dedupe": q_stream_dedupe,
         }
     )
     return out
