@@ -54,7 +54,8 @@ def detect_rules(
     if plan == "grain":
         if df.isStreaming:
             raise ValueError("the grain plan chains two aggregations; use plan='windowed' on streams")
-        return apply_rules(grain_measures(df, specs), rules).select(*RULE_OUTPUT_COLUMNS)
+        method_labels = {r.window.label for r in rules if r.needs_methods}
+        return apply_rules(grain_measures(df, specs, method_labels), rules).select(*RULE_OUTPUT_COLUMNS)
     if watermark and df.isStreaming:
         df = df.withWatermark("timestamp", watermark)
     parts = []

@@ -49,13 +49,14 @@ class Rule:
     severity_rank: int
     signal_reason: str | None  # None: PATH_REASON_PREFIX + request_path
     extra: Callable[[], Column] | None = None  # post-filter over the measures
+    needs_methods: bool = False  # the post-filter reads method_variety
 
 
 def _ratio(num: str, den: str) -> Column:
     return safe_ratio(F.col(num), F.col(den))
 
 
-def _class_rule(attack, window, cls, threshold, severity, rank, reason, extra=None) -> Rule:
+def _class_rule(attack, window, cls, threshold, severity, rank, reason, extra=None, needs_methods=False) -> Rule:
     return Rule(
         attack,
         window,
@@ -67,6 +68,7 @@ def _class_rule(attack, window, cls, threshold, severity, rank, reason, extra=No
         rank,
         reason,
         extra,
+        needs_methods,
     )
 
 
@@ -90,6 +92,7 @@ def main_rules() -> list[Rule]:
             & (_ratio("tiny_response_count_all", "request_count_all") >= 0.60)
             & (F.col("method_variety") <= 2)
             & (F.col("unique_path_count_all") <= 3),
+            needs_methods=True,
         ),
     ]
 

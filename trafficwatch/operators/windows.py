@@ -151,13 +151,15 @@ def _window_starts(ts_us: Column, spec: WindowSpec) -> list[tuple[Column, Column
     return out
 
 
-def _grain_rows(df: DataFrame, specs: list[WindowSpec]) -> DataFrame:
+def _grain_rows(df: DataFrame, specs: list[WindowSpec], method_labels: set[str]) -> DataFrame:
     ts_us = F.unix_micros(F.col("timestamp"))
     entries = []
     for spec in specs:
         for start, keep in _window_starts(ts_us, spec):
             if spec.key == "src_ip":
-                members = [(_MEMBER_PATH, F.col("request_path")), (_MEMBER_METHOD, F.col("method"))]
+                members = [(_MEMBER_PATH, F.col("request_path"))]
+                if spec.label in method_labels:
+                    members.append((_MEMBER_METHOD, F.col("method")))
                 gkey = F.col("src_ip")
             else:
                 members = [(_MEMBER_SOURCE, F.col("src_ip"))]
@@ -182,16 +184,20 @@ def _grain_rows(df: DataFrame, specs: list[WindowSpec]) -> DataFrame:
     )
 
 
-def grain_measures(df: DataFrame, specs: list[WindowSpec]) -> DataFrame:
+def grain_measures(df: DataFrame, specs: list[WindowSpec], method_labels: set[str] | None = None) -> DataFrame:
     """Measures of every window family in ``specs`` from one pass over ``df``.
 
     Output: window_size, window_start, window_end, src_ip, request_path plus
     SOURCE_MEASURES (per-source families) and PATH_MEASURES (per-path
     families); columns of the other family are null.  Distinct counts are
-    exact.
+    exact.  ``method_variety`` costs one extra row per request and window, so
+    it is only computed for the families in ``method_labels`` (default: all;
+    null elsewhere).
     """
+    if method_labels is None:
+        method_labels = {s.label for s in specs}
     keys = ["window_size", "ws", "gkey", "sub", "member"]
-    level1 = _grain_rows(df, specs).groupBy(*keys).agg(
+    level1 = _grain_rows(df, specs, method_labels).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("e").cast("long").alias("n_err"),
         F.sum("t").cast("long").alias("n_timeout"),
@@ -238,7 +244,14 @@ def grain_measures(df: DataFrame, specs: list[WindowSpec]) -> DataFrame:
         F.timestamp_micros(F.col("ws") + size_us).alias("window_end"),
         F.when(per_source, F.col("gkey")).alias("src_ip"),
         F.when(~per_source, F.col("gkey")).alias("request_path"),
-        *[F.when(per_source, F.col(m)).alias(m) for m in SOURCE_MEASURES],
+        *[
+            (
+                F.when(per_source & F.col("window_size").isin(*method_labels), F.col(m))
+                if m == "method_variety"
+                else F.when(per_source, F.col(m))
+            ).alias(m)
+            for m in SOURCE_MEASURES
+        ],
         *[F.when(~per_source, F.col(m)).alias(m) for m in PATH_MEASURES],
     )
 
