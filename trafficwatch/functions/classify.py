@@ -102,3 +102,67 @@ def is_tiny_response(size: Column) -> Column:
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den when den > 0 else 0.0 (ANSI-safe: no division by zero)."""
     return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
+
+
+# ---------------------------------------------------------------------------
+# The same expressions as Spark SQL text.  Hot paths build their projections
+# from these so that a whole select list costs one call into the JVM instead
+# of one per Column node; Catalyst sees the identical expressions.
+# ---------------------------------------------------------------------------
+
+
+def sql_str(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def url_type_sql(path: str) -> str:
+    branches = []
+    for kind, patterns, label in URL_TYPE_RULES:
+        if kind == "exact":
+            cond = f"{path} IN ({', '.join(sql_str(p) for p in patterns)})"
+        else:
+            cond = " OR ".join(f"startswith({path}, {sql_str(p)})" for p in patterns)
+        branches.append(f"WHEN {cond} THEN {sql_str(label)}")
+    return f"CASE {' '.join(branches)} ELSE {sql_str(OTHER_URL)} END"
+
+
+def status_category_sql(code: str) -> str:
+    return (
+        f"CASE WHEN {code} BETWEEN 200 AND 299 THEN '2xx' WHEN {code} BETWEEN 400 AND 499 THEN '4xx' "
+        f"WHEN {code} BETWEEN 500 AND 599 THEN '5xx' ELSE 'other' END"
+    )
+
+
+def _in_list(col: str, values) -> str:
+    return f"{col} IN ({', '.join(sql_str(v) for v in values)})"
+
+
+def in_class_sql(traffic_class: str, utype: str) -> str:
+    if traffic_class == "all":
+        return "true"
+    if traffic_class == "scan_only":
+        return _in_list(utype, SCAN_TYPES)
+    if traffic_class == "non_scan":
+        return f"NOT {_in_list(utype, SCAN_TYPES)}"
+    if traffic_class == "non_scan_non_search":
+        return f"NOT {_in_list(utype, SCAN_TYPES + SEARCH_TYPES)}"
+    if traffic_class == "search_focus":
+        return _in_list(utype, SEARCH_FOCUS_TYPES)
+    raise ValueError(f"unknown traffic class {traffic_class!r}")
+
+
+def is_error_sql(category: str) -> str:
+    return f"coalesce({_in_list(category, ERROR_CATEGORIES)}, false)"
+
+
+def is_timeout_like_sql(code: str) -> str:
+    return f"coalesce({code} IN ({', '.join(str(c) for c in TIMEOUT_LIKE_CODES)}), false)"
+
+
+def is_tiny_response_sql(size: str) -> str:
+    return f"coalesce({size} <= {TINY_RESPONSE_MAX_BYTES}, false)"
+
+
+def safe_ratio_sql(num: str, den: str) -> str:
+    return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0D END"

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from trafficwatch.functions.classify import request_path, status_category, url_type
+from trafficwatch.functions.classify import status_category_sql, url_type_sql
+
+_PATH = r"split(request_url, '\\?')[0]"
 
 
 def normalize(raw: DataFrame) -> DataFrame:
@@ -15,18 +16,17 @@ def normalize(raw: DataFrame) -> DataFrame:
     (``timestamp_millis``); rows whose time is null keep flowing and are only
     dropped by the event-time windows downstream.
     """
-    path = request_path(F.col("request_url"))
-    code = F.col("status_code").cast("int")
-    return raw.select(
-        F.timestamp_millis(F.col("timestamp").cast("long")).alias("timestamp"),
-        F.col("src_ip"),
-        F.col("protocol"),
-        F.col("method"),
-        F.col("user_agent"),
-        F.col("request_url"),
-        path.alias("request_path"),
-        url_type(path).alias("url_type"),
-        code.alias("status_code"),
-        F.col("response_size").cast("int").alias("response_size"),
-        status_category(code).alias("status_category"),
+    code = "CAST(status_code AS INT)"
+    return raw.selectExpr(
+        "timestamp_millis(CAST(`timestamp` AS BIGINT)) AS `timestamp`",
+        "src_ip",
+        "protocol",
+        "method",
+        "user_agent",
+        "request_url",
+        f"{_PATH} AS request_path",
+        f"{url_type_sql(_PATH)} AS url_type",
+        f"{code} AS status_code",
+        "CAST(response_size AS INT) AS response_size",
+        f"{status_category_sql(code)} AS status_category",
     )

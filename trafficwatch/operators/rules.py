@@ -1,20 +1,17 @@
 """Detection rules as data, and their application to window measures.
 
 All rules of one measures frame are applied in a single projection: every
-rule yields ``when(condition, alert_struct)``; the array of those is compacted
-and inlined.  The aggregate under the rules is therefore computed (and, in
+rule yields ``IF(condition, alert_struct, NULL)``; the array of those is
+compacted and inlined.  The aggregate under the rules is therefore computed (and, in
 streaming, held in state) once, however many rules read it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from trafficwatch.functions.classify import safe_ratio
+from trafficwatch.functions.classify import safe_ratio_sql, sql_str
 from trafficwatch.operators.windows import WindowSpec
 
 # ---------------------------------------------------------------------------
@@ -48,12 +45,12 @@ class Rule:
     severity: str
     severity_rank: int
     signal_reason: str | None  # None: PATH_REASON_PREFIX + request_path
-    extra: Callable[[], Column] | None = None  # post-filter over the measures
+    extra_sql: str | None = None  # post-filter over the measures (Spark SQL)
     needs_methods: bool = False  # the post-filter reads method_variety
 
 
-def _ratio(num: str, den: str) -> Column:
-    return safe_ratio(F.col(num), F.col(den))
+def _ratio(num: str, den: str) -> str:
+    return safe_ratio_sql(num, den)
 
 
 def _class_rule(attack, window, cls, threshold, severity, rank, reason, extra=None, needs_methods=False) -> Rule:
@@ -79,19 +76,18 @@ def main_rules() -> list[Rule]:
         _class_rule("http_flood", w, "non_scan", t["http_flood"], "critical", 2, "high_rps_general_http"),
         _class_rule(
             "botnet", w, "non_scan_non_search", t["botnet"], "critical", 2, "distributed_low_and_steady_rps",
-            lambda: F.col("unique_path_count_non_scan_non_search") >= 3,
+            "unique_path_count_non_scan_non_search >= 3",
         ),
         _class_rule("search_flood", w, "search_focus", t["search_flood"], "critical", 2, "heavy_db_or_login_endpoints"),
         _class_rule(
             "scanning", w, "scan_only", t["scanning"], "critical", 2, "suspicious_scan_endpoints",
-            lambda: _ratio("error_count_scan_only", "request_count_scan_only") >= 0.5,
+            f"{_ratio('error_count_scan_only', 'request_count_scan_only')} >= 0.5D",
         ),
         _class_rule(
             "slowloris", w, "all", t["slowloris"], "critical", 2, "slow_connection_behavior",
-            lambda: (_ratio("timeout_like_count_all", "request_count_all") >= 0.30)
-            & (_ratio("tiny_response_count_all", "request_count_all") >= 0.60)
-            & (F.col("method_variety") <= 2)
-            & (F.col("unique_path_count_all") <= 3),
+            f"{_ratio('timeout_like_count_all', 'request_count_all')} >= 0.30D"
+            f" AND {_ratio('tiny_response_count_all', 'request_count_all')} >= 0.60D"
+            " AND method_variety <= 2 AND unique_path_count_all <= 3",
             needs_methods=True,
         ),
     ]
@@ -104,7 +100,7 @@ def fast_rules() -> list[Rule]:
         _class_rule("http_flood", w, "non_scan", t["http_flood"], "warning", 1, "high_rps_general_http"),
         _class_rule(
             "scanning", w, "scan_only", t["scanning"], "warning", 1, "suspicious_scan_endpoints",
-            lambda: _ratio("error_count_scan_only", "request_count_scan_only") >= 0.5,
+            f"{_ratio('error_count_scan_only', 'request_count_scan_only')} >= 0.5D",
         ),
     ]
 
@@ -122,7 +118,7 @@ def heavy_url_rule() -> Rule:
         "warning",
         2,
         None,
-        lambda: F.col("unique_src_ip") >= HEAVY_URL_MIN_SOURCES,
+        f"unique_src_ip >= {HEAVY_URL_MIN_SOURCES}",
     )
 
 
@@ -144,46 +140,42 @@ def rule_by_name(name: str) -> Rule:
     return table[name]
 
 
-def _alert_struct(rule: Rule) -> Column:
-    count = F.col(rule.count_col)
-    src = F.col("src_ip") if rule.window.key == "src_ip" else F.lit(None).cast("string")
+def _alert_struct_sql(rule: Rule) -> str:
+    count = rule.count_col
+    src = "src_ip" if rule.window.key == "src_ip" else "CAST(NULL AS STRING)"
     if rule.signal_reason is not None:
-        reason = F.lit(rule.signal_reason)
+        reason = sql_str(rule.signal_reason)
     else:
-        reason = F.concat(F.lit(PATH_REASON_PREFIX), F.col("request_path"))
-    return F.struct(
-        src.alias("src_ip"),
-        F.col("window_start").alias("window_start"),
-        F.col("window_end").alias("window_end"),
-        F.lit(rule.window.label).alias("window_size"),
-        F.lit(rule.attack_type).alias("attack_type"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.severity_rank).cast("int").alias("severity_rank"),
-        count.cast("long").alias("request_count"),
-        (count.cast("double") / F.lit(float(rule.window.seconds))).alias("rps"),
-        F.col(rule.unique_col).cast("long").alias("unique_path_count"),
-        safe_ratio(F.col(rule.error_col), count).alias("error_ratio"),
-        reason.alias("signal_reason"),
+        reason = f"concat({sql_str(PATH_REASON_PREFIX)}, request_path)"
+    return (
+        "named_struct("
+        f"'src_ip', {src}, 'window_start', window_start, 'window_end', window_end, "
+        f"'window_size', {sql_str(rule.window.label)}, 'attack_type', {sql_str(rule.attack_type)}, "
+        f"'severity', {sql_str(rule.severity)}, 'severity_rank', CAST({rule.severity_rank} AS INT), "
+        f"'request_count', CAST({count} AS BIGINT), "
+        f"'rps', CAST({count} AS DOUBLE) / {float(rule.window.seconds)}D, "
+        f"'unique_path_count', CAST({rule.unique_col} AS BIGINT), "
+        f"'error_ratio', {safe_ratio_sql(rule.error_col, count)}, "
+        f"'signal_reason', {reason})"
     )
 
 
-def rule_condition(rule: Rule, check_window: bool) -> Column:
-    cond = F.col(rule.count_col) >= F.lit(rule.threshold)
-    if rule.extra is not None:
-        cond = cond & rule.extra()
+def rule_condition_sql(rule: Rule, check_window: bool) -> str:
+    cond = f"{rule.count_col} >= {float(rule.threshold)}D"
+    if rule.extra_sql is not None:
+        cond = f"{cond} AND ({rule.extra_sql})"
     if check_window:
-        cond = (F.col("window_size") == F.lit(rule.window.label)) & cond
-    return cond
+        cond = f"window_size = {sql_str(rule.window.label)} AND {cond}"
+    return f"coalesce({cond}, false)"
 
 
 def apply_rules(measures: DataFrame, rules: list[Rule], check_window: bool = True) -> DataFrame:
     """Measures frame -> alert rows (RULE_OUTPUT_COLUMNS); one row per (window, key, firing rule)."""
     if not rules:
         raise ValueError("no rules to apply")
-    entries = [F.when(rule_condition(r, check_window), _alert_struct(r)) for r in rules]
+    conds = [rule_condition_sql(r, check_window) for r in rules]
+    entries = [f"IF({c}, {_alert_struct_sql(r)}, NULL)" for c, r in zip(conds, rules)]
     # A cheap pre-filter (any rule fires) keeps non-alerting windows out of the generator.
-    fired = None
-    for r in rules:
-        c = rule_condition(r, check_window)
-        fired = c if fired is None else (fired | c)
-    return measures.filter(fired).select(F.inline(F.array_compact(F.array(*entries))))
+    return measures.filter(" OR ".join(f"({c})" for c in conds)).selectExpr(
+        f"inline(array_compact(array({', '.join(entries)})))"
+    )

@@ -25,11 +25,16 @@ from pyspark.sql import functions as F
 from trafficwatch.functions.classify import (
     TRAFFIC_CLASSES,
     in_class,
+    in_class_sql,
     is_error,
+    is_error_sql,
     is_timeout_like,
+    is_timeout_like_sql,
     is_tiny_response,
+    is_tiny_response_sql,
     safe_ratio,
-    url_type,
+    sql_str,
+    url_type_sql,
 )
 
 US = 1_000_000
@@ -132,55 +137,56 @@ def path_windows(df: DataFrame, spec: WindowSpec, exact: bool = False) -> DataFr
 # ---------------------------------------------------------------------------
 
 _MEMBER_PATH, _MEMBER_METHOD, _MEMBER_SOURCE = "p", "m", "s"
+_TS_US = "unix_micros(`timestamp`)"
 
 
-def _window_starts(ts_us: Column, spec: WindowSpec) -> list[tuple[Column, Column | None]]:
-    """Start (epoch micros) of every window of ``spec`` containing ``ts_us``.
+def _window_starts_sql(spec: WindowSpec) -> list[tuple[str, str | None]]:
+    """Start (epoch micros) of every window of ``spec`` containing the row's time.
 
     Same alignment as ``window()``: starts are multiples of the slide since the
     epoch and a window is ``[start, start + seconds)``.
     """
     slide_us, size_us = spec.slide * US, spec.seconds * US
-    base = ts_us - F.pmod(ts_us, F.lit(slide_us))
+    base = f"({_TS_US} - pmod({_TS_US}, {slide_us}L))"
     out = []
     for k in range(math.ceil(spec.seconds / spec.slide)):
-        start = base - F.lit(k * slide_us)
+        start = f"({base} - {k * slide_us}L)"
         # Only needed when the size is not a multiple of the slide.
-        keep = None if spec.seconds % spec.slide == 0 else (start + F.lit(size_us) > ts_us)
+        keep = None if spec.seconds % spec.slide == 0 else f"({start} + {size_us}L > {_TS_US})"
         out.append((start, keep))
     return out
 
 
 def _grain_rows(df: DataFrame, specs: list[WindowSpec], method_labels: set[str]) -> DataFrame:
-    ts_us = F.unix_micros(F.col("timestamp"))
     entries = []
+    needs_compact = False
     for spec in specs:
-        for start, keep in _window_starts(ts_us, spec):
-            if spec.key == "src_ip":
-                members = [(_MEMBER_PATH, F.col("request_path"))]
-                if spec.label in method_labels:
-                    members.append((_MEMBER_METHOD, F.col("method")))
-                gkey = F.col("src_ip")
-            else:
-                members = [(_MEMBER_SOURCE, F.col("src_ip"))]
-                gkey = F.col("request_path")
+        if spec.key == "src_ip":
+            members = [(_MEMBER_PATH, "request_path")]
+            if spec.label in method_labels:
+                members.append((_MEMBER_METHOD, "method"))
+            gkey = "src_ip"
+        else:
+            members = [(_MEMBER_SOURCE, "src_ip")]
+            gkey = "request_path"
+        for start, keep in _window_starts_sql(spec):
             for tag, member in members:
-                s = F.struct(
-                    F.lit(spec.label).alias("window_size"),
-                    start.alias("ws"),
-                    gkey.alias("gkey"),
-                    F.lit(tag).alias("sub"),
-                    member.alias("member"),
+                s = (
+                    f"named_struct('window_size', {sql_str(spec.label)}, 'ws', {start}, 'gkey', {gkey}, "
+                    f"'sub', {sql_str(tag)}, 'member', {member})"
                 )
-                entries.append(s if keep is None else F.when(keep, s))
-    arr = F.array(*entries)
-    if any(keep is not None for spec in specs for _, keep in _window_starts(ts_us, spec)):
-        arr = F.array_compact(arr)
-    return df.filter(F.col("timestamp").isNotNull()).select(
-        is_error(F.col("status_category")).cast("int").alias("e"),
-        is_timeout_like(F.col("status_code")).cast("int").alias("t"),
-        is_tiny_response(F.col("response_size")).cast("int").alias("y"),
-        F.inline(arr),
+                if keep is not None:
+                    needs_compact = True
+                    s = f"IF({keep}, {s}, NULL)"
+                entries.append(s)
+    arr = f"array({', '.join(entries)})"
+    if needs_compact:
+        arr = f"array_compact({arr})"
+    return df.filter("`timestamp` IS NOT NULL").selectExpr(
+        f"CAST({is_error_sql('status_category')} AS INT) AS e",
+        f"CAST({is_timeout_like_sql('status_code')} AS INT) AS t",
+        f"CAST({is_tiny_response_sql('response_size')} AS INT) AS y",
+        f"inline({arr})",
     )
 
 
@@ -198,62 +204,57 @@ def grain_measures(df: DataFrame, specs: list[WindowSpec], method_labels: set[st
         method_labels = {s.label for s in specs}
     keys = ["window_size", "ws", "gkey", "sub", "member"]
     level1 = _grain_rows(df, specs, method_labels).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("e").cast("long").alias("n_err"),
-        F.sum("t").cast("long").alias("n_timeout"),
-        F.sum("y").cast("long").alias("n_tiny"),
+        F.expr("count(1) AS n"),
+        F.expr("CAST(sum(e) AS BIGINT) AS n_err"),
+        F.expr("CAST(sum(t) AS BIGINT) AS n_timeout"),
+        F.expr("CAST(sum(y) AS BIGINT) AS n_tiny"),
     )
-    sub, member = F.col("sub"), F.col("member")
-    is_p, is_m, is_s = sub == _MEMBER_PATH, sub == _MEMBER_METHOD, sub == _MEMBER_SOURCE
-    level1 = level1.withColumn("utype", F.when(is_p, url_type(member)))
-    utype = F.col("utype")
+    is_p, is_m, is_s = (f"sub = {sql_str(x)}" for x in (_MEMBER_PATH, _MEMBER_METHOD, _MEMBER_SOURCE))
+    level1 = level1.selectExpr("*", f"IF({is_p}, {url_type_sql('member')}, NULL) AS utype")
 
-    def total(cond: Column, col: str) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0)).cast("long")
+    def total(cond: str, col: str) -> str:
+        return f"CAST(coalesce(sum(IF({cond}, {col}, NULL)), 0) AS BIGINT)"
 
-    def rows(cond: Column) -> Column:
-        return F.count(F.when(cond, F.lit(1)))
+    def rows(cond: str) -> str:
+        return f"count(IF({cond}, 1, NULL))"
 
     aggs = []
     for c in TRAFFIC_CLASSES:
-        aggs.append(total(is_p & in_class(c, utype), "n").alias(f"request_count_{c}"))
+        aggs.append(f"{total(f'{is_p} AND {in_class_sql(c, 'utype')}', 'n')} AS request_count_{c}")
     for c in TRAFFIC_CLASSES:
-        aggs.append(rows(is_p & in_class(c, utype) & member.isNotNull()).alias(f"unique_path_count_{c}"))
-    aggs.append(rows(is_m & member.isNotNull()).alias("method_variety"))
+        aggs.append(f"{rows(f'{is_p} AND {in_class_sql(c, 'utype')} AND member IS NOT NULL')} AS unique_path_count_{c}")
+    aggs.append(f"{rows(f'{is_m} AND member IS NOT NULL')} AS method_variety")
     for c in TRAFFIC_CLASSES:
-        aggs.append(total(is_p & in_class(c, utype), "n_err").alias(f"error_count_{c}"))
+        aggs.append(f"{total(f'{is_p} AND {in_class_sql(c, 'utype')}', 'n_err')} AS error_count_{c}")
     aggs += [
-        total(is_p, "n_timeout").alias("timeout_like_count_all"),
-        total(is_p, "n_tiny").alias("tiny_response_count_all"),
-        total(is_s, "n").alias("path_request_count"),
-        rows(is_s & member.isNotNull()).alias("unique_src_ip"),
-        total(is_s, "n_err").alias("path_error_count"),
+        f"{total(is_p, 'n_timeout')} AS timeout_like_count_all",
+        f"{total(is_p, 'n_tiny')} AS tiny_response_count_all",
+        f"{total(is_s, 'n')} AS path_request_count",
+        f"{rows(f'{is_s} AND member IS NOT NULL')} AS unique_src_ip",
+        f"{total(is_s, 'n_err')} AS path_error_count",
     ]
-    level2 = level1.groupBy("window_size", "ws", "gkey").agg(*aggs)
-
-    size_us = None
-    per_source = None
-    for spec in specs:
-        cond = F.col("window_size") == spec.label
-        size_us = (F.when(cond, F.lit(spec.seconds * US)) if size_us is None else size_us.when(cond, F.lit(spec.seconds * US)))
-        flag = F.lit(spec.key == "src_ip")
-        per_source = F.when(cond, flag) if per_source is None else per_source.when(cond, flag)
-    return level2.select(
-        "window_size",
-        F.timestamp_micros(F.col("ws")).alias("window_start"),
-        F.timestamp_micros(F.col("ws") + size_us).alias("window_end"),
-        F.when(per_source, F.col("gkey")).alias("src_ip"),
-        F.when(~per_source, F.col("gkey")).alias("request_path"),
-        *[
-            (
-                F.when(per_source & F.col("window_size").isin(*method_labels), F.col(m))
-                if m == "method_variety"
-                else F.when(per_source, F.col(m))
-            ).alias(m)
-            for m in SOURCE_MEASURES
-        ],
-        *[F.when(~per_source, F.col(m)).alias(m) for m in PATH_MEASURES],
+    level2 = level1.groupBy("window_size", "ws", "gkey").agg(*[F.expr(a) for a in aggs])
+
+    size_us = "CASE " + " ".join(
+        f"WHEN window_size = {sql_str(s.label)} THEN {s.seconds * US}L" for s in specs
+    ) + " END"
+    source_labels = [s.label for s in specs if s.key == "src_ip"]
+    per_source = f"window_size IN ({', '.join(sql_str(x) for x in source_labels)})" if source_labels else "false"
+    method_ok = (
+        f"window_size IN ({', '.join(sql_str(x) for x in sorted(method_labels))})" if method_labels else "false"
     )
+    out = [
+        "window_size",
+        "timestamp_micros(ws) AS window_start",
+        f"timestamp_micros(ws + {size_us}) AS window_end",
+        f"IF({per_source}, gkey, NULL) AS src_ip",
+        f"IF(NOT ({per_source}), gkey, NULL) AS request_path",
+    ]
+    for m in SOURCE_MEASURES:
+        cond = f"{per_source} AND {method_ok}" if m == "method_variety" else per_source
+        out.append(f"IF({cond}, {m}, NULL) AS {m}")
+    out += [f"IF(NOT ({per_source}), {m}, NULL) AS {m}" for m in PATH_MEASURES]
+    return level2.selectExpr(*out)
 
 
 def source_windows_exact(df: DataFrame, spec: WindowSpec) -> DataFrame:

@@ -46,8 +46,20 @@ TRAFFIC_EXPRS = (
 )
 
 
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table reader, reused within a session.
+
+    Only the (lazy) DataFrame is reused - it saves re-listing files and
+    re-reading footers for the schema; every action still scans the files.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def traffic_from_events(events: DataFrame) -> DataFrame:
