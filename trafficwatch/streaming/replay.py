@@ -22,6 +22,21 @@ from trafficwatch.streaming.detection import apply_stream_confs, run_detection
 
 ALERT_IDENTITY = ("window_start", "window_size", "attack_type", "src_ip", "signal_reason")
 
+# Progress totals of the last replay: input rows and trigger time per query.
+LAST_RUN: dict[str, dict[str, float]] = {}
+
+
+def _record(name: str, query) -> None:
+    progress = query.recentProgress or []
+    rows = sum(p.get("numInputRows", 0) for p in progress)
+    ms = sum(p.get("durationMs", {}).get("triggerExecution", 0) for p in progress)
+    LAST_RUN[name] = {
+        "batches": len(progress),
+        "input_rows": rows,
+        "trigger_sec": round(ms / 1000.0, 3),
+        "rows_per_sec": round(rows / (ms / 1000.0), 1) if ms else 0.0,
+    }
+
 
 def scratch_dir(spark: SparkSession) -> str:
     base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
@@ -69,13 +84,18 @@ def replay_detection(
     fields = [F.col(c) for c in requests.columns]
     wire_rows = requests.select(F.col("timestamp").alias("_t"), F.to_json(F.struct(*fields)).alias("value"))
     write_in_time_order(wire_rows, "_t", f"{base}/in", chunks, "parquet")
-    stream = StreamConfig(max_files_per_trigger=1, shuffle_partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # StreamConfig's default partition count (small micro-batches); the
+    # count is fixed in the checkpoint of a stateful query.
+    stream = StreamConfig(max_files_per_trigger=1)
+    batch_partitions = spark.conf.get("spark.sql.shuffle.partitions")
     apply_stream_confs(spark, stream)
     wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("_t long, value string").parquet(
         f"{base}/in"
     ).select("value")
     q = run_detection(wire, f"{base}/cp", config, stream, store_path=f"{base}/store", stats=False, available_now=True)
     q.awaitTermination()
+    _record("detection", q)
+    spark.conf.set("spark.sql.shuffle.partitions", batch_partitions)
     stored = spark.read.parquet(f"{base}/store")
     return latest_emission(stored.drop("alert_key", "@timestamp", "alert_date"))
 
@@ -102,4 +122,5 @@ def replay_alerting(
         .start()
     )
     q.awaitTermination()
+    _record("alerting", q)
     return spark.read.parquet(f"{base}/out")
