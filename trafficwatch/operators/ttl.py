@@ -26,6 +26,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from trafficwatch.session import ship_package
 from pyspark.sql import types as T
 
 CLAIM_SCHEMA = T.StructType(
@@ -107,6 +109,7 @@ def ttl_claims(
     ``first`` is the smallest ``tie`` (cast to string) among the rows sharing
     (k, t_us): the row that wins a claim when several arrive at once.
     """
+    ship_package(df.sparkSession)
     ttl_us = int(round(ttl_seconds * 1_000_000))
     if ttl_us <= 0:
         raise ValueError("ttl must be positive")

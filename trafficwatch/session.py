@@ -63,3 +63,29 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.sparkContext.setCheckpointDir(fallback)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``trafficwatch`` importable in Python workers (once per application).
+
+    Operators that run Python inside tasks (``mapInPandas``,
+    ``applyInPandasWithState``) pickle functions by module reference, so the
+    executors need the package - the ``--py-files`` mechanism, done lazily.
+    A deployment that already ships the package may skip this.
+    """
+    import shutil
+    import tempfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="trafficwatch-pyfiles-")
+    archive = shutil.make_archive(
+        os.path.join(staging, "trafficwatch"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="trafficwatch"
+    )
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)

@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from trafficwatch.session import ship_package
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -67,6 +69,7 @@ def dedupe_stream(
     ``time`` is an event-time TIMESTAMP column (with ``watermark``); ``tie``
     orders rows that share key and time.
     """
+    ship_package(df.sparkSession)
     ttl_us = int(round(ttl_seconds * 1_000_000))
     prepared = df.withWatermark(time, watermark).withColumn("t_us", F.unix_micros(F.col(time).cast("timestamp")))
     prepared = prepared.withColumn("tie", F.col(tie).cast("string"))

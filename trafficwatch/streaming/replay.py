@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from trafficwatch.config import AlertConfig, DetectionConfig, StreamConfig
 from trafficwatch.session import checkpoint_dir
 from trafficwatch.streaming.alerting import alerting_stream
+from trafficwatch.streaming.digest import digest_stream
 from trafficwatch.streaming.detection import apply_stream_confs, run_detection
 
 ALERT_IDENTITY = ("window_start", "window_size", "attack_type", "src_ip", "signal_reason")
@@ -105,8 +106,13 @@ def replay_alerting(
     messages: DataFrame,
     config: AlertConfig = AlertConfig(),
     chunks: int = 5,
+    digests: bool = False,
 ) -> DataFrame:
-    """Alert records (key, value, arrival) -> files -> streaming gate + TTL dedupe -> accepted rows."""
+    """Alert records (key, value, arrival) -> files -> streaming gate + TTL dedupe -> accepted rows.
+
+    ``digests=True`` chains the streaming digest behind the dedupe and
+    returns the closed digests instead.
+    """
     base = scratch_dir(spark)
     write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks, "parquet")
     wire = spark.readStream.option("maxFilesPerTrigger", "1").schema(
@@ -123,4 +129,26 @@ def replay_alerting(
     )
     q.awaitTermination()
     _record("alerting", q)
-    return spark.read.parquet(f"{base}/out")
+    if not digests:
+        return spark.read.parquet(f"{base}/out")
+    # Second query: one stateful Python processor per query, so the digest
+    # reads the accepted-alert sink as its own stream (as the chat sender
+    # would read the accepted topic).
+    # Re-chunk the accepted alerts in arrival order: the processor expects
+    # arrivals to be non-decreasing per key across micro-batches, as they are
+    # on a live alert topic.
+    write_in_time_order(spark.read.parquet(f"{base}/out"), "arrival", f"{base}/acc", chunks, "parquet")
+    schema = spark.read.parquet(f"{base}/acc").schema
+    accepted_stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/acc")
+    closed = digest_stream(accepted_stream.drop("chunk"), "arrival", config.batch_window_seconds, config.batch_max_ips)
+    q2 = (
+        closed.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{base}/digests")
+        .option("checkpointLocation", f"{base}/cp_digest")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q2.awaitTermination()
+    _record("digest", q2)
+    return spark.read.parquet(f"{base}/digests")
