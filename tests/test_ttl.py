@@ -55,3 +55,17 @@ def test_dedupe_ties_and_reclaim(spark):
         ("a", 10, "y"): False,
         ("b", 3, "q"): False,
     }
+
+
+def test_hot_keys_take_the_spread_path(spark):
+    """Forcing every key through the time-spread path gives the fold's claims."""
+    rnd = random.Random(11)
+    rows = sorted({(f"k{rnd.randint(0, 2)}", rnd.randint(0, 3000)) for _ in range(600)})
+    df = spark.createDataFrame(rows, "k string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    spread = ttl_claims(df, F.col("k"), F.col("ts"), 25, hot_key_pairs=10)
+    fold = ttl_claims(df, F.col("k"), F.col("ts"), 25, hot_key_pairs=None)
+    got = {(r["k"], r["t_us"]): (r["claim_us"], r["claimed"]) for r in spread.collect()}
+    want = {(r["k"], r["t_us"]): (r["claim_us"], r["claimed"]) for r in fold.collect()}
+    assert got == want
+    exp = brute([(k, s * 1_000_000) for k, s in rows], 25 * 1_000_000)
+    assert got == exp

@@ -14,6 +14,9 @@ Plan:
 3. one vectorised fold per partition (``mapInPandas``): state is the last
    claim only, batches stream through, no group is ever materialised.
 
+A key too large for one task (``hot_key_pairs``) is instead computed with
+work spread by time - see ``ttl_scale``.
+
 Each pair leaves with the time of the claim it belongs to (``claim_us``) and
 whether it is itself a claim.
 """
@@ -96,6 +99,9 @@ def _fold(ttl_us: int):
     return run
 
 
+HOT_KEY_PAIRS = 5_000_000  # a key with more distinct times than this leaves the per-key fold
+
+
 def ttl_claims(
     df: DataFrame,
     key: Column,
@@ -103,11 +109,16 @@ def ttl_claims(
     ttl_seconds: float,
     tie: Column | None = None,
     partitions: int | None = None,
+    hot_key_pairs: int | None = HOT_KEY_PAIRS,
 ) -> DataFrame:
     """Distinct (k, t_us) of ``df`` with ``claim_us``, ``claimed`` and ``first``.
 
     ``first`` is the smallest ``tie`` (cast to string) among the rows sharing
     (k, t_us): the row that wins a claim when several arrive at once.
+
+    Keys with more than ``hot_key_pairs`` distinct times are computed by
+    ``ttl_scale.ttl_claims_spread`` (work spread by time, no per-key task);
+    all other keys by the per-key fold.  ``None`` disables the split.
     """
     ship_package(df.sparkSession)
     ttl_us = int(round(ttl_seconds * 1_000_000))
@@ -120,8 +131,25 @@ def ttl_claims(
         pairs = base.distinct().withColumn("first", F.lit(None).cast("string"))
     else:
         pairs = base.groupBy("k", "t_us").agg(F.min("tie").alias("first"))
-    pairs = pairs.repartition(partitions, "k") if partitions else pairs.repartition("k")
-    return pairs.sortWithinPartitions("k", "t_us").mapInPandas(_fold(ttl_us), CLAIM_SCHEMA)
+
+    def fold(p: DataFrame) -> DataFrame:
+        p = p.repartition(partitions, "k") if partitions else p.repartition("k")
+        return p.sortWithinPartitions("k", "t_us").mapInPandas(_fold(ttl_us), CLAIM_SCHEMA)
+
+    if hot_key_pairs is None:
+        return fold(pairs)
+    hot = pairs.groupBy("k").count().filter(F.col("count") > hot_key_pairs).select("k", F.lit(True).alias("_hot"))
+    if hot.isEmpty():
+        return fold(pairs)
+    from trafficwatch.operators.ttl_scale import ttl_claims_spread
+
+    tagged = pairs.join(hot, on="k", how="left")
+    normal = fold(tagged.filter(F.col("_hot").isNull()).drop("_hot"))
+    hot_pairs = tagged.filter(F.col("_hot")).drop("_hot")
+    spread = ttl_claims_spread(hot_pairs.select("k", "t_us"), ttl_us).join(
+        hot_pairs.select("k", "t_us", "first"), on=["k", "t_us"], how="inner"
+    )
+    return normal.unionByName(spread.select(*[f.name for f in CLAIM_SCHEMA.fields]))
 
 
 def dedupe_ttl(

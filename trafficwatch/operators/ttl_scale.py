@@ -1,0 +1,195 @@
+"""First-claim TTL for hot keys, without routing a key to one task.
+
+``operators.ttl`` folds each key's sorted times in one task: ideal while a
+key is small, but a key holding a large share of all rows would pass through
+a single task.  This module computes the same claims with work spread by
+*time* instead of by key:
+
+1. ``nxt(t)`` - the first time of the same key at or after ``t + ttl`` - for
+   every time at once: the times and their probes ``t + ttl`` are sorted
+   together with a range-partitioned global sort (a hot key spans many
+   partitions), each probe takes the next time after it; a probe left open at
+   the end of a partition takes the first time of the next partition that
+   has one (a table with one row per partition).
+2. Claims are the orbit of each key's first time under ``nxt``: pointer
+   doubling (``J[l+1] = J[l] o J[l]``), ``log2(max claims per key)`` rounds of
+   equi-joins on (key, time), each round materialised to cut lineage; then
+   the orbit is expanded level by level from the roots.
+3. The claim owning each time is a forward fill over the same global order,
+   carried across partitions by a one-row-per-partition table.
+
+All joins are on unique (key, time) pairs; the only driver round trips are
+the per-partition boundary tables and the number of doubling rounds.
+"""
+
+from __future__ import annotations
+
+import math
+from typing import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from trafficwatch.session import ship_package
+
+PAIR_SCHEMA = "k string, t_us long"
+
+
+def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    import tempfile
+    import uuid
+
+    from trafficwatch.session import checkpoint_dir
+
+    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    path = f"{base.rstrip('/')}/trafficwatch-ttl/{uuid.uuid4().hex}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _sorted_with_pid(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Global sort (range partitioned) tagged with the partition id, persisted for two passes."""
+    return df.orderBy(*cols).withColumn("pid", F.spark_partition_id()).persist()
+
+
+def _next_times(pairs: DataFrame, ttl_us: int) -> DataFrame:
+    """(k, t_us) -> (k, t_us, nt_us): first time of the same key at or after t + ttl."""
+    spark = pairs.sparkSession
+    probes = pairs.select("k", (F.col("t_us") + F.lit(ttl_us)).alias("x"), F.lit(0).alias("kind"), F.col("t_us").alias("src"))
+    times = pairs.select("k", F.col("t_us").alias("x"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("src"))
+    # kind 0 (probe) sorts before a time equal to it, so that time answers it
+    rows = _sorted_with_pid(probes.unionByName(times), ["k", "x", "kind"])
+    firsts = rows.filter("kind = 1").groupBy("pid").agg(F.min(F.struct("k", "x")).alias("f")).collect()
+    first_in = {r["pid"]: (r["f"]["k"], r["f"]["x"]) for r in firsts}
+    # next_after[p] = first time in any partition after p
+    next_after, nxt = {}, None
+    for p in range(max(first_in, default=-1), -1, -1):
+        next_after[p] = nxt
+        if p in first_in:
+            nxt = first_in[p]
+
+    def emit(keys, src, nt, ok) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"k": keys, "t_us": src, "nt_us": pd.arrays.IntegerArray(nt.astype(np.int64), ~ok)}
+        )
+
+    def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pend_k = np.empty(0, dtype=object)
+        pend_src = np.empty(0, dtype=np.int64)
+        pid = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["pid"].iloc[0])
+            k = pdf["k"].to_numpy(dtype=object)
+            x = pdf["x"].to_numpy(dtype=np.int64)
+            src = pdf["src"].fillna(-1).to_numpy(dtype=np.int64)
+            is_time = pdf["kind"].to_numpy() == 1
+            time_pos = np.flatnonzero(is_time)
+            if pend_k.size:  # probes left open by the previous batch
+                if time_pos.size:
+                    f = time_pos[0]
+                    ok = pend_k == k[f]
+                    yield emit(pend_k, pend_src, np.where(ok, x[f], 0), ok)
+                    pend_k, pend_src = pend_k[:0], pend_src[:0]
+                else:  # a key that does not continue here has no later time
+                    done = pend_k != k[0]
+                    if done.any():
+                        yield emit(pend_k[done], pend_src[done], np.zeros(int(done.sum())), np.zeros(int(done.sum()), bool))
+                    pend_k, pend_src = pend_k[~done], pend_src[~done]
+            probe_pos = np.flatnonzero(~is_time)
+            if probe_pos.size:
+                j = np.searchsorted(time_pos, probe_pos, side="left")
+                has = j < time_pos.size
+                ans = time_pos[np.minimum(j, time_pos.size - 1)] if time_pos.size else np.zeros_like(probe_pos)
+                ok = has & (k[ans] == k[probe_pos])
+                if has.any():
+                    yield emit(k[probe_pos][has], src[probe_pos][has], np.where(ok, x[ans], 0)[has], ok[has])
+                pend_k = np.concatenate([pend_k, k[probe_pos][~has]])
+                pend_src = np.concatenate([pend_src, src[probe_pos][~has]])
+        if pend_k.size:  # the answer, if any, is the first time of a later partition
+            after = next_after.get(pid)
+            ok = (pend_k == after[0]) if after is not None else np.zeros(pend_k.size, bool)
+            yield emit(pend_k, pend_src, np.where(ok, after[1] if after is not None else 0, 0), ok)
+
+    out = rows.mapInPandas(resolve, "k string, t_us long, nt_us long")
+    result = _materialize(spark, out, "nxt")
+    rows.unpersist()
+    return result
+
+
+def _claims_by_doubling(pairs: DataFrame, nxt: DataFrame, ttl_us: int) -> DataFrame:
+    """Orbit of each key's first time under nxt: (k, t_us) of every claim."""
+    spark = pairs.sparkSession
+    span = pairs.groupBy("k").agg((F.max("t_us") - F.min("t_us")).alias("span")).agg(F.max("span")).first()[0]
+    max_claims = int(span // ttl_us) + 1 if span is not None else 1
+    levels = max(1, math.ceil(math.log2(max_claims + 1)))
+    jumps = [nxt.select("k", "t_us", F.col("nt_us").alias("j"))]
+    for level in range(1, levels):
+        prev = jumps[-1]
+        step = prev.alias("a").join(
+            prev.select("k", F.col("t_us").alias("m"), F.col("j").alias("j2")).alias("b"),
+            on=[F.col("a.k") == F.col("b.k"), F.col("a.j") == F.col("b.m")],
+            how="left",
+        ).select(F.col("a.k").alias("k"), F.col("a.t_us").alias("t_us"), F.col("b.j2").alias("j"))
+        jumps.append(_materialize(spark, step, f"jump{level}"))
+    claims = pairs.groupBy("k").agg(F.min("t_us").alias("t_us"))
+    for level in range(levels - 1, -1, -1):
+        reached = claims.join(jumps[level], on=["k", "t_us"], how="inner").filter(F.col("j").isNotNull())
+        claims = claims.unionByName(reached.select("k", F.col("j").alias("t_us"))).distinct()
+        claims = _materialize(spark, claims, f"orbit{level}")
+    return claims
+
+
+def _owners(pairs: DataFrame, claims: DataFrame) -> DataFrame:
+    """(k, t_us) -> claim_us (latest claim at or before t) and claimed."""
+    marked = pairs.join(claims.withColumn("claimed", F.lit(True)), on=["k", "t_us"], how="left").select(
+        "k", "t_us", F.coalesce("claimed", F.lit(False)).alias("claimed")
+    )
+    rows = _sorted_with_pid(marked, ["k", "t_us"])
+    lasts = rows.filter("claimed").groupBy("pid").agg(F.max(F.struct("k", "t_us")).alias("l")).collect()
+    last_in = {r["pid"]: (r["l"]["k"], r["l"]["t_us"]) for r in lasts}
+    carry_into, carried = {}, None
+    for p in range(0, max(last_in, default=-1) + 2):
+        carry_into[p] = carried
+        if p in last_in:
+            carried = last_in[p]
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = None
+        started = False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if not started:  # last claim of any earlier partition
+                state = carry_into.get(int(pdf["pid"].iloc[0]), carried)
+                started = True
+            k = pdf["k"].to_numpy(dtype=object)
+            t = pdf["t_us"].to_numpy(dtype=np.int64)
+            c = pdf["claimed"].to_numpy(dtype=bool)
+            pos = np.maximum.accumulate(np.where(c, np.arange(len(t)), -1))
+            safe = np.clip(pos, 0, None)
+            same = (pos >= 0) & (k[safe] == k)
+            from_state = (~same) & (k == state[0]) if state is not None else np.zeros(len(t), bool)
+            claim = np.where(same, t[safe], np.where(from_state, state[1] if state is not None else 0, 0))
+            if c.any():
+                last = np.flatnonzero(c)[-1]
+                state = (k[last], int(t[last]))
+            yield pd.DataFrame({"k": k, "t_us": t, "claim_us": claim, "claimed": c})
+
+    out = rows.mapInPandas(fill, "k string, t_us long, claim_us long, claimed boolean")
+    result = _materialize(pairs.sparkSession, out, "owners")
+    rows.unpersist()
+    return result
+
+
+def ttl_claims_spread(pairs: DataFrame, ttl_us: int) -> DataFrame:
+    """Distinct (k, t_us) -> (k, t_us, claim_us, claimed) with no per-key task."""
+    ship_package(pairs.sparkSession)
+    pairs = pairs.select("k", "t_us")
+    nxt = _next_times(pairs, ttl_us)
+    claims = _claims_by_doubling(pairs, nxt, ttl_us)
+    return _owners(pairs, claims)
