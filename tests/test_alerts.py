@@ -74,3 +74,14 @@ def test_latest_and_retention(spark, scratch):
     removed = apply_retention(spark, scratch + "/store", now=dt.datetime(2024, 1, 1, 23, tzinfo=dt.timezone.utc))
     assert removed == ["2023-12-30"]
     assert spark.read.parquet(scratch + "/store").count() == 2
+
+
+def test_compact_store(spark, scratch):
+    from trafficwatch.operators.store import compact_store
+
+    ts = dt.datetime(2024, 1, 1, 12)
+    rows = [("k", ts, 0, 10, "r"), ("k", ts + dt.timedelta(seconds=1), 1, 20, "r"), ("j", ts, 0, 7, "r")]
+    df = spark.createDataFrame(rows, "alert_key string, `@timestamp` timestamp, batch_id long, request_count long, signal_reason string")
+    df.withColumn("alert_date", F.to_date("`@timestamp`")).write.partitionBy("alert_date").parquet(scratch + "/store")
+    out = compact_store(spark, scratch + "/store", scratch + "/compact")
+    assert sorted((r["alert_key"], r["request_count"]) for r in out.collect()) == [("j", 7), ("k", 20)]

@@ -52,6 +52,18 @@ def latest_alerts(stored: DataFrame) -> DataFrame:
     ).select(*[F.col(f"`{c}`") for c in stored.columns])
 
 
+def compact_store(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Compaction job: write only the latest row per (alert_date, alert_key) to ``target``.
+
+    The store is append-only (every micro-batch appends, replays append
+    duplicates); compaction rewrites it into the upsert view, partitioned by
+    date, so later reads skip superseded rows.  Writing to a separate target
+    keeps the source readable until the caller swaps the paths.
+    """
+    latest_alerts(read_alerts(spark, path)).write.mode("overwrite").partitionBy("alert_date").parquet(target)
+    return read_alerts(spark, target)
+
+
 def retention_cutoff(now: Column, keep_days: int = 1) -> Column:
     return F.date_sub(F.to_date(now), keep_days)
 

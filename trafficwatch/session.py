@@ -18,6 +18,35 @@ BASE_CONF = {
 }
 
 
+# Cluster sizing for large inputs (e.g. a 1000-executor job over ~100 TB):
+# partitions are sized by bytes, not by count.  AQE starts from many shuffle
+# partitions and coalesces them to ~256 MB each, splits skewed join
+# partitions, and only broadcasts a join side it has measured below the
+# threshold at runtime.  Scan splits of 256 MB keep a task's input bounded.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+}
+
+
+def cluster_session(app_name: str = "trafficwatch", extra: dict[str, str] | None = None) -> SparkSession:
+    """Session for cluster runs: CLUSTER_CONF plus ``extra``; master from spark-submit."""
+    builder = SparkSession.builder.appName(app_name)
+    for k, v in {**CLUSTER_CONF, **(extra or {})}.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int = 8,
