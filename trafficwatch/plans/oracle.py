@@ -378,9 +378,33 @@ def alert_stats_sql() -> str:
     return _alerts_with() + "SELECT attack_type, count(*) AS alert_count FROM alerts GROUP BY attack_type"
 
 
+def alert_json_sql() -> str:
+    """The JSON text Spark's ``to_json`` writes: fields in schema order, nulls
+    omitted, times as ISO-8601 UTC with milliseconds."""
+    def s(c):
+        return f"'\"{c}\":' || to_json({c})"
+
+    def n(c):
+        return f"'\"{c}\":' || CAST({c} AS VARCHAR)"
+
+    def ts(c):
+        return f"'\"{c}\":\"' || strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ') || '\"'"
+
+    parts = [
+        f"CASE WHEN src_ip IS NULL THEN NULL ELSE {s('src_ip')} END",
+        ts("window_start"), ts("window_end"), s("window_size"), s("attack_type"), s("severity"),
+        n("severity_rank"), n("request_count"), n("rps"), n("unique_path_count"), n("error_ratio"),
+        s("signal_reason"), "'\"detected_at\":\"' || strftime(window_end + INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%S.%gZ') || '\"'",
+    ]
+    body = "concat_ws(',', " + ", ".join(parts) + ")"
+    return _alerts_with() + f"""SELECT concat_ws('|', src_ip, attack_type, strftime(window_end, '%Y-%m-%d %H:%M:%S'), window_size) AS key,
+ '{{' || {body} || '}}' AS value FROM alerts"""
+
+
 def alert_registry() -> dict[str, str]:
     return {
         "alert_keys": alert_keys_sql(),
+        "alert_json": alert_json_sql(),
         "severity_gated": severity_gated_sql(),
         "dispositions": dispositions_sql(),
         "dedupe_ttl": dedupe_ttl_sql(),
