@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from trafficwatch.functions.classify import request_path, status_category, url_type
