@@ -20,11 +20,19 @@ def count(pattern: str, text: str) -> int:
 
 
 def test_grain_plan_is_one_scan_two_shuffles(spark):
-    df = detect_rules(Q.requests(spark, SF_SMALL), all_rules(), exact=True, plan="grain")
+    df = detect_rules(Q.requests(spark, SF_SMALL), all_rules(), exact=True, plan="grain", prefilter=False)
     text = plan_text(df)
     assert count(r"FileScan parquet", text) == 1
     assert count(r"Exchange hashpartitioning", text) == 2
-    assert "SortMergeJoin" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "Join" not in text
+
+
+def test_prefilter_adds_one_counting_pass_per_key(spark):
+    df = detect_rules(Q.requests(spark, SF_SMALL), all_rules(), exact=True, plan="grain", prefilter=True)
+    text = plan_text(df)
+    # main scan + one pane count per (key, pane size): (src_ip, 1 s) and (request_path, 60 s)
+    assert count(r"FileScan parquet", text) == 3
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_main_rules_share_one_aggregate(spark):

@@ -12,6 +12,7 @@ from trafficwatch.operators.rules import Rule, all_rules, apply_rules
 from trafficwatch.operators.windows import (
     WindowSpec,
     grain_measures,
+    hot_neighbourhoods,
     path_windows,
     source_windows,
 )
@@ -37,6 +38,7 @@ def detect_rules(
     exact: bool = False,
     plan: str = "auto",
     watermark: str | None = "45 seconds",
+    prefilter: bool = True,
 ) -> DataFrame:
     """Apply ``rules`` to normalised requests; returns RULE_OUTPUT_COLUMNS.
 
@@ -47,6 +49,11 @@ def detect_rules(
     rule, unioned (the textbook shape; kept as a benchmark comparator - each
     branch re-plans its aggregate).
     plan="auto": grain for exact batch input, windowed otherwise.
+
+    ``prefilter`` (grain plan): expand into windows only the requests near a
+    pane hot enough for some window to reach the family's lowest threshold
+    (exact, see ``windows.hot_neighbourhoods``).  Benign background traffic
+    then costs one counting pass instead of a 13-fold expansion and shuffle.
     """
     if plan == "auto":
         plan = "grain" if (exact and not df.isStreaming) else "windowed"
@@ -55,7 +62,14 @@ def detect_rules(
         if df.isStreaming:
             raise ValueError("the grain plan chains two aggregations; use plan='windowed' on streams")
         method_labels = {r.window.label for r in rules if r.needs_methods}
-        return apply_rules(grain_measures(df, specs, method_labels), rules).select(*RULE_OUTPUT_COLUMNS)
+        flags = None
+        if prefilter:
+            lowest = {}
+            for r in rules:
+                lowest[r.window.label] = min(lowest.get(r.window.label, r.threshold), r.threshold)
+            df, flags = hot_neighbourhoods(df, lowest, specs)
+        measures = grain_measures(df, specs, method_labels, flags)
+        return apply_rules(measures, rules).select(*RULE_OUTPUT_COLUMNS)
     if watermark and df.isStreaming:
         df = df.withWatermark("timestamp", watermark)
     parts = []

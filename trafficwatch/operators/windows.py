@@ -157,7 +157,12 @@ def _window_starts_sql(spec: WindowSpec) -> list[tuple[str, str | None]]:
     return out
 
 
-def _grain_rows(df: DataFrame, specs: list[WindowSpec], method_labels: set[str]) -> DataFrame:
+def _grain_rows(
+    df: DataFrame, specs: list[WindowSpec], method_labels: set[str], flags: dict[str, str] | None = None
+) -> DataFrame:
+    """One row per (request, window, member); ``flags[label]`` names a boolean
+    column that limits a family's rows to the requests it may need."""
+    flags = flags or {}
     entries = []
     needs_compact = False
     for spec in specs:
@@ -175,9 +180,10 @@ def _grain_rows(df: DataFrame, specs: list[WindowSpec], method_labels: set[str])
                     f"named_struct('window_size', {sql_str(spec.label)}, 'ws', {start}, 'gkey', {gkey}, "
                     f"'sub', {sql_str(tag)}, 'member', {member})"
                 )
-                if keep is not None:
+                cond = " AND ".join(c for c in (keep, flags.get(spec.label)) if c)
+                if cond:
                     needs_compact = True
-                    s = f"IF({keep}, {s}, NULL)"
+                    s = f"IF({cond}, {s}, NULL)"
                 entries.append(s)
     arr = f"array({', '.join(entries)})"
     if needs_compact:
@@ -190,7 +196,12 @@ def _grain_rows(df: DataFrame, specs: list[WindowSpec], method_labels: set[str])
     )
 
 
-def grain_measures(df: DataFrame, specs: list[WindowSpec], method_labels: set[str] | None = None) -> DataFrame:
+def grain_measures(
+    df: DataFrame,
+    specs: list[WindowSpec],
+    method_labels: set[str] | None = None,
+    flags: dict[str, str] | None = None,
+) -> DataFrame:
     """Measures of every window family in ``specs`` from one pass over ``df``.
 
     Output: window_size, window_start, window_end, src_ip, request_path plus
@@ -203,7 +214,7 @@ def grain_measures(df: DataFrame, specs: list[WindowSpec], method_labels: set[st
     if method_labels is None:
         method_labels = {s.label for s in specs}
     keys = ["window_size", "ws", "gkey", "sub", "member"]
-    level1 = _grain_rows(df, specs, method_labels).groupBy(*keys).agg(
+    level1 = _grain_rows(df, specs, method_labels, flags).groupBy(*keys).agg(
         F.expr("count(1) AS n"),
         F.expr("CAST(sum(e) AS BIGINT) AS n_err"),
         F.expr("CAST(sum(t) AS BIGINT) AS n_timeout"),
@@ -274,3 +285,67 @@ def path_windows_exact(df: DataFrame, spec: WindowSpec) -> DataFrame:
         *PATH_MEASURES,
         safe_ratio(F.col("path_error_count"), F.col("path_request_count")).alias("path_error_ratio"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Exact prefilter for detection: only requests near a "hot pane" can belong
+# to a window that reaches a threshold.
+# ---------------------------------------------------------------------------
+
+
+def hot_neighbourhoods(df: DataFrame, min_count: dict[str, float], specs: list[WindowSpec]) -> tuple[DataFrame, dict[str, str]]:
+    """Mark the requests a thresholded window family can need.
+
+    A window of ``seconds / slide = k`` panes (pane = slide) whose request
+    count reaches ``T`` has a pane with at least ``ceil(T / k)`` requests
+    (pigeonhole), and every pane of that window lies within ``k - 1`` panes of
+    it.  So keeping, per key, the requests within ``k - 1`` panes of such a
+    "hot" pane keeps every window that can fire complete; a window that loses
+    requests had no hot pane and could not fire anyway.  The result is exact.
+
+    Returns ``df`` with one boolean column per family (``_near_<label>``) and
+    the flags mapping for ``grain_measures``.  The pane counts are one
+    partially aggregated pass; the neighbourhood tables are joined back
+    null-safely (a null key is its own group) and are broadcast only when AQE
+    measures them small.
+    """
+    ts = F.col("timestamp")
+    flags: dict[str, str] = {}
+    out = df
+    groups: dict[tuple[str, int], list[tuple[WindowSpec, int, int]]] = {}
+    for spec in specs:
+        threshold = min_count.get(spec.label)
+        if threshold is None or spec.seconds % spec.slide != 0:
+            continue
+        k = spec.seconds // spec.slide
+        groups.setdefault((spec.key, spec.slide), []).append((spec, k, max(1, math.ceil(threshold / k))))
+    for gi, ((key_name, slide), members) in enumerate(groups.items()):
+        # one pane count per (key, pane size), shared by the families using it
+        pane = F.floor(F.unix_micros(ts) / F.lit(slide * US)).cast("long")
+        key = F.col(key_name)
+        counts = df.filter(ts.isNotNull()).groupBy(key.alias("_g"), pane.alias("_p")).count()
+        reach = max(k for _, k, _ in members) - 1
+        cols = {spec.label: f"_near{gi}_{j}" for j, (spec, _, _) in enumerate(members)}
+        # each pane emits its neighbourhood once, flagged per family
+        spread = counts.select(
+            "_g", "_p", "count", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("_d")
+        )
+        flag_exprs = {
+            cols[spec.label]: (F.col("count") >= need) & (F.abs(F.col("_d")) <= k - 1) for spec, k, need in members
+        }
+        any_flag = None
+        for e in flag_exprs.values():
+            any_flag = e if any_flag is None else (any_flag | e)
+        near = (
+            spread.filter(any_flag)
+            .groupBy("_g", (F.col("_p") + F.col("_d")).alias("_p"))
+            .agg(*[F.max(e).alias(c) for c, e in flag_exprs.items()])
+        )
+        near = near.withColumnRenamed("_g", f"_g{gi}").withColumnRenamed("_p", f"_p{gi}")
+        cond = key.eqNullSafe(F.col(f"_g{gi}")) & (pane == F.col(f"_p{gi}"))
+        out = out.join(near, on=cond, how="left").drop(f"_g{gi}", f"_p{gi}")
+        for label, col in cols.items():
+            flags[label] = f"coalesce({col}, false)"
+    if flags:
+        out = out.filter(" OR ".join(flags.values()))
+    return out, flags
