@@ -54,3 +54,17 @@ def test_decode_and_normalize(spark):
     assert rows[3]["timestamp"] is None and rows[3]["src_ip"] == "b"
     assert rows[4]["status_code"] is None
     assert len(REQUEST_SCHEMA.fields) == 9
+
+
+def test_kafka_options():
+    from trafficwatch.config import StreamConfig
+    from trafficwatch.sources.requests import kafka_options
+
+    opts = kafka_options("broker:9092", "network-traffic", StreamConfig(max_offsets_per_trigger=3000))
+    assert opts == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "network-traffic",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "3000",
+    }

@@ -28,15 +28,22 @@ def encode_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def kafka_options(bootstrap: str, topic: str, cfg: StreamConfig = StreamConfig()) -> dict[str, str]:
+    """Reader options: one subscribed topic, start offsets, data-loss policy, rate cap."""
+    return {
+        "kafka.bootstrap.servers": bootstrap,
+        "subscribe": topic,
+        "startingOffsets": cfg.starting_offsets,
+        "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
+        "maxOffsetsPerTrigger": str(cfg.max_offsets_per_trigger),
+    }
+
+
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, cfg: StreamConfig = StreamConfig()) -> DataFrame:
-    """Streaming ``value`` column from a Kafka topic (needs the Kafka connector jar)."""
+    """Streaming (key, value) strings from a Kafka topic (needs the Kafka connector jar)."""
     return (
         spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap)
-        .option("subscribe", topic)
-        .option("startingOffsets", cfg.starting_offsets)
-        .option("failOnDataLoss", str(cfg.fail_on_data_loss).lower())
-        .option("maxOffsetsPerTrigger", str(cfg.max_offsets_per_trigger))
+        .options(**kafka_options(bootstrap, topic, cfg))
         .load()
         .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     )
