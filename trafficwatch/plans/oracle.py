@@ -231,11 +231,11 @@ ISO_TS = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')"
 
 MSGS_CTE = """
 msgs AS (
-SELECT a.* REPLACE (CASE WHEN e.emission = 0 THEN a.request_count // 2 ELSE a.request_count END AS request_count),
- e.emission, (e.emission = 0 AND a.request_count % 2 = 1) AS corrupt,
+SELECT a.* REPLACE (CASE WHEN e.emission < 2 THEN a.request_count // 2 ELSE a.request_count END AS request_count),
+ e.emission, (e.emission = 0) AS corrupt,
  a.window_end + to_seconds(e.emission) AS arrival,
  concat_ws('|', a.src_ip, a.attack_type, strftime(a.window_end, '%Y-%m-%d %H:%M:%S'), a.window_size) AS msg_key
-FROM alerts a, (SELECT unnest([0, 1]) AS emission) e),
+FROM alerts a, (SELECT unnest([0, 1, 2]) AS emission) e),
 gated AS (SELECT * FROM msgs WHERE NOT corrupt AND lower(severity) = 'critical'),
 gpairs AS (SELECT msg_key AS k, arrival AS t, min(coalesce(signal_reason, '')) AS first FROM gated GROUP BY 1, 2),
 dclaims(k, t) AS (
@@ -394,7 +394,7 @@ def alert_json_sql() -> str:
         f"CASE WHEN src_ip IS NULL THEN NULL ELSE {s('src_ip')} END",
         ts("window_start"), ts("window_end"), s("window_size"), s("attack_type"), s("severity"),
         n("severity_rank"), n("request_count"), n("rps"), n("unique_path_count"), n("error_ratio"),
-        s("signal_reason"), "'\"detected_at\":\"' || strftime(window_end + INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%S.%gZ') || '\"'",
+        s("signal_reason"), "'\"detected_at\":\"' || strftime(window_end + INTERVAL 2 SECOND, '%Y-%m-%dT%H:%M:%S.%gZ') || '\"'",
     ]
     body = "concat_ws(',', " + ", ".join(parts) + ")"
     return _alerts_with() + f"""SELECT concat_ws('|', src_ip, attack_type, strftime(window_end, '%Y-%m-%d %H:%M:%S'), window_size) AS key,

@@ -203,7 +203,7 @@ def q_alert_keys(spark, sf_dir):
 
 
 def q_alert_json(spark, sf_dir):
-    return alert_messages(alerts(spark, sf_dir)).filter(F.col("emission") == 1).select("key", "value")
+    return alert_messages(alerts(spark, sf_dir)).filter(F.col("emission") == 2).select("key", "value")
 
 
 def q_severity_gated(spark, sf_dir):

@@ -72,32 +72,27 @@ def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Wire records of detected alerts, as an update-mode stream would emit them.
+    """Wire records of detected alerts, as an update-mode stream would carry them.
 
-    Each alert is emitted twice: emission 0 at window_end carrying half the
-    final request count, emission 1 one second later with the final row.
-    Emission 0 of an alert whose final count is odd arrives cut to 40
-    characters (not JSON), so the stream also carries invalid records.
+    Every alert yields three records: emission 0 at window_end is a damaged
+    copy of the first emission (cut to 40 characters, so not JSON);
+    emission 1 one second later carries half the final request count;
+    emission 2 one second after that is the final row.
     Columns: key, value, arrival, emission.
     """
     from pyspark.sql import functions as F
 
     from trafficwatch.functions.alerts import alert_json, alert_key
 
-    em = alerts.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("emission"))
-    corrupt = (F.col("emission") == 0) & (F.col("request_count") % 2 == 1)
-    em = (
-        em.withColumn("corrupt", corrupt)
-        .withColumn(
-            "request_count",
-            F.when(F.col("emission") == 0, F.expr("request_count div 2")).otherwise(F.col("request_count")),
-        )
-        .withColumn("detected_at", F.timestamp_micros(F.unix_micros("window_end") + F.col("emission") * 1_000_000))
-    )
+    em = alerts.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("emission"))
+    em = em.withColumn(
+        "request_count",
+        F.when(F.col("emission") < 2, F.expr("request_count div 2")).otherwise(F.col("request_count")),
+    ).withColumn("detected_at", F.timestamp_micros(F.unix_micros("window_end") + F.col("emission") * 1_000_000))
     value = alert_json()
     return em.select(
         alert_key().alias("key"),
-        F.when(F.col("corrupt"), F.substring(value, 1, 40)).otherwise(value).alias("value"),
+        F.when(F.col("emission") == 0, F.substring(value, 1, 40)).otherwise(value).alias("value"),
         F.col("detected_at").alias("arrival"),
         "emission",
     )
