@@ -11,12 +11,6 @@ from trafficwatch.operators.ttl import assign_first_arrival
 DIGEST_KEY = ("attack_type", "severity", "window_size", "signal_reason")
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of doubles as an exact decimal sum with one final rounding, so the
-    result does not depend on partitioning or summation order."""
-    return F.sum(c.cast("decimal(38,12)")).cast("double")
-
-
 def digest(alerts: DataFrame, arrival: Column, window_seconds: float = 10, max_ips: int = 50) -> DataFrame:
     """Accepted alerts (wire fields) -> one row per (digest key, first-arrival window).
 
@@ -25,6 +19,8 @@ def digest(alerts: DataFrame, arrival: Column, window_seconds: float = 10, max_i
     ip_count, request_count_sum, rps_sum (non-numeric -> 0), alerts.
     Every step is a grouped aggregate or a group-limited ranking, so a digest
     with very many sources is never gathered into one list beyond ``max_ips``.
+    Sums are exact decimal sums with one final rounding, so they do not
+    depend on partitioning or summation order.
     """
     keyed = alerts.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in DIGEST_KEY],
@@ -38,18 +34,29 @@ def digest(alerts: DataFrame, arrival: Column, window_seconds: float = 10, max_i
     grouped = assign_first_arrival(keyed, composite, F.col("arrival"), window_seconds)
     gkeys = list(DIGEST_KEY) + ["opened_at"]
 
-    measures = grouped.groupBy(*gkeys).agg(
-        F.min("window_end_ts").alias("window_end_min"),
-        F.max("window_end_ts").alias("window_end_max"),
-        F.count_distinct("ip").alias("ip_count"),
-        exact_sum(F.col("rc")).alias("request_count_sum"),
-        exact_sum(F.col("rp")).alias("rps_sum"),
-        F.count(F.lit(1)).alias("alerts"),
+    # One pre-aggregate per (digest, source) feeds both the measures and the
+    # IP list, so the first-arrival assignment below it runs once (the two
+    # readers share its exchange) and the distinct source count is a row count.
+    per_ip = grouped.groupBy(*gkeys, "ip").agg(
+        F.min("arrival").alias("first_seen"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("rc").cast("decimal(38,12)")).alias("rc_sum"),
+        F.sum(F.col("rp").cast("decimal(38,12)")).alias("rp_sum"),
+        F.min("window_end_ts").alias("we_min"),
+        F.max("window_end_ts").alias("we_max"),
+    )
+    measures = per_ip.groupBy(*gkeys).agg(
+        F.min("we_min").alias("window_end_min"),
+        F.max("we_max").alias("window_end_max"),
+        F.count(F.lit(1)).alias("ip_count"),
+        F.sum("rc_sum").cast("double").alias("request_count_sum"),
+        F.sum("rp_sum").cast("double").alias("rps_sum"),
+        F.sum("n").alias("alerts"),
     )
-    first_seen = grouped.groupBy(*gkeys, "ip").agg(F.min("arrival").alias("first_seen"))
     rank = F.row_number().over(Window.partitionBy(*gkeys).orderBy("first_seen", "ip"))
     listed = (
-        first_seen.withColumn("rn", rank)
+        per_ip.select(*gkeys, "ip", "first_seen")
+        .withColumn("rn", rank)
         .filter(F.col("rn") <= max_ips)
         .groupBy(*gkeys)
         .agg(F.sort_array(F.collect_list(F.struct("rn", "ip"))).alias("_ips"))

@@ -161,7 +161,9 @@ def _alert_struct_sql(rule: Rule) -> str:
 
 
 def rule_condition_sql(rule: Rule, check_window: bool) -> str:
-    cond = f"{rule.count_col} >= {float(rule.threshold)}D"
+    t = rule.threshold
+    literal = f"{int(t)}L" if float(t).is_integer() else f"{float(t)}D"
+    cond = f"{rule.count_col} >= {literal}"
     if rule.extra_sql is not None:
         cond = f"{cond} AND ({rule.extra_sql})"
     if check_window:
