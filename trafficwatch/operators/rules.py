@@ -178,6 +178,9 @@ def apply_rules(measures: DataFrame, rules: list[Rule], check_window: bool = Tru
     conds = [rule_condition_sql(r, check_window) for r in rules]
     entries = [f"IF({c}, {_alert_struct_sql(r)}, NULL)" for c, r in zip(conds, rules)]
     # A cheap pre-filter (any rule fires) keeps non-alerting windows out of the generator.
-    return measures.filter(" OR ".join(f"({c})" for c in conds)).selectExpr(
-        f"inline(array_compact(array({', '.join(entries)})))"
+    return (
+        measures.filter(" OR ".join(f"({c})" for c in conds))
+        .selectExpr(f"explode(array({', '.join(entries)})) AS a")
+        .filter("a IS NOT NULL")
+        .selectExpr("a.*")
     )

@@ -186,14 +186,17 @@ def _grain_rows(
                     s = f"IF({cond}, {s}, NULL)"
                 entries.append(s)
     arr = f"array({', '.join(entries)})"
-    if needs_compact:
-        arr = f"array_compact({arr})"
-    return df.filter("`timestamp` IS NOT NULL").selectExpr(
+    # explode + field access (not inline) keeps the generator inside
+    # whole-stage codegen, fused with the scan and the partial aggregate
+    rows = df.filter("`timestamp` IS NOT NULL").selectExpr(
         f"CAST({is_error_sql('status_category')} AS INT) AS e",
         f"CAST({is_timeout_like_sql('status_code')} AS INT) AS t",
         f"CAST({is_tiny_response_sql('response_size')} AS INT) AS y",
-        f"inline({arr})",
+        f"explode({arr}) AS g",
     )
+    if needs_compact:  # entries switched off by a condition are null structs
+        rows = rows.filter("g IS NOT NULL")
+    return rows.selectExpr("e", "t", "y", "g.window_size", "g.ws", "g.gkey", "g.sub", "g.member")
 
 
 def grain_measures(
