@@ -2,7 +2,8 @@
 
 All rules of one measures frame are applied in a single projection: every
 rule yields ``IF(condition, alert_struct, NULL)``; the array of those is
-compacted and inlined.  The aggregate under the rules is therefore computed (and, in
+exploded and its null entries dropped (plain ``explode``, so the step stays
+inside whole-stage codegen).  The aggregate under the rules is therefore computed (and, in
 streaming, held in state) once, however many rules read it.
 """
 
