@@ -115,6 +115,8 @@ def replay_alerting(
     """
     base = scratch_dir(spark)
     write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks, "parquet")
+    batch_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_stream_confs(spark, StreamConfig())
     wire = spark.readStream.option("maxFilesPerTrigger", "1").schema(
         "key string, value string, arrival timestamp"
     ).parquet(f"{base}/in").select("key", "value", "arrival")
@@ -130,6 +132,7 @@ def replay_alerting(
     q.awaitTermination()
     _record("alerting", q)
     if not digests:
+        spark.conf.set("spark.sql.shuffle.partitions", batch_partitions)
         return spark.read.parquet(f"{base}/out")
     # Second query: one stateful Python processor per query, so the digest
     # reads the accepted-alert sink as its own stream (as the chat sender
@@ -151,4 +154,5 @@ def replay_alerting(
     )
     q2.awaitTermination()
     _record("digest", q2)
+    spark.conf.set("spark.sql.shuffle.partitions", batch_partitions)
     return spark.read.parquet(f"{base}/digests")
