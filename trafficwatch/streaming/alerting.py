@@ -12,6 +12,7 @@ after which the next record claims the key again.
 
 from __future__ import annotations
 
+import warnings
 from typing import Iterator
 
 import numpy as np
@@ -26,11 +27,20 @@ from trafficwatch.functions.alerts import message_key, min_rank, severity_rank_o
 from trafficwatch.operators.alerting import decode_alert_messages
 from trafficwatch.session import ship_package
 
+
+
+def _quiet() -> None:
+    """PySpark's state serializer concatenates empty frames in the worker; the
+    pandas deprecation notice this triggers is noise in executor logs.  Runs
+    inside the worker (the processor is pickled by value)."""
+    warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty", category=FutureWarning)
+
 STATE_SCHEMA = T.StructType([T.StructField("last_claim_us", T.LongType())])
 
 
 def _dedupe_fn(ttl_us: int):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        _quiet()
         if state.hasTimedOut:
             state.remove()
             return
