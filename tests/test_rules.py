@@ -113,3 +113,25 @@ def test_window_edge_and_null_time(spark, plan):
     starts = sorted(int(h["window_start"].timestamp()) - T0 // 1000 for h in hits)
     assert starts == [1, 2, 3, 4, 5]
     assert {h["request_count"] for h in hits} == {150}
+
+
+def test_prefilter_pigeonhole_edge(spark):
+    """Evenly spread traffic at exactly the bound (6/s for 5 s = 30) still fires with the prefilter."""
+    def spread(per_second, seconds=5):
+        rows = []
+        for s in range(seconds):
+            for i in range(per_second):
+                rows.append(req("p", "/", 408, 16, "GET", ms=T0 + 10_000 + s * 1000 + i))
+        return rows
+
+    for per_second, fires in ((6, True), (5, False)):
+        df = normalize(spark.createDataFrame(spread(per_second), REQUEST_SCHEMA))
+        with_pf = detect_rules(df, all_rules(), exact=True, plan="grain", prefilter=True)
+        without = detect_rules(df, all_rules(), exact=True, plan="grain", prefilter=False)
+        a = sorted(tuple(r) for r in with_pf.collect())
+        b = sorted(tuple(r) for r in without.collect())
+        assert a == b
+        slow = [r for r in a if r[4] == "slowloris"]
+        assert bool(slow) == fires
+        if fires:
+            assert len(slow) == 1 and slow[0][7] == 30  # only the window covering all 5 seconds
