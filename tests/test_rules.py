@@ -135,3 +135,9 @@ def test_prefilter_pigeonhole_edge(spark):
         assert bool(slow) == fires
         if fires:
             assert len(slow) == 1 and slow[0][7] == 30  # only the window covering all 5 seconds
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_null_source_is_its_own_group(spark, plan):
+    hits = run(spark, [req(None, "/home")] * 150, plan, "http_flood")
+    assert len(hits) == 5 and {h["src_ip"] for h in hits} == {None}
