@@ -71,7 +71,7 @@ def brute(rows):
 
 row = st.tuples(
     st.integers(0, 3999),  # ms offset within 4 s, so windows overlap heavily
-    st.sampled_from(["a", "b"]),
+    st.sampled_from(["a", "b", None]),
     st.sampled_from(PATHS),
     st.sampled_from([200, 404, 408, 500, 503]),
     st.sampled_from([16, 100, 128, 129, 900]),
