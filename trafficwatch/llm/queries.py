@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficwatch.llm import packing, wavelet_store
+from trafficwatch.llm import norm_topk, packing, url_automaton, warc_bundles, wavelet_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +19,24 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.read_archives(warc_bundles.write_archives(table(spark, sf_dir, "pages")))
+
+
+def op6_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op8_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_automaton.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_store.read_tokens(wavelet_store.write_tokens(table(spark, sf_dir, "documents")))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op9_wavelet_tokens)}
+    return {f.__name__: f for f in (op2_packing, op4_warc_bundles, op6_norm_topk, op8_url_automaton, op9_wavelet_tokens)}
 
 
 def oracles() -> dict[str, str]:
