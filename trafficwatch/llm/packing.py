@@ -93,7 +93,7 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer_path:
     """
     spark = docs.sparkSession
     shared.with_python(spark)
-    pieces = shared.materialize(tokenize(docs, capacity, end_id, tokenizer_path or default_path()), "pieces")
+    pieces = shared.materialize(tokenize(docs, capacity, end_id, tokenizer_path or default_path()), "pieces", batch_rows=1024)
     numbered = pieces.withColumn("_row", F.monotonically_increasing_id())
     full = numbered.filter(F.col("length") == capacity)
     full = full.select(*pieces.columns, (F.col("_row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

@@ -20,6 +20,7 @@ from trafficwatch.session import checkpoint_dir, ship_package
 
 #: Bytes of text that one numpy pass works on.
 CHUNK_BYTES = 2 << 20
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
@@ -32,11 +33,20 @@ def shared_dir(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark, fallback).rstrip('/')}/llm-{uuid.uuid4().hex}-{tag}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+def materialize(df: DataFrame, tag: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows``: rows per Arrow batch while it is computed, for wide rows.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, tag)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    if batch_rows:
+        spark.conf.set(_BATCH_ROWS, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

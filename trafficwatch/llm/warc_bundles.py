@@ -180,7 +180,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, frame_bytes: int
         if out.index:
             yield close()
 
-    return shared.materialize(with_decisions(pages, least_bytes).mapInArrow(write, _MANIFEST), "warc-manifest")
+    return shared.materialize(with_decisions(pages, least_bytes).mapInArrow(write, _MANIFEST), "warc-manifest", batch_rows=1024)
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:

@@ -230,7 +230,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str | None = None, end_id: int
         if held:
             yield close()
 
-    return shared.materialize(in_id_order(docs).mapInArrow(write, _MANIFEST), "token-manifest")
+    return shared.materialize(in_id_order(docs).mapInArrow(write, _MANIFEST), "token-manifest", batch_rows=1024)
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
