@@ -1,21 +1,71 @@
-"""Corpus cleaning pipeline over ``documents``: each stage's rows are stored and feed the next one."""
+"""Corpus cleaning pipeline over ``documents``: each stage's rows are stored and feed the next one.
+
+Every stage judges all its predecessor kept and returns the columns of its
+input; the last returns the packed pieces.  Null texts go at the first stage.
+Rows without an id are never dropped as near duplicates; rows that repeat an
+id leave that stage as one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficwatch.llm import packing, shared
+from trafficwatch.llm import lang_crf, line_windows, minhash_join, packing, phrase_index, shared
 from trafficwatch.llm.queries import table
 
+#: Shares of a text's words below which its language is taken as undecided.
+LEAST_LANGUAGE_SCORE = 0.4
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: texts without letters, and undecided ones, go."""
+    return lang_crf.keep_known(docs, lang_crf.train(docs), LEAST_LANGUAGE_SCORE)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their repeated lines; those that lose every line go."""
+    cut = line_windows.remove_repeated_windows(docs).filter("n_removed = 0 or n_removed < n_lines")
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class (five-word shingles, similarity 0.8 or more)."""
+    classes = minhash_join.near_duplicates(docs, words=5, percent=80)
+    dropped = shared.materialize(classes.filter("not kept").select("doc_id").distinct(), "near-dropped")
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = shared.materialize(repeated, "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no ten-word window of a benchmark item."""
+    found = phrase_index.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
+    found = shared.materialize(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "contaminated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__key"))
+    return docs.join(found, same, "left_anti").select(*docs.columns)
+
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 ids from every kept document."""
     packed = packing.pack(docs)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [
+    ("language ID", language_stage),
+    ("line dedup", line_stage),
+    ("MinHash near-dedup", near_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
 #: The learned language model and the tokenizer have no SQL form; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
@@ -23,8 +73,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = shared.materialize(docs, f"stage-{name}")
+            docs = shared.materialize(docs, f"stage-{k}", batch_rows=1024)
     return docs

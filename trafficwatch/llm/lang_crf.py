@@ -154,8 +154,8 @@ class Crf:
         low = lowered(data) if len(data) else data
         starts, ends = spans(_WORD[low], offsets) if len(data) else (np.zeros(0, np.int64),) * 2
         counts = np.diff(np.searchsorted(starts, offsets))
-        if not len(starts):
-            return np.zeros((0, len(self.labels))), counts
+        if not len(starts) or not self.labels:
+            return np.zeros((len(starts), len(self.labels))), counts
         score = self._lookup(low, starts, ends)
         n = -(-counts // self.chain)
         text = np.repeat(np.arange(len(counts)), n)
@@ -271,6 +271,18 @@ def train(docs: DataFrame, per_language: int = 150, most_languages: int = 16, lo
     return fit(training_sample(docs, per_language, most_languages, longest_chars))
 
 
+def _judged(model: Crf, column) -> tuple[list[str], np.ndarray]:
+    """(language, score) of each text of an Arrow column."""
+    data, offsets = shared.utf8_buffers(column)
+    names, score = model.predict(data, offsets)
+    for k in range(len(names)):
+        # non-ASCII bytes alone may be signs: ask for a letter
+        raw = data[offsets[k] : offsets[k + 1]]
+        if names[k] != UNKNOWN and not (_WORD[raw] & (raw < 0x80)).any() and not any(c.isalpha() for c in raw.tobytes().decode()):
+            names[k], score[k] = UNKNOWN, 0.0
+    return names, score
+
+
 def label_documents(docs: DataFrame, model: Crf) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; ``text`` alone decides."""
     spark = docs.sparkSession
@@ -279,15 +291,24 @@ def label_documents(docs: DataFrame, model: Crf) -> DataFrame:
 
     def run(batches):
         for batch in shared.by_bytes(batches, 2):
-            data, offsets = shared.utf8_buffers(batch.column(2))
-            names, score = sent.value.predict(data, offsets)
-            for k in range(batch.num_rows):
-                # non-ASCII bytes alone may be signs: ask for a letter
-                raw = data[offsets[k] : offsets[k + 1]]
-                if names[k] != UNKNOWN and not (_WORD[raw] & (raw < 0x80)).any() and not any(c.isalpha() for c in raw.tobytes().decode()):
-                    names[k], score[k] = UNKNOWN, 0.0
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score), batch.column(3)], names=["doc_id", "held_out", "lang_pred", "score", "text_key"])
+            names, score = _judged(sent.value, batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), text.alias("text"), F.xxhash64("text").alias("text_key"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, text_key long")
+    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Crf, least_score: float) -> DataFrame:
+    """The rows of ``docs``, whole, whose language is known with at least that score."""
+    spark = docs.sparkSession
+    shared.with_python(spark)
+    sent = spark.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in shared.by_bytes(batches, at):
+            names, score = _judged(sent.value, batch.column(at))
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -172,8 +172,8 @@ def compare_lists(rows: int, least_matches: int, least_raw: int):
             if not len(rest):
                 continue
             same = raw[rest] == raw[k]
-            rest, same = rest[same.sum(1) >= least_raw], same[same.sum(1) >= least_raw]
-            whole = same.reshape(len(rest), -1, rows).all(2)
+            close = same.sum(1) >= least_raw
+            rest, whole = rest[close], same[close].reshape(int(close.sum()), raw.shape[1] // rows, rows).all(2)
             rest = rest[(whole.sum(1) >= least_matches) & ~whole[:, :at].any(1)]
             if len(rest):
                 yield np.minimum(node[k], node[rest]), np.maximum(node[k], node[rest])

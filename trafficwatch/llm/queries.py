@@ -7,26 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficwatch.llm import norm_topk, packing, url_automaton, warc_bundles, wavelet_store
+from trafficwatch.llm import (
+    chat_repair,
+    lang_crf,
+    line_windows,
+    minhash_join,
+    norm_topk,
+    packing,
+    phrase_index,
+    url_automaton,
+    warc_bundles,
+    wavelet_store,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.read_archives(warc_bundles.write_archives(table(spark, sf_dir, "pages")))
 
 
+def op5_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op6_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_windows.remove_repeated_windows(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
@@ -35,9 +63,26 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_store.read_tokens(wavelet_store.write_tokens(table(spark, sf_dir, "documents")))
 
 
+def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lang_crf.label_documents(docs, lang_crf.train(docs))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_warc_bundles, op6_norm_topk, op8_url_automaton, op9_wavelet_tokens)}
+    found = (
+        op1_chat_repair,
+        op2_packing,
+        op3_phrase_index,
+        op4_warc_bundles,
+        op5_minhash_join,
+        op6_norm_topk,
+        op7_line_windows,
+        op8_url_automaton,
+        op9_wavelet_tokens,
+        op10_lang_crf,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op7_line_windows": line_windows.ORACLE}

@@ -123,3 +123,8 @@ def pack_binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
         len(offsets) - 1,
         [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64) * raw.itemsize), pa.py_buffer(raw.view(np.uint8) if raw.size else raw.tobytes())],
     ).cast(pa.binary())
+
+
+def spread(files: DataFrame, *keys) -> DataFrame:
+    """One partition for each row of a short table of files (10,000 at most)."""
+    return files.repartition(max(1, min(files.count(), 10_000)), *keys)

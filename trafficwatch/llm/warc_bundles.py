@@ -208,4 +208,4 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                     )
                 yield pa.RecordBatch.from_pylist(rows, _RECORD_TYPES)
 
-    return manifest.select("uri").repartition("uri").mapInArrow(read, _RECORDS)
+    return shared.spread(manifest.select("uri"), "uri").mapInArrow(read, _RECORDS)

@@ -241,7 +241,6 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     within = F.coalesce(F.sum("n_tokens").over(ahead.partitionBy("part").orderBy("seq")), F.lit(0))
     files = manifest.withColumn("_within", within).join(parts, "part")
     files = files.select("part", "seq", "uri", (F.col("_before") + F.col("_within")).alias("first"))
-    files = files.repartition(F.col("part"), F.col("seq"))
 
     def read(batches):
         for batch in batches:
@@ -261,4 +260,4 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "part", "seq"],
                 )
 
-    return files.mapInArrow(read, _DOCS)
+    return shared.spread(files, "part", "seq").mapInArrow(read, _DOCS)
