@@ -13,6 +13,7 @@ from trafficwatch.llm import (
     line_windows,
     minhash_join,
     norm_topk,
+    oracle,
     packing,
     phrase_index,
     url_automaton,
@@ -36,11 +37,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("text_key")
+    return found.drop("text_key", "n_near_items")
 
 
 def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc_bundles.read_archives(warc_bundles.write_archives(table(spark, sf_dir, "pages")))
+    records = warc_bundles.read_archives(warc_bundles.write_archives(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +87,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_line_windows": line_windows.ORACLE}
+    return oracle.registry()
