@@ -6,9 +6,10 @@ from conftest import SF_SMALL
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry_mod
+from trafficwatch.plans import oracle, queries
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = queries.registry()
+ORACLE = oracle.registry()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
