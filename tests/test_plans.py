@@ -2,10 +2,11 @@
 
 import re
 
+import pytest
 from conftest import SF_SMALL
 
 from trafficwatch.config import DetectionConfig
-from trafficwatch.operators.detect import detect_rules
+from trafficwatch.operators.detect import detect, detect_rules
 from trafficwatch.operators.rules import all_rules, main_rules
 from trafficwatch.plans import queries as Q
 from trafficwatch.streaming.detection import detection_stream
@@ -19,22 +20,25 @@ def count(pattern: str, text: str) -> int:
     return len(re.findall(pattern, text))
 
 
-def test_grain_plan_is_one_scan_two_shuffles(spark):
-    df = detect_rules(Q.requests(spark, SF_SMALL), all_rules(), exact=True, plan="grain", prefilter=False)
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as they are once the side tables outgrow a broadcast."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n in names:
+        spark.conf.unset(n)
+
+
+def test_default_batch_plan_is_one_scan_two_shuffles(spark, no_broadcast):
+    df = detect(Q.requests(spark, SF_SMALL), DetectionConfig(fast_rules=True, exact_distinct=True))
     text = plan_text(df)
     assert count(r"FileScan parquet", text) == 1
     assert count(r"Exchange hashpartitioning", text) == 2
     assert "Join" not in text
 
 
-def test_prefilter_adds_one_counting_pass_per_key(spark):
-    df = detect_rules(Q.requests(spark, SF_SMALL), all_rules(), exact=True, plan="grain", prefilter=True)
-    text = plan_text(df)
-    # main scan + one pane count per (key, pane size): (src_ip, 1 s) and (request_path, 60 s)
-    assert count(r"FileScan parquet", text) == 3
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_main_rules_share_one_aggregate(spark):
     df = detect_rules(Q.requests(spark, SF_SMALL), main_rules(), exact=False, plan="windowed")
     text = plan_text(df)

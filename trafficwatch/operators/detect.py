@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,19 +10,12 @@ from trafficwatch.operators.rules import Rule, all_rules, apply_rules
 from trafficwatch.operators.windows import (
     WindowSpec,
     grain_measures,
-    hot_neighbourhoods,
     path_windows,
     source_windows,
 )
 from trafficwatch.schema import RULE_OUTPUT_COLUMNS
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    if not frames:
-        raise ValueError("no DataFrames to union")
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def _specs(rules: list[Rule]) -> list[WindowSpec]:
     seen: dict[str, WindowSpec] = {}
     for r in rules:
@@ -42,48 +33,39 @@ def detect_rules(
 ) -> DataFrame:
     """Apply ``rules`` to normalised requests; returns RULE_OUTPUT_COLUMNS.
 
-    plan="grain" (batch, exact): one scan + two aggregations for all windows.
+    plan="grain" (batch, exact): one scan, panes, then all windows.
     plan="windowed": one ``groupBy(window(...))`` per window family, rules
-    inlined on each, union across families; the streaming shape.
+    inlined on each, union across families.
     plan="union": the windowed aggregates with one filter+select branch per
     rule, unioned (the textbook shape; kept as a benchmark comparator - each
     branch re-plans its aggregate).
     plan="auto": grain for exact batch input, windowed otherwise.
 
-    ``prefilter`` (grain plan): expand into windows only the requests near a
-    pane hot enough for some window to reach the family's lowest threshold
-    (exact, see ``windows.hot_neighbourhoods``).  Benign background traffic
-    then costs one counting pass instead of a 13-fold expansion and shuffle.
+    ``prefilter`` (grain plan): build windows only from pane rows near enough
+    requests to reach the family's lowest threshold (exact, see
+    ``windows._near_enough``).
     """
     if plan == "auto":
         plan = "grain" if (exact and not df.isStreaming) else "windowed"
     specs = _specs(rules)
     if plan == "grain":
         if df.isStreaming:
-            raise ValueError("the grain plan chains two aggregations; use plan='windowed' on streams")
-        method_labels = {r.window.label for r in rules if r.needs_methods}
-        flags = None
-        if prefilter:
-            lowest = {}
-            for r in rules:
-                lowest[r.window.label] = min(lowest.get(r.window.label, r.threshold), r.threshold)
-            df, flags = hot_neighbourhoods(df, lowest, specs)
-        measures = grain_measures(df, specs, method_labels, flags)
+            raise ValueError("the grain plan chains aggregations; use plan='windowed' on streams")
+        lowest: dict[str, float] = {}
+        for r in rules if prefilter else []:
+            lowest[r.window.label] = min(lowest.get(r.window.label, r.threshold), r.threshold)
+        measures = grain_measures(df, specs, {r.window.label for r in rules if r.needs_methods}, lowest)
         return apply_rules(measures, rules).select(*RULE_OUTPUT_COLUMNS)
     if watermark and df.isStreaming:
         df = df.withWatermark("timestamp", watermark)
-    parts = []
+    found = None
     for spec in specs:
         family = [r for r in rules if r.window.label == spec.label]
-        if spec.key == "src_ip":
-            m = source_windows(df, spec, exact)
-        else:
-            m = path_windows(df, spec, exact)
-        if plan == "union":
-            parts.extend(apply_rules(m, [r], check_window=False) for r in family)
-        else:
-            parts.append(apply_rules(m, family, check_window=False))
-    return union_all(parts).select(*RULE_OUTPUT_COLUMNS)
+        measures = source_windows(df, spec, exact) if spec.key == "src_ip" else path_windows(df, spec, exact)
+        for group in [[r] for r in family] if plan == "union" else [family]:
+            alerts = apply_rules(measures, group, check_window=False)
+            found = alerts if found is None else found.unionByName(alerts)
+    return found.select(*RULE_OUTPUT_COLUMNS)
 
 
 def detect(

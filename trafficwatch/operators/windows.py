@@ -6,12 +6,13 @@ Two physical shapes compute the same measures:
   window size.  Works on batch *and* streaming frames (watermark + state), with
   HyperLogLog distinct counts (default, like the reference) or exact sets.
 
-* ``grain_measures`` (batch): all window sizes in **one scan and two
-  aggregations**.  Every request is expanded once into its window keys; the
-  first aggregation runs at (window, key, member) grain, which makes every
-  distinct count exact as a plain row count at the second aggregation.  No
-  per-group sets are built, so a hot source (one IP holding a large share of
-  all rows) is absorbed by partial aggregation instead of growing one buffer.
+* ``grain_measures`` (batch): all window sizes from **one scan and two
+  shuffles**.  Requests are summed to panes (source, second, path, method)
+  with map-side partial sums; windows, exact distinct counts and the test
+  whether a window can reach a threshold all come from the pane rows, dealt
+  out by key and block of time.  Raw rows are never joined or expanded, and a
+  hot source (one IP holding a large share of all rows) is first reduced and
+  then spread over its blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.functions.classify import (
@@ -133,142 +134,192 @@ def path_windows(df: DataFrame, spec: WindowSpec, exact: bool = False) -> DataFr
 
 
 # ---------------------------------------------------------------------------
-# Batch: one scan, two aggregations, exact distinct counts without sets.
+# Batch: panes first, windows from the panes, exact distinct counts without sets.
 # ---------------------------------------------------------------------------
 
-_MEMBER_PATH, _MEMBER_METHOD, _MEMBER_SOURCE = "p", "m", "s"
 _TS_US = "unix_micros(`timestamp`)"
+_SOURCE, _PATH = "s", "p"
+#: Panes of one source whose windows are built together in one task.
+BLOCK_PANES = 32
 
 
-def _window_starts_sql(spec: WindowSpec) -> list[tuple[str, str | None]]:
-    """Start (epoch micros) of every window of ``spec`` containing the row's time.
+def _pane_seconds(specs: list[WindowSpec]) -> int:
+    """The longest pane of which every window and slide is a multiple."""
+    return math.gcd(*(x for s in specs for x in (s.seconds, s.slide)))
 
-    Same alignment as ``window()``: starts are multiples of the slide since the
-    epoch and a window is ``[start, start + seconds)``.
-    """
-    slide_us, size_us = spec.slide * US, spec.seconds * US
-    base = f"({_TS_US} - pmod({_TS_US}, {slide_us}L))"
-    out = []
-    for k in range(math.ceil(spec.seconds / spec.slide)):
-        start = f"({base} - {k * slide_us}L)"
-        # Only needed when the size is not a multiple of the slide.
-        keep = None if spec.seconds % spec.slide == 0 else f"({start} + {size_us}L > {_TS_US})"
-        out.append((start, keep))
-    return out
-
-
-def _grain_rows(
-    df: DataFrame, specs: list[WindowSpec], method_labels: set[str], flags: dict[str, str] | None = None
-) -> DataFrame:
-    """One row per (request, window, member); ``flags[label]`` names a boolean
-    column that limits a family's rows to the requests it may need."""
-    flags = flags or {}
-    entries = []
-    needs_compact = False
-    for spec in specs:
-        if spec.key == "src_ip":
-            members = [(_MEMBER_PATH, "request_path")]
-            if spec.label in method_labels:
-                members.append((_MEMBER_METHOD, "method"))
-            gkey = "src_ip"
-        else:
-            members = [(_MEMBER_SOURCE, "src_ip")]
-            gkey = "request_path"
-        for start, keep in _window_starts_sql(spec):
-            for tag, member in members:
-                s = (
-                    f"named_struct('window_size', {sql_str(spec.label)}, 'ws', {start}, 'gkey', {gkey}, "
-                    f"'sub', {sql_str(tag)}, 'member', {member})"
-                )
-                cond = " AND ".join(c for c in (keep, flags.get(spec.label)) if c)
-                if cond:
-                    needs_compact = True
-                    s = f"IF({cond}, {s}, NULL)"
-                entries.append(s)
-    arr = f"array({', '.join(entries)})"
-    # explode + field access (not inline) keeps the generator inside
-    # whole-stage codegen, fused with the scan and the partial aggregate
+
+def pane_counts(df: DataFrame, seconds: int) -> DataFrame:
+    """The requests summed to (src_ip, pane, request_path, method): the only pass over raw rows."""
+    us = seconds * US
     rows = df.filter("`timestamp` IS NOT NULL").selectExpr(
+        "src_ip",
+        f"({_TS_US} - pmod({_TS_US}, {us}L)) div {us}L AS pane",
+        "request_path",
+        "method",
         f"CAST({is_error_sql('status_category')} AS INT) AS e",
         f"CAST({is_timeout_like_sql('status_code')} AS INT) AS t",
         f"CAST({is_tiny_response_sql('response_size')} AS INT) AS y",
-        f"explode({arr}) AS g",
     )
-    if needs_compact:  # entries switched off by a condition are null structs
-        rows = rows.filter("g IS NOT NULL")
-    return rows.selectExpr("e", "t", "y", "g.window_size", "g.ws", "g.gkey", "g.sub", "g.member")
+    return rows.groupBy("src_ip", "pane", "request_path", "method").agg(
+        F.expr("count(1) AS n"),
+        F.expr("CAST(sum(e) AS BIGINT) AS n_err"),
+        F.expr("CAST(sum(t) AS BIGINT) AS n_timeout"),
+        F.expr("CAST(sum(y) AS BIGINT) AS n_tiny"),
+    )
+
+
+@dataclass(frozen=True)
+class _Family:
+    """A window family in panes."""
+
+    spec: WindowSpec
+    kind: str
+    size: int
+    slide: int
+
+    def starts(self, pane: str) -> list[tuple[str, str]]:
+        """(start, condition) of every window that can hold ``pane``."""
+        base = f"({pane} - pmod({pane}, {self.slide}L))"
+        out = []
+        for k in range(math.ceil(self.size / self.slide)):
+            start = f"({base} - {k * self.slide}L)"
+            out.append((start, "true" if self.size % self.slide == 0 else f"{start} + {self.size}L > {pane}"))
+        return out
+
+    def earliest(self, pane: str) -> str:
+        """Start of the first window that holds ``pane``."""
+        low = f"({pane} - {self.size - 1}L)"
+        return f"({low} + pmod(-{low}, {self.slide}L))"
+
+
+def _blocked(panes: DataFrame, families: list[_Family]) -> tuple[DataFrame, dict[str, int]]:
+    """Pane rows dealt out by (kind, key, block of panes).
+
+    A window belongs to the block of its start, so a pane also goes to the
+    block before its own if a window that starts there reaches it: everything
+    a window needs meets in one place, and one key spreads over its blocks.
+    """
+    entries, blocks = [], {}
+    for kind, key, member in ((_SOURCE, "src_ip", "request_path"), (_PATH, "request_path", "src_ip")):
+        own = [f for f in families if f.kind == kind]
+        if not own:
+            continue
+        step = math.lcm(*(f.slide for f in own))
+        blocks[kind] = size = -(-max(BLOCK_PANES, *(f.size for f in own)) // step) * step
+        block = f"(pane - pmod(pane, {size}L)) div {size}L"
+
+        def entry(at: str, kind=kind, key=key, member=member) -> str:
+            return f"named_struct('kind', '{kind}', 'gkey', {key}, 'block', {at}, 'member', {member})"
+
+        reached = " OR ".join(f"{f.earliest('pane')} < {block} * {size}L" for f in own)
+        entries += [entry(block), f"IF({reached}, {entry(f'{block} - 1L')}, NULL)"]
+    rows = panes.selectExpr("*", f"explode(array({', '.join(entries)})) AS g").filter("g IS NOT NULL")
+    columns = ["pane", "method", "n", "n_err", "n_timeout", "n_tiny"]
+    return rows.selectExpr("g.kind", "g.gkey", "g.block", "g.member", *columns).repartition("kind", "gkey", "block"), blocks
+
+
+def _near_enough(rows: DataFrame, families: list[_Family], min_count: dict[str, float]) -> tuple[DataFrame, dict[str, str]]:
+    """Drop the pane rows that no window reaching its family's threshold can hold.
+
+    All panes of a window lie within its length of each other, so a pane row
+    can only matter if the requests of its key that near to it reach the
+    threshold.  Returns the rows and a condition for each family.
+    """
+    near = {}
+    for k, f in enumerate(families):
+        if f.spec.label in min_count:
+            reach = Window.partitionBy("kind", "gkey", "block").orderBy("pane").rangeBetween(1 - f.size, f.size - 1)
+            rows = rows.withColumn(f"_near{k}", F.sum("n").over(reach))
+            near[f.spec.label] = f"_near{k} >= {math.ceil(min_count[f.spec.label])}L"
+    if len(near) == len(families):
+        rows = rows.filter(" OR ".join(f"(kind = '{f.kind}' AND {near[f.spec.label]})" for f in families))
+    return rows, near
 
 
 def grain_measures(
     df: DataFrame,
     specs: list[WindowSpec],
     method_labels: set[str] | None = None,
-    flags: dict[str, str] | None = None,
+    min_count: dict[str, float] | None = None,
 ) -> DataFrame:
     """Measures of every window family in ``specs`` from one pass over ``df``.
 
     Output: window_size, window_start, window_end, src_ip, request_path plus
     SOURCE_MEASURES (per-source families) and PATH_MEASURES (per-path
     families); columns of the other family are null.  Distinct counts are
-    exact.  ``method_variety`` costs one extra row per request and window, so
-    it is only computed for the families in ``method_labels`` (default: all;
-    null elsewhere).
+    exact: rows are first summed to one per (window, member).  With
+    ``min_count`` (lowest useful request count by family) windows below it may
+    be left out.  ``method_variety`` is only computed for the families in
+    ``method_labels`` (default: all; null elsewhere).
+
+    Two shuffles: partial sums of the panes, and the panes by (key, block);
+    every later step is clustered by the latter.
     """
     if method_labels is None:
         method_labels = {s.label for s in specs}
-    keys = ["window_size", "ws", "gkey", "sub", "member"]
-    level1 = _grain_rows(df, specs, method_labels, flags).groupBy(*keys).agg(
-        F.expr("count(1) AS n"),
-        F.expr("CAST(sum(e) AS BIGINT) AS n_err"),
-        F.expr("CAST(sum(t) AS BIGINT) AS n_timeout"),
-        F.expr("CAST(sum(y) AS BIGINT) AS n_tiny"),
-    )
-    is_p, is_m, is_s = (f"sub = {sql_str(x)}" for x in (_MEMBER_PATH, _MEMBER_METHOD, _MEMBER_SOURCE))
-    level1 = level1.selectExpr("*", f"IF({is_p}, {url_type_sql('member')}, NULL) AS utype")
+    seconds = _pane_seconds(specs)
+    families = [_Family(s, _SOURCE if s.key == "src_ip" else _PATH, s.seconds // seconds, s.slide // seconds) for s in specs]
+    rows, blocks = _blocked(pane_counts(df, seconds), families)
+    rows, near = _near_enough(rows, families, min_count or {})
+
+    entries = []
+    for f in families:
+        for start, holds in f.starts("pane"):
+            block = f"({start} - pmod({start}, {blocks[f.kind]}L)) div {blocks[f.kind]}L = block"
+            cond = " AND ".join(x for x in (f"kind = '{f.kind}'", block, holds, near.get(f.spec.label)) if x)
+            subs = ["1"] + (["2"] if f.kind == _SOURCE and f.spec.label in method_labels else [])
+            for sub in subs:
+                one = f"named_struct('window_size', {sql_str(f.spec.label)}, 'ws', {start}, 'sub', {sub})"
+                entries.append(f"IF({cond}, {one}, NULL)")
+    rows = rows.selectExpr("*", f"explode(array({', '.join(entries)})) AS w").filter("w IS NOT NULL")
+    rows = rows.selectExpr("kind", "gkey", "block", "w.window_size", "w.ws", "w.sub", "IF(w.sub = 1, member, method) AS member", "n", "n_err", "n_timeout", "n_tiny")
+    keys = ["kind", "gkey", "block", "window_size", "ws"]
+    sums = [F.expr(f"sum({c}) AS {c}") for c in ("n", "n_err", "n_timeout", "n_tiny")]
+    members = rows.groupBy(*keys, "sub", "member").agg(*sums)
+    members = members.selectExpr("*", f"IF(sub = 1 AND kind = '{_SOURCE}', {url_type_sql('member')}, NULL) AS utype")
+
+    is_path, is_method = f"kind = '{_SOURCE}' AND sub = 1", "sub = 2"
 
     def total(cond: str, col: str) -> str:
         return f"CAST(coalesce(sum(IF({cond}, {col}, NULL)), 0) AS BIGINT)"
 
-    def rows(cond: str) -> str:
-        return f"count(IF({cond}, 1, NULL))"
+    def count(cond: str) -> str:
+        return f"count(IF({cond} AND member IS NOT NULL, 1, NULL))"
 
     aggs = []
     for c in TRAFFIC_CLASSES:
-        aggs.append(f"{total(f'{is_p} AND {in_class_sql(c, 'utype')}', 'n')} AS request_count_{c}")
-    for c in TRAFFIC_CLASSES:
-        aggs.append(f"{rows(f'{is_p} AND {in_class_sql(c, 'utype')} AND member IS NOT NULL')} AS unique_path_count_{c}")
-    aggs.append(f"{rows(f'{is_m} AND member IS NOT NULL')} AS method_variety")
-    for c in TRAFFIC_CLASSES:
-        aggs.append(f"{total(f'{is_p} AND {in_class_sql(c, 'utype')}', 'n_err')} AS error_count_{c}")
+        inside = f"{is_path} AND {in_class_sql(c, 'utype')}"
+        aggs += [
+            f"{total(inside, 'n')} AS request_count_{c}",
+            f"{count(inside)} AS unique_path_count_{c}",
+            f"{total(inside, 'n_err')} AS error_count_{c}",
+        ]
     aggs += [
-        f"{total(is_p, 'n_timeout')} AS timeout_like_count_all",
-        f"{total(is_p, 'n_tiny')} AS tiny_response_count_all",
-        f"{total(is_s, 'n')} AS path_request_count",
-        f"{rows(f'{is_s} AND member IS NOT NULL')} AS unique_src_ip",
-        f"{total(is_s, 'n_err')} AS path_error_count",
+        f"{count(is_method)} AS method_variety",
+        f"{total(is_path, 'n_timeout')} AS timeout_like_count_all",
+        f"{total(is_path, 'n_tiny')} AS tiny_response_count_all",
+        f"{total(f"kind = '{_PATH}'", 'n')} AS path_request_count",
+        f"{count(f"kind = '{_PATH}'")} AS unique_src_ip",
+        f"{total(f"kind = '{_PATH}'", 'n_err')} AS path_error_count",
     ]
-    level2 = level1.groupBy("window_size", "ws", "gkey").agg(*[F.expr(a) for a in aggs])
-
-    size_us = "CASE " + " ".join(
-        f"WHEN window_size = {sql_str(s.label)} THEN {s.seconds * US}L" for s in specs
-    ) + " END"
-    source_labels = [s.label for s in specs if s.key == "src_ip"]
-    per_source = f"window_size IN ({', '.join(sql_str(x) for x in source_labels)})" if source_labels else "false"
-    method_ok = (
-        f"window_size IN ({', '.join(sql_str(x) for x in sorted(method_labels))})" if method_labels else "false"
-    )
+    windows = members.groupBy(*keys).agg(*[F.expr(x) for x in aggs])
+
+    us = seconds * US
+    length = "CASE " + " ".join(f"WHEN window_size = {sql_str(f.spec.label)} THEN {f.spec.seconds * US}L" for f in families) + " END"
+    methods = f"window_size IN ({', '.join(sql_str(x) for x in sorted(method_labels))})" if method_labels else "false"
+    of_source, of_path = f"kind = '{_SOURCE}'", f"kind = '{_PATH}'"
     out = [
         "window_size",
-        "timestamp_micros(ws) AS window_start",
-        f"timestamp_micros(ws + {size_us}) AS window_end",
-        f"IF({per_source}, gkey, NULL) AS src_ip",
-        f"IF(NOT ({per_source}), gkey, NULL) AS request_path",
+        f"timestamp_micros(ws * {us}L) AS window_start",
+        f"timestamp_micros(ws * {us}L + {length}) AS window_end",
+        f"IF({of_source}, gkey, NULL) AS src_ip",
+        f"IF({of_path}, gkey, NULL) AS request_path",
     ]
     for m in SOURCE_MEASURES:
-        cond = f"{per_source} AND {method_ok}" if m == "method_variety" else per_source
+        cond = f"{of_source} AND {methods}" if m == "method_variety" else of_source
         out.append(f"IF({cond}, {m}, NULL) AS {m}")
-    out += [f"IF(NOT ({per_source}), {m}, NULL) AS {m}" for m in PATH_MEASURES]
-    return level2.selectExpr(*out)
+    out += [f"IF({of_path}, {m}, NULL) AS {m}" for m in PATH_MEASURES]
+    return windows.selectExpr(*out)
 
 
 def source_windows_exact(df: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -289,66 +340,3 @@ def path_windows_exact(df: DataFrame, spec: WindowSpec) -> DataFrame:
         safe_ratio(F.col("path_error_count"), F.col("path_request_count")).alias("path_error_ratio"),
     )
 
-
-# ---------------------------------------------------------------------------
-# Exact prefilter for detection: only requests near a "hot pane" can belong
-# to a window that reaches a threshold.
-# ---------------------------------------------------------------------------
-
-
-def hot_neighbourhoods(df: DataFrame, min_count: dict[str, float], specs: list[WindowSpec]) -> tuple[DataFrame, dict[str, str]]:
-    """Mark the requests a thresholded window family can need.
-
-    A window of ``seconds / slide = k`` panes (pane = slide) whose request
-    count reaches ``T`` has a pane with at least ``ceil(T / k)`` requests
-    (pigeonhole), and every pane of that window lies within ``k - 1`` panes of
-    it.  So keeping, per key, the requests within ``k - 1`` panes of such a
-    "hot" pane keeps every window that can fire complete; a window that loses
-    requests had no hot pane and could not fire anyway.  The result is exact.
-
-    Returns ``df`` with one boolean column per family (``_near_<label>``) and
-    the flags mapping for ``grain_measures``.  The pane counts are one
-    partially aggregated pass; the neighbourhood tables are joined back
-    null-safely (a null key is its own group) and are broadcast only when AQE
-    measures them small.
-    """
-    ts = F.col("timestamp")
-    flags: dict[str, str] = {}
-    out = df
-    groups: dict[tuple[str, int], list[tuple[WindowSpec, int, int]]] = {}
-    for spec in specs:
-        threshold = min_count.get(spec.label)
-        if threshold is None or spec.seconds % spec.slide != 0:
-            continue
-        k = spec.seconds // spec.slide
-        groups.setdefault((spec.key, spec.slide), []).append((spec, k, max(1, math.ceil(threshold / k))))
-    for gi, ((key_name, slide), members) in enumerate(groups.items()):
-        # one pane count per (key, pane size), shared by the families using it
-        pane = F.floor(F.unix_micros(ts) / F.lit(slide * US)).cast("long")
-        key = F.col(key_name)
-        counts = df.filter(ts.isNotNull()).groupBy(key.alias("_g"), pane.alias("_p")).count()
-        reach = max(k for _, k, _ in members) - 1
-        cols = {spec.label: f"_near{gi}_{j}" for j, (spec, _, _) in enumerate(members)}
-        # each pane emits its neighbourhood once, flagged per family
-        spread = counts.select(
-            "_g", "_p", "count", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("_d")
-        )
-        flag_exprs = {
-            cols[spec.label]: (F.col("count") >= need) & (F.abs(F.col("_d")) <= k - 1) for spec, k, need in members
-        }
-        any_flag = None
-        for e in flag_exprs.values():
-            any_flag = e if any_flag is None else (any_flag | e)
-        near = (
-            spread.filter(any_flag)
-            .groupBy("_g", (F.col("_p") + F.col("_d")).alias("_p"))
-            .agg(*[F.max(e).alias(c) for c, e in flag_exprs.items()])
-        )
-        near = near.withColumnRenamed("_g", f"_g{gi}").withColumnRenamed("_p", f"_p{gi}")
-        cond = key.eqNullSafe(F.col(f"_g{gi}")) & (pane == F.col(f"_p{gi}"))
-        out = out.join(near, on=cond, how="left").drop(f"_g{gi}", f"_p{gi}")
-        for label, col in cols.items():
-            flags[label] = f"coalesce({col}, false)"
-    if flags:
-        out = out.filter(" OR ".join(flags.values()))
-    return out, flags
