@@ -6,16 +6,16 @@ after ``claim + ttl`` claims it again.  Claims are therefore at least ``ttl``
 apart and each event belongs to the most recent claim at or before it.
 
 The chain is order-dependent, so it is not a window or aggregate function.
-Plan:
+One plan serves keys of any size:
 
-1. distinct (key, time) pairs - a partial+final hash aggregate, so repeated
-   times are collapsed map-side before anything moves;
-2. hash-partition the pairs by key and sort each partition by (key, time);
-3. one vectorised fold per partition (``mapInPandas``): state is the last
-   claim only, batches stream through, no group is ever materialised.
-
-A key too large for one task (``hot_key_pairs``) is instead computed with
-work spread by time - see ``ttl_scale``.
+1. distinct (key, time) pairs (map-side partial aggregation), dealt out by key
+   and *stretch* of time (``STRETCH`` TTLs), so that no key is one task's work;
+2. every stretch tells, for each claim it could inherit, the last claim it
+   would leave: a short sorted table, since only events less than one TTL after
+   the stretch's first one can be the first to claim in it;
+3. per key, the stretches' tables are followed in order of time, which gives the
+   claim that each stretch inherits;
+4. every stretch is folded from its inherited claim.
 
 Each pair leaves with the time of the claim it belongs to (``claim_us``) and
 whether it is itself a claim.
@@ -23,169 +23,182 @@ whether it is itself a claim.
 
 from __future__ import annotations
 
-from typing import Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trafficwatch.session import ship_package
 
-CLAIM_SCHEMA = T.StructType(
-    [
-        T.StructField("k", T.StringType()),
-        T.StructField("t_us", T.LongType()),
-        T.StructField("claim_us", T.LongType()),
-        T.StructField("claimed", T.BooleanType()),
-        T.StructField("first", T.StringType()),
-    ]
-)
-
-
-def _fold(ttl_us: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key: object = None
-        last_claim = 0
-        seen = False
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            keys = pdf["k"].to_numpy(dtype=object)
-            t = pdf["t_us"].to_numpy(dtype=np.int64)
-            new_seg = np.ones(n, dtype=bool)
-            new_seg[1:] = keys[1:] != keys[:-1]
-            starts = np.flatnonzero(new_seg)
-            ends = np.append(starts[1:], n)
-            seg_id = np.cumsum(new_seg) - 1
-            # Lay the segments end to end on one increasing axis, more than
-            # ttl apart, so a single searchsorted gives every row's
-            # "first row at or after t + ttl" inside its own segment.
-            seg_min = t[starts]
-            seg_span = t[ends - 1] - seg_min + ttl_us + 1
-            base = np.concatenate(([0], np.cumsum(seg_span)[:-1]))
-            axis = t - seg_min[seg_id] + base[seg_id]
-            nxt = np.searchsorted(axis, axis + ttl_us, side="left")
-
-            first = starts.copy()
-            continuing = seen and keys[0] == last_key
-            if continuing:  # the key's chain began in an earlier batch
-                first[0] = np.searchsorted(t[: ends[0]], last_claim + ttl_us, side="left")
-            claimed = np.zeros(n, dtype=bool)
-            live = first < ends
-            frontier, seg_end = first[live], ends[live]
-            while frontier.size:
-                claimed[frontier] = True
-                frontier = nxt[frontier]
-                keep = frontier < seg_end
-                frontier, seg_end = frontier[keep], seg_end[keep]
-
-            # Owning claim of each row: forward fill of claimed positions.
-            pos = np.maximum.accumulate(np.where(claimed, np.arange(n), -1))
-            own = pos >= starts[seg_id]
-            claim_us = np.where(own, t[np.clip(pos, 0, None)], last_claim if continuing else 0)
-
-            tail = claimed[starts[-1]:]
-            if tail.any():
-                last_claim = int(t[starts[-1]:][tail][-1])
-            last_key = keys[-1]
-            seen = True
-            yield pd.DataFrame(
-                {"k": keys, "t_us": t, "claim_us": claim_us, "claimed": claimed, "first": pdf["first"].to_numpy(dtype=object)}
-            )
+#: Length of a stretch in TTLs.
+STRETCH = 16
+_NONE = -(2**62)
+_CLAIMS = "k string, t_us long, claim_us long, claimed boolean"
+_EXITS = "k string, stretch long, first_us long, until array<long>, leaves array<long>"
 
-    return run
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables that end with a whole (k, stretch) group; rows arrive sorted by it."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        if held.num_rows < 2:
+            continue
+        begins = _starts(held)
+        if len(begins) > 1:
+            yield held.slice(0, int(begins[-1]))
+            held = held.slice(int(begins[-1]))
+    if held is not None and held.num_rows:
+        yield held
 
-HOT_KEY_PAIRS = 5_000_000  # a key with more distinct times than this leaves the per-key fold
 
+def _starts(table: pa.Table) -> np.ndarray:
+    """First row of each (k, stretch) group."""
+    keys = table["k"].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+    stretch = table["stretch"].to_numpy()
+    return np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (stretch[1:] != stretch[:-1])]))
 
-def ttl_claims(
-    df: DataFrame,
-    key: Column,
-    time: Column,
-    ttl_seconds: float,
-    tie: Column | None = None,
-    partitions: int | None = None,
-    hot_key_pairs: int | None = HOT_KEY_PAIRS,
-) -> DataFrame:
-    """Distinct (k, t_us) of ``df`` with ``claim_us``, ``claimed`` and ``first``.
 
-    ``first`` is the smallest ``tie`` (cast to string) among the rows sharing
-    (k, t_us): the row that wins a claim when several arrive at once.
+def _next_claims(t: np.ndarray, begins: np.ndarray, ttl: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the first row at or after t + ttl in the row's group, or the group's end; axis; its shift by group).
 
-    Keys with more than ``hot_key_pairs`` distinct times are computed by
-    ``ttl_scale.ttl_claims_spread`` (work spread by time, no per-key task);
-    all other keys by the per-key fold.  ``None`` disables the split.
+    The groups lie end to end on one increasing axis, more than a TTL apart.
     """
+    ends = np.append(begins[1:], len(t))
+    least = t[begins]
+    room = t[ends - 1] - least + 2 * ttl + 1
+    shift = np.concatenate([[0], np.cumsum(room)[:-1]]) - least
+    group = np.repeat(np.arange(len(begins)), ends - begins)
+    axis = t + shift[group]
+    return np.minimum(np.searchsorted(axis, axis + ttl), ends[group]), axis, shift
+
+
+def _exits(ttl: int):
+    """Per stretch: for a first claim at or before ``until[i]`` (and after ``until[i - 1]``), its last claim ``leaves[i]``."""
+
+    def run(batches):
+        for table in _whole_groups(batches):
+            t, begins = table["t_us"].to_numpy(), _starts(table)
+            ends = np.append(begins[1:], len(t))
+            size = ends - begins
+            then, _, _ = _next_claims(t, begins, ttl)
+            here = np.arange(len(t))
+            last = np.where(then < np.repeat(ends, size), then, here)
+            while (last[last] != last).any():
+                last = last[last]
+            # rows that can be the first to claim: those in the first TTL, and the one after them
+            can = here <= np.repeat(then[begins], size)
+            final = np.ones(len(t), bool)  # the last row of each run with one exit
+            final[:-1] = (last[1:] != last[:-1]) | ~can[1:]
+            final[ends - 1] = True
+            rows = np.flatnonzero(can & final)
+            offsets = np.searchsorted(rows, np.append(begins, len(t))).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (t[rows], t[last[rows]])]
+            keys = table.take(pa.array(begins)).combine_chunks()
+            yield from pa.table({"k": keys["k"], "stretch": keys["stretch"], "first_us": pa.array(t[begins]), "until": lists[0], "leaves": lists[1]}).to_batches()
+
+    return run
+
+
+def _entries(ttl: int):
+    """Per key, in order of time: the claim each stretch inherits (null: none)."""
+
+    def run(batches):
+        key, claim = None, _NONE
+        for batch in batches:
+            out = []
+            keys, first = batch.column(0).to_pylist(), batch.column(2).to_numpy()
+            for row, k in enumerate(keys):
+                if claim == _NONE or k != key:
+                    key, claim = k, _NONE
+                out.append(claim)
+                until = batch.column(3)[row].values.to_numpy()
+                at = 0 if claim + ttl <= first[row] else int(np.searchsorted(until, claim + ttl))
+                if at < len(until):
+                    claim = int(batch.column(4)[row].values[at].as_py())
+            entry = pa.array(out, pa.int64(), mask=np.array(out) == _NONE) if out else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), entry], names=["k", "stretch", "entry_us"])
+
+    return run
+
+
+def _fold(ttl: int):
+    """Claims of each stretch, from the claim it inherits (``entry_us``)."""
+
+    def run(batches):
+        for table in _whole_groups(batches):
+            t, begins = table["t_us"].to_numpy(), _starts(table)
+            ends = np.append(begins[1:], len(t))
+            then, axis, shift = _next_claims(t, begins, ttl)
+            entry = table["entry_us"].combine_chunks().fill_null(_NONE).to_numpy()
+            own = entry[begins]
+            free = np.maximum(np.where(own == _NONE, t[begins], own + ttl), t[begins])
+            at = np.minimum(np.searchsorted(axis, free + shift), ends)
+            claimed = np.zeros(len(t), bool)
+            stop = ends
+            while len(at):
+                live = at < stop
+                at, stop = at[live], stop[live]
+                claimed[at] = True
+                at = then[at]
+            owner = np.maximum.accumulate(np.where(claimed, np.arange(len(t)), -1))
+            inherited = owner < np.repeat(begins, ends - begins)
+            claim = np.where(inherited, entry, t[np.maximum(owner, 0)])
+            yield from pa.table({"k": table["k"], "t_us": pa.array(t), "claim_us": pa.array(claim), "claimed": pa.array(claimed)}).to_batches()
+
+    return run
+
+
+def ttl_claims(df: DataFrame, key: Column, time: Column, ttl_seconds: float) -> DataFrame:
+    """Distinct (k, t_us) of ``df`` with ``claim_us`` and ``claimed``; rows without a time take no part."""
     ship_package(df.sparkSession)
-    ttl_us = int(round(ttl_seconds * 1_000_000))
-    if ttl_us <= 0:
+    ttl = int(round(ttl_seconds * 1_000_000))
+    if ttl <= 0:
         raise ValueError("ttl must be positive")
-    base = df.select(key.cast("string").alias("k"), F.unix_micros(time.cast("timestamp")).alias("t_us"), *(
-        [tie.cast("string").alias("tie")] if tie is not None else []
-    )).filter(F.col("t_us").isNotNull())
-    if tie is None:
-        pairs = base.distinct().withColumn("first", F.lit(None).cast("string"))
-    else:
-        pairs = base.groupBy("k", "t_us").agg(F.min("tie").alias("first"))
-
-    def fold(p: DataFrame) -> DataFrame:
-        p = p.repartition(partitions, "k") if partitions else p.repartition("k")
-        return p.sortWithinPartitions("k", "t_us").mapInPandas(_fold(ttl_us), CLAIM_SCHEMA)
-
-    if hot_key_pairs is None:
-        return fold(pairs)
-    hot = pairs.groupBy("k").count().filter(F.col("count") > hot_key_pairs).select("k", F.lit(True).alias("_hot"))
-    if hot.isEmpty():
-        return fold(pairs)
-    from trafficwatch.operators.ttl_scale import ttl_claims_spread
-
-    tagged = pairs.join(hot, on="k", how="left")
-    normal = fold(tagged.filter(F.col("_hot").isNull()).drop("_hot"))
-    hot_pairs = tagged.filter(F.col("_hot")).drop("_hot")
-    spread = ttl_claims_spread(hot_pairs.select("k", "t_us"), ttl_us).join(
-        hot_pairs.select("k", "t_us", "first"), on=["k", "t_us"], how="inner"
-    )
-    return normal.unionByName(spread.select(*[f.name for f in CLAIM_SCHEMA.fields]))
-
-
-def dedupe_ttl(
-    df: DataFrame,
-    key: Column,
-    time: Column,
-    ttl_seconds: float,
-    tie: Column,
-    where: Column | None = None,
-) -> DataFrame:
+    rows = df.select(key.cast("string").alias("k"), F.unix_micros(time.cast("timestamp")).alias("t_us"))
+    pairs = rows.filter(F.col("t_us").isNotNull()).distinct()
+    pairs = pairs.withColumn("stretch", F.floor(F.col("t_us") / F.lit(STRETCH * ttl)).cast("long")).repartition("k", "stretch")
+    exits = pairs.sortWithinPartitions("k", "stretch", "t_us").select("k", "t_us", "stretch").mapInArrow(_exits(ttl), _EXITS)
+    entries = exits.repartition("k").sortWithinPartitions("k", "stretch").mapInArrow(_entries(ttl), "k string, stretch long, entry_us long")
+    # an inner join: every stretch has exactly one entry
+    same = F.col("p.k").eqNullSafe(F.col("e.k")) & (F.col("p.stretch") == F.col("e.stretch"))
+    joined = pairs.alias("p").join(entries.alias("e"), same).select("p.k", "p.t_us", "p.stretch", "e.entry_us")
+    return joined.repartition("k", "stretch").sortWithinPartitions("k", "stretch", "t_us").mapInArrow(_fold(ttl), _CLAIMS)
+
+
+def dedupe_ttl(df: DataFrame, key: Column, time: Column, ttl_seconds: float, tie: Column, where: Column | None = None) -> DataFrame:
     """``df`` plus ``is_duplicate``: False only for the row that claims its key.
 
-    ``tie`` orders rows that share key and time (e.g. a message offset); it
-    must be unique within (key, time).  Only rows matching ``where`` take
-    part; the others get a null ``is_duplicate``.  ``df`` is read twice
-    (claims, then the probe), so materialise an expensive input first.
+    ``tie`` orders rows that share key and time, by its own type (an offset as
+    a number); of rows that repeat wholly one is taken.  Rows without a time
+    can't be placed in the chain and are never suppressed.  Only rows matching
+    ``where`` take part; the others get a null ``is_duplicate``.  ``df`` is
+    read twice (claims, then the probe) and rows are told apart by their place
+    in it, so store it first if it is not a plain scan.
     """
-    part = df if where is None else df.filter(where)
-    claims = ttl_claims(part, key, time, ttl_seconds, tie=tie).filter("claimed")
-    rows = df.withColumn("_k", key.cast("string")).withColumn("_t", F.unix_micros(time.cast("timestamp")))
-    rows = rows.withColumn("_tie", tie.cast("string")).withColumn("_in", F.lit(True) if where is None else where)
-    won = claims.select(F.col("k").alias("_k"), F.col("t_us").alias("_t"), F.col("first").alias("_first"))
-    out = rows.join(won, on=["_k", "_t"], how="left")
-    won_here = F.coalesce(F.col("_first").isNotNull() & (F.col("_tie") == F.col("_first")), F.lit(False))
-    is_dup = F.when(F.coalesce(F.col("_in"), F.lit(False)), ~won_here)
-    return out.withColumn("is_duplicate", is_dup).drop("_k", "_t", "_tie", "_first", "_in")
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_k", key.cast("string"))
+    rows = rows.withColumn("_t", F.unix_micros(time.cast("timestamp"))).withColumn("_tie", F.struct(tie.alias("tie"), "_row"))
+    rows = rows.withColumn("_in", F.lit(True) if where is None else F.coalesce(where, F.lit(False)))
+    claims = ttl_claims(df if where is None else df.filter(where), key, time, ttl_seconds).filter("claimed")
+    first = rows.filter(F.col("_in") & F.col("_t").isNotNull()).groupBy("_k", "_t").agg(F.min("_tie").alias("_first"))
+    won = claims.select(F.col("k").alias("_ck"), F.col("t_us").alias("_ct"))
+    won = won.join(first, F.col("_ck").eqNullSafe(F.col("_k")) & (F.col("_ct") == F.col("_t"))).select("_ck", "_ct", "_first")
+    out = rows.join(won, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_t") == F.col("_ct")), "left")
+    lost = F.col("_t").isNotNull() & ~F.coalesce(F.col("_tie") == F.col("_first"), F.lit(False))
+    return out.withColumn("is_duplicate", F.when(F.col("_in"), lost)).drop("_row", "_k", "_t", "_tie", "_in", "_ck", "_ct", "_first")
 
 
 def assign_first_arrival(df: DataFrame, key: Column, time: Column, window_seconds: float) -> DataFrame:
-    """``df`` plus ``opened_at``: start of the first-arrival window it falls in.
+    """``df`` plus ``opened_at``: start of the first-arrival window it falls in (null without a time).
 
     A window opens at a key's first arrival and takes every arrival before
     ``opened_at + window_seconds``; the next arrival opens the next window.
     """
     claims = ttl_claims(df, key, time, window_seconds)
-    owner = claims.select(F.col("k").alias("_k"), F.col("t_us").alias("_t"), F.col("claim_us"))
+    owner = claims.select(F.col("k").alias("_ck"), F.col("t_us").alias("_ct"), F.col("claim_us"))
     rows = df.withColumn("_k", key.cast("string")).withColumn("_t", F.unix_micros(time.cast("timestamp")))
-    out = rows.join(owner, on=["_k", "_t"], how="left")
-    return out.withColumn("opened_at", F.timestamp_micros(F.col("claim_us"))).drop("_k", "_t", "claim_us")
+    out = rows.join(owner, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_t") == F.col("_ct")), "left")
+    return out.withColumn("opened_at", F.timestamp_micros(F.col("claim_us"))).drop("_k", "_t", "_ck", "_ct", "claim_us")
