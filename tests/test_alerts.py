@@ -85,3 +85,57 @@ def test_compact_store(spark, scratch):
     df.withColumn("alert_date", F.to_date("`@timestamp`")).write.partitionBy("alert_date").parquet(scratch + "/store")
     out = compact_store(spark, scratch + "/store", scratch + "/compact")
     assert sorted((r["alert_key"], r["request_count"]) for r in out.collect()) == [("j", 7), ("k", 20)]
+
+
+def test_bad_fields_do_not_stop_the_job(spark):
+    """Malformed times, quoted numbers, repeated names and out-of-range event times."""
+    from trafficwatch.operators.alerting import typed_alert_columns
+    from trafficwatch.operators.normalize import normalize
+    from trafficwatch.schema import REQUEST_SCHEMA
+
+    wire = spark.createDataFrame(
+        [("k", '{"attack_type":"a","attack_type":"b","request_count":"40","rps":" 2.5 ","window_end":"yesterday"}'),
+         ("k", '{"request_count":41.0,"rps":"x","severity_rank":"2"}'), ("k", "{}"), ("k", '"text"'), ("k", " ")],
+        "key string, value string",
+    )
+    out = decode_alert_messages(wire)
+    assert [(r.valid, r.attack_type, r.request_count, r.rps, r.severity_rank) for r in out.collect()] == [
+        (True, "b", 40, 2.5, None), (True, None, 41, None, 2), (True, None, None, None, None), (False,) + (None,) * 4, (False,) + (None,) * 4,
+    ]
+    assert out.select(*typed_alert_columns()).first()["window_end"] is None
+    d = digest(out.filter("valid").withColumn("arrival", F.timestamp_seconds(F.lit(5))), F.col("arrival")).collect()
+    assert sum(r.request_count_sum for r in d) == 81 and all(r.window_end_max is None for r in d)
+    far = spark.createDataFrame([(2**63 - 1,) + (None,) * 8, (-(2**62),) + (None,) * 8, (1000,) + (None,) * 8], REQUEST_SCHEMA)
+    assert [r.timestamp is None for r in normalize(far).collect()] == [True, True, False]
+
+
+def test_digest_window_zero_and_null_arrivals(spark):
+    rows = [("1", "botnet", 5), ("1", "botnet", 5), ("2", "botnet", None)]
+    df = spark.createDataFrame(rows, "src_ip string, attack_type string, s long").select(
+        "src_ip", "attack_type", F.timestamp_seconds("s").alias("arrival"),
+        *[F.lit(None).cast("string").alias(c) for c in ("severity", "window_size", "signal_reason", "window_end", "request_count", "rps")],
+    )
+    assert digest(df, F.col("arrival"), 0).count() == 3
+    got = digest(df, F.col("arrival"), 10).collect()
+    assert sorted((r.opened_at is None, r.alerts) for r in got) == [(False, 2), (True, 1)]
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+
+    from trafficwatch.session import checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.checkpoint.dir": None}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+    Session.conf = {"spark.checkpoint.dir": "hdfs://shared/x"}
+    assert checkpoint_dir(Session()) == "hdfs://shared/x"

@@ -19,6 +19,7 @@ def test_cli_detect_available_now(spark, scratch):
         main([
             "detect", "--source", f"file:{scratch}/in", "--checkpoint", f"{scratch}/cp-*", "--run-id", "t1",
             "--store", f"{scratch}/store", "--exact", "--fast-rules", "--available-now", "--no-stats",
+            "--shuffle-partitions", "4",
         ])
         stored = spark.read.parquet(f"{scratch}/store")
         assert stored.count() == 47  # FIXTURES: every rule at sf0.001
@@ -26,6 +27,12 @@ def test_cli_detect_available_now(spark, scratch):
         import os
 
         assert os.path.isdir(f"{scratch}/cp-t1")
+        main(["compact", "--store", f"{scratch}/store", "--target", f"{scratch}/compact"])
+        assert 0 < spark.read.parquet(f"{scratch}/compact").count() <= 47
+        main(["retain", "--store", f"{scratch}/store", "--keep-days", "2"])
+        assert spark.read.parquet(f"{scratch}/store").count() == 47  # all of today
+        main(["retain", "--store", f"{scratch}/store", "--keep-days", "-1"])
+        assert not [x for x in os.listdir(f"{scratch}/store") if x.startswith("alert_date=")]
     finally:
         for k, v in saved.items():
             if v is None:

@@ -53,21 +53,29 @@ def test_scan_reads_only_needed_columns(spark):
     assert schemas and all(set(s.split(",")) <= {"event_id:bigint", "user_id:bigint", "event_type:string"} for s in schemas)
 
 
-def test_one_state_operator_per_window_family(spark, scratch):
-    """All rules of a window family share one stateful aggregate; one source read per family."""
+def test_stream_reads_once_and_holds_one_state(spark, scratch):
+    """All rules of all window families share one stateful aggregate and one read of the source."""
     from pyspark.sql import functions as F
 
-    from trafficwatch.config import StreamConfig
-    from trafficwatch.streaming.detection import apply_stream_confs, run_detection
+    from trafficwatch.streaming.detection import run_detection
 
     tr = Q.traffic(spark, SF_SMALL)
     tr.select(F.to_json(F.struct(*tr.columns)).alias("value")).write.parquet(f"{scratch}/in")
-    apply_stream_confs(spark, StreamConfig(shuffle_partitions=4))
     wire = spark.readStream.schema("value string").parquet(f"{scratch}/in")
     q = run_detection(wire, f"{scratch}/cp", DetectionConfig(fast_rules=True, heavy_url_rule=True),
-                      store_path=f"{scratch}/store", stats=False, available_now=True)
+                      store_path=f"{scratch}/store", stats=True, available_now=True)
     q.awaitTermination()
     text = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert count(r"StateStoreSave", text) == 3
-    assert count(r"StateStoreRestore", text) == 3
+    assert count(r"StateStoreSave", text) == 1
+    assert count(r"StateStoreRestore", text) == 1
+    assert sum(p["numInputRows"] for p in q.recentProgress) == tr.count()
+
+
+def test_reports_prune_the_store_by_date(spark):
+    rows = Q.store(spark, SF_SMALL)
+    assert rows.select("alert_date").distinct().count() == 2
+    pruned = Q.time_range(Q.latest_alerts(rows), Q._now(rows), 300)
+    text = plan_text(pruned)
+    filters = re.findall(r"PartitionFilters: \[([^\n]*?)\], PushedFilters", text)
+    assert any("alert_date" in f for f in filters)
+    assert pruned.count() > 0

@@ -1,11 +1,12 @@
 """Streaming: late rows, restart from checkpoint, stream == batch."""
 
+import json
 import os
 import time
 
 from pyspark.sql import functions as F
 
-from trafficwatch.config import DetectionConfig, StreamConfig
+from trafficwatch.config import AlertConfig, DetectionConfig, StreamConfig
 from trafficwatch.operators.detect import detect_rules
 from trafficwatch.operators.normalize import normalize
 from trafficwatch.operators.rules import main_rules
@@ -65,26 +66,88 @@ def test_restart_from_checkpoint(spark, scratch):
     assert len(flood) == 5 and {r["request_count"] for r in flood} == {160}
 
 
-def test_stream_digest_matches_batch(spark):
-    from conftest import SF_MID
+def alert_value(ip, end, attack="botnet", severity="critical", count="40"):
+    return json.dumps({"src_ip": ip, "attack_type": attack, "severity": severity, "window_size": "5s", "signal_reason": "r", "window_end": end, "request_count": count, "rps": 8.0})
+
+
+def alert_batches(spark, path, groups):
+    """Each group of (key, value, seconds) is one file, in order."""
+    for k, rows in enumerate(groups):
+        df = spark.createDataFrame(rows, "key string, value string, s double").select("key", "value", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")).alias("arrival"))
+        df.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+
+
+def run_alerts(spark, scratch, groups, config):
+    from trafficwatch.streaming.alerting import AlertFolder, run_alerting
+
+    alert_batches(spark, f"{scratch}/in", groups)
+    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("key string, value string, arrival timestamp").parquet(f"{scratch}/in")
+    run_alerting(wire, f"{scratch}/cp", f"{scratch}/out", config, available_now=True).awaitTermination()
+    return AlertFolder(f"{scratch}/out")
+
+
+def test_alert_stream_keeps_late_and_repeated_records_right(spark, scratch):
+    from trafficwatch.streaming.alerting import accepted_alerts, open_digests, outcome_counts, sent_digests
+
+    end = "2024-01-01T00:00:05.000Z"
+    groups = [
+        [("a", alert_value("1", end), 100.0), ("a", alert_value("1", end), 100.0), ("b", alert_value("2", "soon"), 101.0), ("x", "{broken", 101.0)],
+        # late by 31 s: another digest key's first alert, and a repeat of a claimed key
+        [("c", alert_value("3", end, "scanning"), 70.0), ("a", alert_value("1", end), 71.0), ("w", alert_value("9", end, severity="warning"), 104.0)],
+        [("d", alert_value("4", end), 95.0), ("a", alert_value("1", end), 500.0)],
+    ]
+    config = AlertConfig()
+    folder = run_alerts(spark, scratch, groups, config)
+    counts = {r[0]: r[1] for r in outcome_counts(spark, folder).collect()}
+    assert counts == {"accepted": 5, "duplicate": 2, "invalid": 1, "skipped_severity": 1}
+    assert sorted(r.dedupe_key for r in accepted_alerts(spark, folder).collect()) == ["a", "a", "b", "c", "d"]
+    found = sent_digests(spark, folder).unionByName(open_digests(spark, folder, config)).collect()
+    # nothing is lost: the late alert of the open digest joins it, the late key has a digest of its own
+    got = sorted((r.attack_type, r.opened_at.timestamp(), r.alerts, tuple(r.ips)) for r in found)
+    assert got == [("botnet", 100.0, 3, ("4", "1", "2")), ("botnet", 500.0, 1, ("1",)), ("scanning", 70.0, 1, ("3",))]
+
+
+def test_digests_off_send_every_alert_alone(spark, scratch):
+    from trafficwatch.streaming.alerting import sent_digests
+
+    groups = [[(k, alert_value(k, "2024-01-01T00:00:05.000Z"), 1.0) for k in "abc"]]
+    folder = run_alerts(spark, scratch, groups, AlertConfig(batch_window_seconds=0))
+    assert sorted(r.ips[0] for r in sent_digests(spark, folder).collect()) == ["a", "b", "c"]
+
+
+def test_replayed_batch_leaves_the_store_as_it_is(spark, scratch):
+    from trafficwatch.operators.store import latest_alerts, read_alerts
+    from trafficwatch.plans import queries as Q
+    from trafficwatch.streaming.detection import make_sink
+
+    batch = Q.alerts(spark, "/root/testdata/sf0.001")
+    sink = make_sink(store_path=f"{scratch}/store")
+    sink(batch, 3)
+    before = sorted(map(str, read_alerts(spark, f"{scratch}/store").collect()))
+    sink(batch, 3)
+    again = read_alerts(spark, f"{scratch}/store")
+    assert sorted(map(str, again.collect())) == before
+    assert latest_alerts(again).count() == len(before)
+
+
+def test_expanded_windows_equal_the_grain_plan(spark):
+    from trafficwatch.operators.rules import all_rules
     from trafficwatch.plans import queries as Q
-    from trafficwatch.sources.fixtures import alert_messages
-    from trafficwatch.streaming.replay import replay_alerting
-
-    rows = replay_alerting(spark, alert_messages(Q.alerts(spark, SF_MID)), Q.ALERTS, digests=True).collect()
-    batch = Q._digests(spark, SF_MID).collect()
-    last = {}
-    for r in batch:
-        k = (r["attack_type"], r["signal_reason"])
-        last[k] = max(last.get(k, r["opened_at"]), r["opened_at"])
-    key = lambda r: (r["attack_type"], r["signal_reason"], r["opened_at"])
-    closed = {key(r): r for r in batch if r["opened_at"] != last[(r["attack_type"], r["signal_reason"])]}
-    streamed = {key(r): r for r in rows}
-    assert closed and set(closed) <= set(streamed)  # every closed digest was emitted
-    assert set(streamed) <= {key(r) for r in batch}  # plus finals closed by the watermark
-    for k, b in closed.items():
-        s = streamed[k]
-        assert (s["ips"], s["ip_count"], s["alerts"], s["request_count_sum"]) == (
-            b["ips"], b["ip_count"], b["alerts"], b["request_count_sum"])
-        assert (s["window_end_min"], s["window_end_max"]) == (b["window_end_min"], b["window_end_max"])
-        assert abs(s["rps_sum"] - b["rps_sum"]) < 1e-6
+
+    reqs = Q.requests(spark, "/root/testdata/sf0.001")
+    one, two = (sorted(map(str, detect_rules(reqs, all_rules(), exact=True, plan=p).collect())) for p in ("grain", "expanded"))
+    assert one == two and len(one) == 47
+
+
+def test_outcome_log_sums_over_its_interval(caplog):
+    from trafficwatch.streaming.alerting import OutcomeLog
+
+    stats = OutcomeLog(10)
+    stats.clock = lambda: stats.since + 5
+    stats.add({"accepted": 2})
+    assert not caplog.records and stats.sums == {"accepted": 2}
+    stats.clock = lambda: 10_000_000.0
+    with caplog.at_level("INFO"):
+        stats.add({"accepted": 1, "invalid": 4})
+    assert "consumed 7" in caplog.text and stats.sums == {}

@@ -1,9 +1,11 @@
-"""Command line: run the streaming jobs.
+"""Command line: run the streaming and store jobs.
 
     python -m trafficwatch detect --source file:/in --checkpoint /cp/detect --store /alerts
     python -m trafficwatch detect --kafka broker:9092 --topic network-traffic \\
         --alerts-topic ddos-alerts --checkpoint '/cp/detect-*'
-    python -m trafficwatch alerts --source file:/alert-records --checkpoint /cp/alerts --out /accepted
+    python -m trafficwatch alerts --source file:/alert-records --checkpoint /cp/alerts --out /handled
+    python -m trafficwatch compact --store /alerts --target /alerts-compact
+    python -m trafficwatch retain --store /alerts --keep-days 1
 """
 
 from __future__ import annotations
@@ -12,13 +14,13 @@ import argparse
 import logging
 
 from trafficwatch.config import AlertConfig, DetectionConfig, StreamConfig
-from trafficwatch.session import cluster_session
+from trafficwatch.session import STREAM_CONF, cluster_session
 
 
 def _stream_cfg(a) -> StreamConfig:
     return StreamConfig(
         trigger=a.trigger,
-        max_offsets_per_trigger=a.max_offsets,
+        max_offsets_per_trigger=a.max_offsets or None,
         max_files_per_trigger=a.max_files,
         shuffle_partitions=a.shuffle_partitions,
         starting_offsets=a.starting_offsets,
@@ -36,9 +38,9 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--checkpoint", required=True, help="path; '*' is replaced by a run id")
         s.add_argument("--run-id")
         s.add_argument("--trigger", default="2 seconds")
-        s.add_argument("--max-offsets", type=int, default=1000)
+        s.add_argument("--max-offsets", type=int, default=1000, help="records per trigger; 0: no cap")
         s.add_argument("--max-files", type=int)
-        s.add_argument("--shuffle-partitions", type=int, default=4)
+        s.add_argument("--shuffle-partitions", type=int, help="default: the session's")
         s.add_argument("--starting-offsets", default="latest")
         s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     d = sub.choices["detect"]
@@ -50,13 +52,30 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--exact", action="store_true", help="exact distinct counts instead of HyperLogLog")
     d.add_argument("--no-stats", action="store_true")
     al = sub.choices["alerts"]
-    al.add_argument("--out", required=True, help="parquet sink of accepted alerts")
+    al.add_argument("--out", required=True, help="folder of handled messages, outcome counts, digests and state")
     al.add_argument("--min-severity", default="critical")
     al.add_argument("--ttl", type=int, default=300)
+    al.add_argument("--window", type=float, default=10, help="seconds of a digest; 0: every alert alone")
+    al.add_argument("--max-ips", type=int, default=50)
+    al.add_argument("--no-digests", action="store_true")
+    compact = sub.add_parser("compact", help="write the latest row of each alert to another folder")
+    compact.add_argument("--store", required=True)
+    compact.add_argument("--target", required=True)
+    retain = sub.add_parser("retain", help="delete the days that are over")
+    retain.add_argument("--store", required=True)
+    retain.add_argument("--keep-days", type=int, default=1)
     a = p.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
-    spark = cluster_session("trafficwatch-" + a.cmd)
+    spark = cluster_session("trafficwatch-" + a.cmd, STREAM_CONF if a.cmd in ("detect", "alerts") else None)
+    if a.cmd in ("compact", "retain"):
+        from trafficwatch.operators.store import apply_retention, compact_store
+
+        if a.cmd == "compact":
+            compact_store(spark, a.store, a.target)
+        else:
+            logging.info("removed days: %s", apply_retention(spark, a.store, keep_days=a.keep_days))
+        return
     from trafficwatch.sources.requests import file_source, kafka_source
     from trafficwatch.streaming.detection import apply_stream_confs, resolve_checkpoint, run_detection
 
@@ -73,23 +92,14 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from pyspark.sql import functions as F
 
-        from trafficwatch.streaming.alerting import alerting_stream
+        from trafficwatch.streaming.alerting import run_alerting
 
         if a.kafka:
             wire = kafka_source(spark, a.kafka, a.topic, cfg).withColumn("arrival", F.current_timestamp())
         else:
-            wire = spark.readStream.schema("key string, value string, arrival timestamp").parquet(
-                a.source.removeprefix("file:")
-            )
-        acfg = AlertConfig(min_severity=a.min_severity, dedupe_ttl_seconds=a.ttl)
-        q = (
-            alerting_stream(wire, acfg)
-            .writeStream.outputMode("append")
-            .format("parquet")
-            .option("path", a.out)
-            .option("checkpointLocation", checkpoint)
-        )
-        q = (q.trigger(availableNow=True) if a.available_now else q.trigger(processingTime=cfg.trigger)).start()
+            wire = spark.readStream.schema("key string, value string, arrival timestamp").parquet(a.source.removeprefix("file:"))
+        acfg = AlertConfig(min_severity=a.min_severity, dedupe_ttl_seconds=a.ttl, batch_window_seconds=a.window, batch_max_ips=a.max_ips)
+        q = run_alerting(wire, checkpoint, a.out, acfg, trigger=cfg.trigger, available_now=a.available_now, digests=not a.no_digests)
     q.awaitTermination()
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from trafficwatch.schema import ALERT_COLUMNS
 
-# Severity ranks used by the notification gate; unknown -> 0,
-# an unknown minimum -> 2.
+# Severity ranks used by the notification gate (unknown -> 0, an
+# unknown minimum -> 2), and the lines of the notification texts below.
 SEVERITY_RANK = {"warning": 1, "critical": 2}
 UNKNOWN_MIN_RANK = 2
 UNKNOWN = "unknown"
@@ -57,11 +57,28 @@ def encode_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.select(alert_key().alias("key"), alert_json().alias("value"))
 
 
-def is_json_object(text: Column) -> Column:
-    parsed = F.try_parse_json(text)
-    return F.coalesce(
-        parsed.isNotNull() & F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False)
-    )
+_CORRUPT = "_corrupt_record"
+_TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in WIRE_ALERT_SCHEMA.fields] + [T.StructField(_CORRUPT, T.StringType())])
+
+
+def parse_alert(text: Column) -> Column:
+    """JSON text -> struct of the alert fields as text; null unless it is one JSON object.
+
+    A name that repeats counts with its last value, as in most JSON readers.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
+    parsed = F.from_json(text, _TEXT_SCHEMA, options)
+    whole = parsed[_CORRUPT].isNull() & F.trim(text).endswith("}")
+    return F.when(whole, parsed)
+
+
+def alert_field(parsed: Column, name: str) -> Column:
+    """One field of ``parse_alert`` in its declared type; quoted numbers count, other text gives null."""
+    kind = WIRE_ALERT_SCHEMA[name].dataType
+    if isinstance(kind, T.StringType):
+        return parsed[name]
+    number = parsed[name].try_cast("double")
+    return number if isinstance(kind, T.DoubleType) else F.coalesce(parsed[name].try_cast(kind), number.try_cast(kind))
 
 
 def severity_rank_of(sev: Column) -> Column:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from trafficwatch.config import AlertConfig
 from trafficwatch.functions.alerts import (
     WIRE_ALERT_SCHEMA,
-    is_json_object,
+    alert_field,
     message_key,
     min_rank,
+    parse_alert,
     severity_rank_of,
 )
 from trafficwatch.operators.ttl import dedupe_ttl
@@ -25,23 +26,15 @@ def decode_alert_messages(messages: DataFrame, value_col: str = "value") -> Data
     A record is valid when its value is a JSON object; anything else (bad
     UTF-8/JSON, null) is invalid and carries null fields.
     """
-    value = F.col(value_col).cast("string")
-    valid = is_json_object(value)
-    parsed = F.when(valid, F.from_json(value, WIRE_ALERT_SCHEMA))
-    return messages.withColumn("valid", valid).withColumn("_a", parsed).select(
-        "*", *[F.col(f"_a.{f}").alias(f) for f in WIRE_FIELDS]
-    ).drop("_a")
+    parsed = messages.withColumn("_a", parse_alert(F.col(value_col).cast("string")))
+    fields = [alert_field(F.col("_a"), f).alias(f) for f in WIRE_FIELDS]
+    return parsed.select("*", F.col("_a").isNotNull().alias("valid"), *fields).drop("_a")
 
 
 def typed_alert_columns() -> list[Column]:
-    """Wire text times -> TIMESTAMP columns (ISO-8601 with zone)."""
-    out = []
-    for f in WIRE_FIELDS:
-        c = F.col(f)
-        if f in ("window_start", "window_end", "detected_at"):
-            c = F.to_timestamp(c)
-        out.append(c.alias(f))
-    return out
+    """Wire text times -> TIMESTAMP columns (ISO-8601 with zone); other text gives null."""
+    times = ("window_start", "window_end", "detected_at")
+    return [(F.try_to_timestamp(f) if f in times else F.col(f)).alias(f) for f in WIRE_FIELDS]
 
 
 def severity_gate(df: DataFrame, min_severity: str = "critical") -> DataFrame:
@@ -74,4 +67,5 @@ def with_dispositions(
 
 
 def disposition_counts(df: DataFrame) -> DataFrame:
+    """Messages by outcome."""
     return df.groupBy("disposition").agg(F.count(F.lit(1)).alias("message_count"))

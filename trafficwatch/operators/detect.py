@@ -9,6 +9,7 @@ from trafficwatch.config import DetectionConfig
 from trafficwatch.operators.rules import Rule, all_rules, apply_rules
 from trafficwatch.operators.windows import (
     WindowSpec,
+    expanded_windows,
     grain_measures,
     path_windows,
     source_windows,
@@ -34,28 +35,33 @@ def detect_rules(
     """Apply ``rules`` to normalised requests; returns RULE_OUTPUT_COLUMNS.
 
     plan="grain" (batch, exact): one scan, panes, then all windows.
+    plan="expanded" (streams): one aggregation over the windows of all
+    families, so the source is read once and one state is held.
     plan="windowed": one ``groupBy(window(...))`` per window family, rules
     inlined on each, union across families.
     plan="union": the windowed aggregates with one filter+select branch per
     rule, unioned (the textbook shape; kept as a benchmark comparator - each
     branch re-plans its aggregate).
-    plan="auto": grain for exact batch input, windowed otherwise.
+    plan="auto": grain for exact batch input, expanded for streams, else windowed.
 
     ``prefilter`` (grain plan): build windows only from pane rows near enough
     requests to reach the family's lowest threshold (exact, see
     ``windows._near_enough``).
     """
     if plan == "auto":
-        plan = "grain" if (exact and not df.isStreaming) else "windowed"
+        plan = "expanded" if df.isStreaming else "grain" if exact else "windowed"
     specs = _specs(rules)
     if plan == "grain":
         if df.isStreaming:
-            raise ValueError("the grain plan chains aggregations; use plan='windowed' on streams")
+            raise ValueError("the grain plan chains aggregations; use plan='expanded' on streams")
         lowest: dict[str, float] = {}
         for r in rules if prefilter else []:
             lowest[r.window.label] = min(lowest.get(r.window.label, r.threshold), r.threshold)
         measures = grain_measures(df, specs, {r.window.label for r in rules if r.needs_methods}, lowest)
         return apply_rules(measures, rules).select(*RULE_OUTPUT_COLUMNS)
+    if plan == "expanded":
+        measures = expanded_windows(df, specs, exact, {r.window.label for r in rules if r.needs_methods}, watermark)
+        return apply_rules(measures, rules).select(*RULE_OUTPUT_COLUMNS)
     if watermark and df.isStreaming:
         df = df.withWatermark("timestamp", watermark)
     found = None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from trafficwatch.functions.classify import status_category_sql, url_type_sql
 
+_MAX_MILLIS = 2**63 // 1000 - 1  # a TIMESTAMP holds microseconds in 64 bits
 _PATH = r"split(request_url, '\\?')[0]"
 
 
@@ -13,12 +14,13 @@ def normalize(raw: DataFrame) -> DataFrame:
     """Decoded requests -> the 11 normalised columns (dst_ip is dropped).
 
     Event time is epoch milliseconds turned into a TIMESTAMP exactly
-    (``timestamp_millis``); rows whose time is null keep flowing and are only
-    dropped by the event-time windows downstream.
+    (``timestamp_millis``); rows whose time is null, or beyond the range of a
+    TIMESTAMP (then null), keep flowing and are only dropped by the event-time
+    windows downstream.
     """
     code = "CAST(status_code AS INT)"
     return raw.selectExpr(
-        "timestamp_millis(CAST(`timestamp` AS BIGINT)) AS `timestamp`",
+        f"IF(CAST(`timestamp` AS BIGINT) BETWEEN -{_MAX_MILLIS}L AND {_MAX_MILLIS}L, timestamp_millis(CAST(`timestamp` AS BIGINT)), NULL) AS `timestamp`",
         "src_ip",
         "protocol",
         "method",

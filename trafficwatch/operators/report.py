@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 US = 1_000_000
 
 
-def time_range(df: DataFrame, now: Column, span_seconds: int = 300, time_col: str = "@timestamp") -> DataFrame:
-    """Rows with ``now - span <= time <= now``."""
-    t = F.col(f"`{time_col}`")
-    return df.filter((t >= now - F.make_dt_interval(secs=F.lit(span_seconds))) & (t <= now))
+def time_range(df: DataFrame, now: Column, span_seconds: int = 300, time_col: str = "@timestamp", date_col: str = "alert_date") -> DataFrame:
+    """Rows with ``now - span <= time <= now``.
+
+    The same range on ``date_col``, where there is one, prunes the store's
+    folders (it passes below a grouping by date, which the time itself can't).
+    """
+    t, low = F.col(f"`{time_col}`"), now - F.make_dt_interval(secs=F.lit(span_seconds))
+    if date_col in df.columns:
+        df = df.filter(F.col(date_col).between(F.to_date(low), F.to_date(now)))
+    return df.filter((t >= low) & (t <= now))
 
 
 def bucketed(
@@ -27,13 +33,15 @@ def bucketed(
     """Date histogram of ``value`` (``how`` = sum | avg | count) with empty buckets kept.
 
     Buckets are ``bucket_seconds`` wide, epoch aligned, covering [lo, hi].
-    Empty buckets: sums and counts 0, averages null.
+    Empty buckets: sums and counts 0, averages null.  Averages are exact
+    decimal sums divided once, so they do not depend on summation order.
     """
     step = bucket_seconds * US
     t_us = F.unix_micros(F.col(f"`{time_col}`"))
     b = (t_us - F.pmod(t_us, F.lit(step))).alias("b")
-    fn = {"sum": F.sum, "avg": F.avg, "count": F.count}[how]
-    agg = df.select(b, value.alias("v")).groupBy("b").agg(fn("v").alias(name))
+    average = F.sum(F.col("v").cast("decimal(38,12)")).cast("double") / F.nullif(F.count("v"), F.lit(0))
+    measure = {"sum": F.sum("v"), "avg": average, "count": F.count("v")}[how]
+    agg = df.select(b, value.alias("v")).groupBy("b").agg(measure.alias(name))
     lo_us, hi_us = F.unix_micros(lo), F.unix_micros(hi)
     first, last = lo_us - F.pmod(lo_us, F.lit(step)), hi_us - F.pmod(hi_us, F.lit(step))
     # The series is output-sized (span / bucket), generated from one bounds row.

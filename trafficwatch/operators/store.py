@@ -1,4 +1,4 @@
-"""Dated alert store: upsert-by-key semantics on append-only parquet, retention."""
+"""Dated alert store: upsert-by-key view over parquet written once per batch, retention."""
 
 from __future__ import annotations
 
@@ -22,16 +22,20 @@ def to_stored(alerts: DataFrame, key: Column, ingest_time: Column, batch_id: Col
 
 
 def write_alerts(stored: DataFrame, path: str) -> None:
-    """Append one micro-batch to the date-partitioned store.
+    """Write one micro-batch to the store, partitioned by date and batch.
 
-    Replaying a batch only adds identical rows, which ``latest_alerts``
-    collapses, so the sink is idempotent at read time.
+    Writing a batch again replaces its partitions: with ingest times that a
+    replay repeats (the batch's own ``current_timestamp()``), the store is the
+    same after it.
     """
-    stored.write.mode("append").partitionBy("alert_date").parquet(path)
+    writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("alert_date", "batch_id").parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The stored rows; a filter on ``alert_date`` prunes whole folders."""
+    rows = spark.read.parquet(path)
+    return rows.withColumns({"batch_id": F.col("batch_id").cast("long"), "alert_date": F.col("alert_date").cast("date")})
 
 
 def latest_alerts(stored: DataFrame) -> DataFrame:
@@ -55,10 +59,9 @@ def latest_alerts(stored: DataFrame) -> DataFrame:
 def compact_store(spark: SparkSession, path: str, target: str) -> DataFrame:
     """Compaction job: write only the latest row per (alert_date, alert_key) to ``target``.
 
-    The store is append-only (every micro-batch appends, replays append
-    duplicates); compaction rewrites it into the upsert view, partitioned by
-    date, so later reads skip superseded rows.  Writing to a separate target
-    keeps the source readable until the caller swaps the paths.
+    Every micro-batch adds a folder; compaction rewrites them into the upsert
+    view, partitioned by date, so later reads skip superseded rows.  Writing to
+    a separate target keeps the source readable until the caller swaps the paths.
     """
     latest_alerts(read_alerts(spark, path)).write.mode("overwrite").partitionBy("alert_date").parquet(target)
     return read_alerts(spark, target)

@@ -133,6 +133,50 @@ def path_windows(df: DataFrame, spec: WindowSpec, exact: bool = False) -> DataFr
     )
 
 
+def expanded_windows(df: DataFrame, specs: list[WindowSpec], exact: bool = False, method_labels: set[str] | None = None, lateness: str | None = None) -> DataFrame:
+    """Measures of every family in one aggregation; batch or streaming (one read, one state).
+
+    Each request becomes one row per window that holds it.  On a stream the
+    event time of those rows is their window's end.  It runs ahead of the
+    request by up to the longest window, so the watermark trails the newest
+    window end by ``lateness`` plus that length: no window closes earlier than
+    ``lateness`` after its end, and short windows may stay open longer by the
+    longest window's length.  Output as ``grain_measures``.
+    """
+    if method_labels is None:
+        method_labels = {s.label for s in specs}
+    entries = []
+    for spec in specs:
+        source = spec.key == "src_ip"
+        method = "method" if source and spec.label in method_labels else "CAST(NULL AS STRING)"
+        for start, holds in _Family(spec, "", spec.seconds * US, spec.slide * US).starts(_TS_US):
+            one = (
+                f"named_struct('window_size', {sql_str(spec.label)}, 'window_start', timestamp_micros({start}), "
+                f"'window_end', timestamp_micros({start} + {spec.seconds * US}L), 'per_source', {str(source).lower()}, "
+                f"'gkey', {spec.key}, 'member', {'request_path' if source else 'src_ip'}, 'method', {method})"
+            )
+            entries.append(f"IF({holds}, {one}, NULL)")
+    flags = ["url_type", "status_category", "status_code", "response_size"]
+    rows = df.filter("`timestamp` IS NOT NULL").selectExpr(*flags, f"explode(array({', '.join(entries)})) AS w").filter("w IS NOT NULL")
+    rows = rows.selectExpr(*flags, "w.*").withColumn("request_path", F.col("member"))
+    if lateness and df.isStreaming:
+        amount, unit = lateness.split()
+        seconds = float(amount) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+        rows = rows.withWatermark("window_end", f"{int(seconds + max(s.seconds for s in specs))} seconds")
+    agg = rows.groupBy("window_end", "window_start", "window_size", "per_source", "gkey").agg(*source_window_aggs(exact))
+    return agg.selectExpr(
+        "window_size",
+        "window_start",
+        "window_end",
+        "IF(per_source, gkey, NULL) AS src_ip",
+        "IF(NOT per_source, gkey, NULL) AS request_path",
+        *[f"IF(per_source, {m}, NULL) AS {m}" for m in SOURCE_MEASURES],
+        "IF(NOT per_source, request_count_all, NULL) AS path_request_count",
+        "IF(NOT per_source, unique_path_count_all, NULL) AS unique_src_ip",
+        "IF(NOT per_source, error_count_all, NULL) AS path_error_count",
+    )
+
+
 # ---------------------------------------------------------------------------
 # Batch: panes first, windows from the panes, exact distinct counts without sets.
 # ---------------------------------------------------------------------------

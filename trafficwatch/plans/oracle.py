@@ -422,6 +422,8 @@ def alert_registry() -> dict[str, str]:
         "recent_alerts": recent_alerts_sql(),
         "alert_stats": alert_stats_sql(),
         "stream_detect_all": detect_all_sql(),
+        "stream_outcomes": dispositions_sql(),
+        "stream_digest": alert_digest_sql(),
         "stream_dedupe": _alerts_with(MSGS_CTE) + """SELECT msg_key AS dedupe_key, arrival, attack_type, signal_reason,
  request_count FROM acc""",
     }

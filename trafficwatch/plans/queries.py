@@ -6,8 +6,6 @@ reads the same in every engine and session time zone.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +24,7 @@ from trafficwatch.operators.alerting import (
 from trafficwatch.operators.detect import detect_rules
 from trafficwatch.operators.digest import digest
 from trafficwatch.operators.report import alert_stats, bucketed, recent, time_range, top_terms
-from trafficwatch.operators.store import latest_alerts, retained, to_stored
+from trafficwatch.operators.store import latest_alerts, read_alerts, retained, to_stored, write_alerts
 from trafficwatch.operators.ttl import ttl_claims
 from trafficwatch.operators.normalize import normalize
 from trafficwatch.operators.rules import (
@@ -38,7 +36,7 @@ from trafficwatch.operators.rules import (
 )
 from trafficwatch.operators.windows import path_windows_exact, source_windows_exact
 from trafficwatch.schema import RULE_OUTPUT_COLUMNS
-from trafficwatch.session import checkpoint_dir, pin_utc
+from trafficwatch.session import materialize, pin_utc, scratch_path
 from trafficwatch.sources.fixtures import alert_messages, read_table, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,45 +123,14 @@ ALERTS = AlertConfig()
 DEDUPE_FIXTURE_TTL_SECONDS = 6 * 3600
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
-
-    Cuts lineage (a lost executor never recomputes the upstream plan) and,
-    unlike ``checkpoint()``, computes the input only once.
-    """
-    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    path = f"{base.rstrip('/')}/trafficwatch-tables/{uuid.uuid4().hex}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def table(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table, materialised once per session with a reliable checkpoint.
-
-    The alert-side queries read the alert stream, the handled alerts and the
-    store as tables - as a deployment does - instead of re-deriving them
-    inside every plan.
-    """
-    key = (name, spark.sparkContext.applicationId, sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = materialize(spark, build(), name)
-    return _TABLES[key]
-
-
 def messages(spark, sf_dir):
-    """Decoded alert records (the alert topic as a table)."""
-    return table("messages", spark, sf_dir, lambda: decode_alert_messages(alert_messages(alerts(spark, sf_dir))))
+    """Decoded alert records: the alert topic as a table, stored."""
+    return materialize(decode_alert_messages(alert_messages(alerts(spark, sf_dir))), "messages")
 
 
 def dispositions(spark, sf_dir):
-    def build():
-        tie = F.coalesce(F.col("signal_reason"), F.lit(""))
-        return with_dispositions(messages(spark, sf_dir), F.col("arrival"), tie, ALERTS)
-
-    return table("dispositions", spark, sf_dir, build)
+    tie = F.coalesce(F.col("signal_reason"), F.lit(""))
+    return with_dispositions(messages(spark, sf_dir), F.col("arrival"), tie, ALERTS)
 
 
 def accepted(spark, sf_dir):
@@ -172,26 +139,30 @@ def accepted(spark, sf_dir):
 
 def stored(spark, sf_dir):
     """Every valid record as stored: + alert_key, @timestamp (arrival), alert_date, batch_id."""
-    def build():
-        valid = messages(spark, sf_dir).filter("valid")
-        typed = valid.select(*typed_alert_columns(), "key", "arrival", "emission")
-        return to_stored(typed, F.col("key"), F.col("arrival"), F.col("emission"))
+    decoded = decode_alert_messages(alert_messages(alerts(spark, sf_dir))).filter("valid")
+    typed = decoded.select(*typed_alert_columns(), "key", "arrival", "emission")
+    return to_stored(typed, F.col("key"), F.col("arrival"), F.col("emission"))
 
-    return table("stored", spark, sf_dir, build)
 
-
-def latest(spark, sf_dir):
-    return table("latest", spark, sf_dir, lambda: latest_alerts(stored(spark, sf_dir)))
+def store(spark, sf_dir):
+    """The stored records, and copies of them two days older, written to and read from a dated store."""
+    rows, path = materialize(stored(spark, sf_dir), "records"), scratch_path(spark, "store")
+    older = rows.withColumn("@timestamp", F.col("`@timestamp`") - F.make_dt_interval(days=F.lit(2)))
+    older = older.withColumn("alert_date", F.to_date("`@timestamp`"))
+    write_alerts(rows.unionByName(older), path)
+    return read_alerts(spark, path)
 
 
 def _now(df):
-    return df.select(F.max("`@timestamp`")).scalar()
+    """The newest ingest time, as a value: a report's time is known before it is planned, so that it can prune."""
+    return F.lit(df.agg(F.max("`@timestamp`")).first()[0]).cast("timestamp")
 
 
 def dashboard(spark, sf_dir):
-    """Latest stored alerts within the last 5 minutes before the newest one."""
-    lt = latest(spark, sf_dir)
-    return time_range(lt, _now(lt), 300)
+    """(latest stored alerts within the last 5 minutes before the newest one, that time)."""
+    rows = store(spark, sf_dir)
+    now = _now(rows)
+    return time_range(latest_alerts(rows), now, 300), now
 
 
 def q_alert_keys(spark, sf_dir):
@@ -219,7 +190,7 @@ def q_dedupe_ttl(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     key = F.concat_ws("|", F.col("user_id").cast("string"), F.col("event_type"))
     claims = ttl_claims(ev, key, F.col("ts"), DEDUPE_FIXTURE_TTL_SECONDS).filter("claimed")
-    return claims.select(F.col("k"), F.timestamp_micros("t_us").cast("timestamp_ntz").alias("t"))
+    return claims.select("k", F.timestamp_micros("t_us").cast("timestamp_ntz").alias("t"))
 
 
 def _digests(spark, sf_dir):
@@ -240,11 +211,13 @@ def q_alert_text(spark, sf_dir):
 
 
 def q_latest_alerts(spark, sf_dir):
-    return as_ntz(latest(spark, sf_dir))
+    """The upsert view of the newest day's records."""
+    rows = store(spark, sf_dir)
+    return as_ntz(latest_alerts(rows.filter(F.col("alert_date") == F.to_date(_now(rows)))))
 
 
 def q_retained_alerts(spark, sf_dir):
-    st = stored(spark, sf_dir)
+    st = materialize(stored(spark, sf_dir), "records")
     even = F.col("request_count") % 2 == 0
     shifted_ts = F.when(even, F.col("`@timestamp`") - F.make_dt_interval(days=F.lit(2))).otherwise(F.col("`@timestamp`"))
     st = st.withColumn("@timestamp", shifted_ts).withColumn("alert_date", F.to_date(F.col("`@timestamp`")))
@@ -253,36 +226,24 @@ def q_retained_alerts(spark, sf_dir):
 
 def _bucket_query(metric: str, how: str, name: str):
     def q(spark, sf_dir):
-        lt = latest(spark, sf_dir)
-        now = _now(lt)
+        rows, now = dashboard(spark, sf_dir)
         lo = now - F.make_dt_interval(secs=F.lit(300))
-        d = time_range(lt, now, 300)
-        if how == "sum":
-            out = bucketed(d, F.col(metric), "sum", lo, now, 5, name=name)
-        else:
-            # exact average: decimal sum / count, so no dependence on summation order
-            sums = bucketed(d, F.col(metric).cast("decimal(38,12)"), "sum", lo, now, 5, name="_s")
-            cnts = bucketed(d, F.col(metric), "count", lo, now, 5, name="_n")
-            out = sums.join(cnts, on="bucket_start").select(
-                "bucket_start",
-                F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.col("_n")).alias(name),
-            )
-        return as_ntz(out)
+        return as_ntz(bucketed(rows, F.col(metric), how, lo, now, 5, name=name))
 
     q.__name__ = f"q_bucket_{name}"
     return q
 
 
 def q_top_attack_types(spark, sf_dir):
-    return top_terms(dashboard(spark, sf_dir), "attack_type", 5)
+    return top_terms(dashboard(spark, sf_dir)[0], "attack_type", 5)
 
 
 def q_top_severities(spark, sf_dir):
-    return top_terms(dashboard(spark, sf_dir), "severity", 5)
+    return top_terms(dashboard(spark, sf_dir)[0], "severity", 5)
 
 
 def q_recent_alerts(spark, sf_dir):
-    return as_ntz(recent(dashboard(spark, sf_dir), 50))
+    return as_ntz(recent(dashboard(spark, sf_dir)[0], 50))
 
 
 def q_alert_stats(spark, sf_dir):
@@ -303,13 +264,35 @@ def q_stream_detect_all(spark, sf_dir):
     return as_ntz(latest_rows.select(*cols).withColumn("detected_at", F.col("window_end")))
 
 
-def q_stream_dedupe(spark, sf_dir):
+def _alert_stream(spark, sf_dir, digests: bool):
     from trafficwatch.streaming.replay import replay_alerting
 
-    out = replay_alerting(spark, alert_messages(alerts(spark, sf_dir)), ALERTS)
+    pin_utc(spark)
+    records = materialize(alert_messages(alerts(spark, sf_dir)), "records")
+    return replay_alerting(spark, records, ALERTS, digests=digests)
+
+
+def q_stream_dedupe(spark, sf_dir):
+    from trafficwatch.streaming.alerting import accepted_alerts
+
+    out = accepted_alerts(spark, _alert_stream(spark, sf_dir, digests=False))
     return as_ntz(out.select("dedupe_key", "arrival", "attack_type", "signal_reason", "request_count"))
 
 
+def q_stream_outcomes(spark, sf_dir):
+    from trafficwatch.streaming.alerting import outcome_counts
+
+    return outcome_counts(spark, _alert_stream(spark, sf_dir, digests=False))
+
+
+def q_stream_digest(spark, sf_dir):
+    """Digests sent by the stream, and those still open at its end."""
+    from trafficwatch.streaming.alerting import open_digests, sent_digests
+
+    folder = _alert_stream(spark, sf_dir, digests=True)
+    return as_ntz(sent_digests(spark, folder).unionByName(open_digests(spark, folder, ALERTS)))
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {
         "normalize_requests": q_normalize_requests,
@@ -344,6 +327,8 @@ def registry() -> dict[str, Query]:
             "alert_stats": q_alert_stats,
             "stream_detect_all": q_stream_detect_all,
             "stream_dedupe": q_stream_dedupe,
+            "stream_outcomes": q_stream_outcomes,
+            "stream_digest": q_stream_digest,
         }
     )
     return out

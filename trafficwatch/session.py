@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     # Windows, dates and alert keys are rendered in UTC (cast to string, to_date).
@@ -39,6 +41,11 @@ CLUSTER_CONF = {
 }
 
 
+# Streams keep one state store per shuffle partition, fixed by the first
+# checkpoint: as many as the executors' cores, not as a batch job's shuffle.
+STREAM_CONF = {"spark.sql.shuffle.partitions": "400"}
+
+
 def cluster_session(app_name: str = "trafficwatch", extra: dict[str, str] | None = None) -> SparkSession:
     """Session for cluster runs: CLUSTER_CONF plus ``extra``; master from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -78,22 +85,37 @@ def pin_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we set our own ``fallback``.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a
+    local master gets ``fallback``, or a new folder of its own; on a cluster
+    it is an error, since executors don't share a machine's own folders.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is unset and no fallback was given")
+        fallback = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/trafficwatch-{uuid.uuid4().hex}/{tag}"
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, so a lost executor never recomputes it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -106,7 +128,6 @@ def ship_package(spark: SparkSession) -> None:
     A deployment that already ships the package may skip this.
     """
     import shutil
-    import tempfile
 
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:

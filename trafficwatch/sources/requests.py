@@ -30,13 +30,15 @@ def encode_requests(requests: DataFrame) -> DataFrame:
 
 def kafka_options(bootstrap: str, topic: str, cfg: StreamConfig = StreamConfig()) -> dict[str, str]:
     """Reader options: one subscribed topic, start offsets, data-loss policy, rate cap."""
-    return {
+    options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": cfg.starting_offsets,
         "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
-        "maxOffsetsPerTrigger": str(cfg.max_offsets_per_trigger),
     }
+    if cfg.max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
+    return options
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, cfg: StreamConfig = StreamConfig()) -> DataFrame:

@@ -1,110 +1,215 @@
-"""Structured Streaming alert handling: decode -> gate -> TTL dedupe -> sinks.
+"""Structured Streaming alert handling: decode -> gate -> TTL dedupe -> digests -> sinks.
 
-Runs as its own query over the alert records (a TTL dedupe chained behind
-the windowed aggregation in update mode is rejected by Spark's correctness
-check, and append mode would delay alerts by the watermark).
+One query over the alert records; every micro-batch is handled by the batch
+operators (grouped and spread like any other Spark job, no key is gathered):
 
-The TTL dedupe keeps, per dedupe key, only the time of the last claim as
-state.  Rows of a key within one micro-batch are sorted before folding; the
-state expires by event-time timeout once the watermark passes claim + TTL,
-after which the next record claims the key again.
+* ``messages``: every record with its outcome (invalid, skipped_severity,
+  duplicate, accepted);
+* ``outcomes``: record counts by outcome, one small table per batch;
+* ``digests``: grouped notifications that closed in the batch.
+
+Between batches it keeps the last claim of each key and the open digest of
+each digest key.  A record that arrives late counts at the time its key has
+reached: as a duplicate inside a claim's TTL, and in the digest that is open.
+Nothing is dropped.
 """
 
 from __future__ import annotations
 
-import warnings
-from typing import Iterator
+import logging
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trafficwatch.config import AlertConfig
 from trafficwatch.functions.alerts import message_key, min_rank, severity_rank_of
-from trafficwatch.operators.alerting import decode_alert_messages
-from trafficwatch.session import ship_package
-
-
-
-def _quiet() -> None:
-    """PySpark's state serializer concatenates empty frames in the worker; the
-    pandas deprecation notice this triggers is noise in executor logs.  Runs
-    inside the worker (the processor is pickled by value)."""
-    warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty", category=FutureWarning)
-
-STATE_SCHEMA = T.StructType([T.StructField("last_claim_us", T.LongType())])
-
-
-def _dedupe_fn(ttl_us: int):
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        _quiet()
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["t_us", "tie"], kind="stable").reset_index(drop=True)
-        last = state.get[0] if state.exists else None
-        t = pdf["t_us"].to_numpy(dtype=np.int64)
-        claimed = np.zeros(len(pdf), dtype=bool)
-        i = 0 if last is None else int(np.searchsorted(t, last + ttl_us, side="left"))
-        while i < len(t):
-            claimed[i] = True
-            last = int(t[i])
-            i = int(np.searchsorted(t, last + ttl_us, side="left"))
-        if last is not None:
-            state.update((last,))
-            state.setTimeoutTimestamp((last + ttl_us) // 1000)
-        pdf["is_duplicate"] = ~claimed
-        yield pdf.drop(columns=["t_us"])
-
-    return fn
-
-
-def dedupe_stream(
-    df: DataFrame,
-    key: str,
-    time: str,
-    tie: str,
-    ttl_seconds: float,
-    watermark: str = "10 minutes",
-) -> DataFrame:
-    """Streaming TTL first-claim dedupe; adds ``is_duplicate``.
-
-    ``time`` is an event-time TIMESTAMP column (with ``watermark``); ``tie``
-    orders rows that share key and time.
-    """
-    ship_package(df.sparkSession)
-    ttl_us = int(round(ttl_seconds * 1_000_000))
-    prepared = df.withWatermark(time, watermark).withColumn("t_us", F.unix_micros(F.col(time).cast("timestamp")))
-    prepared = prepared.withColumn("tie", F.col(tie).cast("string"))
-    out_schema = T.StructType(
-        [f for f in prepared.schema.fields if f.name != "t_us"] + [T.StructField("is_duplicate", T.BooleanType())]
+from trafficwatch.operators.alerting import decode_alert_messages, disposition_counts
+from trafficwatch.operators.digest import DIGEST_KEY, digest_key, digest_rows, digests_of, per_source, single_digests
+from trafficwatch.operators.ttl import assign_first_arrival, dedupe_ttl
+from trafficwatch.streaming.tables import batches, forget_before, read_before, read_since, write_batch
+
+log = logging.getLogger(__name__)
+
+_CLAIMS = "k string, claim timestamp"
+_OPEN = ", ".join(f"{c} string" for c in DIGEST_KEY) + ", opened_at timestamp, since long"
+_PARTS = ", ".join(f"{c} string" for c in DIGEST_KEY) + (
+    ", opened_at timestamp, ip string, first_seen timestamp, n long, rc_sum decimal(38,12), rp_sum decimal(38,12), we_min timestamp, we_max timestamp"
+)
+_OUTCOMES = "disposition string, message_count long"
+
+
+@dataclass(frozen=True)
+class AlertFolder:
+    """Where the job keeps its sinks and state."""
+
+    path: str
+
+    @property
+    def messages(self) -> str:
+        return f"{self.path}/messages"
+
+    @property
+    def outcomes(self) -> str:
+        return f"{self.path}/outcomes"
+
+    @property
+    def digests(self) -> str:
+        return f"{self.path}/digests"
+
+    def state(self, name: str) -> str:
+        return f"{self.path}/state/{name}"
+
+
+def judge(records: DataFrame, claims: DataFrame, config: AlertConfig) -> DataFrame:
+    """Decoded records (with ``arrival``) -> + dedupe_key, disposition, given the keys' last claims."""
+    valid = F.col("valid")
+    rows = records.withColumn("dedupe_key", F.when(valid, message_key(F.col("key"))))
+    gated = valid & (severity_rank_of(F.col("severity")) >= F.lit(min_rank(config.min_severity)))
+    rows = rows.withColumn("_gated", gated).join(claims, F.col("dedupe_key") == F.col("k"), "left").drop("k")
+    rows = rows.withColumn("_at", F.greatest("arrival", "claim")).withColumn("_old", F.lit(0)).drop("claim")
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in ("dedupe_key", "_gated", "_at", "_old")]
+    # the last claim itself takes part, ahead of the batch's rows of its time
+    seeds = claims.select(*blank, F.col("k").alias("dedupe_key"), F.lit(True).alias("_gated"), F.col("claim").alias("_at"), F.lit(-1).alias("_old"))
+    seeds = seeds.join(rows.filter("_gated").select("dedupe_key").distinct(), "dedupe_key", "left_semi")
+    tie = F.struct("_old", F.coalesce("signal_reason", F.lit("")))
+    out = dedupe_ttl(rows.unionByName(seeds), F.col("dedupe_key"), F.col("_at"), config.dedupe_ttl_seconds, tie, where=F.col("_gated"))
+    outcome = (
+        F.when(~F.col("valid"), "invalid")
+        .when(F.col("is_duplicate").isNull(), "skipped_severity")
+        .when(F.col("is_duplicate"), "duplicate")
+        .otherwise("accepted")
+    )
+    return out.filter(F.col("_old") == 0).withColumn("disposition", outcome).drop("_gated", "_old", "is_duplicate")
+
+
+def handle_claims(spark: SparkSession, folder: AlertFolder, records: DataFrame, batch_id: int, config: AlertConfig, keep: int) -> DataFrame:
+    """Judge a batch, store its messages and outcome counts, and move the claims on."""
+    claims = read_before(spark, folder.state("claims"), batch_id, _CLAIMS)
+    judged = write_batch(judge(records, claims, config), folder.messages, batch_id)
+    write_batch(disposition_counts(judged).select(F.col("disposition"), F.col("message_count").cast("long")), folder.outcomes, batch_id)
+    new = judged.filter((F.col("disposition") == "accepted") & F.col("_at").isNotNull()).select(F.col("dedupe_key").alias("k"), F.col("_at").alias("claim"))
+    now = claims.unionByName(new).groupBy("k").agg(F.max("claim").alias("claim"))
+    # a claim that far behind can't suppress a record that is not already late by that much
+    horizon = judged.agg(F.max("arrival")).first()[0]
+    if horizon is not None:
+        reach = F.make_dt_interval(secs=F.lit(config.dedupe_ttl_seconds + config.keep_late_seconds))
+        now = now.filter(F.col("claim") >= F.lit(horizon) - reach)
+    write_batch(now, folder.state("claims"), batch_id)
+    forget_before(spark, folder.state("claims"), batch_id, keep)
+    return judged.filter(F.col("disposition") == "accepted").drop("_at")
+
+
+def handle_digests(spark: SparkSession, folder: AlertFolder, accepted: DataFrame, batch_id: int, config: AlertConfig, keep: int) -> None:
+    """Add a batch's accepted alerts to their digests and write those that closed."""
+    rows = digest_rows(accepted, F.col("arrival"))
+    if config.batch_window_seconds <= 0:
+        write_batch(single_digests(rows), folder.digests, batch_id)
+        return
+    was_open = read_before(spark, folder.state("open"), batch_id, _OPEN)
+    same = [F.col(f"r.{c}") == F.col(f"o.{c}") for c in DIGEST_KEY]
+    rows = rows.alias("r").join(was_open.select(*DIGEST_KEY, F.col("opened_at").alias("_open")).alias("o"), same, "left").select("r.*", "_open")
+    rows = rows.withColumn("_at", F.greatest("arrival", "_open")).withColumn("_row", F.lit(True)).drop("_open")
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (*DIGEST_KEY, "_at", "_row")]
+    seeds = was_open.select(*DIGEST_KEY, *blank, F.col("opened_at").alias("_at"), F.lit(False).alias("_row"))
+    placed = assign_first_arrival(rows.unionByName(seeds), digest_key(), F.col("_at"), config.batch_window_seconds)
+    parts = write_batch(per_source(placed.filter("_row")), folder.state("parts"), batch_id)
+    opened = parts.select(*DIGEST_KEY, "opened_at").distinct().withColumn("since", F.lit(batch_id).cast("long"))
+    opened = was_open.unionByName(opened).groupBy(*DIGEST_KEY, "opened_at").agg(F.min("since").alias("since"))
+    latest = opened.groupBy(*DIGEST_KEY).agg(F.max("opened_at").alias("_last"))
+    known = opened.join(latest, list(DIGEST_KEY), "left")
+    now = accepted.agg(F.max("arrival")).first()[0]
+    over = F.lit(False)
+    if now is not None:
+        over = F.col("opened_at") + F.make_dt_interval(secs=F.lit(config.batch_window_seconds)) <= F.lit(now)
+    closed = F.coalesce((F.col("opened_at") < F.col("_last")) | over, F.lit(False))
+    known = write_batch(known.withColumn("closed", closed).drop("_last"), folder.state("known"), batch_id)
+    write_batch(known.filter("not closed").drop("closed"), folder.state("open"), batch_id)
+    write_batch(_collected(spark, folder, known.filter("closed"), batch_id, config), folder.digests, batch_id)
+    for name in ("known", "open"):
+        forget_before(spark, folder.state(name), batch_id, keep)
+
+
+def _collected(spark: SparkSession, folder: AlertFolder, chosen: DataFrame, batch_id: int, config: AlertConfig) -> DataFrame:
+    """The digests in ``chosen`` (key, opened_at, since) from the partial sums of all batches they span."""
+    first = chosen.agg(F.min("since")).first()[0]
+    parts = read_since(spark, folder.state("parts"), batch_id + 1 if first is None else first, batch_id, _PARTS)
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*DIGEST_KEY, "opened_at")]
+    parts = parts.alias("p").join(chosen.alias("c"), same, "left_semi")
+    per_ip = parts.groupBy(*DIGEST_KEY, "opened_at", "ip").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.sum("n").alias("n"),
+        F.sum("rc_sum").alias("rc_sum"),
+        F.sum("rp_sum").alias("rp_sum"),
+        F.min("we_min").alias("we_min"),
+        F.max("we_max").alias("we_max"),
     )
-    return prepared.groupBy(key).applyInPandasWithState(
-        _dedupe_fn(ttl_us), out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
-    ).drop("tie")
+    return digests_of(per_ip, config.batch_max_ips)
+
+
+def open_digests(spark: SparkSession, folder: AlertFolder, config: AlertConfig = AlertConfig()) -> DataFrame:
+    """The digests that have not closed yet, as they stand (to flush a job that ends)."""
+    last = max(batches(spark, folder.state("open")), default=None)
+    if last is None:
+        return spark.createDataFrame([], digests_of(spark.createDataFrame([], _PARTS), config.batch_max_ips).schema)
+    return _collected(spark, folder, read_before(spark, folder.state("open"), last + 1, _OPEN), last, config)
+
+
+def outcome_counts(spark: SparkSession, folder: AlertFolder) -> DataFrame:
+    """Messages by outcome over all batches."""
+    rows = spark.read.schema(_OUTCOMES).parquet(*[f"{folder.outcomes}/batch_id={b}" for b in batches(spark, folder.outcomes)])
+    return rows.groupBy("disposition").agg(F.sum("message_count").alias("message_count"))
+
+
+class OutcomeLog:
+    """Logs the outcomes summed over ``stats_interval_seconds`` (0 or less: each batch)."""
+
+    def __init__(self, interval_seconds: float):
+        import time
+
+        self.interval, self.clock, self.since, self.sums = interval_seconds, time.monotonic, time.monotonic(), {}
+
+    def add(self, counts: dict[str, int]) -> None:
+        for name, n in counts.items():
+            self.sums[name] = self.sums.get(name, 0) + n
+        if self.clock() - self.since >= self.interval:
+            log.info("alert outcomes: consumed %d, %s", sum(self.sums.values()), self.sums)
+            self.since, self.sums = self.clock(), {}
 
 
-def alerting_stream(
+def run_alerting(
     wire: DataFrame,
+    checkpoint: str,
+    out: str,
     config: AlertConfig = AlertConfig(),
-    time: str = "arrival",
-    watermark: str = "10 minutes",
-) -> DataFrame:
-    """Alert records (key, value, ``time``) -> accepted alerts with ``dedupe_key``.
-
-    Invalid records and records below the minimum severity are dropped
-    before the stateful step; duplicates are dropped after it.
-    """
-    decoded = decode_alert_messages(wire)
-    gated = decoded.filter(
-        F.col("valid") & (severity_rank_of(F.col("severity")) >= F.lit(min_rank(config.min_severity)))
-    ).withColumn("dedupe_key", message_key(F.col("key")))
-    gated = gated.withColumn("_tie", F.coalesce(F.col("signal_reason"), F.lit("")))
-    checked = dedupe_stream(gated, "dedupe_key", time, "_tie", config.dedupe_ttl_seconds, watermark)
-    return checked.filter(~F.col("is_duplicate")).drop("is_duplicate", "_tie")
+    trigger: str = "2 seconds",
+    available_now: bool = False,
+    digests: bool = True,
+    keep: int = 50,
+):
+    """Start the query over alert records (key, value, arrival); returns the StreamingQuery."""
+    folder, stats = AlertFolder(out), OutcomeLog(config.stats_interval_seconds)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        records = write_batch(decode_alert_messages(batch), folder.state("decoded"), batch_id)
+        accepted = handle_claims(spark, folder, records, batch_id, config, keep)
+        if digests:
+            handle_digests(spark, folder, accepted, batch_id, config, keep)
+        # four counts at most
+        stats.add({r[0]: r[1] for r in spark.read.schema(_OUTCOMES).parquet(f"{folder.outcomes}/batch_id={batch_id}").collect()})
+        forget_before(spark, folder.state("decoded"), batch_id, 1)
+
+    writer = wire.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
+
+
+def accepted_alerts(spark: SparkSession, folder: AlertFolder) -> DataFrame:
+    """Accepted alerts of all batches."""
+    rows = spark.read.parquet(*[f"{folder.messages}/batch_id={b}" for b in batches(spark, folder.messages)])
+    return rows.filter(F.col("disposition") == "accepted").drop("_at")
+
+
+def sent_digests(spark: SparkSession, folder: AlertFolder) -> DataFrame:
+    """Closed digests of all batches."""
+    return spark.read.parquet(*[f"{folder.digests}/batch_id={b}" for b in batches(spark, folder.digests)])

@@ -4,24 +4,22 @@ Used by the registered ``stream_*`` queries and the tests: the input is
 derived from the driver tables by Spark, written as time-ordered files into
 the shared checkpoint folder, then consumed by the real streaming queries in
 several micro-batches.  The returned frames are batch reads of what the sinks
-wrote, reduced to the latest emission per alert (update-mode repeats).
+wrote.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficwatch.config import AlertConfig, DetectionConfig, StreamConfig
-from trafficwatch.session import checkpoint_dir
-from trafficwatch.streaming.alerting import alerting_stream
-from trafficwatch.streaming.digest import digest_stream
+from trafficwatch.operators.store import read_alerts
+from trafficwatch.session import scratch_path
+from trafficwatch.streaming.alerting import AlertFolder, run_alerting
 from trafficwatch.streaming.detection import apply_stream_confs, run_detection
 
 ALERT_IDENTITY = ("window_start", "window_size", "attack_type", "src_ip", "signal_reason")
+FILES_PER_CHUNK = 4
 
 # Progress totals of the last replay: input rows and trigger time per query.
 LAST_RUN: dict[str, dict[str, float]] = {}
@@ -39,31 +37,19 @@ def _record(name: str, query) -> None:
     }
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return f"{base.rstrip('/')}/trafficwatch-replay/{uuid.uuid4().hex}"
-
-
-def write_in_time_order(df: DataFrame, time_col: str, path: str, chunks: int, fmt: str) -> None:
-    """Write ``df`` as ``chunks`` files of consecutive time ranges, oldest first.
+def write_in_time_order(df: DataFrame, time_col: str, path: str, files: int) -> None:
+    """One pass: ``files`` parquet files of consecutive time ranges.
 
-    The file source orders files by modification time, so each chunk is its
-    own write.  Only the two time bounds come back to the driver.
+    The file source takes files by modification time, so the driver stamps
+    the files (a metadata call each) in the order of their ranges.
     """
-    t = F.unix_micros(F.col(time_col).cast("timestamp")) if dict(df.dtypes)[time_col] != "bigint" else F.col(time_col)
-    lo, hi = df.select(F.min(t), F.max(t)).first()
-    if lo is None:
-        return
-    width = max(1, (hi - lo) // chunks + 1)
-    tagged = df.withColumn("_chunk", F.floor((t - F.lit(lo)) / F.lit(width)))
-    for c in range(chunks):
-        part = tagged.filter(F.col("_chunk") == c).drop("_chunk").coalesce(1)
-        writer = part.write.mode("overwrite")
-        target = f"{path}/chunk={c:04d}"
-        if fmt == "text":
-            writer.text(target)
-        else:
-            writer.parquet(target)
+    df.repartitionByRange(files, time_col).write.parquet(path)
+    spark = df.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("part-"))
+    for k, name in enumerate(names):
+        fs.setTimes(root.suffix(f"/{name}"), 1_700_000_000_000 + 1000 * k, -1)
 
 
 def latest_emission(stored: DataFrame, identity=ALERT_IDENTITY) -> DataFrame:
@@ -81,78 +67,24 @@ def replay_detection(
     chunks: int = 5,
 ) -> DataFrame:
     """Raw request rows -> wire files -> streaming detection -> latest alert per identity."""
-    base = scratch_dir(spark)
+    base = scratch_path(spark, "replay")
     fields = [F.col(c) for c in requests.columns]
     wire_rows = requests.select(F.col("timestamp").alias("_t"), F.to_json(F.struct(*fields)).alias("value"))
-    write_in_time_order(wire_rows, "_t", f"{base}/in", chunks, "parquet")
-    # StreamConfig's default partition count (small micro-batches); the
-    # count is fixed in the checkpoint of a stateful query.
-    stream = StreamConfig(max_files_per_trigger=1)
-    batch_partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    apply_stream_confs(spark, stream)
-    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("_t long, value string").parquet(
-        f"{base}/in"
-    ).select("value")
-    q = run_detection(wire, f"{base}/cp", config, stream, store_path=f"{base}/store", stats=False, available_now=True)
+    write_in_time_order(wire_rows, "_t", f"{base}/in", chunks * FILES_PER_CHUNK)
+    apply_stream_confs(spark, StreamConfig())
+    wire = spark.readStream.option("maxFilesPerTrigger", str(FILES_PER_CHUNK)).schema("_t long, value string").parquet(f"{base}/in").select("value")
+    q = run_detection(wire, f"{base}/cp", config, store_path=f"{base}/store", stats=False, available_now=True)
     q.awaitTermination()
     _record("detection", q)
-    spark.conf.set("spark.sql.shuffle.partitions", batch_partitions)
-    stored = spark.read.parquet(f"{base}/store")
-    return latest_emission(stored.drop("alert_key", "@timestamp", "alert_date"))
-
+    return latest_emission(read_alerts(spark, f"{base}/store").drop("alert_key", "@timestamp", "alert_date"))
 
-def replay_alerting(
-    spark: SparkSession,
-    messages: DataFrame,
-    config: AlertConfig = AlertConfig(),
-    chunks: int = 5,
-    digests: bool = False,
-) -> DataFrame:
-    """Alert records (key, value, arrival) -> files -> streaming gate + TTL dedupe -> accepted rows.
 
-    ``digests=True`` chains the streaming digest behind the dedupe and
-    returns the closed digests instead.
-    """
-    base = scratch_dir(spark)
-    write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks, "parquet")
-    batch_partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    apply_stream_confs(spark, StreamConfig())
-    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema(
-        "key string, value string, arrival timestamp"
-    ).parquet(f"{base}/in").select("key", "value", "arrival")
-    accepted = alerting_stream(wire, config, time="arrival")
-    q = (
-        accepted.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/cp")
-        .trigger(availableNow=True)
-        .start()
-    )
+def replay_alerting(spark: SparkSession, messages: DataFrame, config: AlertConfig = AlertConfig(), chunks: int = 5, digests: bool = True) -> AlertFolder:
+    """Alert records (key, value, arrival) -> files -> the streaming alert job; returns its folder."""
+    base = scratch_path(spark, "replay")
+    write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks)
+    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("key string, value string, arrival timestamp").parquet(f"{base}/in")
+    q = run_alerting(wire, f"{base}/cp", f"{base}/out", config, available_now=True, digests=digests)
     q.awaitTermination()
     _record("alerting", q)
-    if not digests:
-        spark.conf.set("spark.sql.shuffle.partitions", batch_partitions)
-        return spark.read.parquet(f"{base}/out")
-    # Second query: one stateful Python processor per query, so the digest
-    # reads the accepted-alert sink as its own stream (as the chat sender
-    # would read the accepted topic).
-    # Re-chunk the accepted alerts in arrival order: the processor expects
-    # arrivals to be non-decreasing per key across micro-batches, as they are
-    # on a live alert topic.
-    write_in_time_order(spark.read.parquet(f"{base}/out"), "arrival", f"{base}/acc", chunks, "parquet")
-    schema = spark.read.parquet(f"{base}/acc").schema
-    accepted_stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/acc")
-    closed = digest_stream(accepted_stream.drop("chunk"), "arrival", config.batch_window_seconds, config.batch_max_ips)
-    q2 = (
-        closed.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{base}/digests")
-        .option("checkpointLocation", f"{base}/cp_digest")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q2.awaitTermination()
-    _record("digest", q2)
-    spark.conf.set("spark.sql.shuffle.partitions", batch_partitions)
-    return spark.read.parquet(f"{base}/digests")
+    return AlertFolder(f"{base}/out")

@@ -1,0 +1,55 @@
+"""Small tables that a ``foreachBatch`` job keeps between micro-batches, one folder per batch.
+
+A batch reads the newest folder older than itself and writes its own, so a
+replayed batch starts from the same state and replaces what it wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _filesystem(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Batches that have been written whole."""
+    fs, root = _filesystem(spark, path)
+    if not fs.exists(root):
+        return []
+    done = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and fs.exists(root.suffix(f"/{name}/_SUCCESS")):
+            done.append(int(name.split("=", 1)[1]))
+    return sorted(done)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Write (or replace) a batch's folder and read it back."""
+    target = f"{path}/batch_id={batch_id}"
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def read_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """The newest state older than ``batch_id``; empty if there is none."""
+    earlier = [b for b in batches(spark, path) if b < batch_id]
+    if not earlier:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={earlier[-1]}")
+
+
+def read_since(spark: SparkSession, path: str, first: int, last: int, schema: str) -> DataFrame:
+    """The rows of the batches ``first`` to ``last``."""
+    paths = [f"{path}/batch_id={b}" for b in batches(spark, path) if first <= b <= last]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def forget_before(spark: SparkSession, path: str, batch_id: int, keep: int) -> None:
+    """Remove state folders that no replay can ask for."""
+    fs, root = _filesystem(spark, path)
+    for b in [b for b in batches(spark, path) if b < batch_id][:-keep]:
+        fs.delete(root.suffix(f"/batch_id={b}"), True)
