@@ -1,14 +1,13 @@
-"""Row-level classification of HTTP requests (pure Column expressions).
+"""Row-level classification of HTTP requests, as Spark SQL text.
 
 Everything here is a built-in Catalyst expression, so it stays inside
-whole-stage codegen and works identically on batch and streaming frames.
+whole-stage codegen and works identically on batch and streaming frames.  As
+text, a whole select list costs one call into the JVM; ``F.expr`` makes a
+Column of it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # ---------------------------------------------------------------------------
 # URL classes, checked in this order, first match wins.
 # Each entry is (kind, patterns, url_type); kind "exact" compares the whole
@@ -42,81 +41,18 @@ TINY_RESPONSE_MAX_BYTES = 128
 ERROR_CATEGORIES = ("4xx", "5xx")
 
 
-def request_path(url: Column) -> Column:
-    """Text before the first '?'; null stays null, '?a=1' gives ''."""
-    return F.split(url, r"\?").getItem(0)
-
-
-def url_type(path: Column) -> Column:
-    """Ordered CASE over URL_TYPE_RULES; a null path falls through to other_url."""
-    expr = None
-    for kind, patterns, label in URL_TYPE_RULES:
-        if kind == "exact":
-            cond = path.isin(*patterns)
-        else:
-            cond = None
-            for p in patterns:
-                c = path.startswith(p)
-                cond = c if cond is None else (cond | c)
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr.otherwise(OTHER_URL)
-
-
-def status_category(code: Column) -> Column:
-    return (
-        F.when(code.between(200, 299), "2xx")
-        .when(code.between(400, 499), "4xx")
-        .when(code.between(500, 599), "5xx")
-        .otherwise("other")
-    )
-
-
-def in_class(traffic_class: str, utype: Column) -> Column:
-    """Boolean membership of a url_type in one of TRAFFIC_CLASSES (never null)."""
-    if traffic_class == "all":
-        return F.lit(True)
-    if traffic_class == "scan_only":
-        return utype.isin(*SCAN_TYPES)
-    if traffic_class == "non_scan":
-        return ~utype.isin(*SCAN_TYPES)
-    if traffic_class == "non_scan_non_search":
-        return ~utype.isin(*(SCAN_TYPES + SEARCH_TYPES))
-    if traffic_class == "search_focus":
-        return utype.isin(*SEARCH_FOCUS_TYPES)
-    raise ValueError(f"unknown traffic class {traffic_class!r}")
-
-
-def is_error(category: Column) -> Column:
-    return F.coalesce(category.isin(*ERROR_CATEGORIES), F.lit(False))
-
-
-def is_timeout_like(code: Column) -> Column:
-    return F.coalesce(code.isin(*TIMEOUT_LIKE_CODES), F.lit(False))
-
-
-def is_tiny_response(size: Column) -> Column:
-    """response_size <= 128; a null size is not tiny."""
-    return F.coalesce(size <= TINY_RESPONSE_MAX_BYTES, F.lit(False))
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den when den > 0 else 0.0 (ANSI-safe: no division by zero)."""
-    return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
-
-
-# ---------------------------------------------------------------------------
-# The same expressions as Spark SQL text.  Hot paths build their projections
-# from these so that a whole select list costs one call into the JVM instead
-# of one per Column node; Catalyst sees the identical expressions.
-# ---------------------------------------------------------------------------
-
-
 def sql_str(value: str) -> str:
     """A Spark SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def request_path_sql(url: str) -> str:
+    """Text before the first '?'; null stays null, '?a=1' gives ''."""
+    return rf"split({url}, '\\?')[0]"
+
+
 def url_type_sql(path: str) -> str:
+    """Ordered CASE over URL_TYPE_RULES; a null path falls through to other_url."""
     branches = []
     for kind, patterns, label in URL_TYPE_RULES:
         if kind == "exact":
@@ -139,6 +75,7 @@ def _in_list(col: str, values) -> str:
 
 
 def in_class_sql(traffic_class: str, utype: str) -> str:
+    """Membership of a url_type in one of TRAFFIC_CLASSES (never null)."""
     if traffic_class == "all":
         return "true"
     if traffic_class == "scan_only":
@@ -161,8 +98,10 @@ def is_timeout_like_sql(code: str) -> str:
 
 
 def is_tiny_response_sql(size: str) -> str:
+    """response_size <= 128; a null size is not tiny."""
     return f"coalesce({size} <= {TINY_RESPONSE_MAX_BYTES}, false)"
 
 
 def safe_ratio_sql(num: str, den: str) -> str:
+    """num / den when den > 0 else 0.0 (ANSI-safe: no division by zero)."""
     return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0D END"

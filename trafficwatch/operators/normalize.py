@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from trafficwatch.functions.classify import status_category_sql, url_type_sql
+from trafficwatch.functions.classify import request_path_sql, status_category_sql, url_type_sql
 
 _MAX_MILLIS = 2**63 // 1000 - 1  # a TIMESTAMP holds microseconds in 64 bits
-_PATH = r"split(request_url, '\\?')[0]"
+_PATH = request_path_sql("request_url")
 
 
 def normalize(raw: DataFrame) -> DataFrame:

@@ -25,15 +25,11 @@ from pyspark.sql import functions as F
 
 from trafficwatch.functions.classify import (
     TRAFFIC_CLASSES,
-    in_class,
     in_class_sql,
-    is_error,
     is_error_sql,
-    is_timeout_like,
     is_timeout_like_sql,
-    is_tiny_response,
     is_tiny_response_sql,
-    safe_ratio,
+    safe_ratio_sql,
     sql_str,
     url_type_sql,
 )
@@ -65,42 +61,34 @@ def _distinct(col: Column, exact: bool) -> Column:
     return F.size(F.collect_set(col)).cast("long") if exact else F.approx_count_distinct(col)
 
 
-def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+def _count_if(cond: str) -> Column:
+    return F.expr(f"CAST(sum(IF({cond}, 1, 0)) AS BIGINT)")
 
 
 def source_window_aggs(exact: bool = False) -> list[Column]:
     """The 18 per-source measures as aggregate expressions over normalised rows."""
-    utype = F.col("url_type")
-    path = F.col("request_path")
-    err = is_error(F.col("status_category"))
+    error = is_error_sql("status_category")
     counts, uniques, errors = [], [], []
     for c in TRAFFIC_CLASSES:
-        member = in_class(c, utype)
-        if c == "all":
-            counts.append(F.count(F.lit(1)).alias("request_count_all"))
-            uniques.append(_distinct(path, exact).alias("unique_path_count_all"))
-        else:
-            counts.append(_count_if(member).alias(f"request_count_{c}"))
-            uniques.append(_distinct(F.when(member, path), exact).alias(f"unique_path_count_{c}"))
-        errors.append(_count_if(member & err).alias(f"error_count_{c}"))
-    return (
-        counts
-        + uniques
-        + [_distinct(F.col("method"), exact).alias("method_variety")]
-        + errors
-        + [
-            _count_if(is_timeout_like(F.col("status_code"))).alias("timeout_like_count_all"),
-            _count_if(is_tiny_response(F.col("response_size"))).alias("tiny_response_count_all"),
-        ]
-    )
+        member = in_class_sql(c, "url_type")
+        counts.append(_count_if(member).alias(f"request_count_{c}"))
+        uniques.append(_distinct(F.expr(f"IF({member}, request_path, NULL)"), exact).alias(f"unique_path_count_{c}"))
+        errors.append(_count_if(f"{member} AND {error}").alias(f"error_count_{c}"))
+    return [
+        *counts,
+        *uniques,
+        _distinct(F.col("method"), exact).alias("method_variety"),
+        *errors,
+        _count_if(is_timeout_like_sql("status_code")).alias("timeout_like_count_all"),
+        _count_if(is_tiny_response_sql("response_size")).alias("tiny_response_count_all"),
+    ]
 
 
 def path_window_aggs(exact: bool = False) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("path_request_count"),
         _distinct(F.col("src_ip"), exact).alias("unique_src_ip"),
-        _count_if(is_error(F.col("status_category"))).alias("path_error_count"),
+        _count_if(is_error_sql("status_category")).alias("path_error_count"),
     ]
 
 
@@ -129,7 +117,7 @@ def path_windows(df: DataFrame, spec: WindowSpec, exact: bool = False) -> DataFr
         F.lit(spec.label).alias("window_size"),
         "request_path",
         *PATH_MEASURES,
-        safe_ratio(F.col("path_error_count"), F.col("path_request_count")).alias("path_error_ratio"),
+        F.expr(safe_ratio_sql("path_error_count", "path_request_count")).alias("path_error_ratio"),
     )
 
 
@@ -381,6 +369,6 @@ def path_windows_exact(df: DataFrame, spec: WindowSpec) -> DataFrame:
         "window_size",
         "request_path",
         *PATH_MEASURES,
-        safe_ratio(F.col("path_error_count"), F.col("path_request_count")).alias("path_error_ratio"),
+        F.expr(safe_ratio_sql("path_error_count", "path_request_count")).alias("path_error_ratio"),
     )
 
