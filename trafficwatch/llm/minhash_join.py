@@ -9,8 +9,9 @@ enough that two nodes matching in ``least_matches`` coordinates meet in it.
    pairs below the match threshold dropped, the rest confirmed on full sets).
 2. Lists whose nodes are now in one component are skipped.  In the others the
    nodes outside the leader's component are compared with all nodes of other
-   components in blocks of bounded size; a pair counts at its first shared
-   coordinate only.  Confirmed pairs join the links.
+   components in blocks of bounded size: by signature, at a pair's first shared
+   coordinate only, then on the full sets.  A block skips pairs whose components
+   it has already joined, and returns the links that join them.
 
 Lists of any length are handled; nothing is capped.  With the defaults a pair
 of similarity 0.8 meets with a probability above 1 - 1e-8.
@@ -120,22 +121,23 @@ def stored_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return shared.materialize(chosen.mapInArrow(run, "node long, shingles binary"), "shingle-sets", batch_rows=1024)
 
 
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= percent * (len(both) - common)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` with 100 * intersection >= percent * union on the full sets."""
+    """The (u, v) of ``pairs`` whose full sets are similar enough."""
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for k in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), "<u8") for c in (2, 3))
-                least, most = min(len(a), len(b)), max(len(a), len(b))
-                if 100 * least < percent * most:
-                    keep.append(False)
-                    continue
-                both = np.sort(np.concatenate([a, b]))
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            a, b = ([np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(c)] for c in (2, 3))
+            keep = pa.array([alike(x, y, percent) for x, y in zip(a, b)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(keep)
 
     first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
@@ -158,41 +160,68 @@ def similar_enough(rows: int, least_matches: int, least_raw: int):
     return run
 
 
-def compare_lists(rows: int, least_matches: int, least_raw: int):
-    """Pairs (u, v) across components from rows sorted by (key, block)."""
+class _Union:
+    """Components of one block, joined as links are found."""
+
+    def __init__(self, component: np.ndarray):
+        self.group = np.unique(component, return_inverse=True)[1]
+
+    def join(self, a: int, b: int) -> None:
+        self.group[self.group == self.group[a]] = self.group[b]
+
+
+def compare_lists(rows: int, least_matches: int, least_raw: int, percent: int):
+    """Links (u, v) across components from rows sorted by (key, block).
+
+    A block's links are a forest over its components: once two are joined, no
+    more of their pairs are looked at.
+    """
 
-    def pairs(part: pa.Table):
-        node, component = part["node"].to_numpy(), part["component"].to_numpy()
+    def links(part: pa.Table):
+        node = part["node"].to_numpy()
         home, outside = part["home"].to_numpy(zero_copy_only=False), part["outside"].to_numpy(zero_copy_only=False)
-        at = part["at"][0].as_py()
+        at, joined = part["at"][0].as_py(), _Union(part["component"].to_numpy())
         raw = np.frombuffer(b"".join(part["raw"].to_pylist()), "<u2").reshape(len(node), -1)
+        sets = part["shingles"].combine_chunks()
         own = np.flatnonzero(home)
         for k in np.flatnonzero(outside):
-            rest = own[(component[own] != component[k]) & ~(outside[own] & (node[own] <= node[k]))]
+            rest = own[(joined.group[own] != joined.group[k]) & ~(outside[own] & (node[own] <= node[k]))]
             if not len(rest):
                 continue
             same = raw[rest] == raw[k]
-            close = same.sum(1) >= least_raw
-            rest, whole = rest[close], same[close].reshape(int(close.sum()), raw.shape[1] // rows, rows).all(2)
-            rest = rest[(whole.sum(1) >= least_matches) & ~whole[:, :at].any(1)]
-            if len(rest):
-                yield np.minimum(node[k], node[rest]), np.maximum(node[k], node[rest])
+            total = same.sum(1)
+            close = total >= least_raw
+            rest, total, whole = rest[close], total[close], same[close].reshape(int(close.sum()), raw.shape[1] // rows, rows).all(2)
+            meets = (whole.sum(1) >= least_matches) & ~whole[:, :at].any(1)
+            mine = np.frombuffer(sets[k].as_buffer(), "<u8")
+            for other in rest[meets][np.argsort(-total[meets], kind="stable")].tolist():
+                if joined.group[other] != joined.group[k] and alike(mine, np.frombuffer(sets[other].as_buffer(), "<u8"), percent):
+                    joined.join(k, other)
+                    yield int(min(node[k], node[other])), int(max(node[k], node[other]))
+
+    def found(part: pa.Table):
+        if part.num_rows > 1:
+            pairs = list(links(part))
+            if pairs:
+                u, v = zip(*pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     def run(batches):
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            key, block = held["key"].to_numpy(), held["block"].to_numpy()
+            key, block = batch.column("key").to_numpy(), batch.column("block").to_numpy()
             cut = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
-            for a, b in zip(np.append(0, cut[:-1]), cut):
-                for u, v in pairs(held.slice(a, b - a)):
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-            if len(cut):
-                held = held.slice(cut[-1])
-        if held is not None and held.num_rows:
-            for u, v in pairs(held):
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            if held and batch.num_rows and (held[-1]["key"][-1].as_py(), held[-1]["block"][-1].as_py()) != (key[0], block[0]):
+                yield from found(pa.Table.from_batches(held))
+                held = []
+            begin = 0
+            for c in cut.tolist():
+                yield from found(pa.Table.from_batches([*held, batch.slice(begin, c - begin)]))
+                held, begin = [], c
+            if batch.num_rows:
+                held.append(batch.slice(begin))
+        if held:
+            yield from found(pa.Table.from_batches(held))
 
     return run
 
@@ -239,10 +268,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         "key", "at", "node", "component", (F.col("component") != F.col("_own")).alias("outside"), F.pmod(F.xxhash64("node"), blocks).alias("_home"), blocks.alias("_blocks")
     )
     rest = rest.withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_home"))))
-    rest = rest.withColumn("home", F.col("block") == F.col("_home")).join(raws, "node")
-    rest = rest.select("key", "block", "at", "node", "component", "outside", "home", "raw").repartition("key", "block").sortWithinPartitions("key", "block")
-    more = shared.materialize(rest.mapInArrow(compare_lists(rows, least_matches, least_raw), "u long, v long").distinct(), "list-pairs")
-    found = components(links.unionByName(confirmed(more, sets, percent)))
+    rest = rest.withColumn("home", F.col("block") == F.col("_home")).join(raws, "node").join(sets, "node")
+    rest = rest.select("key", "block", "at", "node", "component", "outside", "home", "raw", "shingles").repartition("key", "block").sortWithinPartitions("key", "block")
+    more = rest.mapInArrow(compare_lists(rows, least_matches, least_raw, percent), "u long, v long").distinct()
+    found = components(links.unionByName(shared.materialize(more, "list-links", batch_rows=512)))
 
     out = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     component = F.coalesce("component", "doc_id")
