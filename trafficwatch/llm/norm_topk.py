@@ -150,7 +150,7 @@ def _stack(table: pa.Table | pa.RecordBatch, dim: int, rows: np.ndarray) -> np.n
 
 
 def search_block(stored: DataFrame, block: pa.Table, k: int, bucket_rows: int, seeds: pa.Table) -> DataFrame:
-    """Each partition's best k candidates of every query in the block: query_id, vec_id, score."""
+    """Each partition's best k candidates of every query in the block, stored: query_id, vec_id, score."""
     spark = stored.sparkSession
 
     def blocks() -> dict[int, Block]:
@@ -186,7 +186,9 @@ def search_block(stored: DataFrame, block: pa.Table, k: int, bucket_rows: int, s
         for b in own.values():
             yield pa.RecordBatch.from_arrays([pa.array(b.ids[b.top[:, 0]]), pa.array(b.top[:, 1]), pa.array(b.top[:, 2])], names=["query_id", "vec_id", "score"])
 
-    return stored.mapInArrow(run, _HITS)
+    hits = shared.materialize(stored.mapInArrow(run, _HITS), "hits")
+    sent.unpersist()
+    return hits
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block_rows: int = 4096, bucket_rows: int = 1024, seed_rows: int = 1024) -> DataFrame:

@@ -7,7 +7,6 @@ can read it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -25,12 +24,7 @@ _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder path below ``spark.checkpoint.dir``; local masters get their own when it is unset."""
-    fallback = None
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        fallback = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{checkpoint_dir(spark, fallback).rstrip('/')}/llm-{uuid.uuid4().hex}-{tag}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}-{tag}"
 
 
 def materialize(df: DataFrame, tag: str, batch_rows: int | None = None) -> DataFrame:
