@@ -15,7 +15,7 @@ from trafficwatch.llm import lang_crf, line_windows, minhash_join, packing, phra
 from trafficwatch.llm.queries import table
 
 #: Shares of a text's words below which its language is taken as undecided.
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
