@@ -96,16 +96,17 @@ def test_alert_stream_keeps_late_and_repeated_records_right(spark, scratch):
         # late by 31 s: another digest key's first alert, and a repeat of a claimed key
         [("c", alert_value("3", end, "scanning"), 70.0), ("a", alert_value("1", end), 71.0), ("w", alert_value("9", end, severity="warning"), 104.0)],
         [("d", alert_value("4", end), 95.0), ("a", alert_value("1", end), 500.0)],
+        [("n", alert_value("5", end, "flood"), None), ("a", alert_value("1", end), None)],
     ]
     config = AlertConfig()
     folder = run_alerts(spark, scratch, groups, config)
     counts = {r[0]: r[1] for r in outcome_counts(spark, folder).collect()}
-    assert counts == {"accepted": 5, "duplicate": 2, "invalid": 1, "skipped_severity": 1}
-    assert sorted(r.dedupe_key for r in accepted_alerts(spark, folder).collect()) == ["a", "a", "b", "c", "d"]
+    assert counts == {"accepted": 7, "duplicate": 2, "invalid": 1, "skipped_severity": 1}
+    assert sorted(r.dedupe_key for r in accepted_alerts(spark, folder).collect()) == ["a", "a", "a", "b", "c", "d", "n"]
     found = sent_digests(spark, folder).unionByName(open_digests(spark, folder, config)).collect()
     # nothing is lost: the late alert of the open digest joins it, the late key has a digest of its own
-    got = sorted((r.attack_type, r.opened_at.timestamp(), r.alerts, tuple(r.ips)) for r in found)
-    assert got == [("botnet", 100.0, 3, ("4", "1", "2")), ("botnet", 500.0, 1, ("1",)), ("scanning", 70.0, 1, ("3",))]
+    got = sorted((r.attack_type, r.opened_at.timestamp() if r.opened_at else 0, r.alerts, tuple(r.ips)) for r in found)
+    assert got == [("botnet", 0, 1, ("1",)), ("botnet", 100.0, 3, ("4", "1", "2")), ("botnet", 500.0, 1, ("1",)), ("flood", 0, 1, ("5",)), ("scanning", 70.0, 1, ("3",))]
 
 
 def test_digests_off_send_every_alert_alone(spark, scratch):

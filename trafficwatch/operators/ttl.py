@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.session import ship_package
@@ -176,19 +176,20 @@ def dedupe_ttl(df: DataFrame, key: Column, time: Column, ttl_seconds: float, tie
     a number); of rows that repeat wholly one is taken.  Rows without a time
     can't be placed in the chain and are never suppressed.  Only rows matching
     ``where`` take part; the others get a null ``is_duplicate``.  ``df`` is
-    read twice (claims, then the probe) and rows are told apart by their place
-    in it, so store it first if it is not a plain scan.
+    read twice (claims, then the probe), so store an expensive input first.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_k", key.cast("string"))
-    rows = rows.withColumn("_t", F.unix_micros(time.cast("timestamp"))).withColumn("_tie", F.struct(tie.alias("tie"), "_row"))
+    rows = df.withColumn("_k", key.cast("string")).withColumn("_t", F.unix_micros(time.cast("timestamp"))).withColumn("_tie", tie)
     rows = rows.withColumn("_in", F.lit(True) if where is None else F.coalesce(where, F.lit(False)))
     claims = ttl_claims(df if where is None else df.filter(where), key, time, ttl_seconds).filter("claimed")
-    first = rows.filter(F.col("_in") & F.col("_t").isNotNull()).groupBy("_k", "_t").agg(F.min("_tie").alias("_first"))
     won = claims.select(F.col("k").alias("_ck"), F.col("t_us").alias("_ct"))
-    won = won.join(first, F.col("_ck").eqNullSafe(F.col("_k")) & (F.col("_ct") == F.col("_t"))).select("_ck", "_ct", "_first")
     out = rows.join(won, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_t") == F.col("_ct")), "left")
-    lost = F.col("_t").isNotNull() & ~F.coalesce(F.col("_tie") == F.col("_first"), F.lit(False))
-    return out.withColumn("is_duplicate", F.when(F.col("_in"), lost)).drop("_row", "_k", "_t", "_tie", "_in", "_ck", "_ct", "_first")
+    # rows that can't win need no ranking: they stay spread
+    can = F.col("_in") & F.col("_ct").isNotNull()
+    out = out.withColumn("_spread", F.when(can, -1).otherwise(F.spark_partition_id()))
+    rank = F.row_number().over(Window.partitionBy("_k", "_t", "_spread").orderBy(~F.col("_in"), "_tie"))
+    out = out.withColumn("_won", can & (rank == 1))
+    judged = F.when(F.col("_in"), F.col("_t").isNotNull() & ~F.col("_won"))
+    return out.withColumn("is_duplicate", judged).drop("_k", "_t", "_tie", "_in", "_ck", "_ct", "_spread", "_won")
 
 
 def assign_first_arrival(df: DataFrame, key: Column, time: Column, window_seconds: float) -> DataFrame:

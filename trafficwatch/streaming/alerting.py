@@ -67,7 +67,7 @@ def judge(records: DataFrame, claims: DataFrame, config: AlertConfig) -> DataFra
     rows = records.withColumn("dedupe_key", F.when(valid, message_key(F.col("key"))))
     gated = valid & (severity_rank_of(F.col("severity")) >= F.lit(min_rank(config.min_severity)))
     rows = rows.withColumn("_gated", gated).join(claims, F.col("dedupe_key") == F.col("k"), "left").drop("k")
-    rows = rows.withColumn("_at", F.greatest("arrival", "claim")).withColumn("_old", F.lit(0)).drop("claim")
+    rows = rows.withColumn("_at", F.when(F.col("arrival").isNotNull(), F.greatest("arrival", "claim"))).withColumn("_old", F.lit(0)).drop("claim")
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in ("dedupe_key", "_gated", "_at", "_old")]
     # the last claim itself takes part, ahead of the batch's rows of its time
     seeds = claims.select(*blank, F.col("k").alias("dedupe_key"), F.lit(True).alias("_gated"), F.col("claim").alias("_at"), F.lit(-1).alias("_old"))
@@ -109,7 +109,7 @@ def handle_digests(spark: SparkSession, folder: AlertFolder, accepted: DataFrame
     was_open = read_before(spark, folder.state("open"), batch_id, _OPEN)
     same = [F.col(f"r.{c}") == F.col(f"o.{c}") for c in DIGEST_KEY]
     rows = rows.alias("r").join(was_open.select(*DIGEST_KEY, F.col("opened_at").alias("_open")).alias("o"), same, "left").select("r.*", "_open")
-    rows = rows.withColumn("_at", F.greatest("arrival", "_open")).withColumn("_row", F.lit(True)).drop("_open")
+    rows = rows.withColumn("_at", F.when(F.col("arrival").isNotNull(), F.greatest("arrival", "_open"))).withColumn("_row", F.lit(True)).drop("_open")
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (*DIGEST_KEY, "_at", "_row")]
     seeds = was_open.select(*DIGEST_KEY, *blank, F.col("opened_at").alias("_at"), F.lit(False).alias("_row"))
     placed = assign_first_arrival(rows.unionByName(seeds), digest_key(), F.col("_at"), config.batch_window_seconds)
@@ -122,7 +122,7 @@ def handle_digests(spark: SparkSession, folder: AlertFolder, accepted: DataFrame
     over = F.lit(False)
     if now is not None:
         over = F.col("opened_at") + F.make_dt_interval(secs=F.lit(config.batch_window_seconds)) <= F.lit(now)
-    closed = F.coalesce((F.col("opened_at") < F.col("_last")) | over, F.lit(False))
+    closed = F.coalesce((F.col("opened_at") < F.col("_last")) | over, F.lit(True))  # without times: sent with its batch
     known = write_batch(known.withColumn("closed", closed).drop("_last"), folder.state("known"), batch_id)
     write_batch(known.filter("not closed").drop("closed"), folder.state("open"), batch_id)
     write_batch(_collected(spark, folder, known.filter("closed"), batch_id, config), folder.digests, batch_id)
