@@ -79,7 +79,7 @@ def replay_detection(
     return latest_emission(read_alerts(spark, f"{base}/store").drop("alert_key", "@timestamp", "alert_date"))
 
 
-def replay_alerting(spark: SparkSession, messages: DataFrame, config: AlertConfig = AlertConfig(), chunks: int = 5, digests: bool = True) -> AlertFolder:
+def replay_alerting(spark: SparkSession, messages: DataFrame, config: AlertConfig = AlertConfig(), chunks: int = 3, digests: bool = True) -> AlertFolder:
     """Alert records (key, value, arrival) -> files -> the streaming alert job; returns its folder."""
     base = scratch_path(spark, "replay")
     write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks)
