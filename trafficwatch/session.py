@@ -122,8 +122,8 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``trafficwatch`` importable in Python workers (once per application).
 
-    Operators that run Python inside tasks (``mapInPandas``,
-    ``applyInPandasWithState``) pickle functions by module reference, so the
+    Operators that run Python inside tasks (``applyInArrow``,
+    ``mapInArrow``) pickle functions by module reference, so the
     executors need the package - the ``--py-files`` mechanism, done lazily.
     A deployment that already ships the package may skip this.
     """
