@@ -34,8 +34,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class (five-word shingles, similarity 0.8 or more)."""
-    classes = minhash_join.near_duplicates(docs, words=5, percent=80)
-    dropped = shared.materialize(classes.filter("not kept").select("doc_id").distinct(), "near-dropped")
+    path = shared.shared_dir(spark, "near-dropped")
+    with shared.temporary(spark):
+        classes = minhash_join.near_duplicates(docs, words=5, percent=80)
+        dropped = shared.materialize(classes.filter("not kept").select("doc_id").distinct(), "near-dropped", path=path)
     kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
     repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     repeated = shared.materialize(repeated, "repeated-ids")
@@ -47,8 +49,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten-word window of a benchmark item."""
-    found = phrase_index.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    found = shared.materialize(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "contaminated")
+    path = shared.shared_dir(spark, "contaminated")
+    with shared.temporary(spark):
+        found = phrase_index.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
+        found = shared.materialize(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "contaminated", path=path)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__key"))
     return docs.join(found, same, "left_anti").select(*docs.columns)
 

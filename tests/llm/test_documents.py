@@ -7,7 +7,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline

@@ -130,7 +130,7 @@ class Crf:
         ids, n = word_features(words, self.bits)
         return np.add.reduceat(self.weights[ids], np.cumsum(n) - n, axis=0) if len(words) else np.zeros((0, len(self.labels)), np.float32)
 
-    def _lookup(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 1_500_000) -> np.ndarray:
+    def _lookup(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 500_000) -> np.ndarray:
         """Emission row of each word; distinct words are scored once per worker."""
         keys, first, where = np.unique(span_keys(low, starts, ends - starts), return_index=True, return_inverse=True)
         if len(self.known) + len(keys) > most:

@@ -46,7 +46,7 @@ def shard_columns(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes, b
     return terms.astype("<u8").tobytes(), per.astype("<u4").tobytes(), delta.astype("<u4").tobytes()
 
 
-def build_index(docs: DataFrame, shard_bytes: int = shared.CHUNK_BYTES) -> DataFrame:
+def build_index(docs: DataFrame, shard_bytes: int = 2 << 20) -> DataFrame:
     """The stored index of ``docs`` (doc_id, text); one row per shard."""
     shared.with_python(docs.sparkSession)
 

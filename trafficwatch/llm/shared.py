@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +19,41 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficwatch.session import checkpoint_dir, ship_package
 
 #: Bytes of text that one numpy pass works on.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+_TEMPORARY: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder path below ``spark.checkpoint.dir``; local masters get their own when it is unset."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}-{tag}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}-{tag}"
+    if _TEMPORARY:
+        _TEMPORARY[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Removes the folders that operators make inside, once what they were for is stored elsewhere."""
+    _TEMPORARY.append([])
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY.pop():
+            root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def materialize(df: DataFrame, tag: str, batch_rows: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, tag: str, batch_rows: int | None = None, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
     ``batch_rows``: rows per Arrow batch while it is computed, for wide rows.
+    ``path``: a folder from ``shared_dir``, by default a new one.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, tag)
+    path = path or shared_dir(spark, tag)
     before = spark.conf.get(_BATCH_ROWS)
     if batch_rows:
         spark.conf.set(_BATCH_ROWS, str(batch_rows))

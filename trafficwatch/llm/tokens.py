@@ -63,7 +63,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class WordEncoder:
     """Ids of whole texts; ``max_words`` bounds the kept units (then it starts afresh)."""
 
-    def __init__(self, path: str, max_words: int = 2_000_000):
+    def __init__(self, path: str, max_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
