@@ -99,6 +99,21 @@ def test_near_groups_and_chains(spark):
     assert near(spark, rows, words=4, block_nodes=16) == expected
 
 
+def test_near_star_of_long_texts(spark):
+    """Copies that resemble one long text, but not each other; that text has the greatest id."""
+    rng = random.Random(5)
+    rows = []
+    for group in range(4):
+        base = [f"v{rng.randrange(10**7)}" for _ in range(20_000)]
+        for k in range(9):
+            changed = [f"x{rng.randrange(10**7)}" for _ in range(2_000)]
+            rows.append((100 * group + k, " ".join(base[: k * 2_000] + changed + base[(k + 1) * 2_000 :])))
+        rows.append((100 * group + 50, " ".join(base)))
+    expected = sorted((i, *x) for i, x in brute.classes(rows, 4).items())
+    assert {x[2] for x in expected} == {0, 100, 200, 300}
+    assert near(spark, rows, words=4) == expected
+
+
 def test_near_awkward_rows(spark):
     text = "one two three four five six"
     got = {r for r in map(tuple, ([i, n, c, k] for i, n, c, k in near_rows(spark, [(5, text), (3, text.upper()), (3, "other words stand here today now"), (9, "other words stand here today now"), (7, None), (7, None), (8, ""), (None, text)])))}

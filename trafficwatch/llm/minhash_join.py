@@ -10,7 +10,7 @@ enough that two nodes matching in ``least_matches`` coordinates meet in it.
 2. Lists whose nodes are now in one component are skipped.  In the others the
    nodes outside the leader's component are compared with all nodes of other
    components in blocks of bounded size: by signature, at a pair's first shared
-   coordinate only, then on the full sets.  A block skips pairs whose components
+   posted value only, then on the full sets.  A block skips pairs whose components
    it has already joined, and returns the links that join them.
 
 Lists of any length are handled; nothing is capped.  With the defaults a pair
@@ -182,6 +182,8 @@ def compare_lists(rows: int, least_matches: int, least_raw: int, percent: int):
         home, outside = part["home"].to_numpy(zero_copy_only=False), part["outside"].to_numpy(zero_copy_only=False)
         at, joined = part["at"][0].as_py(), _Union(part["component"].to_numpy())
         raw = np.frombuffer(b"".join(part["raw"].to_pylist()), "<u2").reshape(len(node), -1)
+        # the posted values themselves: hashes cut to 16 bits also agree by chance
+        earlier = part["posts"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :at]
         sets = part["shingles"].combine_chunks()
         own = np.flatnonzero(home)
         for k in np.flatnonzero(outside):
@@ -192,7 +194,7 @@ def compare_lists(rows: int, least_matches: int, least_raw: int, percent: int):
             total = same.sum(1)
             close = total >= least_raw
             rest, total, whole = rest[close], total[close], same[close].reshape(int(close.sum()), raw.shape[1] // rows, rows).all(2)
-            meets = (whole.sum(1) >= least_matches) & ~whole[:, :at].any(1)
+            meets = (whole.sum(1) >= least_matches) & ~(earlier[rest] == earlier[k]).any(1)
             mine = np.frombuffer(sets[k].as_buffer(), "<u8")
             for other in rest[meets][np.argsort(-total[meets], kind="stable")].tolist():
                 if joined.group[other] != joined.group[k] and alike(mine, np.frombuffer(sets[other].as_buffer(), "<u8"), percent):
@@ -268,8 +270,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         "key", "at", "node", "component", (F.col("component") != F.col("_own")).alias("outside"), F.pmod(F.xxhash64("node"), blocks).alias("_home"), blocks.alias("_blocks")
     )
     rest = rest.withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_home"))))
-    rest = rest.withColumn("home", F.col("block") == F.col("_home")).join(raws, "node").join(sets, "node")
-    rest = rest.select("key", "block", "at", "node", "component", "outside", "home", "raw", "shingles").repartition("key", "block").sortWithinPartitions("key", "block")
+    rest = rest.withColumn("home", F.col("block") == F.col("_home")).join(nodes.select("node", "raw", "posts"), "node").join(sets, "node")
+    rest = rest.select("key", "block", "at", "node", "component", "outside", "home", "raw", "posts", "shingles").repartition("key", "block").sortWithinPartitions("key", "block")
     more = rest.mapInArrow(compare_lists(rows, least_matches, least_raw, percent), "u long, v long").distinct()
     found = components(links.unionByName(shared.materialize(more, "list-links", batch_rows=512)))
 
