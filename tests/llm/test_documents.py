@@ -121,6 +121,21 @@ def test_near_awkward_rows(spark):
     assert near_rows(spark, []) == []
 
 
+@pytest.mark.parametrize("n", [4, 5])
+@pytest.mark.parametrize("words", [1, 2, 3, 4, 5])
+def test_shingles_of_one_short_text(words, n):
+    data = np.frombuffer(" ".join("abcde"[:words]).encode(), np.uint8)
+    (own,) = minhash_join.shingle_sets(data, np.array([0, len(data)]), n)
+    assert len(own) == len(brute.shingles(" ".join("abcde"[:words]), n))
+
+
+@pytest.mark.parametrize("n", [4, 5])
+def test_near_table_of_one_short_text(spark, n):
+    for words in range(1, 6):
+        text = " ".join("abcde"[:words])
+        assert near(spark, [(7, text)], words=n) == [(7, len(brute.shingles(text, n)), 7, True)]
+
+
 def near_rows(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     return [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_join.near_duplicates(df).collect()]

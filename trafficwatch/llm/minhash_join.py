@@ -45,7 +45,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     n = len(keys)
     rolled = np.zeros(n, np.uint64)
     for k in range(words):
-        rolled[: n - k] += mix(keys[k:] + np.uint64((k + 1) * int(_GOLDEN) % 2**64))
+        rolled[: max(0, n - k)] += mix(keys[k:] + np.uint64((k + 1) * int(_GOLDEN) % 2**64))
     rolled = mix(rolled)
     ends = np.cumsum(counts)
     out = []
