@@ -1,5 +1,9 @@
 """Every registered query against its DuckDB statement (order-insensitive)."""
 
+import duckdb
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 
 from conftest import SF_SMALL
@@ -28,6 +32,21 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, f"{name}: {msg}"
 
 
+def test_latest_alerts_of_traffic_that_crosses_midnight(spark, scratch):
+    events = pq.read_table(f"{SF_SMALL}/events.parquet")
+    events = events.filter(pc.less(events["event_id"], 960))
+    midnight = 24 * 3600 * 200  # at 5 ms per event
+    days = [events.set_column(0, "event_id", pc.add(events["event_id"], midnight + shift)) for shift in (-960, 0)]
+    pq.write_table(pa.concat_tables(days), f"{scratch}/events.parquet")
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{scratch}/events.parquet')")
+    got = QUERIES["latest_alerts"](spark, scratch)
+    assert got.select("alert_date").distinct().count() == 2
+    ok, msg = compare(got, con, ORACLE["latest_alerts"])
+    assert ok, msg
+
+
 def test_entry(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()

@@ -211,9 +211,8 @@ def q_alert_text(spark, sf_dir):
 
 
 def q_latest_alerts(spark, sf_dir):
-    """The upsert view of the newest day's records."""
-    rows = store(spark, sf_dir)
-    return as_ntz(latest_alerts(rows.filter(F.col("alert_date") == F.to_date(_now(rows)))))
+    """The upsert view of every stored record: the newest row per date and key, of all dates."""
+    return as_ntz(latest_alerts(stored(spark, sf_dir)))
 
 
 def q_retained_alerts(spark, sf_dir):
