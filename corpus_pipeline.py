@@ -2,8 +2,8 @@
 
 Every stage judges all its predecessor kept and returns the columns of its
 input; the last returns the packed pieces.  Null texts go at the first stage.
-Rows without an id are never dropped as near duplicates; rows that repeat an
-id leave that stage as one.
+Rows without an id are never dropped as near duplicates; of the rows that share
+an id, those whose texts are alike leave that stage as one.
 """
 
 from __future__ import annotations
@@ -34,17 +34,24 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class (five-word shingles, similarity 0.8 or more)."""
-    path = shared.shared_dir(spark, "near-dropped")
+    path, again = shared.shared_dir(spark, "near-dropped"), shared.shared_dir(spark, "near-repeated")
     with shared.temporary(spark):
-        classes = minhash_join.near_duplicates(docs, words=5, percent=80)
-        dropped = shared.materialize(classes.filter("not kept").select("doc_id").distinct(), "near-dropped", path=path)
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = shared.materialize(repeated, "repeated-ids")
+        classes = minhash_join.near_classes(docs, words=5, percent=80).filter("doc_id is not null")
+        classes = shared.materialize(classes.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("component").alias("__class"), "kept"), "near-classes")
+        dropped = shared.materialize(classes.filter("not kept").select("__id", "__key").distinct(), "near-dropped", path=path)
+        several = classes.groupBy("__id").count().filter("count > 1")
+        repeated = classes.filter("kept").join(several, "__id", "left_semi").select("__id", "__key", "__class").distinct()
+        repeated = shared.materialize(repeated, "near-repeated", path=again)
+    key = minhash_join.text_key()
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (key == F.col("__key"))
+    kept = docs.join(dropped, same, "left_anti")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    # of an id's rows in one class the least: by the text's key, then by all columns
+    held = docs.join(repeated, same)
+    empty = F.col("__class").isNull()
+    once = held.groupBy("__id", "__class", F.when(empty, F.col("__key"))).agg(F.min(F.struct("__key", *docs.columns)).alias("__row"))
+    return kept.join(repeated, same, "left_anti").unionByName(once.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns]))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

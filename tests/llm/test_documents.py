@@ -136,6 +136,26 @@ def test_near_table_of_one_short_text(spark, n):
         assert near(spark, [(7, text)], words=n) == [(7, len(brute.shingles(text, n)), 7, True)]
 
 
+def test_near_rows_without_or_with_shared_ids(spark):
+    """Only like texts are linked: not rows that have no id, nor rows that share one."""
+    rng = random.Random(4)
+    a, b, c, d = ([f"{name}{k}" for k in range(60)] for name in "abcd")
+    text = lambda words: " ".join(words)
+    rows = [(5, text(a)), (9, text(b)), (None, text(a[1:])), (None, text(b[1:])), (None, text(b[1:])), (None, text(["e"] * 9)), (2**63 - 1, text(["f"] * 9))]
+    rows += [(3, text(c)), (3, text(d)), (2, text(d[1:])), (3, text(c[1:])), (3, text(c)), (3, ""), (3, "")]
+    rng.shuffle(rows)
+    expected = [(5, 57, 5, True), (9, 57, 9, True), (None, 56, 5, False), (None, 56, 9, False), (None, 56, 9, False), (None, 1, None, True), (2**63 - 1, 1, 2**63 - 1, True)]
+    expected += [(3, 57, 3, True), (3, 57, 2, False), (2, 56, 2, True), (3, 56, 3, True), (3, 57, 3, True), (3, 0, 3, True), (3, 0, 3, True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash_join.near_duplicates(df, words=4).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
+    left = [tuple(r) for r in corpus_pipeline.near_stage(spark, df, SF).collect()]
+    alike = [r for r in left if r in ((3, text(c)), (3, text(c[1:])))]
+    assert len(alike) == 1
+    always = [r for r in rows if r[0] != 3] + [(3, "")]
+    assert sorted(left, key=key) == sorted(always + alike, key=key)
+
+
 def near_rows(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     return [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_join.near_duplicates(df).collect()]

@@ -2,7 +2,7 @@
 
 A document's signature has ``coordinates`` values, each over ``rows`` min-wise
 hashes of its distinct word shingles.  Documents with equal sets become one
-node.  Nodes are posted under the (coordinate, value) pairs of a prefix long
+node, numbered when the nodes are stored.  Nodes are posted under the (coordinate, value) pairs of a prefix long
 enough that two nodes matching in ``least_matches`` coordinates meet in it.
 
 1. Each list's least node is compared with all others (collisions counted,
@@ -17,23 +17,24 @@ Lists of any length are handled; nothing is capped.  With the defaults a pair
 of similarity 0.8 meets with a probability above 1 - 1e-8.
 
 Defined results: null or empty text has an empty set and links with nothing;
-rows that share an id are one document (linked); a null id ranks after all
-others and is returned as null; an empty table gives no rows; other columns
-are ignored.
+rows are linked by their sets alone, so rows that share an id, or have none,
+are documents of their own where their texts differ; a class is named by its
+least id, null if none of its rows has one, and its rows with that id (or all,
+if none has one) are kept; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficwatch.llm import shared
 from trafficwatch.llm.components import components
 from trafficwatch.llm.words import NOT_BLANK, mix, word_keys
 
-_NO_ID = 2**63 - 1
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Nodes of a posting list that one comparison block holds.
 BLOCK_NODES = 2000
@@ -73,7 +74,7 @@ def min_hashes(sets: list[np.ndarray], multipliers: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, coordinates: int, rows: int, prefix: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, posts, raw) of every document, stored."""
+    """(doc_id, text_key, n_shingles, set_a, set_b, posts, raw) of every document, stored."""
     rng = np.random.default_rng(seed)
     multipliers = rng.integers(0, 2**63, coordinates * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -97,28 +98,41 @@ def signatures(docs: DataFrame, words: int, coordinates: int, rows: int, prefix:
             posts = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * prefix), pa.array(np.ascontiguousarray(value).ravel().view(np.int64)))
             raw = np.ascontiguousarray((low >> np.uint64(48)).astype("<u2"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)), posts, pa.array([r.tobytes() for r in raw], pa.binary())],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "posts", "raw"],
+                [batch.column(0), batch.column(2), pa.array(sizes), pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)), posts, pa.array([r.tobytes() for r in raw], pa.binary())],
+                names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "posts", "raw"],
             )
 
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, posts array<long>, raw binary"
+    schema = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, posts array<long>, raw binary"
     return shared.materialize(_rows(docs).mapInArrow(run, schema), "signatures", batch_rows=1024)
 
 
+def text_key() -> Column:
+    """What tells the texts of rows with one id apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), text_key().alias("text_key"))
 
 
 def stored_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the documents in ``nodes``: sorted 64-bit hashes."""
+    """(node, shingles) of ``nodes`` (node, doc_id, text_key, whether that row is repeated): sorted 64-bit hashes."""
 
     def run(batches):
         for batch in shared.by_bytes(batches, 1):
             sets = shingle_sets(*shared.utf8_buffers(batch.column(1)), words)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
-    chosen = _rows(docs).join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return shared.materialize(chosen.mapInArrow(run, "node long, shingles binary"), "shingle-sets", batch_rows=1024)
+    rows = _rows(docs)
+
+    def chosen(some: DataFrame) -> DataFrame:
+        same = (rows["text_key"] == some["text_key"]) & rows["doc_id"].eqNullSafe(some["doc_id"])
+        return rows.join(some, same).select("node", "text")
+
+    found = chosen(nodes.filter("not repeated"))
+    if not nodes.filter("repeated").isEmpty():
+        found = found.unionByName(chosen(nodes.filter("repeated")).dropDuplicates(["node"]))
+    return shared.materialize(found.mapInArrow(run, "node long, shingles binary"), "shingle-sets", batch_rows=1024)
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -228,8 +242,13 @@ def compare_lists(rows: int, least_matches: int, least_raw: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, rows: int = 3, least_matches: int = 2, seed: int = 11, block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links), kept (the least one)."""
+def near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id reachable by links), kept (the least one); parameters of ``near_classes``."""
+    return near_classes(docs, **parameters).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, rows: int = 3, least_matches: int = 2, seed: int = 11, block_nodes: int = BLOCK_NODES) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``text_key`` and ``component``, a number of the class (null for an empty set)."""
     spark = docs.sparkSession
     shared.with_python(spark)
     prefix = coordinates - least_matches + 1
@@ -239,7 +258,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     all_rows = signatures(docs, words, coordinates, rows, prefix, seed)
     same = ["set_a", "set_b", "n_shingles"]
     groups = all_rows.filter("n_shingles > 0").groupBy(*same)
-    nodes = shared.materialize(groups.agg(F.min("doc_id").alias("node"), F.first("posts").alias("posts"), F.first("raw").alias("raw")), "nodes")
+    # a row that holds the set, the least id first
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("least")
+    groups = groups.agg(least, F.first("posts").alias("posts"), F.first("raw").alias("raw"))
+    groups = groups.select(*same, "least.doc_id", "least.text_key", "posts", "raw", F.monotonically_increasing_id().alias("node"))
+    nodes = shared.materialize(groups, "nodes")
 
     posted = nodes.select("node", F.posexplode("posts").alias("at", "key"))
     lists = shared.materialize(posted.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
@@ -253,12 +276,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
         return shared.materialize(rows_.mapInArrow(similar_enough(rows, least_matches, least_raw), "u long, v long").distinct(), tag)
 
     candidates = screened(stars, "star-pairs")
-    sets = stored_sets(docs, posts.select("node").distinct(), words)
+    holders = nodes.join(posts.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_key")
+    counts = all_rows.groupBy("doc_id", "text_key").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.lit(True).alias("repeated"))
+    holders = holders.join(counts, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    holders = shared.materialize(holders.select("node", "doc_id", "text_key", F.coalesce("repeated", F.lit(False)).alias("repeated")), "holders")
+    sets = stored_sets(docs, holders, words)
     links = confirmed(candidates, sets, percent)
-    # rows of one id with different sets are one document
-    members = shared.materialize(all_rows.join(nodes.select(*same, "node"), same, "left").select("doc_id", "n_shingles", "node"), "members")
-    several = members.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("_most")).filter("u != _most")
-    links = links.unionByName(members.filter("node is not null").join(several, "doc_id").filter("u != node").select("u", F.col("node").alias("v")))
     found = components(links)
 
     named = posts.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -275,7 +298,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     more = rest.mapInArrow(compare_lists(rows, least_matches, least_raw, percent), "u long, v long").distinct()
     found = components(links.unionByName(shared.materialize(more, "list-links", batch_rows=512)))
 
-    out = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    component = F.coalesce("component", "doc_id")
-    hide = lambda c: F.when(c != _NO_ID, c)
-    return out.select(hide(F.col("doc_id")).alias("doc_id"), "n_shingles", hide(component).alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    # the least id of each class of several nodes
+    linked = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    names = linked.join(nodes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("_name"))
+    linked = linked.join(names, "component").withColumn("_several", F.lit(True))
+    named = nodes.select(*same, "node", F.col("doc_id").alias("_own")).join(linked, "node", "left")
+    named = named.select(*same, F.coalesce("component", "node").alias("component"), F.when(F.col("_several"), F.col("_name")).otherwise(F.col("_own")).alias("component_id"))
+    out = all_rows.select("doc_id", "text_key", *same).join(named, same, "left")
+    component_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "text_key", "n_shingles", "component", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
