@@ -217,6 +217,25 @@ def test_language_on_awkward_rows(spark, model, documents):
     assert lang_crf.label_documents(df.filter("false"), model).collect() == []
 
 
+def test_every_label_is_learned(spark):
+    """Forty languages, one of which has over-long texts only that begin without letters."""
+    rng = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:02}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(30)] for k in range(40)}
+    rows = []
+    for k, (lang, own) in enumerate(words.items()):
+        for d in range(9 if k else 40):
+            text = " ".join(rng.choice(own) for _ in range(40))
+            rows.append((1000 * k + d, "12 34 " * 40 + text * 6 if k == 7 else text, lang))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = lang_crf.train(df, longest_chars=600)
+    assert learned.labels == sorted(words)
+    assert learned.weights.size <= 16 << 18
+    got = {r.doc_id: r.lang_pred for r in lang_crf.label_documents(df, learned).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) > 0.98 * len(rows)
+    assert all(got[7000 + d] == "l07" for d in range(9))
+
+
 def test_word_labels_follow_switches(model, documents):
     """Code-switched text: the labels of the words change with the language."""
     pick = {}

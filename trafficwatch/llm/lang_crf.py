@@ -8,9 +8,11 @@ learned.  Prediction labels every word of every text: forward-backward gives
 each word's label probabilities, and a document gets the language with the
 largest share of its words, that share being its score.
 
-Bounds (parameters): ``per_language`` training documents of each of the
-``most_languages`` most frequent labels, of at most ``longest_chars``
-characters; chains of ``chain`` words.
+Every label that occurs on a row that may be learned from is learned.  Bounds
+(parameters): ``per_language`` training documents of each label, of longer
+texts the first ``longest_chars`` characters from the first letter on; chains
+of ``chain`` words.  With more than ``many`` labels each has fewer documents
+(20 at least) and the features fewer bits, so that the weights do not grow.
 
 Defined results: null text, or one without letters, is ``und`` with score 0;
 documents without a label, or with a null id, are never learned from; without
@@ -34,6 +36,8 @@ _WORD = byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 UNKNOWN = "und"
+#: Chain cells (chain, step, label) that one pass holds.
+_CELLS = 1 << 23
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -99,7 +103,7 @@ def forward_backward(emission: np.ndarray, alive: np.ndarray, transition: np.nda
     gamma = alpha * beta
     gamma /= gamma.sum(2, keepdims=True)
     into = local[:, 1:] * beta[:, 1:] / scale[:, 1:, None] * alive[:, 1:, None]
-    both = move * np.einsum("cti,ctj->ij", alpha[:, :-1], into)
+    both = move * (alpha[:, :-1].reshape(-1, labels).T @ into.reshape(-1, labels))
     log_z = ((np.log(scale) + top[:, :, 0]) * alive).sum(1)
     return gamma, both, log_z
 
@@ -132,6 +136,7 @@ class Crf:
 
     def _lookup(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 500_000) -> np.ndarray:
         """Emission row of each word; distinct words are scored once per worker."""
+        most = min(most, 16 * most // max(1, len(self.labels)))
         keys, first, where = np.unique(span_keys(low, starts, ends - starts), return_index=True, return_inverse=True)
         if len(self.known) + len(keys) > most:
             self._forget()
@@ -141,7 +146,8 @@ class Crf:
         if not hit.all():
             raw, rows = low.tobytes(), first[~hit]
             words = [raw[a:b] for a, b in zip(starts[rows].tolist(), ends[rows].tolist())]
-            score = [self.emissions(words[k : k + 20_000]) for k in range(0, len(words), 20_000)]
+            some = max(1, min(20_000, 16 * 20_000 // max(1, len(self.labels))))
+            score = [self.emissions(words[k : k + some]) for k in range(0, len(words), some)]
             at = len(self.known)
             self.known = np.insert(self.known, place[~hit], keys[~hit])
             self.slot = np.insert(self.slot, place[~hit], np.arange(at, at + len(words)))
@@ -164,8 +170,9 @@ class Crf:
         first = np.cumsum(size) - size
         alive = np.arange(self.chain)[None, :] < size[:, None]
         out = np.empty(score.shape, np.float64)
-        for k in range(0, len(size), 2048):
-            rows = slice(k, k + 2048)
+        some = max(1, min(2048, _CELLS // (self.chain * len(self.labels))))
+        for k in range(0, len(size), some):
+            rows = slice(k, k + some)
             begin, stop = int(first[rows][0]), int(first[rows][-1] + size[rows][-1])
             block = np.zeros((len(size[rows]), self.chain, len(self.labels)))
             block[alive[rows]] = score[begin:stop]
@@ -185,9 +192,11 @@ class Crf:
         return names, np.where(counts > 0, share.max(1), 0.0).clip(0, 1)
 
 
-def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: int = 40, rate: float = 0.3, decay: float = 1e-6, seed: int = 3) -> Crf:
+def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: int = 40, rate: float = 0.3, decay: float = 1e-6, seed: int = 3, many: int = 16) -> Crf:
     """Train on (text, language) rows by Adam on the regularised chain likelihood."""
     labels = sorted({lang for _, lang in rows})
+    while bits > 12 and len(labels) << bits > many << 18:
+        bits -= 1
     rng = np.random.default_rng(seed)
     vocabulary: dict[bytes, int] = {}
     chains: list[np.ndarray] = []
@@ -217,29 +226,38 @@ def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: in
     begin = np.cumsum(n) - n
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, transition, start)]
     batch = max(1, len(chains) // 4)
+    most = max(1, _CELLS // (chain * n_labels))
+    some = max(1, min(len(vocabulary), _CELLS // (16 * n_labels)))
+    parts = [(k, int(begin[k + some]) if k + some < len(begin) else len(ids)) for k in range(0, len(begin), some)]
     step = 0
     for _ in range(rounds):
         chosen = rng.choice(len(chains), batch, replace=False)
-        size = np.array([len(chains[k]) for k in chosen])
-        alive = np.arange(chain)[None, :] < size[:, None]
-        word = np.concatenate([chains[k] for k in chosen])
-        gold = np.concatenate([golds[k] for k in chosen])
-        table = np.add.reduceat(weights[ids], begin, axis=0)
-        emission = np.zeros((len(chosen), chain, n_labels))
-        emission[alive] = table[word]
-        gamma, both, _ = forward_backward(emission, alive, transition, start)
-        error = gamma[alive]
-        error[np.arange(len(gold)), gold] -= 1
-        by_word = np.column_stack([np.bincount(word, error[:, y], len(vocabulary)) for y in range(n_labels)])
-        spread = np.repeat(by_word, n, axis=0)
-        slope = np.column_stack([np.bincount(ids, spread[:, y], 1 << bits) for y in range(n_labels)]) / len(gold)
-        follows = np.ones(len(gold), bool)
-        follows[np.cumsum(size) - size] = False
-        seen = np.zeros_like(transition)
-        np.add.at(seen, (gold[:-1][follows[1:]], gold[1:][follows[1:]]), 1)
-        first = np.cumsum(size) - size
-        begun = np.bincount(gold[first], minlength=n_labels)
-        slopes = [slope + decay * weights, (both - seen) / len(gold) + decay * transition, (gamma[:, 0].sum(0) - begun) / len(gold)]
+        table = np.concatenate([np.add.reduceat(weights[ids[begin[k] : stop]], begin[k : k + some] - begin[k], axis=0) for k, stop in parts])
+        by_word = np.zeros((len(vocabulary), n_labels))
+        both, seen = np.zeros_like(transition), np.zeros_like(transition)
+        begun, words = np.zeros(n_labels), 0
+        for at in range(0, batch, most):
+            rows_ = chosen[at : at + most]
+            size = np.array([len(chains[k]) for k in rows_])
+            alive = np.arange(chain)[None, :] < size[:, None]
+            word = np.concatenate([chains[k] for k in rows_])
+            gold = np.concatenate([golds[k] for k in rows_])
+            emission = np.zeros((len(rows_), chain, n_labels))
+            emission[alive] = table[word]
+            gamma, moved, _ = forward_backward(emission, alive, transition, start)
+            error = gamma[alive]
+            error[np.arange(len(gold)), gold] -= 1
+            for y in range(n_labels):
+                by_word[:, y] += np.bincount(word, error[:, y], len(vocabulary))
+            follows = np.ones(len(gold), bool)
+            follows[np.cumsum(size) - size] = False
+            np.add.at(seen, (gold[:-1][follows[1:]], gold[1:][follows[1:]]), 1)
+            first = np.cumsum(size) - size
+            begun += gamma[:, 0].sum(0) - np.bincount(gold[first], minlength=n_labels)
+            both += moved
+            words += len(gold)
+        slope = np.column_stack([np.bincount(ids, np.repeat(by_word[:, y], n), 1 << bits) for y in range(n_labels)]) / words
+        slopes = [slope + decay * weights, (both - seen) / words + decay * transition, begun / words]
         step += 1
         for x, g, (m, v) in zip((weights, transition, start), slopes, moments):
             m += 0.1 * (g - m)
@@ -253,22 +271,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_language: int, most_languages: int, longest_chars: int) -> list[tuple[str, str]]:
+def training_sample(docs: DataFrame, per_language: int, longest_chars: int, many: int = 16) -> list[tuple[str, str]]:
     """At most ``per_language`` labelled documents of each language, the same ones on every run."""
     lang = F.col("lang")
-    usable = docs.filter(lang.isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.char_length("text") <= longest_chars))
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most_languages)
-    share = counts.select("lang", F.least(F.lit(1.0), 3.0 * per_language / F.col("n")).alias("_share"))
+    usable = docs.filter(lang.isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn("_labels", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    fewer = F.floor(F.lit(per_language * many) / F.col("_labels"))
+    most = F.when(F.col("_labels") > many, F.least(F.lit(per_language), F.greatest(F.lit(20), fewer))).otherwise(F.lit(per_language))
+    share = counts.withColumn("_most", most).select("lang", "_most", F.least(F.lit(1.0), F.lit(3.0) * F.col("_most") / F.col("n")).alias("_share"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("training")), F.lit(1 << 30)) / float(1 << 30)
+    # a longer text gives the piece that starts at its first letter
+    piece = F.when(F.char_length("text") <= longest_chars, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, longest_chars))
     drawn = usable.select("lang", "text", draw.alias("_draw"), "doc_id").join(F.broadcast(share), "lang").filter("_draw < _share")
+    drawn = drawn.withColumn("text", piece)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "doc_id", "text"))
-    rows = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("text", "lang").orderBy("lang", "text").toLocalIterator()
+    rows = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_most")).select("text", "lang").orderBy("lang", "text").toLocalIterator()
     return [(r[0], r[1]) for r in rows]
 
 
-def train(docs: DataFrame, per_language: int = 150, most_languages: int = 16, longest_chars: int = 20_000) -> Crf:
+def train(docs: DataFrame, per_language: int = 150, longest_chars: int = 20_000) -> Crf:
     """The model learned from a bounded sample of the labelled rows of ``docs`` (doc_id, text, lang)."""
-    return fit(training_sample(docs, per_language, most_languages, longest_chars))
+    return fit(training_sample(docs, per_language, longest_chars))
 
 
 def _judged(model: Crf, column) -> tuple[list[str], np.ndarray]:
