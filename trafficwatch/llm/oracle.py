@@ -120,6 +120,30 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 """
 
 
+FILL_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id::VARCHAR) AS x FROM documents
+),
+h AS (
+  SELECT doc_id, t, n, ('0x' || substr(x, 1, 8))::UBIGINT % (n + 1)::UBIGINT AS a, ('0x' || substr(x, 9, 8))::UBIGINT % (n + 1)::UBIGINT AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(x, 17, 8))::UBIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(x, 25, 8))::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+),
+c AS (
+  SELECT doc_id, t, n, form, least(a, b)::BIGINT AS one, greatest(a, b)::BIGINT AS two FROM h
+),
+p AS (
+  SELECT *, substr(t, 1, one) AS prefix, substr(t, one + 1, two - one) AS middle, substr(t, two + 1) AS suffix FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN one END AS prefix_chars, CASE WHEN form <> 'plain' THEN two - one END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def registry() -> dict[str, str]:
     return {
         "op3_phrase_index": PHRASES,
@@ -128,4 +152,5 @@ def registry() -> dict[str, str]:
         "op6_norm_topk": TOP_K,
         "op7_line_windows": line_windows.ORACLE,
         "op8_url_automaton": URLS,
+        "op13_fill_middle": FILL_MIDDLE,
     }

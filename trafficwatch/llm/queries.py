@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trafficwatch.llm import (
     chat_repair,
+    fill_middle,
     lang_crf,
     line_windows,
     minhash_join,
@@ -70,6 +71,13 @@ def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.label_documents(docs, lang_crf.train(docs))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = fill_middle.restored(F.col("form"), F.col("output"))
+    digests = [F.sha2(c.cast("binary"), 256).alias(name) for c, name in ((F.col("output"), "output_sha256"), (again, "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_repair,
@@ -82,6 +90,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_automaton,
         op9_wavelet_tokens,
         op10_lang_crf,
+        op13_fill_middle,
     )
     return {f.__name__: f for f in found}
 
