@@ -49,7 +49,6 @@ def unit_starts(data: np.ndarray, low: int, high: int, first: np.ndarray, unit:
     before = np.concatenate([data[low - 1 : low] if low else np.zeros(1, np.uint8), piece[:-1]])
     if unit == "words":
         out = NOT_BLANK[piece] & ~NOT_BLANK[before]
-    
         ahead = first[(first >= low) & (first < high)] - low
         out[ahead] = True
         return out

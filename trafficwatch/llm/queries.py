@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trafficwatch.llm import (
     chat_repair,
     fill_middle,
+    hilbert_negatives,
     lang_crf,
     line_windows,
     minhash_join,
@@ -71,6 +72,12 @@ def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.label_documents(docs, lang_crf.train(docs))
 
 
+def op12_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hilbert_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
     again = fill_middle.restored(F.col("form"), F.col("output"))
@@ -90,6 +97,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_automaton,
         op9_wavelet_tokens,
         op10_lang_crf,
+        op12_hilbert_negatives,
         op13_fill_middle,
     )
     return {f.__name__: f for f in found}
