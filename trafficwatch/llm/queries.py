@@ -18,6 +18,7 @@ from trafficwatch.llm import (
     oracle,
     packing,
     phrase_index,
+    quality_gam,
     url_automaton,
     warc_bundles,
     wavelet_store,
@@ -72,6 +73,11 @@ def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.label_documents(docs, lang_crf.train(docs))
 
 
+def op11_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_gam.features(table(spark, sf_dir, "documents"))
+    return quality_gam.score(rows, quality_gam.train(rows, table(spark, sf_dir, "labels")))
+
+
 def op12_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -97,6 +103,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_automaton,
         op9_wavelet_tokens,
         op10_lang_crf,
+        op11_quality_gam,
         op12_hilbert_negatives,
         op13_fill_middle,
     )
