@@ -39,3 +39,24 @@ def test_cli_detect_available_now(spark, scratch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cli_alerts_flushes_at_the_end(spark, scratch):
+    """The alert job ends with what is open sent; another start sends it once only."""
+    from test_stream import END, alert_batches, alert_value
+
+    saved = {k: spark.conf.get(k, None) for k in RESTORE}
+    args = ["alerts", "--source", f"file:{scratch}/in", "--checkpoint", f"{scratch}/cp", "--out", f"{scratch}/out", "--available-now", "--shuffle-partitions", "2", "--max-ips", "1"]
+    try:
+        alert_batches(spark, f"{scratch}/in", [[("a", alert_value("1", END), 100.0), ("b", alert_value("2", END), 101.0), ("a", alert_value("1", END), 102.0)]])
+        for _ in range(2):
+            main(args)
+            from trafficwatch.streaming.alerting import AlertFolder, sent_digests
+
+            assert [(r.alerts, r.ips, r.ip_count) for r in sent_digests(spark, AlertFolder(f"{scratch}/out")).collect()] == [(2, ["1"], 2)]
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -78,43 +78,104 @@ def alert_batches(spark, path, groups):
         time.sleep(0.05)
 
 
-def run_alerts(spark, scratch, groups, config):
-    from trafficwatch.streaming.alerting import AlertFolder, run_alerting
+WIRE = "key string, value string, arrival timestamp"
 
-    alert_batches(spark, f"{scratch}/in", groups)
-    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("key string, value string, arrival timestamp").parquet(f"{scratch}/in")
-    run_alerting(wire, f"{scratch}/cp", f"{scratch}/out", config, available_now=True).awaitTermination()
-    return AlertFolder(f"{scratch}/out")
+
+def run_alerts(spark, scratch, groups, config, clock="arrival"):
+    """Each group is a run of its own on the same checkpoint, so state is restored between them."""
+    from trafficwatch.streaming.alerting import run_alerting
+    from trafficwatch.streaming.replay import stream_partitions
+
+    for group in groups:
+        alert_batches(spark, f"{scratch}/in", [group])
+        with stream_partitions(spark, 2):
+            job = run_alerting(spark.readStream.schema(WIRE).parquet(f"{scratch}/in"), f"{scratch}/cp", f"{scratch}/out", config, available_now=True, clock=clock)
+    return job
+
+
+END = "2024-01-01T00:00:05.000Z"
 
 
 def test_alert_stream_keeps_late_and_repeated_records_right(spark, scratch):
-    from trafficwatch.streaming.alerting import accepted_alerts, open_digests, outcome_counts, sent_digests
+    from trafficwatch.streaming.alerting import accepted_alerts, flush, open_digests, outcome_counts, sent_digests
 
-    end = "2024-01-01T00:00:05.000Z"
     groups = [
-        [("a", alert_value("1", end), 100.0), ("a", alert_value("1", end), 100.0), ("b", alert_value("2", "soon"), 101.0), ("x", "{broken", 101.0)],
+        [("a", alert_value("1", END), 100.0), ("a", alert_value("1", END), 100.0), ("b", alert_value("2", "soon"), 101.0), ("x", "{broken", 101.0)],
         # late by 31 s: another digest key's first alert, and a repeat of a claimed key
-        [("c", alert_value("3", end, "scanning"), 70.0), ("a", alert_value("1", end), 71.0), ("w", alert_value("9", end, severity="warning"), 104.0)],
-        [("d", alert_value("4", end), 95.0), ("a", alert_value("1", end), 500.0)],
-        [("n", alert_value("5", end, "flood"), None), ("a", alert_value("1", end), None)],
+        [("c", alert_value("3", END, "scanning"), 70.0), ("a", alert_value("1", END), 71.0), ("w", alert_value("9", END, severity="warning"), 104.0)],
+        [("d", alert_value("4", END), 95.0), ("a", alert_value("1", END), 500.0)],
+        [("n", alert_value("5", END, "flood"), None), ("a", alert_value("1", END), None)],
     ]
-    config = AlertConfig()
-    folder = run_alerts(spark, scratch, groups, config)
+    job = run_alerts(spark, scratch, groups, AlertConfig())
+    folder = job.folder
     counts = {r[0]: r[1] for r in outcome_counts(spark, folder).collect()}
     assert counts == {"accepted": 7, "duplicate": 2, "invalid": 1, "skipped_severity": 1}
     assert sorted(r.dedupe_key for r in accepted_alerts(spark, folder).collect()) == ["a", "a", "a", "b", "c", "d", "n"]
-    found = sent_digests(spark, folder).unionByName(open_digests(spark, folder, config)).collect()
+    still = open_digests(spark, job.checkpoint).collect()
+    assert sorted(r.attack_type for r in still) == ["botnet", "scanning"]
+    assert job.drain().count() == 2
+    found = sent_digests(spark, folder).collect()
     # nothing is lost: the late alert of the open digest joins it, the late key has a digest of its own
-    got = sorted((r.attack_type, r.opened_at.timestamp() if r.opened_at else 0, r.alerts, tuple(r.ips)) for r in found)
-    assert got == [("botnet", 0, 1, ("1",)), ("botnet", 100.0, 3, ("4", "1", "2")), ("botnet", 500.0, 1, ("1",)), ("flood", 0, 1, ("5",)), ("scanning", 70.0, 1, ("3",))]
+    got = sorted((r.attack_type, r.opened_at.timestamp() if r.opened_at else 0, r.alerts, r.ip_count, tuple(r.ips)) for r in found)
+    sent = [("botnet", 0, 1, 1, ("1",)), ("botnet", 100.0, 3, 3, ("4", "1", "2")), ("botnet", 500.0, 1, 1, ("1",)), ("flood", 0, 1, 1, ("5",)), ("scanning", 70.0, 1, 1, ("3",))]
+    assert got == sent
+    # a second flush sends nothing anew; a job that starts again begins a new digest, and sends only that
+    flush(spark, folder, job.checkpoint)
+    assert sent_digests(spark, folder).count() == 5
+    job = run_alerts(spark, scratch, [[("e", alert_value("6", END), 502.0)]], AlertConfig())
+    job.drain()
+    got = sorted((r.attack_type, r.opened_at.timestamp() if r.opened_at else 0, r.alerts, r.ip_count, tuple(r.ips)) for r in sent_digests(spark, folder).collect())
+    assert got == sorted([*sent, ("botnet", 502.0, 1, 1, ("6",))])
+
+
+def test_digest_closes_on_an_idle_stream(spark, scratch):
+    from trafficwatch.streaming.alerting import run_alerting, sent_digests
+    from trafficwatch.streaming.replay import stream_partitions
+
+    alert_batches(spark, f"{scratch}/in", [[("a", alert_value("1", END), 100.0), ("b", alert_value("2", END), 100.0)]])
+    with stream_partitions(spark, 2):
+        job = run_alerting(spark.readStream.schema(WIRE).parquet(f"{scratch}/in"), f"{scratch}/cp", f"{scratch}/out", AlertConfig(batch_window_seconds=2), trigger="500 milliseconds")
+    try:
+        for _ in range(240):  # nothing more arrives: only a timer can close it
+            found = sent_digests(spark, job.folder).collect()
+            if found:
+                break
+            time.sleep(0.5)
+        assert [(r.alerts, r.ips) for r in found] == [(2, ["1", "2"])]
+    finally:
+        job.stop()
+    assert job.drain().collect() == []
+
+
+def test_state_holds_one_claim_a_key_and_outlives_a_restart(spark, scratch):
+    """The claims' store: a row a key, however many records; batches write changed keys only."""
+    first = [(f"k{i}", alert_value(str(i), END), 100.0 + j) for i in range(20) for j in range(3)]
+    job = run_alerts(spark, scratch, [first, [("k1", alert_value("1", END), 104.0), ("new", alert_value("77", END), 105.0)]], AlertConfig())
+    held = spark.read.format("statestore").option("stateVarName", "claim").load(f"{scratch}/cp/claims")
+    rows = held.select("key._group", "value.*").collect()
+    assert len(rows) == 21 and {r[0] for r in rows} == {f"kk{i}" for i in range(20)} | {"knew"}
+    progress = job.claims.lastProgress.stateOperators[0]
+    assert progress.numRowsTotal == 21 and progress.numRowsUpdated == 1  # only the new key
+    assert os.path.isdir(f"{scratch}/cp/claims/state")
+
+
+def test_many_sources_in_a_digest(spark, scratch):
+    from trafficwatch.streaming.alerting import sent_digests
+
+    rows = [(f"k{i}", alert_value(f"10.0.{i // 256}.{i % 256}", END), 100.0 + (i % 3)) for i in range(700)]
+    job = run_alerts(spark, scratch, [rows[:400], rows[300:]], AlertConfig())
+    job.drain()
+    (one,) = sent_digests(spark, job.folder).collect()
+    assert (one.alerts, one.ip_count, one.request_count_sum) == (700, 700, 28000.0)
+    assert one.ips == [v for _, v in sorted((100 + i % 3, f"10.0.{i // 256}.{i % 256}") for i in range(700))][:50]
 
 
 def test_digests_off_send_every_alert_alone(spark, scratch):
     from trafficwatch.streaming.alerting import sent_digests
 
-    groups = [[(k, alert_value(k, "2024-01-01T00:00:05.000Z"), 1.0) for k in "abc"]]
-    folder = run_alerts(spark, scratch, groups, AlertConfig(batch_window_seconds=0))
-    assert sorted(r.ips[0] for r in sent_digests(spark, folder).collect()) == ["a", "b", "c"]
+    groups = [[(k, alert_value(k, END), 1.0) for k in "abc"]]
+    job = run_alerts(spark, scratch, groups, AlertConfig(batch_window_seconds=0))
+    assert sorted(r.ips[0] for r in sent_digests(spark, job.folder).collect()) == ["a", "b", "c"]
 
 
 def test_replayed_batch_leaves_the_store_as_it_is(spark, scratch):

@@ -27,6 +27,27 @@ def _stream_cfg(a) -> StreamConfig:
     )
 
 
+def until_stopped(job, ended: bool) -> None:
+    """Wait for the alert job; on SIGTERM, SIGINT or its end the open digests are sent."""
+    import signal
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    before = signal.signal(signal.SIGTERM, stop)
+    try:
+        if not ended:
+            job.awaitTermination()
+    except KeyboardInterrupt:
+        logging.info("stopping")
+    finally:
+        signal.signal(signal.SIGTERM, before)
+        if job.digests is not None:
+            logging.info("open digests sent: %d", job.drain().count())
+        else:
+            job.stop()
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="trafficwatch")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -52,12 +73,13 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--exact", action="store_true", help="exact distinct counts instead of HyperLogLog")
     d.add_argument("--no-stats", action="store_true")
     al = sub.choices["alerts"]
-    al.add_argument("--out", required=True, help="folder of handled messages, outcome counts, digests and state")
+    al.add_argument("--out", required=True, help="folder of handled messages and digests")
     al.add_argument("--min-severity", default="critical")
     al.add_argument("--ttl", type=int, default=300)
     al.add_argument("--window", type=float, default=10, help="seconds of a digest; 0: every alert alone")
     al.add_argument("--max-ips", type=int, default=50)
     al.add_argument("--no-digests", action="store_true")
+    al.add_argument("--clock", choices=["processing", "arrival"], default="processing", help="arrival: digests close by arrivals alone, for replays")
     compact = sub.add_parser("compact", help="write the latest row of each alert to another folder")
     compact.add_argument("--store", required=True)
     compact.add_argument("--target", required=True)
@@ -99,7 +121,9 @@ def main(argv: list[str] | None = None) -> None:
         else:
             wire = spark.readStream.schema("key string, value string, arrival timestamp").parquet(a.source.removeprefix("file:"))
         acfg = AlertConfig(min_severity=a.min_severity, dedupe_ttl_seconds=a.ttl, batch_window_seconds=a.window, batch_max_ips=a.max_ips)
-        q = run_alerting(wire, checkpoint, a.out, acfg, trigger=cfg.trigger, available_now=a.available_now, digests=not a.no_digests)
+        job = run_alerting(wire, checkpoint, a.out, acfg, trigger=cfg.trigger, available_now=a.available_now, digests=not a.no_digests, clock=a.clock, stream=cfg)
+        until_stopped(job, a.available_now)
+        return
     q.awaitTermination()
 
 

@@ -285,11 +285,10 @@ def q_stream_outcomes(spark, sf_dir):
 
 
 def q_stream_digest(spark, sf_dir):
-    """Digests sent by the stream, and those still open at its end."""
-    from trafficwatch.streaming.alerting import open_digests, sent_digests
+    """Digests sent by the stream when they closed, or flushed at its end."""
+    from trafficwatch.streaming.alerting import sent_digests
 
-    folder = _alert_stream(spark, sf_dir, digests=True)
-    return as_ntz(sent_digests(spark, folder).unionByName(open_digests(spark, folder, ALERTS)))
+    return as_ntz(sent_digests(spark, _alert_stream(spark, sf_dir, digests=True)))
 
 
 def registry() -> dict[str, Query]:

@@ -1,17 +1,19 @@
 """Structured Streaming alert handling: decode -> gate -> TTL dedupe -> digests -> sinks.
 
-One query over the alert records; every micro-batch is handled by the batch
-operators (grouped and spread like any other Spark job, no key is gathered):
-
-* ``messages``: every record with its outcome (invalid, skipped_severity,
-  duplicate, accepted);
-* ``outcomes``: record counts by outcome, one small table per batch;
-* ``digests``: grouped notifications that closed in the batch.
-
-Between batches it keeps the last claim of each key and the open digest of
-each digest key.  A record that arrives late counts at the time its key has
-reached: as a duplicate inside a claim's TTL, and in the digest that is open.
-Nothing is dropped.
+Two queries, each with its state in Spark's state store:
+
+* claims: every record with its outcome (invalid, skipped_severity, duplicate,
+  accepted) to ``messages``, partitioned by outcome.  Per dedupe key the last
+  claim is kept, with a TTL.  Outcome counts are observed metrics of the plan.
+* digests: reads the accepted part of ``messages`` (the file sink's log, so
+  only committed files), sums it by source in each task, and groups it into
+  first-arrival digests that close by a later arrival or by a processing-time
+  timer, also when nothing arrives any more.
+
+A record that arrives late counts at the time its key has reached: as a
+duplicate inside a claim's TTL, and in the digest that is open.  Nothing is
+dropped.  A key's records of one micro-batch, and a digest's distinct sources
+of one micro-batch, are held by one task: the trigger's record cap bounds them.
 """
 
 from __future__ import annotations
@@ -19,29 +21,34 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from trafficwatch.config import AlertConfig
+from trafficwatch.config import AlertConfig, StreamConfig
 from trafficwatch.functions.alerts import message_key, min_rank, severity_rank_of
-from trafficwatch.operators.alerting import decode_alert_messages, disposition_counts
-from trafficwatch.operators.digest import DIGEST_KEY, digest_key, digest_rows, digests_of, per_source, single_digests
-from trafficwatch.operators.ttl import assign_first_arrival, dedupe_ttl
-from trafficwatch.streaming.tables import batches, forget_before, read_before, read_since, write_batch
+from trafficwatch.operators.alerting import decode_alert_messages
+from trafficwatch.operators.digest import DIGEST_KEY, digest_key, digest_rows, single_digests
+from trafficwatch.session import ship_package
+from trafficwatch.streaming.processors import CLAIMED, PASSED, Claims, Digests
 
 log = logging.getLogger(__name__)
 
-_CLAIMS = "k string, claim timestamp"
-_OPEN = ", ".join(f"{c} string" for c in DIGEST_KEY) + ", opened_at timestamp, since long"
-_PARTS = ", ".join(f"{c} string" for c in DIGEST_KEY) + (
-    ", opened_at timestamp, ip string, first_seen timestamp, n long, rc_sum decimal(38,12), rp_sum decimal(38,12), we_min timestamp, we_max timestamp"
+OUTCOMES = ("invalid", "skipped_severity", "duplicate", "accepted")
+#: Groups that rows without a claim are spread over.
+_PASSED_GROUPS = 64
+_IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+_DIGEST_SCHEMA = ", ".join(f"{c} string" for c in DIGEST_KEY) + (
+    ", opened_at timestamp, window_end_min timestamp, window_end_max timestamp, ips array<string>, ip_count long, request_count_sum double, rps_sum double, alerts long"
 )
-_OUTCOMES = "disposition string, message_count long"
+_SENT = "k string, opened_us long, we_min long, we_max long, ips array<string>, ip_count long, rc string, rp string, n long"
+_PARTIAL = "k string, ip string, us long, n long, rc decimal(38,12), rp decimal(38,12), we_min long, we_max long"
 
 
 @dataclass(frozen=True)
 class AlertFolder:
-    """Where the job keeps its sinks and state."""
+    """Where the job keeps its sinks."""
 
     path: str
 
@@ -49,120 +56,90 @@ class AlertFolder:
     def messages(self) -> str:
         return f"{self.path}/messages"
 
-    @property
-    def outcomes(self) -> str:
-        return f"{self.path}/outcomes"
-
     @property
     def digests(self) -> str:
         return f"{self.path}/digests"
 
-    def state(self, name: str) -> str:
-        return f"{self.path}/state/{name}"
-
-
-def judge(records: DataFrame, claims: DataFrame, config: AlertConfig) -> DataFrame:
-    """Decoded records (with ``arrival``) -> + dedupe_key, disposition, given the keys' last claims."""
-    valid = F.col("valid")
-    rows = records.withColumn("dedupe_key", F.when(valid, message_key(F.col("key"))))
-    gated = valid & (severity_rank_of(F.col("severity")) >= F.lit(min_rank(config.min_severity)))
-    rows = rows.withColumn("_gated", gated).join(claims, F.col("dedupe_key") == F.col("k"), "left").drop("k")
-    rows = rows.withColumn("_at", F.when(F.col("arrival").isNotNull(), F.greatest("arrival", "claim"))).withColumn("_old", F.lit(0)).drop("claim")
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in ("dedupe_key", "_gated", "_at", "_old")]
-    # the last claim itself takes part, ahead of the batch's rows of its time
-    seeds = claims.select(*blank, F.col("k").alias("dedupe_key"), F.lit(True).alias("_gated"), F.col("claim").alias("_at"), F.lit(-1).alias("_old"))
-    seeds = seeds.join(rows.filter("_gated").select("dedupe_key").distinct(), "dedupe_key", "left_semi")
-    tie = F.struct("_old", F.coalesce("signal_reason", F.lit("")))
-    out = dedupe_ttl(rows.unionByName(seeds), F.col("dedupe_key"), F.col("_at"), config.dedupe_ttl_seconds, tie, where=F.col("_gated"))
-    outcome = (
-        F.when(~F.col("valid"), "invalid")
-        .when(F.col("is_duplicate").isNull(), "skipped_severity")
-        .when(F.col("is_duplicate"), "duplicate")
-        .otherwise("accepted")
-    )
-    return out.filter(F.col("_old") == 0).withColumn("disposition", outcome).drop("_gated", "_old", "is_duplicate")
-
-
-def handle_claims(spark: SparkSession, folder: AlertFolder, records: DataFrame, batch_id: int, config: AlertConfig, keep: int) -> DataFrame:
-    """Judge a batch, store its messages and outcome counts, and move the claims on."""
-    claims = read_before(spark, folder.state("claims"), batch_id, _CLAIMS)
-    judged = write_batch(judge(records, claims, config), folder.messages, batch_id)
-    write_batch(disposition_counts(judged).select(F.col("disposition"), F.col("message_count").cast("long")), folder.outcomes, batch_id)
-    new = judged.filter((F.col("disposition") == "accepted") & F.col("_at").isNotNull()).select(F.col("dedupe_key").alias("k"), F.col("_at").alias("claim"))
-    now = claims.unionByName(new).groupBy("k").agg(F.max("claim").alias("claim"))
-    # a claim that far behind can't suppress a record that is not already late by that much
-    horizon = judged.agg(F.max("arrival")).first()[0]
-    if horizon is not None:
-        reach = F.make_dt_interval(secs=F.lit(config.dedupe_ttl_seconds + config.keep_late_seconds))
-        now = now.filter(F.col("claim") >= F.lit(horizon) - reach)
-    write_batch(now, folder.state("claims"), batch_id)
-    forget_before(spark, folder.state("claims"), batch_id, keep)
-    return judged.filter(F.col("disposition") == "accepted").drop("_at")
-
-
-def handle_digests(spark: SparkSession, folder: AlertFolder, accepted: DataFrame, batch_id: int, config: AlertConfig, keep: int) -> None:
-    """Add a batch's accepted alerts to their digests and write those that closed."""
-    rows = digest_rows(accepted, F.col("arrival"))
-    if config.batch_window_seconds <= 0:
-        write_batch(single_digests(rows), folder.digests, batch_id)
-        return
-    was_open = read_before(spark, folder.state("open"), batch_id, _OPEN)
-    same = [F.col(f"r.{c}") == F.col(f"o.{c}") for c in DIGEST_KEY]
-    rows = rows.alias("r").join(was_open.select(*DIGEST_KEY, F.col("opened_at").alias("_open")).alias("o"), same, "left").select("r.*", "_open")
-    rows = rows.withColumn("_at", F.when(F.col("arrival").isNotNull(), F.greatest("arrival", "_open"))).withColumn("_row", F.lit(True)).drop("_open")
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (*DIGEST_KEY, "_at", "_row")]
-    seeds = was_open.select(*DIGEST_KEY, *blank, F.col("opened_at").alias("_at"), F.lit(False).alias("_row"))
-    placed = assign_first_arrival(rows.unionByName(seeds), digest_key(), F.col("_at"), config.batch_window_seconds)
-    parts = write_batch(per_source(placed.filter("_row")), folder.state("parts"), batch_id)
-    opened = parts.select(*DIGEST_KEY, "opened_at").distinct().withColumn("since", F.lit(batch_id).cast("long"))
-    opened = was_open.unionByName(opened).groupBy(*DIGEST_KEY, "opened_at").agg(F.min("since").alias("since"))
-    latest = opened.groupBy(*DIGEST_KEY).agg(F.max("opened_at").alias("_last"))
-    known = opened.join(latest, list(DIGEST_KEY), "left")
-    now = accepted.agg(F.max("arrival")).first()[0]
-    over = F.lit(False)
-    if now is not None:
-        over = F.col("opened_at") + F.make_dt_interval(secs=F.lit(config.batch_window_seconds)) <= F.lit(now)
-    closed = F.coalesce((F.col("opened_at") < F.col("_last")) | over, F.lit(True))  # without times: sent with its batch
-    known = write_batch(known.withColumn("closed", closed).drop("_last"), folder.state("known"), batch_id)
-    write_batch(known.filter("not closed").drop("closed"), folder.state("open"), batch_id)
-    write_batch(_collected(spark, folder, known.filter("closed"), batch_id, config), folder.digests, batch_id)
-    for name in ("known", "open"):
-        forget_before(spark, folder.state(name), batch_id, keep)
-
-
-def _collected(spark: SparkSession, folder: AlertFolder, chosen: DataFrame, batch_id: int, config: AlertConfig) -> DataFrame:
-    """The digests in ``chosen`` (key, opened_at, since) from the partial sums of all batches they span."""
-    first = chosen.agg(F.min("since")).first()[0]
-    parts = read_since(spark, folder.state("parts"), batch_id + 1 if first is None else first, batch_id, _PARTS)
-    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*DIGEST_KEY, "opened_at")]
-    parts = parts.alias("p").join(chosen.alias("c"), same, "left_semi")
-    per_ip = parts.groupBy(*DIGEST_KEY, "opened_at", "ip").agg(
-        F.min("first_seen").alias("first_seen"),
-        F.sum("n").alias("n"),
-        F.sum("rc_sum").alias("rc_sum"),
-        F.sum("rp_sum").alias("rp_sum"),
-        F.min("we_min").alias("we_min"),
-        F.max("we_max").alias("we_max"),
+    @property
+    def flushed(self) -> str:
+        return f"{self.path}/flushed"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _message_schema(spark: SparkSession, wire_schema: str) -> str:
+    rows = decode_alert_messages(spark.createDataFrame([], wire_schema))
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", dedupe_key string"
+
+
+_WIRE = "key string, value string, arrival timestamp"
+
+
+def judged_messages(wire: DataFrame, config: AlertConfig) -> DataFrame:
+    """Streaming records (key, value, arrival) -> decoded fields, dedupe_key, disposition."""
+    spark = wire.sparkSession
+    ship_package(spark)
+    rows = decode_alert_messages(wire.select("key", "value", "arrival"))
+    columns = rows.columns
+    gated = F.col("valid") & (severity_rank_of(F.col("severity")) >= F.lit(min_rank(config.min_severity)))
+    rows = rows.withColumn("dedupe_key", F.when(F.col("valid"), message_key(F.col("key"))))
+    outcome = F.when(~F.col("valid"), "invalid").when(~F.coalesce(gated, F.lit(False)), "skipped_severity")
+    spread = F.concat(F.lit(PASSED), F.pmod(F.xxhash64("value", "arrival"), F.lit(_PASSED_GROUPS)).cast("string"))
+    kept = [c for c in columns if c != "arrival"]
+    rows = rows.select(
+        F.when(outcome.isNull(), F.concat(F.lit(CLAIMED), F.col("dedupe_key"))).otherwise(spread).alias("_group"),
+        *kept, "dedupe_key", F.unix_micros("arrival").alias("arrival_us"), F.coalesce("signal_reason", F.lit("")).alias("_tie"), outcome.alias("_outcome"),
+    )
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2]]
+    judged = rows.groupBy("_group").transformWithState(
+        Claims(config.dedupe_ttl_seconds, config.dedupe_ttl_seconds + config.keep_late_seconds), ", ".join([*fields, "disposition string"]), "append", "processingTime"
     )
-    return digests_of(per_ip, config.batch_max_ips)
+    return judged.withColumn("arrival", F.timestamp_micros("arrival_us")).select(*columns, "dedupe_key", "disposition")
 
 
-def open_digests(spark: SparkSession, folder: AlertFolder, config: AlertConfig = AlertConfig()) -> DataFrame:
-    """The digests that have not closed yet, as they stand (to flush a job that ends)."""
-    last = max(batches(spark, folder.state("open")), default=None)
-    if last is None:
-        return spark.createDataFrame([], digests_of(spark.createDataFrame([], _PARTS), config.batch_max_ips).schema)
-    return _collected(spark, folder, read_before(spark, folder.state("open"), last + 1, _OPEN), last, config)
+def _partial_sums(batches):
+    """Rows (k, ip, us, rc, rp, we) summed by digest key, source and arrival inside a task, ahead of the shuffle."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch]).append_column("n", pa.array([1] * batch.num_rows, pa.int64()))
+        sums = table.group_by(["k", "ip", "us"]).aggregate([("n", "sum"), ("rc", "sum"), ("rp", "sum"), ("we", "min"), ("we", "max")])
+        kind = pa.decimal128(38, 12)
+        columns = [sums["k"], sums["ip"], sums["us"], sums["n_sum"], sums["rc_sum"].cast(kind), sums["rp_sum"].cast(kind), sums["we_min"], sums["we_max"]]
+        yield from pa.table(columns, names=["k", "ip", "us", "n", "rc", "rp", "we_min", "we_max"]).to_batches()
 
 
-def outcome_counts(spark: SparkSession, folder: AlertFolder) -> DataFrame:
-    """Messages by outcome over all batches."""
-    rows = spark.read.schema(_OUTCOMES).parquet(*[f"{folder.outcomes}/batch_id={b}" for b in batches(spark, folder.outcomes)])
-    return rows.groupBy("disposition").agg(F.sum("message_count").alias("message_count"))
+def digest_stream(accepted: DataFrame, config: AlertConfig, timers: bool, flushed: int = -1) -> DataFrame:
+    """Streaming accepted alerts -> digests, each when it closes."""
+    rows = digest_rows(accepted, F.col("arrival"))
+    if config.batch_window_seconds <= 0:
+        return single_digests(rows)
+    decimal = "decimal(38,12)"
+    rows = rows.select(digest_key().alias("k"), "ip", F.unix_micros("arrival").alias("us"), F.col("rc").cast(decimal).alias("rc"), F.col("rp").cast(decimal).alias("rp"), F.unix_micros("window_end_ts").alias("we"))
+    parts = rows.mapInArrow(_partial_sums, _PARTIAL)
+    sent = parts.groupBy("k").transformWithState(Digests(config.batch_window_seconds, config.batch_max_ips, timers, flushed), _SENT, "append", "processingTime")
+    return _as_digests(sent)
+
+
+def _as_digests(sent: DataFrame) -> DataFrame:
+    fields = F.split("k", "\u0001")
+    number = "decimal(38,12)"
+    return sent.select(
+        *[fields[i].alias(c) for i, c in enumerate(DIGEST_KEY)],
+        F.timestamp_micros("opened_us").alias("opened_at"),
+        F.timestamp_micros("we_min").alias("window_end_min"),
+        F.timestamp_micros("we_max").alias("window_end_max"),
+        "ips",
+        "ip_count",
+        F.col("rc").cast(number).cast("double").alias("request_count_sum"),
+        F.col("rp").cast(number).cast("double").alias("rps_sum"),
+        F.col("n").alias("alerts"),
+    )
 
 
-class OutcomeLog:
-    """Logs the outcomes summed over ``stats_interval_seconds`` (0 or less: each batch)."""
+class OutcomeLog(StreamingQueryListener):
+    """Sums the observed outcome counts of the claims query; logs them every ``interval_seconds`` (0 or less: each batch)."""
 
     def __init__(self, interval_seconds: float):
         import time
@@ -172,10 +149,95 @@ class OutcomeLog:
     def add(self, counts: dict[str, int]) -> None:
         for name, n in counts.items():
             self.sums[name] = self.sums.get(name, 0) + n
-        if self.clock() - self.since >= self.interval:
+        if self.sums and self.clock() - self.since >= self.interval:
             log.info("alert outcomes: consumed %d, %s", sum(self.sums.values()), self.sums)
             self.since, self.sums = self.clock(), {}
 
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get("outcomes")
+        if seen is not None:
+            self.add({name: n for name, n in seen.asDict().items() if n})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+class AlertJob:
+    """The running queries; ``digests`` is None where none are asked for."""
+
+    def __init__(self, spark: SparkSession, folder: AlertFolder, checkpoint: str, config: AlertConfig, claims: StreamingQuery, digests: StreamingQuery | None, stats: OutcomeLog):
+        self.spark, self.folder, self.checkpoint, self.config = spark, folder, checkpoint, config
+        self.claims, self.digests, self.stats = claims, digests, stats
+
+    def awaitTermination(self, timeout: float | None = None) -> None:
+        """Until a query ends (an error in one stops the other), or for ``timeout`` seconds."""
+        try:
+            if timeout is None:
+                self.spark.streams.awaitAnyTermination()
+            else:
+                self.claims.awaitTermination(timeout)
+        finally:
+            if timeout is None:
+                self.stop()
+
+    def stop(self) -> None:
+        for query in (self.claims, self.digests):
+            if query is not None:
+                query.stop()
+        self.spark.streams.removeListener(self.stats)
+
+    def drain(self) -> DataFrame:
+        """Stop, and send the digests that are still open."""
+        self.stop()
+        return flush(self.spark, self.folder, self.checkpoint)
+
+
+def _last_flush(spark: SparkSession, folder: AlertFolder) -> int:
+    """The batch that the newest flush stands behind; -1 without one."""
+    fs, root = _filesystem(spark, folder.flushed)
+    if not fs.exists(root):
+        return -1
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return max((int(n.split("=", 1)[1]) for n in names if n.startswith("upto=")), default=-1)
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last committed batch of the digest query; -1 without one."""
+    fs, root = _filesystem(spark, f"{checkpoint}/digests/commits")
+    if not fs.exists(root):
+        return -1
+    return max((int(s.getPath().getName()) for s in fs.listStatus(root) if s.getPath().getName().isdigit()), default=-1)
+
+
+def open_digests(spark: SparkSession, checkpoint: str, flushed: int = -1) -> DataFrame:
+    """The digests that have not closed yet, read from the query's state store."""
+    if _committed(spark, checkpoint) < 0:
+        return spark.createDataFrame([], _DIGEST_SCHEMA)
+    state = spark.read.format("statestore").option("stateVarName", "digest").load(f"{checkpoint}/digests")
+    held = state.filter(F.col("value.batch") > flushed).select("key.k", "value.*")
+    first = F.transform(F.sort_array("first"), lambda f: f["ip"])
+    return _as_digests(held.select("k", "opened_us", "we_min", "we_max", first.alias("ips"), "ip_count", "rc", "rp", "n"))
+
+
+def flush(spark: SparkSession, folder: AlertFolder, checkpoint: str) -> DataFrame:
+    """Send the open digests of a stopped job; a job that starts again begins new ones.
+
+    Flushing twice without a batch between changes nothing.
+    """
+    last = _committed(spark, checkpoint)
+    found = open_digests(spark, checkpoint, _last_flush(spark, folder))
+    if last > _last_flush(spark, folder):
+        target = f"{folder.flushed}/upto={last}"
+        found.write.mode("overwrite").parquet(target)
+        return spark.read.schema(_DIGEST_SCHEMA).parquet(target)
+    return found
+
 
 def run_alerting(
     wire: DataFrame,
@@ -185,31 +247,72 @@ def run_alerting(
     trigger: str = "2 seconds",
     available_now: bool = False,
     digests: bool = True,
-    keep: int = 50,
-):
-    """Start the query over alert records (key, value, arrival); returns the StreamingQuery."""
-    folder, stats = AlertFolder(out), OutcomeLog(config.stats_interval_seconds)
+    clock: str = "processing",
+    stream: StreamConfig = StreamConfig(),
+) -> AlertJob:
+    """Start the queries over alert records (key, value, arrival).
+
+    ``clock``: ``processing`` closes digests by timers too; ``arrival`` only by
+    the arrivals of their key, for replays of recorded traffic.  With
+    ``available_now`` both have ended on return.
+    """
+    from trafficwatch.streaming.detection import apply_stream_confs
+
+    if clock not in ("processing", "arrival"):
+        raise ValueError(f"unknown clock {clock!r}")
+    spark, folder = wire.sparkSession, AlertFolder(out)
+    apply_stream_confs(spark, stream)
+    for path in (folder.messages, folder.digests):
+        fs, root = _filesystem(spark, path)
+        fs.mkdirs(root)
+    stats = OutcomeLog(config.stats_interval_seconds)
+    spark.streams.addListener(stats)
+
+    def start(rows: DataFrame, name: str, path: str, partition: list[str]) -> StreamingQuery:
+        writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition).option("checkpointLocation", f"{checkpoint}/{name}")
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+        # timers ask for batches without data for ever: a run that ends takes none
+        idle = spark.conf.get(_IDLE_BATCHES)
+        spark.conf.set(_IDLE_BATCHES, "false" if available_now else idle)
+        try:
+            query = writer.start(path)
+        finally:
+            spark.conf.set(_IDLE_BATCHES, idle)
+        if available_now:
+            query.awaitTermination()
+        return query
+
+    counts = [F.count_if(F.col("disposition") == name).alias(name) for name in OUTCOMES]
+    claims = start(judged_messages(wire, config).observe("outcomes", *counts), "claims", folder.messages, ["disposition"])
+    second = None
+    if digests:
+        schema = _message_schema(spark, _WIRE) + ", disposition string"
+        accepted = spark.readStream.schema(schema).parquet(folder.messages).filter(F.col("disposition") == "accepted")
+        second = start(digest_stream(accepted, config, clock == "processing", _last_flush(spark, folder)), "digests", folder.digests, [])
+    job = AlertJob(spark, folder, checkpoint, config, claims, second, stats)
+    if available_now:
+        spark.streams.removeListener(stats)
+    return job
+
+
+def messages(spark: SparkSession, folder: AlertFolder) -> DataFrame:
+    """Every record with its outcome."""
+    return spark.read.schema(_message_schema(spark, _WIRE) + ", disposition string").parquet(folder.messages)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        records = write_batch(decode_alert_messages(batch), folder.state("decoded"), batch_id)
-        accepted = handle_claims(spark, folder, records, batch_id, config, keep)
-        if digests:
-            handle_digests(spark, folder, accepted, batch_id, config, keep)
-        # four counts at most
-        stats.add({r[0]: r[1] for r in spark.read.schema(_OUTCOMES).parquet(f"{folder.outcomes}/batch_id={batch_id}").collect()})
-        forget_before(spark, folder.state("decoded"), batch_id, 1)
 
-    writer = wire.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
+def outcome_counts(spark: SparkSession, folder: AlertFolder) -> DataFrame:
+    """Messages by outcome over all batches."""
+    return messages(spark, folder).groupBy("disposition").agg(F.count(F.lit(1)).alias("message_count"))
 
 
 def accepted_alerts(spark: SparkSession, folder: AlertFolder) -> DataFrame:
     """Accepted alerts of all batches."""
-    rows = spark.read.parquet(*[f"{folder.messages}/batch_id={b}" for b in batches(spark, folder.messages)])
-    return rows.filter(F.col("disposition") == "accepted").drop("_at")
+    return messages(spark, folder).filter(F.col("disposition") == "accepted")
 
 
 def sent_digests(spark: SparkSession, folder: AlertFolder) -> DataFrame:
-    """Closed digests of all batches."""
-    return spark.read.parquet(*[f"{folder.digests}/batch_id={b}" for b in batches(spark, folder.digests)])
+    """Digests sent when they closed, and those sent by a flush."""
+    found = spark.read.schema(_DIGEST_SCHEMA).parquet(folder.digests)
+    if _last_flush(spark, folder) < 0:
+        return found
+    return found.unionByName(spark.read.schema(_DIGEST_SCHEMA).parquet(folder.flushed + "/upto=*"))

@@ -9,6 +9,8 @@ wrote.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,17 @@ def write_in_time_order(df: DataFrame, time_col: str, path: str, files: int) ->
         fs.setTimes(root.suffix(f"/{name}"), 1_700_000_000_000 + 1000 * k, -1)
 
 
+@contextmanager
+def stream_partitions(spark: SparkSession, most: int = 8):
+    """State partitions of a replay: few, as its input is; a live job sets its own."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(most, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def latest_emission(stored: DataFrame, identity=ALERT_IDENTITY) -> DataFrame:
     """Last emitted row per alert identity (greatest batch_id), as a grouped max."""
     rest = [c for c in stored.columns if c not in identity and c != "batch_id"]
@@ -80,11 +93,16 @@ def replay_detection(
 
 
 def replay_alerting(spark: SparkSession, messages: DataFrame, config: AlertConfig = AlertConfig(), chunks: int = 3, digests: bool = True) -> AlertFolder:
-    """Alert records (key, value, arrival) -> files -> the streaming alert job; returns its folder."""
+    """Alert records (key, value, arrival) -> files -> the streaming alert job, on the records' own clock; returns its folder.
+
+    What is still open at the end is flushed, as when a job is shut down.
+    """
     base = scratch_path(spark, "replay")
     write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks)
     wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("key string, value string, arrival timestamp").parquet(f"{base}/in")
-    q = run_alerting(wire, f"{base}/cp", f"{base}/out", config, available_now=True, digests=digests)
-    q.awaitTermination()
-    _record("alerting", q)
-    return AlertFolder(f"{base}/out")
+    with stream_partitions(spark):
+        job = run_alerting(wire, f"{base}/cp", f"{base}/out", config, available_now=True, digests=digests, clock="arrival")
+    _record("alerting", job.claims)
+    if digests:
+        job.drain()
+    return job.folder
