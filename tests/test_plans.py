@@ -30,12 +30,33 @@ def no_broadcast(spark):
         spark.conf.unset(n)
 
 
-def test_default_batch_plan_is_one_scan_two_shuffles(spark, no_broadcast):
-    df = detect(Q.requests(spark, SF_SMALL), DetectionConfig(fast_rules=True, exact_distinct=True))
-    text = plan_text(df)
-    assert count(r"FileScan parquet", text) == 1
-    assert count(r"Exchange hashpartitioning", text) == 2
-    assert "Join" not in text
+def test_default_batch_plan_is_one_scan(spark, no_broadcast):
+    """Two shuffles of rows; with the path rule a third one of sums per window and part."""
+    for config, shuffles in ((DetectionConfig(), 3), (DetectionConfig(heavy_url_rule=False), 2), (DetectionConfig(fast_rules=True), 3)):
+        text = plan_text(detect(Q.requests(spark, SF_SMALL), config))
+        assert count(r"FileScan parquet", text) == 1
+        assert count(r"Exchange hashpartitioning", text) == shuffles
+        assert "Join" not in text and "Expand" not in text and "Union" not in text
+
+
+def test_a_hot_path_is_spread(spark):
+    """One path with a third of all requests in one minute: no task of the dealt panes has twice the median."""
+    from pyspark.sql import functions as F
+
+    from trafficwatch.operators import windows as W
+
+    rows = spark.range(60_000).selectExpr(
+        "CAST(CAST(id % 20011 AS STRING) AS STRING) AS src_ip",
+        "timestamp_millis(1704067200000 + id % 60000) AS timestamp",
+        "IF(id % 3 = 0, '/hot', concat('/p', id % 5000)) AS request_path",
+        "'GET' AS method", "'2xx' AS status_category", "200 AS status_code", "500 AS response_size",
+    )
+    spec = W.WindowSpec("60s", 60, 60, "request_path")
+    dealt, _ = W._blocked(W.pane_counts(rows, 60), [W._Family(spec, W._PATH, 1, 1)])
+    sizes = sorted(r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+    hot = W.path_windows_exact(rows, spec).filter("request_path = '/hot'").collect()
+    assert [(r.path_request_count, r.unique_src_ip) for r in hot] == [(20_000, rows.filter("request_path = '/hot'").select("src_ip").distinct().count())]
 
 
 def test_main_rules_share_one_aggregate(spark):

@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from trafficwatch.config import AlertConfig, DetectionConfig, StreamConfig
@@ -26,11 +27,11 @@ def write_batch(spark, rows, path, i):
     time.sleep(0.05)
 
 
-def run_once(spark, src, base, read=True):
+def run_once(spark, src, base, read=True, heavy_url=False):
     cfg = StreamConfig(max_files_per_trigger=1, shuffle_partitions=4)
     apply_stream_confs(spark, cfg)
     wire = spark.readStream.option("maxFilesPerTrigger", "1").text(f"{src}/*")
-    det = DetectionConfig(fast_rules=False, heavy_url_rule=False, exact_distinct=True)
+    det = DetectionConfig(fast_rules=False, heavy_url_rule=heavy_url, exact_distinct=True)
     q = run_detection(wire, f"{base}/cp", det, cfg, store_path=f"{base}/store", stats=False, available_now=True)
     q.awaitTermination()
     if not read:
@@ -38,14 +39,20 @@ def run_once(spark, src, base, read=True):
     return spark.read.parquet(f"{base}/store")
 
 
-def test_late_rows_are_dropped(spark, scratch):
+@pytest.mark.parametrize("heavy_url", [False, True])
+def test_late_rows_are_dropped(spark, scratch, heavy_url):
+    """The 60 s family changes nothing for the 5 s rules."""
     src = os.path.join(scratch, "in")
     # Spark judges lateness against the previous batch's watermark, so the
     # late burst comes two batches after the event that moved the watermark.
     write_batch(spark, burst(100), src, 0)
     write_batch(spark, burst(101, 5, "10.9.9.8"), src, 1)
     write_batch(spark, burst(10), src, 2)  # 90 s older than the max seen: behind the 45 s watermark
-    out = run_once(spark, src, scratch)
+    write_batch(spark, burst(52, ip="10.9.9.7"), src, 3)  # the windows that end up to 56 are over
+    out = run_once(spark, src, scratch, heavy_url=heavy_url)
+    late = sorted(r["window_end"].timestamp() - T0 / 1000 for r in out.filter("attack_type = 'http_flood' and src_ip = '10.9.9.7'").collect())
+    assert late == [57.0]  # the watermark stands at 101 - 45 = 56
+    out = out.filter("src_ip <> '10.9.9.7'")
     ends = sorted({r["window_end"] for r in out.filter("attack_type = 'http_flood'").collect()})
     assert len(ends) == 5 and min(e.timestamp() for e in ends) > (T0 / 1000) + 100
     # the same rows in batch raise both bursts

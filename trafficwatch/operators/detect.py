@@ -34,7 +34,7 @@ def detect_rules(
 ) -> DataFrame:
     """Apply ``rules`` to normalised requests; returns RULE_OUTPUT_COLUMNS.
 
-    plan="grain" (batch, exact): one scan, panes, then all windows.
+    plan="grain" (batch, exact counts): one scan, panes, then all windows.
     plan="expanded" (streams): one aggregation over the windows of all
     families, so the source is read once and one state is held.
     plan="windowed": one ``groupBy(window(...))`` per window family, rules
@@ -42,14 +42,16 @@ def detect_rules(
     plan="union": the windowed aggregates with one filter+select branch per
     rule, unioned (the textbook shape; kept as a benchmark comparator - each
     branch re-plans its aggregate).
-    plan="auto": grain for exact batch input, expanded for streams, else windowed.
+    plan="auto": expanded for streams, else grain: in batch the exact counts of
+    the panes also cost less than HyperLogLog counts of expanded rows, so
+    ``exact`` only matters on streams and for the plans below.
 
     ``prefilter`` (grain plan): build windows only from pane rows near enough
     requests to reach the family's lowest threshold (exact, see
     ``windows._near_enough``).
     """
     if plan == "auto":
-        plan = "expanded" if df.isStreaming else "grain" if exact else "windowed"
+        plan = "expanded" if df.isStreaming else "grain"
     specs = _specs(rules)
     if plan == "grain":
         if df.isStreaming:

@@ -125,11 +125,10 @@ def expanded_windows(df: DataFrame, specs: list[WindowSpec], exact: bool = False
     """Measures of every family in one aggregation; batch or streaming (one read, one state).
 
     Each request becomes one row per window that holds it.  On a stream the
-    event time of those rows is their window's end.  It runs ahead of the
-    request by up to the longest window, so the watermark trails the newest
-    window end by ``lateness`` plus that length: no window closes earlier than
-    ``lateness`` after its end, and short windows may stay open longer by the
-    longest window's length.  Output as ``grain_measures``.
+    watermark is that of the requests themselves (newest time minus
+    ``lateness``), and the event time of a window's rows is its end: a window of
+    any family closes when the watermark passes its end, so one family's length
+    changes nothing for another.  Output as ``grain_measures``.
     """
     if method_labels is None:
         method_labels = {s.label for s in specs}
@@ -145,12 +144,15 @@ def expanded_windows(df: DataFrame, specs: list[WindowSpec], exact: bool = False
             )
             entries.append(f"IF({holds}, {one}, NULL)")
     flags = ["url_type", "status_category", "status_code", "response_size"]
+    late = df.isStreaming and lateness is not None
+    if late:
+        df = df.withWatermark("timestamp", lateness)
     rows = df.filter("`timestamp` IS NOT NULL").selectExpr(*flags, f"explode(array({', '.join(entries)})) AS w").filter("w IS NOT NULL")
     rows = rows.selectExpr(*flags, "w.*").withColumn("request_path", F.col("member"))
-    if lateness and df.isStreaming:
-        amount, unit = lateness.split()
-        seconds = float(amount) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
-        rows = rows.withWatermark("window_end", f"{int(seconds + max(s.seconds for s in specs))} seconds")
+    if late:
+        # the window's end is compared with the watermark of the requests
+        delay = next(f.metadata for f in df.schema.fields if f.name == "timestamp")
+        rows = rows.withColumn("window_end", F.col("window_end").alias("window_end", metadata=delay))
     agg = rows.groupBy("window_end", "window_start", "window_size", "per_source", "gkey").agg(*source_window_aggs(exact))
     return agg.selectExpr(
         "window_size",
@@ -173,6 +175,8 @@ _TS_US = "unix_micros(`timestamp`)"
 _SOURCE, _PATH = "s", "p"
 #: Panes of one source whose windows are built together in one task.
 BLOCK_PANES = 32
+#: Parts, by source, that the rows of one path and block are dealt out in.
+PATH_PARTS = 64
 
 
 def _pane_seconds(specs: list[WindowSpec]) -> int:
@@ -232,7 +236,8 @@ def _blocked(panes: DataFrame, families: list[_Family]) -> tuple[DataFrame, dict
     a window needs meets in one place, and one key spreads over its blocks.
     """
     entries, blocks = [], {}
-    for kind, key, member in ((_SOURCE, "src_ip", "request_path"), (_PATH, "request_path", "src_ip")):
+    part = f"CAST(pmod(xxhash64(src_ip), {PATH_PARTS}) AS INT)"
+    for kind, key, member, part in ((_SOURCE, "src_ip", "request_path", "0"), (_PATH, "request_path", "src_ip", part)):
         own = [f for f in families if f.kind == kind]
         if not own:
             continue
@@ -240,31 +245,33 @@ def _blocked(panes: DataFrame, families: list[_Family]) -> tuple[DataFrame, dict
         blocks[kind] = size = -(-max(BLOCK_PANES, *(f.size for f in own)) // step) * step
         block = f"(pane - pmod(pane, {size}L)) div {size}L"
 
-        def entry(at: str, kind=kind, key=key, member=member) -> str:
-            return f"named_struct('kind', '{kind}', 'gkey', {key}, 'block', {at}, 'member', {member})"
+        def entry(at: str, kind=kind, key=key, member=member, part=part) -> str:
+            return f"named_struct('kind', '{kind}', 'gkey', {key}, 'block', {at}, 'part', {part}, 'member', {member})"
 
         reached = " OR ".join(f"{f.earliest('pane')} < {block} * {size}L" for f in own)
         entries += [entry(block), f"IF({reached}, {entry(f'{block} - 1L')}, NULL)"]
     rows = panes.selectExpr("*", f"explode(array({', '.join(entries)})) AS g").filter("g IS NOT NULL")
     columns = ["pane", "method", "n", "n_err", "n_timeout", "n_tiny"]
-    return rows.selectExpr("g.kind", "g.gkey", "g.block", "g.member", *columns).repartition("kind", "gkey", "block"), blocks
+    return rows.selectExpr("g.kind", "g.gkey", "g.block", "g.part", "g.member", *columns).repartition("kind", "gkey", "block", "part"), blocks
 
 
 def _near_enough(rows: DataFrame, families: list[_Family], min_count: dict[str, float]) -> tuple[DataFrame, dict[str, str]]:
-    """Drop the pane rows that no window reaching its family's threshold can hold.
+    """Drop the pane rows of sources that no window reaching its family's threshold can hold.
 
     All panes of a window lie within its length of each other, so a pane row
-    can only matter if the requests of its key that near to it reach the
-    threshold.  Returns the rows and a condition for each family.
+    can only matter if the requests of its source that near to it reach the
+    threshold.  A path's rows lie in several parts, so they all stay.  Returns
+    the rows and a condition for each source family.
     """
     near = {}
-    for k, f in enumerate(families):
+    own = [f for f in families if f.kind == _SOURCE]
+    for k, f in enumerate(own):
         if f.spec.label in min_count:
-            reach = Window.partitionBy("kind", "gkey", "block").orderBy("pane").rangeBetween(1 - f.size, f.size - 1)
+            reach = Window.partitionBy("kind", "gkey", "block", "part").orderBy("pane").rangeBetween(1 - f.size, f.size - 1)
             rows = rows.withColumn(f"_near{k}", F.sum("n").over(reach))
             near[f.spec.label] = f"_near{k} >= {math.ceil(min_count[f.spec.label])}L"
-    if len(near) == len(families):
-        rows = rows.filter(" OR ".join(f"(kind = '{f.kind}' AND {near[f.spec.label]})" for f in families))
+    if own and len(near) == len(own):
+        rows = rows.filter(f"kind = '{_PATH}' OR " + " OR ".join(near.values()))
     return rows, near
 
 
@@ -284,8 +291,10 @@ def grain_measures(
     be left out.  ``method_variety`` is only computed for the families in
     ``method_labels`` (default: all; null elsewhere).
 
-    Two shuffles: partial sums of the panes, and the panes by (key, block);
-    every later step is clustered by the latter.
+    Two shuffles: partial sums of the panes, and the panes by (key, block) and,
+    for paths, part; every later step is clustered by the latter.  With a path
+    family a third one adds up the parts: one row per window and part, already
+    summed.
     """
     if method_labels is None:
         method_labels = {s.label for s in specs}
@@ -304,8 +313,8 @@ def grain_measures(
                 one = f"named_struct('window_size', {sql_str(f.spec.label)}, 'ws', {start}, 'sub', {sub})"
                 entries.append(f"IF({cond}, {one}, NULL)")
     rows = rows.selectExpr("*", f"explode(array({', '.join(entries)})) AS w").filter("w IS NOT NULL")
-    rows = rows.selectExpr("kind", "gkey", "block", "w.window_size", "w.ws", "w.sub", "IF(w.sub = 1, member, method) AS member", "n", "n_err", "n_timeout", "n_tiny")
-    keys = ["kind", "gkey", "block", "window_size", "ws"]
+    rows = rows.selectExpr("kind", "gkey", "block", "part", "w.window_size", "w.ws", "w.sub", "IF(w.sub = 1, member, method) AS member", "n", "n_err", "n_timeout", "n_tiny")
+    keys = ["kind", "gkey", "block", "part", "window_size", "ws"]
     sums = [F.expr(f"sum({c}) AS {c}") for c in ("n", "n_err", "n_timeout", "n_tiny")]
     members = rows.groupBy(*keys, "sub", "member").agg(*sums)
     members = members.selectExpr("*", f"IF(sub = 1 AND kind = '{_SOURCE}', {url_type_sql('member')}, NULL) AS utype")
@@ -335,6 +344,9 @@ def grain_measures(
         f"{total(f"kind = '{_PATH}'", 'n_err')} AS path_error_count",
     ]
     windows = members.groupBy(*keys).agg(*[F.expr(x) for x in aggs])
+    if any(f.kind == _PATH for f in families):
+        measures = [*SOURCE_MEASURES, *PATH_MEASURES]
+        windows = windows.groupBy("kind", "gkey", "window_size", "ws").agg(*[F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in measures])
 
     us = seconds * US
     length = "CASE " + " ".join(f"WHEN window_size = {sql_str(f.spec.label)} THEN {f.spec.seconds * US}L" for f in families) + " END"
