@@ -38,6 +38,8 @@ from trafficwatch.llm.words import NOT_BLANK, mix, word_keys
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Nodes of a posting list that one comparison block holds.
 BLOCK_NODES = 2000
+#: Parts that a posting list's nodes are dealt out in when the list is looked up.
+LIST_PARTS = 16
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
@@ -73,14 +75,20 @@ def min_hashes(sets: list[np.ndarray], multipliers: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, words: int, coordinates: int, rows: int, prefix: int, seed: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, set_a, set_b, posts, raw) of every document, stored."""
+def signatures(docs: DataFrame, folder: str, words: int, coordinates: int, rows: int, prefix: int, seed: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, set_a, set_b, posts, raw, file, at) of every document, stored.
+
+    The sets themselves, sorted 64-bit hashes, go to files of ``folder``, one a
+    task; (file, at) says where, so no set is ever shuffled.
+    """
     rng = np.random.default_rng(seed)
     multipliers = rng.integers(0, 2**63, coordinates * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches):
+        out = shared.FileWriter(folder)
         for batch in shared.by_bytes(batches, 1):
             sets = shingle_sets(*shared.utf8_buffers(batch.column(1)), words)
+            at = [out.write(s.astype("<u8").tobytes()) if len(s) else 0 for s in sets]
             sizes = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(sizes)
             low = np.zeros((len(sets), coordinates * rows), np.uint64)
@@ -97,12 +105,14 @@ def signatures(docs: DataFrame, words: int, coordinates: int, rows: int, prefix:
             value = mix(value + np.arange(coordinates, dtype=np.uint64) * _GOLDEN)[:, :prefix]
             posts = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * prefix), pa.array(np.ascontiguousarray(value).ravel().view(np.int64)))
             raw = np.ascontiguousarray((low >> np.uint64(48)).astype("<u2"))
+            where = [pa.array([out.name] * len(sets), pa.string()), pa.array(at, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sizes), pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)), posts, pa.array([r.tobytes() for r in raw], pa.binary())],
-                names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "posts", "raw"],
+                [batch.column(0), batch.column(2), pa.array(sizes), pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)), posts, pa.array([r.tobytes() for r in raw], pa.binary()), *where],
+                names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "posts", "raw", "file", "at"],
             )
+        out.close()
 
-    schema = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, posts array<long>, raw binary"
+    schema = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, posts array<long>, raw binary, file string, at long"
     return shared.materialize(_rows(docs).mapInArrow(run, schema), "signatures", batch_rows=1024)
 
 
@@ -115,26 +125,6 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), text_key().alias("text_key"))
 
 
-def stored_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of ``nodes`` (node, doc_id, text_key, whether that row is repeated): sorted 64-bit hashes."""
-
-    def run(batches):
-        for batch in shared.by_bytes(batches, 1):
-            sets = shingle_sets(*shared.utf8_buffers(batch.column(1)), words)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
-
-    rows = _rows(docs)
-
-    def chosen(some: DataFrame) -> DataFrame:
-        same = (rows["text_key"] == some["text_key"]) & rows["doc_id"].eqNullSafe(some["doc_id"])
-        return rows.join(some, same).select("node", "text")
-
-    found = chosen(nodes.filter("not repeated"))
-    if not nodes.filter("repeated").isEmpty():
-        found = found.unionByName(chosen(nodes.filter("repeated")).dropDuplicates(["node"]))
-    return shared.materialize(found.mapInArrow(run, "node long, shingles binary"), "shingle-sets", batch_rows=1024)
-
-
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union of two sorted sets."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
@@ -144,19 +134,26 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` whose full sets are similar enough."""
+def confirmed(pairs: DataFrame, nodes: DataFrame, folder: str, percent: int) -> DataFrame:
+    """The (u, v) of ``pairs`` whose full sets are similar enough; ``nodes`` says where the sets lie."""
 
     def run(batches):
+        sets = shared.SliceReader(folder)
         for batch in batches:
-            a, b = ([np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(c)] for c in (2, 3))
-            keep = pa.array([alike(x, y, percent) for x, y in zip(a, b)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(keep)
+            columns = [c.to_pylist() for c in batch.columns]
+            one, two = (list(zip(columns[k], columns[k + 1], [8 * n for n in columns[k + 2]])) for k in (2, 5))
+            keep = []
+            for k in range(0, len(one), 64):
+                sets.fetch(one[k : k + 64] + two[k : k + 64])
+                keep += [alike(np.frombuffer(sets.get(*a), "<u8"), np.frombuffer(sets.get(*b), "<u8"), percent) for a, b in zip(one[k : k + 64], two[k : k + 64])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        sets.close()
+
+    def named(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.struct("file", "at", "n_shingles").alias(f"_{name}"))
 
-    first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    rows = pairs.join(second, "v").join(first, "u").select("u", "v", "a", "b")
-    return shared.materialize(rows.mapInArrow(run, "u long, v long"), "confirmed", batch_rows=256)
+    rows = pairs.join(named("v"), "v").join(named("u"), "u").sortWithinPartitions("_u", "_v").select("u", "v", "_u.*", *[F.col(f"_v.{c}").alias(f"_{c}") for c in ("file", "at", "n_shingles")])
+    return shared.materialize(rows.mapInArrow(run, "u long, v long"), "confirmed", batch_rows=1024)
 
 
 def similar_enough(rows: int, least_matches: int, least_raw: int):
@@ -184,21 +181,22 @@ class _Union:
         self.group[self.group == self.group[a]] = self.group[b]
 
 
-def compare_lists(rows: int, least_matches: int, least_raw: int, percent: int):
+def compare_lists(folder: str, rows: int, least_matches: int, least_raw: int, percent: int):
     """Links (u, v) across components from rows sorted by (key, block).
 
     A block's links are a forest over its components: once two are joined, no
-    more of their pairs are looked at.
+    more of their pairs are looked at.  Pairs are screened by signature; only
+    the sets of those left are read.
     """
 
-    def links(part: pa.Table):
+    def links(part: pa.Table, sets: shared.SliceReader):
         node = part["node"].to_numpy()
         home, outside = part["home"].to_numpy(zero_copy_only=False), part["outside"].to_numpy(zero_copy_only=False)
         at, joined = part["at"][0].as_py(), _Union(part["component"].to_numpy())
         raw = np.frombuffer(b"".join(part["raw"].to_pylist()), "<u2").reshape(len(node), -1)
         # the posted values themselves: hashes cut to 16 bits also agree by chance
         earlier = part["posts"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :at]
-        sets = part["shingles"].combine_chunks()
+        where = list(zip(part["file"].to_pylist(), part["place"].to_pylist(), (8 * part["n_shingles"].to_numpy()).tolist()))
         own = np.flatnonzero(home)
         for k in np.flatnonzero(outside):
             rest = own[(joined.group[own] != joined.group[k]) & ~(outside[own] & (node[own] <= node[k]))]
@@ -209,35 +207,39 @@ def compare_lists(rows: int, least_matches: int, least_raw: int, percent: int):
             close = total >= least_raw
             rest, total, whole = rest[close], total[close], same[close].reshape(int(close.sum()), raw.shape[1] // rows, rows).all(2)
             meets = (whole.sum(1) >= least_matches) & ~(earlier[rest] == earlier[k]).any(1)
-            mine = np.frombuffer(sets[k].as_buffer(), "<u8")
-            for other in rest[meets][np.argsort(-total[meets], kind="stable")].tolist():
-                if joined.group[other] != joined.group[k] and alike(mine, np.frombuffer(sets[other].as_buffer(), "<u8"), percent):
+            chosen = rest[meets][np.argsort(-total[meets], kind="stable")].tolist()
+            if chosen:
+                sets.fetch([where[k], *(where[o] for o in chosen[:16])])
+            for other in chosen:
+                if joined.group[other] != joined.group[k] and alike(np.frombuffer(sets.get(*where[k]), "<u8"), np.frombuffer(sets.get(*where[other]), "<u8"), percent):
                     joined.join(k, other)
                     yield int(min(node[k], node[other])), int(max(node[k], node[other]))
 
-    def found(part: pa.Table):
+    def found(part: pa.Table, sets: shared.SliceReader):
         if part.num_rows > 1:
-            pairs = list(links(part))
+            pairs = list(links(part, sets))
             if pairs:
                 u, v = zip(*pairs)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
+        sets = shared.SliceReader(folder)
         for batch in batches:
             key, block = batch.column("key").to_numpy(), batch.column("block").to_numpy()
             cut = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             if held and batch.num_rows and (held[-1]["key"][-1].as_py(), held[-1]["block"][-1].as_py()) != (key[0], block[0]):
-                yield from found(pa.Table.from_batches(held))
+                yield from found(pa.Table.from_batches(held), sets)
                 held = []
             begin = 0
             for c in cut.tolist():
-                yield from found(pa.Table.from_batches([*held, batch.slice(begin, c - begin)]))
+                yield from found(pa.Table.from_batches([*held, batch.slice(begin, c - begin)]), sets)
                 held, begin = [], c
             if batch.num_rows:
                 held.append(batch.slice(begin))
         if held:
-            yield from found(pa.Table.from_batches(held))
+            yield from found(pa.Table.from_batches(held), sets)
+        sets.close()
 
     return run
 
@@ -255,13 +257,13 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, coordinates
     # six standard deviations below the expected matches of a pair at the threshold
     functions, p = coordinates * rows, percent / 100
     least_raw = max(0, int(functions * p - 6 * (functions * p * (1 - p)) ** 0.5))
-    all_rows = signatures(docs, words, coordinates, rows, prefix, seed)
+    folder = shared.shared_dir(spark, "shingles")
+    all_rows = signatures(docs, folder, words, coordinates, rows, prefix, seed)
     same = ["set_a", "set_b", "n_shingles"]
     groups = all_rows.filter("n_shingles > 0").groupBy(*same)
     # a row that holds the set, the least id first
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("least")
-    groups = groups.agg(least, F.first("posts").alias("posts"), F.first("raw").alias("raw"))
-    groups = groups.select(*same, "least.doc_id", "least.text_key", "posts", "raw", F.monotonically_increasing_id().alias("node"))
+    groups = groups.agg(F.min("doc_id").alias("doc_id"), F.first("posts").alias("posts"), F.first("raw").alias("raw"), F.first(F.struct("file", "at")).alias("where"))
+    groups = groups.select(*same, "doc_id", "posts", "raw", "where.file", "where.at", F.monotonically_increasing_id().alias("node"))
     nodes = shared.materialize(groups, "nodes")
 
     posted = nodes.select("node", F.posexplode("posts").alias("at", "key"))
@@ -276,26 +278,23 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, coordinates
         return shared.materialize(rows_.mapInArrow(similar_enough(rows, least_matches, least_raw), "u long, v long").distinct(), tag)
 
     candidates = screened(stars, "star-pairs")
-    holders = nodes.join(posts.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_key")
-    counts = all_rows.groupBy("doc_id", "text_key").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.lit(True).alias("repeated"))
-    holders = holders.join(counts, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    holders = shared.materialize(holders.select("node", "doc_id", "text_key", F.coalesce("repeated", F.lit(False)).alias("repeated")), "holders")
-    sets = stored_sets(docs, holders, words)
-    links = confirmed(candidates, sets, percent)
+    links = confirmed(candidates, nodes, folder, percent)
     found = components(links)
 
     named = posts.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     leading = F.coalesce(F.max(F.when(F.col("node") == F.col("leader"), F.col("component"))), F.lit(-1))
     mixed = named.filter("n > 2").groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), leading.alias("_own"), F.count(F.lit(1)).alias("_size"))
-    mixed = mixed.filter("_low != _high").select("key", "_own", "_size")
+    # a long list's rows are dealt out by node too, so its description goes to each of the parts
+    parts = F.explode(F.sequence(F.lit(0), F.lit(LIST_PARTS - 1))).alias("_part")
+    mixed = shared.materialize(mixed.filter("_low != _high").select("key", "_own", "_size"), "mixed-lists").select("*", parts)
     blocks = F.ceil(F.col("_size") / block_nodes)
-    rest = named.join(mixed, "key").filter(F.col("node") != F.col("leader")).select(
+    rest = named.withColumn("_part", F.pmod(F.xxhash64("node"), F.lit(LIST_PARTS)).cast("int")).join(mixed, ["key", "_part"]).filter(F.col("node") != F.col("leader")).select(
         "key", "at", "node", "component", (F.col("component") != F.col("_own")).alias("outside"), F.pmod(F.xxhash64("node"), blocks).alias("_home"), blocks.alias("_blocks")
     )
     rest = rest.withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_home"))))
-    rest = rest.withColumn("home", F.col("block") == F.col("_home")).join(nodes.select("node", "raw", "posts"), "node").join(sets, "node")
-    rest = rest.select("key", "block", "at", "node", "component", "outside", "home", "raw", "posts", "shingles").repartition("key", "block").sortWithinPartitions("key", "block")
-    more = rest.mapInArrow(compare_lists(rows, least_matches, least_raw, percent), "u long, v long").distinct()
+    rest = rest.withColumn("home", F.col("block") == F.col("_home")).join(nodes.select("node", "raw", "posts", "file", F.col("at").alias("place"), "n_shingles"), "node")
+    rest = rest.select("key", "block", "at", "node", "component", "outside", "home", "raw", "posts", "file", "place", "n_shingles").repartition("key", "block").sortWithinPartitions("key", "block")
+    more = rest.mapInArrow(compare_lists(folder, rows, least_matches, least_raw, percent), "u long, v long").distinct()
     found = components(links.unionByName(shared.materialize(more, "list-links", batch_rows=512)))
 
     # the least id of each class of several nodes

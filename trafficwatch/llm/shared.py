@@ -8,7 +8,9 @@ can read it.
 from __future__ import annotations
 
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 import numpy as np
@@ -99,6 +101,80 @@ def write_file(folder: str, name: str, parts: list[bytes]) -> tuple[str, int]:
     return uri, size
 
 
+class FileWriter:
+    """A file under a name no other attempt uses, written bit by bit; ``name`` is known from the start."""
+
+    def __init__(self, folder: str):
+        self.name, self.size, self.stream = uuid.uuid4().hex, 0, None
+        self.folder = folder.rstrip("/")
+
+    def write(self, data: bytes) -> int:
+        """Append; returns where the data begins."""
+        if self.stream is None:
+            filesystem, path = _filesystem(f"{self.folder}/{self.name}")
+            filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            self.stream = filesystem.open_output_stream(path)
+        at, self.size = self.size, self.size + len(data)
+        self.stream.write(data)
+        return at
+
+    def close(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+
+
+class SliceReader:
+    """Slices of files below a folder, fetched several at a time; keeps ``most_bytes`` of them and ``most_files`` open."""
+
+    def __init__(self, folder: str, most_bytes: int = 32 << 20, most_files: int = 64, threads: int = 8):
+        self.folder, self.most_bytes, self.most_files, self.threads = folder.rstrip("/"), most_bytes, most_files, threads
+        self.kept: OrderedDict[tuple[str, int], bytes] = OrderedDict()
+        self.files: OrderedDict[str, object] = OrderedDict()
+        self.held = 0
+
+    def _file(self, name: str):
+        if name not in self.files:
+            if len(self.files) == self.most_files:
+                self.files.popitem(last=False)[1].close()
+            self.files[name] = open_file(f"{self.folder}/{name}")
+        self.files.move_to_end(name)
+        return self.files[name]
+
+    def get(self, name: str, at: int, size: int) -> bytes:
+        key = (name, at)
+        if key in self.kept:
+            self.kept.move_to_end(key)
+            return self.kept[key]
+        return self._keep(key, self._file(name).read_at(size, at))
+
+    def _keep(self, key: tuple[str, int], data: bytes) -> bytes:
+        self.kept[key] = data
+        self.held += len(data)
+        while self.held > self.most_bytes and len(self.kept) > 1:
+            self.held -= len(self.kept.popitem(last=False)[1])
+        return data
+
+    def fetch(self, wanted: list[tuple[str, int, int]]) -> None:
+        """Read what is not kept yet, as long as it can be kept."""
+        todo, size = [], 0
+        for name, at, n in dict.fromkeys(wanted):
+            if (name, at) not in self.kept and size + n <= self.most_bytes // 2:
+                todo.append((name, at, n))
+                size += n
+        for k in range(0, len(todo), self.most_files):
+            part = todo[k : k + self.most_files]
+            files = [self._file(name) for name, _, _ in part]
+            with ThreadPoolExecutor(self.threads) as pool:
+                found = list(pool.map(lambda f, w: f.read_at(w[2], w[1]), files, part))
+            for (name, at, _), data in zip(part, found):
+                self._keep((name, at), data)
+
+    def close(self) -> None:
+        for f in self.files.values():
+            f.close()
+        self.files.clear()
+
+
 def open_file(uri: str):
     """Seekable reader of a file written by ``write_file``."""
     filesystem, path = _filesystem(uri)
