@@ -134,7 +134,7 @@ class Crf:
         ids, n = word_features(words, self.bits)
         return np.add.reduceat(self.weights[ids], np.cumsum(n) - n, axis=0) if len(words) else np.zeros((0, len(self.labels)), np.float32)
 
-    def _lookup(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 500_000) -> np.ndarray:
+    def _lookup(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 200_000) -> np.ndarray:
         """Emission row of each word; distinct words are scored once per worker."""
         most = min(most, 16 * most // max(1, len(self.labels)))
         keys, first, where = np.unique(span_keys(low, starts, ends - starts), return_index=True, return_inverse=True)
@@ -296,6 +296,7 @@ def train(docs: DataFrame, per_language: int = 150, longest_chars: int = 20_000)
 
 def _judged(model: Crf, column) -> tuple[list[str], np.ndarray]:
     """(language, score) of each text of an Arrow column."""
+    shared.keep_cache("languages", model._forget)
     data, offsets = shared.utf8_buffers(column)
     names, score = model.predict(data, offsets)
     for k in range(len(names)):

@@ -3,7 +3,10 @@
 ``build_index`` cuts the documents into shards of bounded size and stores, per
 shard, its sorted terms with the positions of every word (delta-coded) as one
 table row: no shuffle, and a frequent term is spread over all shards.
-``matches`` takes the test items in bounded blocks, each broadcast once.  In
+The test items are tokenised by Spark into files of bounded blocks; a search
+task holds a few shards and goes through the blocks, of which it keeps
+``KEPT_BYTES`` (more are read again for the next shards), so items of any number
+are one job and never come to the driver.  In
 each shard a window's posting lists are shifted by their offsets and
 intersected from the rarest term on; what is left are exact phrases.  Proximity
 matches keep the anchors of the rarest term that have every other term of the
@@ -12,8 +15,9 @@ window near them.
 Defined results: words of a null or empty text: none, so such documents are
 clean and such items match nothing; an item shorter than the window is one
 window; items without id take no part, items that share an id count once;
-every document row gives a row, also if it repeats another; an empty table
-gives no rows; other columns are ignored.
+every document row gives a row, also if it repeats another; there are no ties;
+a very long text is a shard of its own; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from trafficwatch.llm.words import LETTERS_DIGITS, word_keys
 
 #: Free positions between two documents of a shard, so that no window spans both.
 GAP = 1024
+#: Bytes of test-item blocks that a task keeps.
+KEPT_BYTES = 32 << 20
 _INDEX = "shard long, docs array<struct<doc_id: bigint, text_key: bigint, n_words: bigint>>, terms binary, counts binary, postings binary"
 _DOC = pa.struct([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64())])
 _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
@@ -46,7 +52,7 @@ def shard_columns(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes, b
     return terms.astype("<u8").tobytes(), per.astype("<u4").tobytes(), delta.astype("<u4").tobytes()
 
 
-def build_index(docs: DataFrame, shard_bytes: int = 2 << 20) -> DataFrame:
+def build_index(docs: DataFrame, shard_bytes: int = 1 << 20) -> DataFrame:
     """The stored index of ``docs`` (doc_id, text); one row per shard."""
     shared.with_python(docs.sparkSession)
 
@@ -74,7 +80,7 @@ def build_index(docs: DataFrame, shard_bytes: int = 2 << 20) -> DataFrame:
 class Shard:
     """Posting lists of one index row."""
 
-    def __init__(self, terms: bytes, counts: bytes, postings: bytes):
+    def __init__(self, terms: pa.Buffer | bytes, counts: pa.Buffer | bytes, postings: pa.Buffer | bytes):
         self.terms = np.frombuffer(terms, "<u8")
         self.counts = np.frombuffer(counts, "<u4").astype(np.int64)
         self.ends = np.cumsum(self.counts)
@@ -162,58 +168,84 @@ def search_shard(shard: Shard, items: Items, bounds: np.ndarray, slop: int) -> l
     return [(slot, items.ids[i], _merged(*(np.concatenate(x) for x in zip(*parts))), exact) for (slot, i, exact), parts in found.items()]
 
 
-def _blocks(items: DataFrame, window: int, limit: int):
-    """Test items tokenised in blocks of about ``limit`` bytes of text."""
-    ids, texts, held = [], [], 0
+_BLOCKS = "name string, n long, size long"
 
-    def block() -> Items:
-        keys, counts = word_keys(*shared.utf8_buffers(pa.array(texts, pa.string())), LETTERS_DIGITS)
-        return Items(ids, keys, counts, window)
 
-    rows = items.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
-    for item, text in rows.toLocalIterator():
-        ids.append(item)
-        texts.append(text)
-        held += len(text) + 1
-        if held >= limit:
-            yield block()
-            ids, texts, held = [], [], 0
-    if ids:
-        yield block()
+def store_items(items: DataFrame, folder: str, limit: int) -> list[tuple[str, int, int]]:
+    """Test items in files of about ``limit`` bytes of text; (name, items, bytes) of each file, all that the driver learns."""
 
+    def write(ids: list[int], texts: list[pa.Array]) -> pa.RecordBatch:
+        keys, counts = word_keys(*shared.utf8_buffers(pa.concat_arrays(texts)), LETTERS_DIGITS)
+        out = shared.FileWriter(folder)
+        out.write(b"".join(x.tobytes() for x in (np.array(ids, "<i8"), counts.astype("<i8"), keys.astype("<u8"))))
+        out.close()
+        return pa.RecordBatch.from_arrays([pa.array([out.name]), pa.array([len(ids)], pa.int64()), pa.array([out.size], pa.int64())], names=["name", "n", "size"])
 
-def matches(index: DataFrame, items: DataFrame, window: int = 10, slop: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
-    """Phrase (``exact``) and proximity matches: shard, slot, item_id, spans of word positions in the document."""
+    def run(batches):
+        ids, texts, held = [], [], 0
+        for batch in shared.by_bytes(batches, 1, limit):
+            ids += batch.column(0).to_pylist()
+            texts.append(batch.column(1))
+            held += batch.column(1).nbytes
+            if held >= limit:
+                yield write(ids, texts)
+                ids, texts, held = [], [], 0
+        if ids:
+            yield write(ids, texts)
+
+    rows = items.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return sorted(tuple(r) for r in shared.materialize(rows.mapInArrow(run, _BLOCKS), "item-blocks", batch_rows=1024).collect())
+
+
+class _ItemBlocks:
+    """The stored blocks, as many kept as fit into ``KEPT_BYTES``."""
+
+    def __init__(self, folder: str, blocks: list[tuple[str, int, int]], window: int):
+        self.folder, self.blocks, self.window = folder, blocks, window
+        self.kept: dict[str, Items] = {}
+        self.held = 0
+
+    def __iter__(self):
+        for name, n, size in self.blocks:
+            items = self.kept.get(name)
+            if items is None:
+                with shared.open_file(f"{self.folder}/{name}") as f:
+                    flat = np.frombuffer(f.read(), "<i8")
+                items = Items(flat[:n].tolist(), flat[2 * n :].view("<u8"), flat[n : 2 * n], self.window)
+                if self.held + size <= KEPT_BYTES:
+                    self.kept[name] = items
+                    self.held += size
+            yield items
+
+
+def matches(index: DataFrame, items: DataFrame, window: int = 10, slop: int = 10, block_bytes: int = 4 << 20, shards: int = 4) -> DataFrame:
+    """Phrase (``exact``) and proximity matches, stored: shard, slot, item_id, spans of word positions in the document.
+
+    ``shards``: how many a task holds at a time.
+    """
     if not 0 < window + slop < GAP:
         raise ValueError("window and slop must stay below the gap between documents")
-    spark = index.sparkSession
-    found = None
-    for block in _blocks(items, window, block_bytes):
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches, sent=sent):
-            for batch in batches:
-                for k in range(batch.num_rows):
-                    n_words = batch.column(1)[k].values.field(2).to_numpy()
-                    bounds = np.cumsum(n_words) - n_words + np.arange(len(n_words)) * GAP
-                    shard = Shard(*(batch.column(c)[k].as_py() for c in (2, 3, 4)))
-                    hits = search_shard(shard, sent.value, bounds, slop)
+    folder = shared.shared_dir(index.sparkSession, "test-items")
+    blocks = store_items(items, folder, block_bytes)
+
+    def run(batches):
+        stored = _ItemBlocks(folder, blocks, window)
+        for batch in batches:
+            held = []
+            for k in range(batch.num_rows):
+                n_words = batch.column(1)[k].values.field(2).to_numpy()
+                bounds = np.cumsum(n_words) - n_words + np.arange(len(n_words)) * GAP
+                held.append((batch.column(0)[k].as_py(), Shard(*(batch.column(c)[k].as_buffer() for c in (2, 3, 4))), bounds))
+            for block in stored:
+                for number, shard, bounds in held:
+                    hits = search_shard(shard, block, bounds, slop)
                     if hits:
                         slots, ids, spans, exact = zip(*hits)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([batch.column(0)[k].as_py()] * len(hits)),
-                                pa.array(slots, pa.int32()),
-                                pa.array(ids, pa.int64()),
-                                pa.array(spans, pa.list_(_SPAN)),
-                                pa.array(exact),
-                            ],
-                            names=["shard", "slot", "item_id", "spans", "exact"],
-                        )
-
-        hits = index.select("shard", "docs", "terms", "counts", "postings").mapInArrow(run, _HITS)
-        found = hits if found is None else found.unionByName(hits)
-    return found if found is not None else spark.createDataFrame([], _HITS)
+                        columns = [pa.array([number] * len(hits)), pa.array(slots, pa.int32()), pa.array(ids, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(exact)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["shard", "slot", "item_id", "spans", "exact"])
+        shared.release()
+
+    return shared.materialize(index.select("shard", "docs", "terms", "counts", "postings").mapInArrow(run, _HITS), "phrase-hits", batch_rows=shards)
 
 
 def contamination(index: DataFrame, found: DataFrame) -> DataFrame:

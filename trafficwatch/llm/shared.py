@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
@@ -203,6 +203,27 @@ def by_bytes(batches, column: int, limit: int = CHUNK_BYTES) -> Iterator[pa.Reco
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: an idle worker's share is the executor's."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def keep_cache(name: str, clear: Callable[[], None]) -> None:
+    """A worker keeps one operator's cache: those of the operators it ran before are cleared."""
+    for other in [n for n in _CACHES if n != name]:
+        _CACHES.pop(other)()
+    _CACHES[name] = clear
 
 
 def pack_binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:

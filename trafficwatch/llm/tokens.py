@@ -15,6 +15,7 @@ import os
 
 import numpy as np
 
+from trafficwatch.llm import shared
 from trafficwatch.llm.words import byte_set, ranges, span_keys, spans
 
 _JOINED = 1000
@@ -63,7 +64,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class WordEncoder:
     """Ids of whole texts; ``max_words`` bounds the kept units (then it starts afresh)."""
 
-    def __init__(self, path: str, max_words: int = 800_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -157,7 +158,8 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One per worker process and vocabulary file."""
+    """One per worker process and vocabulary file, until the worker runs another operator."""
+    shared.keep_cache("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
