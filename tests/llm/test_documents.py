@@ -299,6 +299,47 @@ def test_pipeline_stages(spark, documents, benchmark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+CLASHING = ("starts", "__lines", "__text_key", "__line_doc", "__id", "__key", "n_lines", "n_removed", "id", "key", "row", "doc", "c0", "lines", "a.b", "class", "kept", "text_key", "held_id")
+
+
+def test_clashing_column_names_pass_through(spark):
+    """Every stage but the last returns such columns as they came."""
+    shared_lines = "one two three\nfour five six\nseven eight nine"
+    texts = [f"the house is old {i}\n{shared_lines}\nand so it was {i * 7} all along the way to the sea" for i in range(6)]
+    texts += [texts[5], None, "", "und das haus ist sehr alt und gross"]
+    rows = [(i, t, "en" if i < 9 else "de", *[f"{c}{i}" for c in CLASHING]) for i, t in enumerate(texts)] + [(None, "no id here but some text", "en", *CLASHING)]
+    schema = "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, schema)
+    before = {r[0]: tuple(r)[2:] for r in docs.collect()}
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for one in (stage(spark, docs.filter("text is not null"), SF), stage(spark, left, SF)):
+            assert one.columns == docs.columns, name
+            got = one.collect()
+            assert got and all(tuple(r)[2:] == before[r[0]] for r in got), name
+        left = one
+        assert stage(spark, docs.limit(0), SF).collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, left, SF).count() >= left.count()
+
+
+def test_clashing_column_names_in_operators(spark):
+    """Operators give the same rows with and without extra columns of their inner names."""
+    texts = ["a b c\nd e f\ng h i", "x\na b c\nd e f\ng h i\ny", "", None, "a b c d e f g h i j k l m"]
+    plain = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    extra = plain.selectExpr("*", *[f"'z' AS `{c}`" for c in CLASHING])
+    bench = spark.createDataFrame([(1, "d e f g h i j k l m")], "item_id long, text string")
+    runs = (
+        lambda d: minhash_join.near_duplicates(d, words=2),
+        lambda d: phrase_index.decontaminate(d, bench),
+        lambda d: line_windows.remove_repeated_windows(d).select("doc_id", "n_lines", "n_removed", "text"),
+    )
+    for run in runs:
+        assert sorted(map(str, run(plain).collect())) == sorted(map(str, run(extra).collect()))
+    kept = line_windows.remove_repeated_windows(extra)
+    assert [c for c in kept.columns if c in CLASHING] == [c for c in CLASHING if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
+    assert {tuple(r[c] for c in CLASHING if c not in ("n_lines", "n_removed")) for r in kept.select(*[f"`{c}`" for c in kept.columns]).collect()} == {("z",) * (len(CLASHING) - 2)}
+
+
 def test_encoded_columns_with_nulls():
     from trafficwatch.llm import shared
 

@@ -133,3 +133,19 @@ def test_url_query(spark):
     rows = pq.read_table(f"{SF}/pages.parquet").to_pylist()
     got = queries.op8_url_automaton(spark, SF).collect()
     assert sorted(map(tuple, got)) == sorted((r["page_id"], *brute_verdict(r["url"])) for r in rows)
+
+
+def test_automaton_with_many_rules_and_touching_wildcards():
+    """Bits over many words, and wildcards that touch, against a regular expression."""
+    import re
+
+    rng = np.random.default_rng(3)
+    globs = ["".join(rng.choice(list("ab/") + ["*", "**"], size=rng.integers(1, 9))) for _ in range(150)]
+
+    def as_regex(glob):
+        return "".join({"**": ".*", "*": "[^/]*"}.get(p, re.escape(p)) for p in re.findall(r"\*\*|\*|.", glob))
+
+    texts = ["".join(rng.choice(list("ab/"), size=rng.integers(0, 12))) for _ in range(200)]
+    found = url_automaton.ShiftAnd(globs).match([t.encode() for t in texts])
+    for t, row in zip(texts, found):
+        assert row.tolist() == [re.fullmatch(as_regex(g), t, re.S) is not None for g in globs]

@@ -18,7 +18,8 @@ Defined results: null text, or one without letters, is ``und`` with score 0;
 documents without a label, or with a null id, are never learned from; without
 any labelled row every text is ``und``; each row is judged by its own text, so
 repeated rows agree; ties go to the label that sorts first; an empty table
-gives no rows; other columns are ignored.
+gives no rows; other columns are ignored, and kept by ``keep_known``, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -335,4 +336,6 @@ def keep_known(docs: DataFrame, model: Crf, least_score: float) -> DataFrame:
             names, score = _judged(sent.value, batch.column(at))
             yield batch.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, score)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # under numbers: mapInArrow can't take names with a dot
+    rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -20,8 +20,9 @@ Defined results: null or empty text has an empty set and links with nothing;
 rows are linked by their sets alone, so rows that share an id, or have none,
 are documents of their own where their texts differ; a class is named by its
 least id, null if none of its rows has one, and its rows with that id (or all,
-if none has one) are kept; an empty table gives no rows; other columns are
-ignored.
+if none has one) are kept; equal sets tie and are one node; a very long text is
+read in pieces and keeps 8 bytes for each distinct shingle; an empty table gives
+no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -306,3 +307,30 @@ def near_classes(docs: DataFrame, words: int = 5, percent: int = 80, coordinates
     out = all_rows.select("doc_id", "text_key", *same).join(named, same, "left")
     component_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_key", "n_shingles", "component", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+
+
+def keep_one(docs: DataFrame, **parameters) -> DataFrame:
+    """``docs``, whole rows, without near duplicates: one row of each class stays (parameters of ``near_classes``).
+
+    Rows without an id stay.  Of the kept rows that share an id, those of one
+    class, or of one empty set and text, leave as one: the least by the text's
+    key, then by all columns.  Columns of any name are kept as they are.
+    """
+    spark = docs.sparkSession
+    path, again = shared.shared_dir(spark, "near-dropped"), shared.shared_dir(spark, "near-repeated")
+    with shared.temporary(spark):
+        classes = near_classes(docs, **parameters).filter("doc_id is not null")
+        classes = shared.materialize(classes.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), F.col("component").alias("class"), "kept"), "near-kept")
+        dropped = shared.materialize(classes.filter("not kept").select("id", "key").distinct(), "near-dropped", path=path)
+        several = classes.groupBy("id").count().filter("count > 1")
+        repeated = classes.filter("kept").join(several, "id", "left_semi").select("id", "key", "class").distinct()
+        repeated = shared.materialize(repeated, "near-repeated", path=again)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    whole = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)]).alias("row")
+    held = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("key"), whole)
+    kept = held.join(dropped, ["id", "key"], "left_anti")
+    if not repeated.isEmpty():
+        empty = F.when(F.col("class").isNull(), F.col("key"))
+        once = held.join(repeated, ["id", "key"]).groupBy("id", "class", empty).agg(F.min(F.struct("key", "row")).alias("least"))
+        kept = kept.join(repeated, ["id", "key"], "left_anti").select("row").unionByName(once.select("least.row"))
+    return kept.select(*[F.col(f"row.{n}").alias(c) for c, n in zip(docs.columns, names)])

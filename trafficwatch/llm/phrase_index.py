@@ -282,3 +282,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, slop: int
     """``contamination`` of every row of ``docs`` (doc_id, text) by ``items`` (item_id, text)."""
     index = build_index(docs)
     return contamination(index, matches(index, items, window, slop))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """``docs``, whole rows, without those that hold a window of ``items``; columns of any name are kept as they are."""
+    spark = docs.sparkSession
+    path = shared.shared_dir(spark, "contaminated")
+    with shared.temporary(spark):
+        found = decontaminate(docs, items, window).filter("contaminated").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+        found = shared.materialize(found.distinct(), "contaminated", path=path)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    whole = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)]).alias("row")
+    held = docs.select(F.col("doc_id").cast("long").alias("held_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("held_key"), whole)
+    clean = held.join(found, F.col("held_id").eqNullSafe(F.col("id")) & (F.col("held_key") == F.col("key")), "left_anti")
+    return clean.select(*[F.col(f"row.{n}").alias(c) for c, n in zip(docs.columns, names)])

@@ -2,7 +2,10 @@
 
 All patterns lie side by side in one bit row of 64-bit words; a step shifts
 the row, masks it by the character read, and lets wildcard positions hold
-their bit.  Numpy runs the step for a whole batch of URLs, each on its own row.
+their bit.  Wildcards can be passed without a character: their positions are a
+mask too, shifted once for each wildcard that touches the one before.  Numpy
+runs the step for a whole batch of URLs, each on its own row, so its cost is
+that of its words, whatever the rules in them.
 
 A rule is ``host/path-prefix``: it fits its host and every subdomain if the
 URL's path begins with the rule's path.  As a glob over the canonical URL
@@ -11,7 +14,10 @@ takes any byte but a slash and ``**`` any byte.  Of the rules that fit, the
 longest wins (among equal lengths the one listed first); none leaves the default.
 
 Defined results: a null url or one without ``://`` has empty host and path
-and gets the default; an empty path fits no rule; other columns are ignored.
+and gets the default; an empty path fits no rule; rows that repeat an id or url
+are judged each; a very long url takes one step a byte, alone at the end of its
+batch; an empty table gives no rows; columns other than ``page_id`` and ``url``
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +33,8 @@ from trafficwatch.llm import shared
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DEFAULT = "allow"
 _SLASH = 0x2F
+#: Results (url, rule) that one pass holds.
+_CELLS = 1 << 22
 
 
 def rule_glob(rule: str) -> str:
@@ -58,32 +66,42 @@ class ShiftAnd:
         self.step = np.zeros((256, self.words), np.uint64)  # states that a byte moves on from
         self.hold = np.zeros((256, self.words), np.uint64)  # states that a byte leaves as they are
         self.start = np.zeros(self.words, np.uint64)
-        self.skip: list[int] = []  # wildcards can be passed without a byte
-        self.ends: list[int] = []
-        at = 0
+        self.skip = np.zeros(self.words, np.uint64)  # wildcards: passed without a byte
+        ends: list[int] = []
+        at = run = self.passes = 0
         for out in symbols:
             self._set(self.start, at)
             for k, x in enumerate(out):
                 if isinstance(x, int):
                     self._set(self.step[x], at + k)
+                    run = 0
                 else:
-                    self.skip.append(at + k)
+                    self._set(self.skip, at + k)
+                    run += 1
+                    self.passes = max(self.passes, run)
                     for byte in range(256):
                         if x == b"**" or byte != _SLASH:
                             self._set(self.hold[byte], at + k)
-            self.ends.append(at + len(out))
-            at += len(out) + 1
+            ends.append(at + len(out))
+            at, run = at + len(out) + 1, 0
+        self.ends = np.array(ends, np.int64)
         self.start = self._closed(self.start[None, :].copy())[0]
 
     @staticmethod
     def _set(row: np.ndarray, bit: int) -> None:
         row[bit // 64] |= np.uint64(1 << (bit % 64))
 
+    @staticmethod
+    def _shifted(state: np.ndarray) -> np.ndarray:
+        """Every bit one place on, over the words."""
+        out = state << np.uint64(1)
+        out[:, 1:] |= state[:, :-1] >> np.uint64(63)
+        return out
+
     def _closed(self, state: np.ndarray) -> np.ndarray:
-        """Adds the states reached by passing wildcards; they are few, in pattern order."""
-        for p in self.skip:
-            on = (state[:, p // 64] >> np.uint64(p % 64)) & np.uint64(1)
-            state[:, (p + 1) // 64] |= on << np.uint64((p + 1) % 64)
+        """Adds the states reached by passing wildcards."""
+        for _ in range(self.passes):
+            state |= self._shifted(state & self.skip)
         return state
 
     def match(self, texts: list[bytes]) -> np.ndarray:
@@ -97,13 +115,9 @@ class ShiftAnd:
             live = int(np.searchsorted(-lengths, -at, "left"))  # the longer texts come first
             byte = data[starts[:live] + at]
             now = state[:live]
-            moved = now & self.step[byte]
-            shifted = moved << np.uint64(1)
-            shifted[:, 1:] |= moved[:, :-1] >> np.uint64(63)
-            state[:live] = self._closed(shifted | (now & self.hold[byte]))
+            state[:live] = self._closed(self._shifted(now & self.step[byte]) | (now & self.hold[byte]))
         found = np.zeros((len(texts), len(self.ends)), bool)
-        for k, p in enumerate(self.ends):
-            found[order, k] = (state[:, p // 64] >> np.uint64(p % 64)) & np.uint64(1) != 0
+        found[order] = (state[:, self.ends // 64] >> (self.ends % 64).astype(np.uint64)) & np.uint64(1) != 0
         return found
 
 
@@ -130,10 +144,13 @@ def judge(pages: DataFrame, rules=RULES, default: str = DEFAULT) -> DataFrame:
             hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             rule, verdict = [None] * batch.num_rows, [default] * batch.num_rows
             if automaton:
-                found = automaton.match([b"." + h.encode() + p.encode() for h, p in zip(hosts, paths)])
-                first = found.argmax(1)
-                for row in np.flatnonzero(found.any(1)):
-                    verdict[row], rule[row] = rules[ranked[first[row]]]
+                urls = [b"." + h.encode() + p.encode() for h, p in zip(hosts, paths)]
+                some = max(1, _CELLS // len(globs))
+                for at in range(0, len(urls), some):
+                    found = automaton.match(urls[at : at + some])
+                    first = found.argmax(1)
+                    for row in np.flatnonzero(found.any(1)).tolist():
+                        verdict[at + row], rule[at + row] = rules[ranked[first[row]]]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names=["page_id", "host", "path", "rule", "verdict"])
 
     return canonical(pages.select(F.col("page_id").cast("long"), "url")).mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
