@@ -1,9 +1,12 @@
 """Corpus cleaning pipeline over ``documents``: each stage's rows are stored and feed the next one.
 
 Every stage judges all its predecessor kept and returns the columns of its
-input; the last returns the packed pieces.  Null texts go at the first stage.
-Rows without an id are never dropped as near duplicates; of the rows that share
-an id, those whose texts are alike leave that stage as one.
+input; the last returns the packed pieces.  Null texts, and texts without
+letters (empty ones too), go at the first stage.  Rows without an id are never
+dropped as near duplicates; of the rows that share an id, those whose texts are
+alike leave that stage as one.  Very long texts are read whole, in pieces.  An
+empty table gives no rows.  Extra columns pass through every stage but the last
+unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,44 +27,31 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated lines; those that lose every line go."""
-    cut = line_windows.remove_repeated_windows(docs).filter("n_removed = 0 or n_removed < n_lines")
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    """Documents without their repeated lines; those that lose every line go.
+
+    ``n_chars``, where there is one, is counted anew for the changed texts.
+    """
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("row")
+    cut = line_windows.remove_repeated_windows(docs.select("doc_id", "text", whole)).filter("n_removed = 0 or n_removed < n_lines")
+    columns = []
+    for k, c in enumerate(docs.columns):
+        held = F.col(f"row.c{k}")
+        if c == "text":
+            held = F.col("text")
+        elif c == "n_chars":
+            held = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(held).cast(docs.schema[c].dataType)
+        columns.append(held.alias(c))
+    return cut.select(*columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class (five-word shingles, similarity 0.8 or more)."""
-    path, again = shared.shared_dir(spark, "near-dropped"), shared.shared_dir(spark, "near-repeated")
-    with shared.temporary(spark):
-        classes = minhash_join.near_classes(docs, words=5, percent=80).filter("doc_id is not null")
-        classes = shared.materialize(classes.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("component").alias("__class"), "kept"), "near-classes")
-        dropped = shared.materialize(classes.filter("not kept").select("__id", "__key").distinct(), "near-dropped", path=path)
-        several = classes.groupBy("__id").count().filter("count > 1")
-        repeated = classes.filter("kept").join(several, "__id", "left_semi").select("__id", "__key", "__class").distinct()
-        repeated = shared.materialize(repeated, "near-repeated", path=again)
-    key = minhash_join.text_key()
-    same = (F.col("doc_id").cast("long") == F.col("__id")) & (key == F.col("__key"))
-    kept = docs.join(dropped, same, "left_anti")
-    if repeated.isEmpty():
-        return kept
-    # of an id's rows in one class the least: by the text's key, then by all columns
-    held = docs.join(repeated, same)
-    empty = F.col("__class").isNull()
-    once = held.groupBy("__id", "__class", F.when(empty, F.col("__key"))).agg(F.min(F.struct("__key", *docs.columns)).alias("__row"))
-    return kept.join(repeated, same, "left_anti").unionByName(once.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns]))
+    return minhash_join.keep_one(docs, words=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten-word window of a benchmark item."""
-    path = shared.shared_dir(spark, "contaminated")
-    with shared.temporary(spark):
-        found = phrase_index.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-        found = shared.materialize(found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), "contaminated", path=path)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__key"))
-    return docs.join(found, same, "left_anti").select(*docs.columns)
+    return phrase_index.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
