@@ -38,7 +38,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 UNKNOWN = "und"
 #: Chain cells (chain, step, label) that one pass holds.
-_CELLS = 1 << 23
+_CELLS = 1 << 20
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -292,7 +292,9 @@ def training_sample(docs: DataFrame, per_language: int, longest_chars: int, many
 
 def train(docs: DataFrame, per_language: int = 150, longest_chars: int = 20_000) -> Crf:
     """The model learned from a bounded sample of the labelled rows of ``docs`` (doc_id, text, lang)."""
-    return fit(training_sample(docs, per_language, longest_chars))
+    model = fit(training_sample(docs, per_language, longest_chars))
+    shared.release()
+    return model
 
 
 def _judged(model: Crf, column) -> tuple[list[str], np.ndarray]:
