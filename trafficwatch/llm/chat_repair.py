@@ -14,8 +14,9 @@ Defined results: turns are ordered by (turn, role, text hash), nulls first;
 rows that repeat are turns of their own; null text is empty; roles are compared
 in lower case without outer blanks, others and null are relabelled; rows
 without conv_id form one conversation; chat markers inside a text are broken
-up by a zero-width space; an empty table gives no rows; other columns are
-ignored.
+up by a zero-width space; a very long text passes
+as it is, in the segment of its turn; an empty table gives no rows; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations

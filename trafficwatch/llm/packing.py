@@ -6,8 +6,10 @@ to random groups of bounded size, and in each group a tournament tree over
 the bins' free room finds the first bin that fits the next largest rest.
 
 Defined results: a null or empty text is its end id alone; every row is a
-document of its own, also if it repeats another; an empty table gives no
-pieces; other columns are ignored.
+document of its own, also if it repeats another; pieces that tie in
+length are placed in the order of the random group; a very long text is encoded
+whole, its full-length pieces are sequences by themselves; an empty table gives
+no pieces; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ smallest page_id is a response and the others are revisits of it.
 Defined results: null html is an empty payload; a null url leaves its header
 out; a page whose page_id is null is a revisit if its payload has a response
 elsewhere and a response if not; rows that share the smallest page_id are all
-responses; an empty table gives no bundle; other columns are ignored.
+responses; a very long payload is one frame of its own, held whole
+by its task; an empty table gives no bundle; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ table, and a footer with the places of all of them; ``TokenShard`` answers
 and ``read_tokens`` decodes it whole.
 
 Defined results: a null text is empty (its document holds the end id only);
-null ids sort first; equal ids keep one entry per row; an empty table gives
-no file and no rows; other columns are ignored.
+null ids sort first; equal ids keep one entry per row; a very long
+text's ids are held whole by the task of its shard; an empty table gives no file
+and no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
