@@ -117,6 +117,20 @@ def test_top_k_equals_brute_force(spark, seeds, bucket, block):
     assert sorted(map(tuple, got.collect())) == brute_top(rows)
 
 
+def test_top_k_jobs_do_not_grow_with_queries(spark):
+    """Few blocks of queries and files of candidates, or many: as many jobs, and the same rows."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(400)], "vec_id long, embedding array<float>")
+    jobs, rows = [], []
+    for name, block, file in (("few", 50, 400), ("many", 12, 50)):
+        spark.sparkContext.setJobGroup(f"top-k-{name}", name)
+        rows.append(sorted(map(tuple, norm_topk.top_k(df, F.col("vec_id") % 4 == 0, block_rows=block, file_rows=file).collect())))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"top-k-{name}")))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs[0] == jobs[1]
+    assert rows[0] == rows[1] and len(rows[0]) == 500
+
+
 def test_top_k_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert norm_topk.top_k(df, F.col("vec_id") % 50 == 0).collect() == []

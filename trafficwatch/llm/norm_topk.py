@@ -1,20 +1,27 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Candidates are stored sorted by length; each Arrow batch of that table is a
-bucket of vectors of similar length.  For a bucket and a query the local
-cosine threshold is the query's k-th best score so far over (query length x
-longest length in the bucket).  Above 1 the bucket is skipped; a high threshold
-prunes by the feasible range of the query's largest coordinates, a low one by
-length alone; the rest is verified by integer products.
-
-Queries come in bounded blocks, each broadcast once; thresholds start from
-the longest ``seed_rows`` candidates.
+Candidates are dealt out by falling length and stored in files of bounded size;
+each ``bucket_rows`` rows of a file are a bucket of vectors of similar length.
+For a bucket and a query the local cosine threshold is the query's k-th best
+score so far over (query length x longest length in the bucket).  Above 1 the
+bucket is skipped; a high threshold prunes by the feasible range of the query's
+largest coordinates, a low one by length alone; the rest is verified by integer
+products.
+
+Queries are stored in blocks of bounded size, with the thresholds that the
+longest ``seed_rows`` candidates give them.  Spark pairs the descriptors of
+blocks and files, and the tasks of one job take runs of pairs: the files of a
+block by falling length, so thresholds rise as they go and a file too short for
+all queries of the block is not read.  The number of jobs does not depend on
+the number of queries; of the vectors, only the seeds pass the driver.
 
 Defined results: vectors that are null or hold a null or non-finite component
 take no part; only vectors of one dimension meet; candidates with the query's
 own id are its own row; rows that repeat an id count once, with their best
 score; a query without candidates has no rows; ties go to the smaller vec_id;
-components and scores are clamped to the range of long; null ids take no part.
+components are clamped to 2^62 either way, scores to the range of long; null
+ids take no part; other columns are not read; an empty table gives no rows; a
+vector of any dimension is one row of a block or file, whatever its size.
 """
 
 from __future__ import annotations
@@ -27,9 +34,15 @@ from pyspark.sql import functions as F
 from trafficwatch.llm import shared
 
 _VECTORS = "vec_id long, dim int, norm double, components binary"
+_FILES = "dim int, longest double, uri string"
+_BLOCKS = "dim int, block string"
 _HITS = "query_id long, vec_id long, score long"
 #: Local cosine threshold from which coordinate pruning pays.
 COORDINATE_FROM = 0.6
+#: Bytes of components in a block of queries or a file of candidates.
+FILE_BYTES = 8 << 20
+#: Parts of the join of descriptors, as most vectors have one dimension.
+JOIN_PARTS = 64
 
 
 def to_integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -48,7 +61,8 @@ def to_integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
                 if not np.isfinite(x).all():
                     continue
                 rows.append(ids[k].as_py())
-                out.append(np.clip(x, -(2.0**62), 2.0**62).astype("<i8").tobytes())
+                x = np.clip(x, -(2.0**62), 2.0**62)
+                out.append(x.astype("<i8").tobytes())
                 norms.append(float(np.sqrt(np.dot(x, x))))
                 dims.append(len(x))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(dims, pa.int32()), pa.array(norms, pa.float64()), pa.array(out, pa.binary())], names=["vec_id", "dim", "norm", "components"])
@@ -149,72 +163,131 @@ def _stack(table: pa.Table | pa.RecordBatch, dim: int, rows: np.ndarray) -> np.n
     return np.frombuffer(raw, "<i8").reshape(len(rows), dim)
 
 
-def search_block(stored: DataFrame, block: pa.Table, k: int, bucket_rows: int, seeds: pa.Table) -> DataFrame:
-    """Each partition's best k candidates of every query in the block, stored: query_id, vec_id, score."""
-    spark = stored.sparkSession
+def _slices(batches, rows: int):
+    """(dim, table) of the vectors by dimension, in the order they come: ``rows`` rows or FILE_BYTES at most, one row at least."""
+    held: dict[int, list[pa.Table]] = {}
+    for batch in batches:
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            most = max(1, min(rows, FILE_BYTES // max(1, 8 * dim)))
+            own = pa.Table.from_batches([batch.filter(pa.array(dims == dim))])
+            table = pa.concat_tables([*held.pop(dim, []), own])
+            while len(table) >= most:
+                yield dim, table.slice(0, most)
+                table = table.slice(most)
+            if len(table):
+                held[dim] = [table]
+    for dim, tables in held.items():
+        yield dim, pa.concat_tables(tables)
+
+
+def _write(folder: str, table: pa.Table) -> str:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_file(sink, table.schema) as out:
+        out.write_table(table)
+    return shared.write_file(folder, "vectors", [sink.getvalue()])[0]
+
+
+def _read(uri: str) -> pa.Table:
+    with shared.open_file(uri) as file:
+        return pa.ipc.open_file(file).read_all().combine_chunks()
+
 
-    def blocks() -> dict[int, Block]:
-        dims = block["dim"].to_numpy()
-        ids = block["vec_id"].to_numpy()
-        return {int(d): Block(ids[r], _stack(block, int(d), r), k) for d in np.unique(dims) for r in [np.flatnonzero(dims == d)]}
+def _feed(block: Block, dim: int, table: pa.Table, bucket_rows: int) -> None:
+    """Search a table of candidates by falling length."""
+    norms, ids = table["norm"].to_numpy(), table["vec_id"].to_numpy()
+    order = np.argsort(-norms, kind="stable")
+    for at in range(0, len(order), bucket_rows):
+        rows = order[at : at + bucket_rows]
+        block.search(ids[rows], _stack(table, dim, rows), norms[rows])
 
-    def feed(own: dict[int, Block], batch) -> None:
-        dims, ids, norms = (batch.column(c).to_numpy() for c in ("dim", "vec_id", "norm"))
-        for d in np.unique(dims):
-            if int(d) in own:
-                rows = np.flatnonzero(dims == d)
-                rows = rows[np.argsort(-norms[rows], kind="stable")]
-                own[int(d)].search(ids[rows], _stack(batch, int(d), rows), norms[rows])
 
-    first = blocks()
-    for batch in seeds.to_batches(max_chunksize=bucket_rows):
-        feed(first, batch)
-    floors = {d: b.least for d, b in first.items()}
-    sent = spark.sparkContext.broadcast((block, floors))
+def _block(table: pa.Table, dim: int, k: int) -> Block:
+    return Block(table["vec_id"].to_numpy(), _stack(table, dim, np.arange(len(table))), k)
+
+
+def write_candidates(integers: DataFrame, folder: str, file_rows: int) -> DataFrame:
+    """Candidates in files of similar length: (dim, longest, uri), stored."""
 
     def run(batches):
-        block, floors = sent.value
-        dims, ids = block["dim"].to_numpy(), block["vec_id"].to_numpy()
-        own = {}
-        for d, least in floors.items():
-            rows = np.flatnonzero(dims == d)
-            own[d] = Block(ids[rows], _stack(block, d, rows), k)
-            own[d].least = least.copy()
-        for batch in batches:
-            for at in range(0, batch.num_rows, bucket_rows):
-                feed(own, batch.slice(at, bucket_rows))
-        for b in own.values():
-            yield pa.RecordBatch.from_arrays([pa.array(b.ids[b.top[:, 0]]), pa.array(b.top[:, 1]), pa.array(b.top[:, 2])], names=["query_id", "vec_id", "score"])
+        for dim, table in _slices(batches, file_rows):
+            yield pa.RecordBatch.from_pylist([{"dim": dim, "longest": float(table["norm"].to_numpy().max()), "uri": _write(folder, table)}], _schema(_FILES))
 
-    hits = shared.materialize(stored.mapInArrow(run, _HITS), "hits")
-    sent.unpersist()
-    return hits
+    dealt = integers.repartitionByRange(F.col("norm").desc(), F.xxhash64("vec_id")).sortWithinPartitions(F.col("norm").desc())
+    return shared.materialize(dealt.mapInArrow(run, _FILES), "norm-buckets")
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block_rows: int = 4096, bucket_rows: int = 1024, seed_rows: int = 1024) -> DataFrame:
+def write_queries(queries: DataFrame, folder: str, seeds: pa.Table, k: int, block_rows: int, bucket_rows: int) -> DataFrame:
+    """Blocks of queries with the thresholds that ``seeds`` give them: (dim, block), stored."""
+
+    def run(batches):
+        for dim, table in _slices(batches, block_rows):
+            block = _block(table, dim, k)
+            _feed(block, dim, seeds.filter(pa.array(seeds["dim"].to_numpy() == dim)), bucket_rows)
+            uri = _write(folder, table.append_column("least", pa.array(block.least)))
+            yield pa.RecordBatch.from_pylist([{"dim": dim, "block": uri}], _schema(_BLOCKS))
+
+    return shared.materialize(queries.mapInArrow(run, _BLOCKS), "query-blocks")
+
+
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
+
+
+def search(blocks: DataFrame, files: DataFrame, k: int, bucket_rows: int) -> DataFrame:
+    """query_id, vec_id, score: each run of pairs' best k candidates of every query."""
+
+    def run(batches):
+        name, block = None, None
+
+        def hits():
+            ids = block.ids[block.top[:, 0]]
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(block.top[:, 1]), pa.array(block.top[:, 2])], names=["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            for pair in batch.to_pylist():
+                if pair["block"] != name:
+                    if block is not None:
+                        yield hits()
+                    table = _read(pair["block"])
+                    name, block = pair["block"], _block(table, pair["dim"], k)
+                    block.least = table["least"].to_numpy().copy()
+                # a threshold of 0 or less can be met by any length
+                if len(block.ids) and ((block.least <= 0) | (block.least <= block.norms * pair["longest"] * (1 + 1e-9))).any():
+                    _feed(block, pair["dim"], _read(pair["uri"]), bucket_rows)
+        if block is not None:
+            yield hits()
+        shared.release()
+
+    parts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_PARTS - 1)))
+    dealt = files.withColumn("part", F.pmod(F.xxhash64("uri"), F.lit(JOIN_PARTS)).cast("int"))
+    pairs = shared.materialize(blocks.withColumn("part", parts).join(dealt, ["dim", "part"]).drop("part"), "pairs")
+    tasks = max(1, min(pairs.count(), 10_000))
+    runs = pairs.repartitionByRange(tasks, "block", F.col("longest").desc(), "uri").sortWithinPartitions("block", F.col("longest").desc(), "uri")
+    return shared.materialize(runs.mapInArrow(run, _HITS), "hits")
+
+
+def top_k(
+    vectors: DataFrame,
+    is_query,
+    k: int = 5,
+    scale: int = 256,
+    block_rows: int = 4096,
+    bucket_rows: int = 1024,
+    seed_rows: int = 1024,
+    file_rows: int = 16_384,
+) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of every row where ``is_query`` (a condition on vec_id) holds."""
     spark = vectors.sparkSession
     shared.with_python(spark)
-    integers = to_integers(vectors, scale)
-    stored = shared.materialize(integers.repartitionByRange(F.col("norm").desc(), F.xxhash64("vec_id")).sortWithinPartitions(F.col("norm").desc()), "norm-buckets")
-    seeds = stored.orderBy(F.col("norm").desc(), "vec_id").limit(seed_rows).toArrow()
-    queries = stored.filter(is_query).dropDuplicates(["vec_id", "components"])
-    found = None
-    rows: list = []
-    names = ["vec_id", "dim", "norm", "components"]
-    kinds = pa.schema([("vec_id", pa.int64()), ("dim", pa.int32()), ("norm", pa.float64()), ("components", pa.binary())])
-
-    def flush():
-        nonlocal found, rows
-        block = pa.Table.from_pylist([dict(zip(names, r)) for r in rows], kinds)
-        hits = search_block(stored, block, k, bucket_rows, seeds)
-        found, rows = hits if found is None else found.unionByName(hits), []
-
-    for row in queries.select(*names).toLocalIterator():
-        rows.append((row[0], row[1], row[2], bytes(row[3])))
-        if len(rows) == block_rows:
-            flush()
-    flush()
+    folder = shared.shared_dir(spark, "vectors")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    integers = shared.materialize(to_integers(rows, scale), "integers")
+    files = write_candidates(integers, folder, file_rows)
+    seeds = integers.orderBy(F.col("norm").desc(), "vec_id").limit(seed_rows).toArrow()
+    queries = integers.filter(is_query).dropDuplicates(["vec_id", "components"])
+    found = search(write_queries(queries, folder, seeds, k, block_rows, bucket_rows), files, k, bucket_rows)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return best.withColumn("rank", ranked).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
