@@ -122,7 +122,7 @@ def test_top_k_jobs_do_not_grow_with_queries(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(400)], "vec_id long, embedding array<float>")
     jobs, rows = [], []
-    for name, block, file in (("few", 50, 400), ("many", 12, 50)):
+    for name, block, file in (("few", 50, 200), ("many", 12, 50)):
         spark.sparkContext.setJobGroup(f"top-k-{name}", name)
         rows.append(sorted(map(tuple, norm_topk.top_k(df, F.col("vec_id") % 4 == 0, block_rows=block, file_rows=file).collect())))
         jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"top-k-{name}")))

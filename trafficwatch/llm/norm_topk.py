@@ -206,6 +206,11 @@ def _block(table: pa.Table, dim: int, k: int) -> Block:
     return Block(table["vec_id"].to_numpy(), _stack(table, dim, np.arange(len(table))), k)
 
 
+def _parts(rows: DataFrame, size: int) -> int:
+    """Partitions of about ``size`` rows: files and blocks are full whatever the session's number of partitions."""
+    return max(1, -(-rows.count() // size))
+
+
 def write_candidates(integers: DataFrame, folder: str, file_rows: int) -> DataFrame:
     """Candidates in files of similar length: (dim, longest, uri), stored."""
 
@@ -213,7 +218,7 @@ def write_candidates(integers: DataFrame, folder: str, file_rows: int) -> DataFr
         for dim, table in _slices(batches, file_rows):
             yield pa.RecordBatch.from_pylist([{"dim": dim, "longest": float(table["norm"].to_numpy().max()), "uri": _write(folder, table)}], _schema(_FILES))
 
-    dealt = integers.repartitionByRange(F.col("norm").desc(), F.xxhash64("vec_id")).sortWithinPartitions(F.col("norm").desc())
+    dealt = integers.repartitionByRange(_parts(integers, file_rows), F.col("norm").desc(), F.xxhash64("vec_id")).sortWithinPartitions(F.col("norm").desc())
     return shared.materialize(dealt.mapInArrow(run, _FILES), "norm-buckets")
 
 
@@ -286,7 +291,8 @@ def top_k(
     integers = shared.materialize(to_integers(rows, scale), "integers")
     files = write_candidates(integers, folder, file_rows)
     seeds = integers.orderBy(F.col("norm").desc(), "vec_id").limit(seed_rows).toArrow()
-    queries = integers.filter(is_query).dropDuplicates(["vec_id", "components"])
+    queries = integers.filter(is_query)
+    queries = queries.dropDuplicates(["vec_id", "components"]).coalesce(_parts(queries, block_rows))
     found = search(write_queries(queries, folder, seeds, k, block_rows, bucket_rows), files, k, bucket_rows)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
