@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trafficwatch.config import DetectionConfig
 from trafficwatch.operators.rules import Rule, all_rules, apply_rules
+from trafficwatch.operators.sketches import sketch_measures
 from trafficwatch.operators.windows import (
     WindowSpec,
     expanded_windows,
@@ -35,6 +36,8 @@ def detect_rules(
     """Apply ``rules`` to normalised requests; returns RULE_OUTPUT_COLUMNS.
 
     plan="grain" (batch, exact counts): one scan, panes, then all windows.
+    plan="sketch" (batch): panes that carry distinct sketches; no member rows
+    are dealt out, for keys with very many members.
     plan="expanded" (streams): one aggregation over the windows of all
     families, so the source is read once and one state is held.
     plan="windowed": one ``groupBy(window(...))`` per window family, rules
@@ -53,9 +56,11 @@ def detect_rules(
     if plan == "auto":
         plan = "expanded" if df.isStreaming else "grain"
     specs = _specs(rules)
+    if plan in ("grain", "sketch") and df.isStreaming:
+        raise ValueError(f"the {plan} plan chains aggregations; use plan='expanded' on streams")
+    if plan == "sketch":
+        return apply_rules(sketch_measures(df, specs, {r.window.label for r in rules if r.needs_methods}), rules).select(*RULE_OUTPUT_COLUMNS)
     if plan == "grain":
-        if df.isStreaming:
-            raise ValueError("the grain plan chains aggregations; use plan='expanded' on streams")
         lowest: dict[str, float] = {}
         for r in rules if prefilter else []:
             lowest[r.window.label] = min(lowest.get(r.window.label, r.threshold), r.threshold)

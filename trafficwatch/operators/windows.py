@@ -179,7 +179,7 @@ BLOCK_PANES = 32
 PATH_PARTS = 64
 
 
-def _pane_seconds(specs: list[WindowSpec]) -> int:
+def pane_seconds(specs: list[WindowSpec]) -> int:
     """The longest pane of which every window and slide is a multiple."""
     return math.gcd(*(x for s in specs for x in (s.seconds, s.slide)))
 
@@ -228,6 +228,11 @@ class _Family:
         return f"({low} + pmod(-{low}, {self.slide}L))"
 
 
+def pane_families(specs: list[WindowSpec], seconds: int) -> list[_Family]:
+    """The families in panes of ``seconds``."""
+    return [_Family(s, _SOURCE if s.key == "src_ip" else _PATH, s.seconds // seconds, s.slide // seconds) for s in specs]
+
+
 def _blocked(panes: DataFrame, families: list[_Family]) -> tuple[DataFrame, dict[str, int]]:
     """Pane rows dealt out by (kind, key, block of panes).
 
@@ -298,8 +303,8 @@ def grain_measures(
     """
     if method_labels is None:
         method_labels = {s.label for s in specs}
-    seconds = _pane_seconds(specs)
-    families = [_Family(s, _SOURCE if s.key == "src_ip" else _PATH, s.seconds // seconds, s.slide // seconds) for s in specs]
+    seconds = pane_seconds(specs)
+    families = pane_families(specs, seconds)
     rows, blocks = _blocked(pane_counts(df, seconds), families)
     rows, near = _near_enough(rows, families, min_count or {})
 

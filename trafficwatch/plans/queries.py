@@ -104,6 +104,11 @@ def q_detect_all(spark, sf_dir):
     return as_ntz(alerts(spark, sf_dir))
 
 
+def q_detect_all_sketch(spark, sf_dir):
+    """All rules on measures whose distinct counts come from merged sketches."""
+    return as_ntz(alerts(spark, sf_dir, plan="sketch"))
+
+
 RULE_QUERIES = (
     "http_flood",
     "botnet",
@@ -303,6 +308,7 @@ def registry() -> dict[str, Query]:
     for r in RULE_QUERIES:
         out[f"detect_{r}"] = _detect_one(r)
     out["detect_all"] = q_detect_all
+    out["detect_all_sketch"] = q_detect_all_sketch
     out.update(
         {
             "alert_keys": q_alert_keys,
