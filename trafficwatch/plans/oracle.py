@@ -219,7 +219,7 @@ def registry() -> dict[str, str]:
     for r in RULE_SQL:
         out[f"detect_{r}"] = detect_rule_sql(r)
     out["detect_all"] = detect_all_sql()
-    out["detect_all_sketch"] = detect_all_sql()
+    out["detect_all_sketch"] = f"SELECT * EXCLUDE (unique_path_count) FROM ({detect_all_sql()})"
     out.update(alert_registry())
     return out
 
