@@ -3,6 +3,8 @@
     python -m trafficwatch detect --source file:/in --checkpoint /cp/detect --store /alerts
     python -m trafficwatch detect --kafka broker:9092 --topic network-traffic \\
         --alerts-topic ddos-alerts --checkpoint '/cp/detect-*'
+    python -m trafficwatch detect --source log:/requests --checkpoint /cp/detect --alerts-log /alert-log
+    python -m trafficwatch alerts --source log:/alert-log --checkpoint /cp/alerts --out /handled
     python -m trafficwatch alerts --source file:/alert-records --checkpoint /cp/alerts --out /handled
     python -m trafficwatch compact --store /alerts --target /alerts-compact
     python -m trafficwatch retain --store /alerts --keep-days 1
@@ -53,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     sub = p.add_subparsers(dest="cmd", required=True)
     for name in ("detect", "alerts"):
         s = sub.add_parser(name)
-        s.add_argument("--source", help="file:<dir> of JSON-line records (detect) / parquet key,value,arrival (alerts)")
+        s.add_argument("--source", help="file:<dir> of JSON-line records (detect) / parquet key,value,arrival (alerts); log:<dir> of a record log")
         s.add_argument("--kafka", help="bootstrap servers")
         s.add_argument("--topic", default="network-traffic" if name == "detect" else "ddos-alerts")
         s.add_argument("--checkpoint", required=True, help="path; '*' is replaced by a run id")
@@ -67,6 +69,7 @@ def main(argv: list[str] | None = None) -> None:
     d = sub.choices["detect"]
     d.add_argument("--store", help="date-partitioned parquet alert store")
     d.add_argument("--alerts-topic", help="Kafka topic for alert records")
+    d.add_argument("--alerts-log", help="folder of a record log for alert records")
     d.add_argument("--watermark", default="45 seconds")
     d.add_argument("--fast-rules", action="store_true")
     d.add_argument("--no-heavy-url", action="store_true")
@@ -98,18 +101,22 @@ def main(argv: list[str] | None = None) -> None:
         else:
             logging.info("removed days: %s", apply_retention(spark, a.store, keep_days=a.keep_days))
         return
+    from trafficwatch.sources.record_log import log_source
     from trafficwatch.sources.requests import file_source, kafka_source
     from trafficwatch.streaming.detection import apply_stream_confs, resolve_checkpoint, run_detection
 
     cfg = _stream_cfg(a)
     apply_stream_confs(spark, cfg)
     checkpoint = resolve_checkpoint(a.checkpoint, a.run_id)
+    log = None
+    if a.source and a.source.startswith("log:"):
+        log = log_source(spark, a.source.removeprefix("log:"), checkpoint, cfg.max_offsets_per_trigger, cfg.starting_offsets)
     if a.cmd == "detect":
-        wire = kafka_source(spark, a.kafka, a.topic, cfg) if a.kafka else file_source(spark, a.source.removeprefix("file:"), "json", cfg)
+        wire = log if log is not None else kafka_source(spark, a.kafka, a.topic, cfg) if a.kafka else file_source(spark, a.source.removeprefix("file:"), "json", cfg)
         det = DetectionConfig(a.watermark, a.fast_rules, not a.no_heavy_url, a.exact)
         kafka = {"bootstrap": a.kafka, "topic": a.alerts_topic} if a.kafka and a.alerts_topic else None
         q = run_detection(
-            wire, checkpoint, det, cfg, store_path=a.store, kafka=kafka, stats=not a.no_stats, available_now=a.available_now
+            wire, checkpoint, det, cfg, store_path=a.store, kafka=kafka, stats=not a.no_stats, available_now=a.available_now, log_path=a.alerts_log
         )
     else:
         from pyspark.sql import functions as F
@@ -118,6 +125,8 @@ def main(argv: list[str] | None = None) -> None:
 
         if a.kafka:
             wire = kafka_source(spark, a.kafka, a.topic, cfg).withColumn("arrival", F.current_timestamp())
+        elif log is not None:
+            wire = log.withColumn("arrival", F.current_timestamp())
         else:
             wire = spark.readStream.schema("key string, value string, arrival timestamp").parquet(a.source.removeprefix("file:"))
         acfg = AlertConfig(min_severity=a.min_severity, dedupe_ttl_seconds=a.ttl, batch_window_seconds=a.window, batch_max_ips=a.max_ips)

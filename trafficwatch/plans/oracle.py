@@ -406,6 +406,7 @@ def alert_registry() -> dict[str, str]:
     return {
         "alert_keys": alert_keys_sql(),
         "alert_json": alert_json_sql(),
+        "alert_log": alert_json_sql(),
         "severity_gated": severity_gated_sql(),
         "dispositions": dispositions_sql(),
         "dedupe_ttl": dedupe_ttl_sql(),

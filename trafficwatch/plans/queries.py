@@ -300,6 +300,15 @@ def q_stream_digest(spark, sf_dir):
     return as_ntz(sent_digests(spark, _alert_stream(spark, sf_dir, digests=True)))
 
 
+def q_alert_log(spark, sf_dir):
+    """Alert records written by a stream into a record log, read back by a bounded stream, decoded; the valid ones as sent."""
+    from trafficwatch.streaming.replay import replay_log
+
+    pin_utc(spark)
+    sent = materialize(alert_messages(alerts(spark, sf_dir)).filter("emission != 1"), "records")
+    return decode_alert_messages(replay_log(spark, sent)).filter("valid").select("key", "value")
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {
         "normalize_requests": q_normalize_requests,
@@ -337,6 +346,7 @@ def registry() -> dict[str, Query]:
             "stream_dedupe": q_stream_dedupe,
             "stream_outcomes": q_stream_outcomes,
             "stream_digest": q_stream_digest,
+            "alert_log": q_alert_log,
         }
     )
     return out

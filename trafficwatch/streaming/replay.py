@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from trafficwatch.config import AlertConfig, DetectionConfig, StreamConfig
 from trafficwatch.operators.store import read_alerts
 from trafficwatch.session import scratch_path
+from trafficwatch.sources.record_log import log_sink, log_source
 from trafficwatch.streaming.alerting import AlertFolder, run_alerting
 from trafficwatch.streaming.detection import apply_stream_confs, run_detection
 
@@ -106,3 +107,21 @@ def replay_alerting(spark: SparkSession, messages: DataFrame, config: AlertConfi
     if digests:
         job.drain()
     return job.folder
+
+
+def replay_log(spark: SparkSession, messages: DataFrame, chunks: int = 3, max_records: int = 100_000) -> DataFrame:
+    """Records (key, value, arrival) -> files -> stream into a record log -> bounded stream out of it; what that one wrote."""
+    base = scratch_path(spark, "replay")
+    write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks)
+    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("key string, value string, arrival timestamp").parquet(f"{base}/in")
+    into = log_sink(wire, f"{base}/log", f"{base}/cp-in").trigger(availableNow=True).start()
+    into.awaitTermination()
+    _record("log sink", into)
+    out = log_source(spark, f"{base}/log", f"{base}/cp-out", max_records).writeStream.option("checkpointLocation", f"{base}/cp-out")
+    out = out.format("parquet").option("path", f"{base}/out").trigger(processingTime="0 seconds").start()
+    try:
+        out.processAllAvailable()
+    finally:
+        out.stop()
+    _record("log source", out)
+    return spark.read.schema("key string, value string").parquet(f"{base}/out")
