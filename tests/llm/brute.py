@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 _A_Z = re.compile("[A-Z]+")
@@ -85,3 +86,58 @@ def cut_lines(rows, n=3):
         rest = [x for p, x in enumerate(lines) if p not in gone[i, text]]
         out.append((i, len(lines), len(lines) - len(rest), None if text is None else "\n".join(rest)))
     return out
+
+
+_M = 2**64 - 1
+
+
+def _mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _M
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _M
+    return x ^ x >> 31
+
+
+def _span_key(b):
+    key = 0
+    for step in range(0, max(1, len(b)), 8):
+        key = _mix(key * 0x9E3779B97F4A7C15 + int.from_bytes(b[step : step + 8], "little") + step & _M)
+    return key ^ _mix(len(b))
+
+
+def crf_features(word, bits):
+    """Hashed features of a word (bytes, lower case), one by one."""
+    w = b"\x01" + word + b"\x02"
+    number = lambda part, kind: int.from_bytes(part, "little") + (kind << 40)
+    raw = [_span_key(w), number(w[:2], 1), number(w[:3], 2), number(w[:4], 3), number(w[-2:], 4), number(w[-3:], 5), number(w[-4:], 6)]
+    raw += [number(w[k : k + 2], 7) for k in range(len(w) - 1)] + [number(w[k : k + 3], 8) for k in range(len(w) - 2)]
+    return [_mix(x & _M) >> (64 - bits) for x in raw]
+
+
+def language(model, text):
+    """(language, score) of one text under a model's weights, with loops over words and labels."""
+    text = re.sub("[A-Z\u00c0-\u00d6\u00d8-\u00de]", lambda m: m[0].lower(), text or "")
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    words = re.findall(rb"[A-Za-z\x80-\xff]+", text.encode())
+    labels = range(len(model.labels))
+    total = [0.0] * len(model.labels)
+    for at in range(0, len(words), model.chain):
+        scores = []
+        for w in words[at : at + model.chain]:
+            rows = [model.weights[model.row[f]] for f in crf_features(w, model.bits)]
+            sums = [sum(float(r[y]) for r in rows) for y in labels]
+            scores.append([math.exp(x - max(sums)) for x in sums])
+        move = [[math.exp(model.transition[a, b]) for b in labels] for a in labels]
+        ahead = [[math.exp(model.start[y]) * scores[0][y] for y in labels]]
+        for s in scores[1:]:
+            now = [s[b] * sum(ahead[-1][a] * move[a][b] for a in labels) for b in labels]
+            ahead.append([x / sum(now) for x in now])
+        back = [[1.0 for _ in labels]]
+        for s in scores[:0:-1]:
+            now = [sum(move[a][b] * s[b] * back[0][b] for b in labels) for a in labels]
+            back.insert(0, [x / sum(now) for x in now])
+        for f, b in zip(ahead, back):
+            both = [x * y for x, y in zip(f, b)]
+            total = [t + x / sum(both) for t, x in zip(total, both)]
+    best = max(labels, key=lambda y: (total[y], -y))
+    return model.labels[best], total[best] / len(words)

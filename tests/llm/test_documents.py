@@ -236,6 +236,37 @@ def test_every_label_is_learned(spark):
     assert all(got[7000 + d] == "l07" for d in range(9))
 
 
+def test_language_against_plain_python(spark, model, documents):
+    """Features, weights, chains and shares as loops, on prose, short words, accents and other scripts."""
+    texts = [d["text"][:1500] for d in documents[:40]] + ["a b c d", "é", "ÀÉ×Ü straße", "漢字 かな", "x", "I", "12", "", "word " * 200, "o" * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lang_crf.label_documents(df, model).collect()}
+    for k, text in enumerate(texts):
+        lang, score = brute.language(model, text)
+        assert got[k].lang_pred == lang and np.isclose(got[k].score, score, atol=1e-4), text
+
+
+def test_a_word_has_the_same_features_in_any_list():
+    words = [b"a", b"i", b"of", b"the", "é".encode(), b"languages", b"x" * 40]
+    for k in range(len(words)):
+        order = words[k:] + words[:k]
+        ids, n = lang_crf.word_features(order, 18)
+        at = np.cumsum(n) - n
+        for w, a, m in zip(order, at, n):
+            assert sorted(ids[a : a + m]) == sorted(brute.crf_features(w, 18))
+
+
+def test_a_long_text_in_pieces(model, documents):
+    """Pieces of whole chains give what the whole text gives, also with words longer than a piece."""
+    for text in ("".join(d["text"] + "\n" for d in documents[:30]), "w" * 5000 + " und das ist " * 300, " ." * 3000 + "das " * 100, "a" * 9000):
+        data = np.frombuffer(text.encode(), np.uint8)
+        whole, counts = model.word_labels(data, np.array([0, len(data)]))
+        for most in (700, 2000):
+            parts = list(model._pieces(data, most))
+            assert sum(int(n.sum()) for _, n in parts) == counts[0]
+            assert np.allclose(np.concatenate([g for g, _ in parts]), whole)
+
+
 def test_word_labels_follow_switches(model, documents):
     """Code-switched text: the labels of the words change with the language."""
     pick = {}

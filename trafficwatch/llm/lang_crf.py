@@ -12,12 +12,13 @@ Every label that occurs on a row that may be learned from is learned.  Bounds
 (parameters): ``per_language`` training documents of each label, of longer
 texts the first ``longest_chars`` characters from the first letter on; chains
 of ``chain`` words.  With more than ``many`` labels each has fewer documents
-(20 at least) and the features fewer bits, so that the weights do not grow.
+(20 at least).  Features have the same 18 bits for any number of labels; weights
+are held for those that training saw, and updated some labels at a time.
 
 Defined results: null text, or one without letters, is ``und`` with score 0;
 documents without a label, or with a null id, are never learned from; without
 any labelled row every text is ``und``; each row is judged by its own text, so
-repeated rows agree; ties go to the label that sorts first; an empty table
+repeated rows agree; a very long text is read in pieces of whole chains; ties go to the label that sorts first; an empty table
 gives no rows; other columns are ignored, and kept by ``keep_known``, whatever
 their names.
 """
@@ -30,7 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.llm import shared
+from trafficwatch.llm.shared import CHUNK_BYTES
 from trafficwatch.llm.words import byte_set, mix, ranges, span_keys, spans
+from trafficwatch.session import materialize
 
 #: Bytes of words: ASCII letters and all of non-ASCII characters.
 _WORD = byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -39,6 +42,10 @@ _LOWER[65:91] += 32
 UNKNOWN = "und"
 #: Chain cells (chain, step, label) that one pass holds.
 _CELLS = 1 << 20
+#: Labels whose weights are updated at a time.
+_SOME_LABELS = 16
+#: Labels whose counts may be broadcast (some 100 bytes each).
+_FEW_LABELS = 100_000
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -59,6 +66,8 @@ def word_features(words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray
     pair = flat[:-1] | flat[1:] << np.uint64(8)
     triple = pair[:-1] | flat[2:] << np.uint64(16)
     quad = triple[:-1] | flat[3:] << np.uint64(24)
+    one = starts[sizes == 3]  # a word of one byte ends there
+    quad[one] = triple[one]
     last = starts + sizes
     parts = [span_keys(flat.astype(np.uint8), starts, sizes)[:, None], (pair[starts] + np.uint64(1 << 40))[:, None]]
     # affixes of two and three letters, with the word's edge; a shorter word uses what it has
@@ -109,11 +118,28 @@ def forward_backward(emission: np.ndarray, alive: np.ndarray, transition: np.nda
     return gamma, both, log_z
 
 
+def _runs(offsets: np.ndarray):
+    """(first, last) of texts next to one another, a long text alone."""
+    first = 0
+    for k in [*np.flatnonzero(np.diff(offsets) > CHUNK_BYTES).tolist(), len(offsets) - 1]:
+        if k > first:
+            yield first, k
+        if k < len(offsets) - 1:
+            yield k, k + 1
+        first = k + 1
+
+
 class Crf:
-    """Weights of the field; ``predict`` labels texts."""
+    """Weights of the field; ``predict`` labels texts.
+
+    ``seen`` are the feature ids that have weights, in order; the last row of
+    ``weights`` is that of all others, and zero.
+    """
 
-    def __init__(self, labels: list[str], bits: int, weights: np.ndarray, transition: np.ndarray, start: np.ndarray, chain: int):
+    def __init__(self, labels: list[str], bits: int, seen: np.ndarray, weights: np.ndarray, transition: np.ndarray, start: np.ndarray, chain: int):
         self.labels, self.bits, self.weights, self.transition, self.start, self.chain = labels, bits, weights, transition, start, chain
+        self.row = np.full(1 << bits, len(seen), np.int32)
+        self.row[seen] = np.arange(len(seen))
         self._forget()
 
     def _forget(self) -> None:
@@ -133,7 +159,7 @@ class Crf:
 
     def emissions(self, words: list[bytes]) -> np.ndarray:
         ids, n = word_features(words, self.bits)
-        return np.add.reduceat(self.weights[ids], np.cumsum(n) - n, axis=0) if len(words) else np.zeros((0, len(self.labels)), np.float32)
+        return np.add.reduceat(self.weights[self.row[ids]], np.cumsum(n) - n, axis=0) if len(words) else np.zeros((0, len(self.labels)), np.float32)
 
     def _lookup(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 200_000) -> np.ndarray:
         """Emission row of each word; distinct words are scored once per worker."""
@@ -181,23 +207,54 @@ class Crf:
             out[begin:stop] = gamma[alive[rows]]
         return out, counts
 
+    def _pieces(self, data: np.ndarray, most: int = CHUNK_BYTES):
+        """``word_labels`` of one long text, in pieces of whole chains."""
+        at, size = 0, most
+        while at < len(data):
+            to = min(at + size, len(data))
+            if to < len(data):
+                starts, ends = spans(_WORD[data[at:to]], np.array([0, to - at]))
+                whole = np.count_nonzero(ends < to - at) // self.chain * self.chain
+                if not whole:  # few long words: look further
+                    if not len(starts):
+                        at, size = to, most
+                    else:
+                        size *= 2
+                    continue
+                to = at + int(ends[whole - 1])
+            yield self.word_labels(data[at:to], np.array([0, to - at]))
+            at, size = to, most
+
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
         """(language, share of the words) of each text; texts without words are unknown."""
-        gamma, counts = self.word_labels(data, offsets)
+        counts = np.zeros(len(offsets) - 1, np.int64)
         share = np.zeros((len(counts), max(1, len(self.labels))))
-        full = np.flatnonzero(counts)
-        if len(full) and len(self.labels):
-            share[full] = np.add.reduceat(gamma, (np.cumsum(counts) - counts)[full], axis=0) / counts[full][:, None]
+        for first, last in _runs(offsets):
+            if last - first == 1 and offsets[last] - offsets[first] > CHUNK_BYTES:
+                pieces = self._pieces(data[offsets[first] : offsets[last]])
+            else:
+                pieces = [self.word_labels(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])]
+            for gamma, n in pieces:
+                full = np.flatnonzero(n)
+                if len(full) and len(self.labels):
+                    share[first + full] += np.add.reduceat(gamma, (np.cumsum(n) - n)[full], axis=0)
+                counts[first:last] += n
+        share /= np.maximum(1, counts)[:, None]
         best = share.argmax(1)
         names = [self.labels[b] if c and self.labels else UNKNOWN for b, c in zip(best, counts)]
         return names, np.where(counts > 0, share.max(1), 0.0).clip(0, 1)
 
 
-def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: int = 40, rate: float = 0.3, decay: float = 1e-6, seed: int = 3, many: int = 16) -> Crf:
+def _adam(x: np.ndarray, slope: np.ndarray, m: np.ndarray, v: np.ndarray, rate: float, step: int) -> None:
+    """One step of Adam on ``x`` and its moments, in place."""
+    m += 0.1 * (slope - m)
+    v += 0.001 * (slope * slope - v)
+    x -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(x.dtype)
+
+
+def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: int = 40, rate: float = 0.3, decay: float = 1e-6, seed: int = 3) -> Crf:
     """Train on (text, language) rows by Adam on the regularised chain likelihood."""
     labels = sorted({lang for _, lang in rows})
-    while bits > 12 and len(labels) << bits > many << 18:
-        bits -= 1
     rng = np.random.default_rng(seed)
     vocabulary: dict[bytes, int] = {}
     chains: list[np.ndarray] = []
@@ -219,11 +276,12 @@ def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: in
     chains += [p for p, _ in pieces]
     golds += [np.full(len(p), y) for p, y in pieces]
     n_labels = len(labels)
-    weights = np.zeros((1 << bits, n_labels), np.float32)
+    hashed, n = word_features(list(vocabulary), bits) if vocabulary else (np.zeros(0, np.int64),) * 2
+    seen_ids, ids = np.unique(hashed, return_inverse=True)
+    weights = np.zeros((len(seen_ids) + 1, n_labels), np.float32)
     transition, start = np.zeros((n_labels, n_labels)), np.zeros(n_labels)
     if not chains or n_labels < 2:
-        return Crf(labels, bits, weights, transition, start, chain)
-    ids, n = word_features(list(vocabulary), bits)
+        return Crf(labels, bits, seen_ids, weights, transition, start, chain)
     begin = np.cumsum(n) - n
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, transition, start)]
     batch = max(1, len(chains) // 4)
@@ -257,14 +315,14 @@ def fit(rows: list[tuple[str, str]], bits: int = 18, chain: int = 64, rounds: in
             begun += gamma[:, 0].sum(0) - np.bincount(gold[first], minlength=n_labels)
             both += moved
             words += len(gold)
-        slope = np.column_stack([np.bincount(ids, np.repeat(by_word[:, y], n), 1 << bits) for y in range(n_labels)]) / words
-        slopes = [slope + decay * weights, (both - seen) / words + decay * transition, begun / words]
         step += 1
-        for x, g, (m, v) in zip((weights, transition, start), slopes, moments):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            x -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(x.dtype)
-    return Crf(labels, bits, weights, transition, start, chain)
+        for y in range(0, n_labels, _SOME_LABELS):
+            cols = slice(y, y + _SOME_LABELS)
+            slope = np.column_stack([np.bincount(ids, np.repeat(e, n), len(weights)) for e in by_word[:, cols].T]) / words
+            _adam(weights[:, cols], slope + decay * weights[:, cols], *(m[:, cols] for m in moments[0]), rate, step)
+        _adam(transition, (both - seen) / words + decay * transition, *moments[1], rate, step)
+        _adam(start, begun / words, *moments[2], rate, step)
+    return Crf(labels, bits, seen_ids, weights, transition, start, chain)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -276,17 +334,18 @@ def training_sample(docs: DataFrame, per_language: int, longest_chars: int, many
     """At most ``per_language`` labelled documents of each language, the same ones on every run."""
     lang = F.col("lang")
     usable = docs.filter(lang.isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn("_labels", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
-    fewer = F.floor(F.lit(per_language * many) / F.col("_labels"))
-    most = F.when(F.col("_labels") > many, F.least(F.lit(per_language), F.greatest(F.lit(20), fewer))).otherwise(F.lit(per_language))
-    share = counts.withColumn("_most", most).select("lang", "_most", F.least(F.lit(1.0), F.lit(3.0) * F.col("_most") / F.col("n")).alias("_share"))
+    counts = materialize(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    labels = counts.count()
+    most = per_language if labels <= many else min(per_language, max(20, per_language * many // labels))
+    share = counts.select("lang", F.least(F.lit(1.0), F.lit(3.0 * most) / F.col("n")).alias("_share"))
+    share = F.broadcast(share) if labels <= _FEW_LABELS else share
     draw = F.pmod(F.xxhash64("doc_id", F.lit("training")), F.lit(1 << 30)) / float(1 << 30)
     # a longer text gives the piece that starts at its first letter
     piece = F.when(F.char_length("text") <= longest_chars, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, longest_chars))
-    drawn = usable.select("lang", "text", draw.alias("_draw"), "doc_id").join(F.broadcast(share), "lang").filter("_draw < _share")
+    drawn = usable.select("lang", "text", draw.alias("_draw"), "doc_id").join(share, "lang").filter("_draw < _share")
     drawn = drawn.withColumn("text", piece)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "doc_id", "text"))
-    rows = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_most")).select("text", "lang").orderBy("lang", "text").toLocalIterator()
+    rows = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= most).select("text", "lang").orderBy("lang", "text").toLocalIterator()
     return [(r[0], r[1]) for r in rows]
 
 
