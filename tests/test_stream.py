@@ -177,6 +177,24 @@ def test_many_sources_in_a_digest(spark, scratch):
     assert one.ips == [v for _, v in sorted((100 + i % 3, f"10.0.{i // 256}.{i % 256}") for i in range(700))][:50]
 
 
+def test_digests_that_open_and_close_in_a_batch_leave_the_store_alone(spark, scratch):
+    """Only the digest that stays open is written: its sums and the parts of its sources."""
+    from trafficwatch.streaming.alerting import sent_digests
+
+    rows = [(f"k{i}", alert_value(f"10.0.0.{i}", END), 100.0 + i) for i in range(200)]  # 20 digests of 10 seconds
+    job = run_alerts(spark, scratch, [rows[:195]], AlertConfig())
+    (state,) = job.digests.lastProgress.stateOperators
+    assert state.numRowsUpdated <= 1 + 5  # 101 and more where every second's sources are written
+    # the open one goes on from the store, with a source that it has and one that it has not
+    again = [("again", alert_value("10.0.0.190", END), 290.5), *rows[195:]]
+    job = run_alerts(spark, scratch, [again], AlertConfig())
+    job.drain()
+    got = sorted((r.opened_at.timestamp(), r.alerts, r.ip_count, tuple(r.ips)) for r in sent_digests(spark, job.folder).collect())
+    want = [(100.0 + 10 * d, 10, 10, tuple(f"10.0.0.{10 * d + i}" for i in range(10))) for d in range(20)]
+    want[19] = (290.0, 11, 10, want[19][3])
+    assert got == want
+
+
 def test_digests_off_send_every_alert_alone(spark, scratch):
     from trafficwatch.streaming.alerting import sent_digests
 

@@ -92,13 +92,15 @@ class Digests(StatefulProcessor):
         self.sources = handle.getMapState("sources", "part int", "ips array<string>")
 
     def _current(self) -> dict | None:
-        if not self.digest.exists():
+        found = self.digest.get()
+        if found is None:
             return None
-        opened, n, rc, rp, low, high, ip_count, first, batch = self.digest.get()
+        opened, n, rc, rp, low, high, ip_count, first, batch = found
         if batch <= self.flushed:
             self._forget()
             return None
-        return {"opened": opened, "n": n, "rc": Decimal(rc), "rp": Decimal(rp), "low": low, "high": high, "ip_count": ip_count, "first": {f[1]: f[0] for f in first}}
+        sums = {"n": n, "rc": Decimal(rc), "rp": Decimal(rp), "low": low, "high": high}
+        return {"opened": opened, **sums, "ip_count": ip_count, "first": {f[1]: f[0] for f in first}, "seen": {}, "stored": True}
 
     def _forget(self) -> None:
         self.digest.clear()
@@ -106,11 +108,12 @@ class Digests(StatefulProcessor):
 
     @staticmethod
     def _empty(opened: int | None) -> dict:
-        return {"opened": opened, "n": 0, "rc": Decimal(0), "rp": Decimal(0), "low": None, "high": None, "ip_count": 0, "first": {}}
+        """``seen``: sources of this batch with their first arrival; ``stored``: whether earlier ones are in the store."""
+        return {"opened": opened, "n": 0, "rc": Decimal(0), "rp": Decimal(0), "low": None, "high": None, "ip_count": 0, "first": {}, "seen": {}, "stored": False}
 
-    def _add(self, held: dict, rows: list[Row], known: bool) -> None:
-        """``known``: the digest's sources are in the store, as opposed to one that is sent at once."""
-        ips: dict[str, int] = {}
+    @staticmethod
+    def _add(held: dict, rows: list[Row]) -> None:
+        seen = held["seen"]
         with localcontext(prec=60):
             for ip, us, n, rc, rp, low, high in rows:
                 held["n"] += n
@@ -118,20 +121,28 @@ class Digests(StatefulProcessor):
                 held["rp"] += rp
                 held["low"] = low if held["low"] is None else held["low"] if low is None else min(low, held["low"])
                 held["high"] = high if held["high"] is None else held["high"] if high is None else max(high, held["high"])
-                ips[ip] = us if ip not in ips else min(us, ips[ip])
-        if known:
+                seen[ip] = us if ip not in seen else min(us, seen[ip])
+
+    def _settle(self, held: dict, keep: bool) -> None:
+        """Count the batch's sources into the digest; ``keep`` writes them to the store, for a digest that stays open.
+
+        The store is asked once a batch and part, and not at all for a digest
+        that opens and closes within a batch.
+        """
+        seen, first = held["seen"], held["first"]
+        if held["stored"] or keep:
             parts: dict[int, set[str]] = {}
-            for ip in ips:
+            for ip in seen:
                 parts.setdefault(zlib.crc32(ip.encode()) % SOURCE_PARTS, set()).add(ip)
             for part, some in parts.items():
-                old = set(self.sources.getValue((part,))[0]) if self.sources.containsKey((part,)) else set()
+                old = set(self.sources.getValue((part,))[0]) if held["stored"] and self.sources.containsKey((part,)) else set()
                 if some - old:
                     held["ip_count"] += len(some - old)
-                    self.sources.updateValue((part,), (sorted(old | some),))
+                    if keep:
+                        self.sources.updateValue((part,), (sorted(old | some),))
         else:
-            held["ip_count"] = len(ips)
-        first = held["first"]
-        for ip, us in ips.items():
+            held["ip_count"] = len(seen)
+        for ip, us in seen.items():
             first[ip] = us if ip not in first else min(us, first[ip])
         held["first"] = dict(sorted(first.items(), key=lambda f: (f[1] or 0, f[0]))[: self.max_ips])
 
@@ -140,31 +151,36 @@ class Digests(StatefulProcessor):
         return SENT(key[0], held["opened"], held["low"], held["high"], list(held["first"]), held["ip_count"], str(held["rc"]), str(held["rp"]), held["n"])
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        held = self._current()
-        timed: dict[int, list[Row]] = {}
-        untimed: list[Row] = []
+        held, opened = self._current(), False
+        timed: dict[int, list[tuple]] = {}
+        untimed: list[tuple] = []
         for row in rows:
-            fields = row[1:]  # behind the key
+            fields = tuple(row)[1:]  # behind the key
             (untimed if fields[1] is None else timed.setdefault(fields[1], [])).append(fields)
         if untimed:  # without a time: a digest of their own, sent with their batch
             alone = self._empty(None)
-            self._add(alone, untimed, known=False)
+            self._add(alone, untimed)
+            self._settle(alone, keep=False)
             yield self._sent(key, alone)
         for us in sorted(timed):
             if held is not None and us >= held["opened"] + self.window_us:
+                self._settle(held, keep=False)
                 yield self._sent(key, held)
-                self._forget()
+                if held["stored"]:
+                    self._forget()
                 held = None
             if held is None:
-                held = self._empty(us)
-                if self.timers:
-                    for old in list(self.handle.listTimers()):
-                        self.handle.deleteTimer(old)
-                    self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.window_us // 1000)
-            self._add(held, timed[us], known=True)
-        if timed:
-            first = [(us, ip) for ip, us in held["first"].items()]
-            self.digest.update((held["opened"], held["n"], str(held["rc"]), str(held["rp"]), held["low"], held["high"], held["ip_count"], first, batch_number()))
+                held, opened = self._empty(us), True
+            self._add(held, timed[us])
+        if not timed:
+            return
+        if opened and self.timers:
+            for old in list(self.handle.listTimers()):
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.window_us // 1000)
+        self._settle(held, keep=True)
+        first = [(us, ip) for ip, us in held["first"].items()]
+        self.digest.update((held["opened"], held["n"], str(held["rc"]), str(held["rp"]), held["low"], held["high"], held["ip_count"], first, batch_number()))
 
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         held = self._current()
