@@ -195,6 +195,32 @@ def test_digests_that_open_and_close_in_a_batch_leave_the_store_alone(spark, scr
     assert got == want
 
 
+def test_replay_of_alerts_uses_every_core_and_bounds_its_batches(spark, monkeypatch):
+    """Files and state partitions by the cores, micro-batches by the records."""
+    from trafficwatch.streaming import replay
+    from trafficwatch.streaming.alerting import outcome_counts, sent_digests
+
+    rows = [(f"k{i}", alert_value(str(i % 7), END), 100.0 + i / 10) for i in range(400)]
+    sent = spark.createDataFrame(rows, "key string, value string, s double").select("key", "value", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")).alias("arrival"))
+    jobs, real = [], replay.run_alerting
+
+    def run(*a, **b):
+        jobs.append(real(*a, **b))
+        return jobs[-1]
+
+    monkeypatch.setattr(replay, "run_alerting", run)
+    monkeypatch.setattr(replay, "RECORDS_PER_CHUNK", 80)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    folder = replay.replay_alerting(spark, sent, AlertConfig())
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    progress = [p for p in jobs[0].claims.recentProgress if p.numInputRows]
+    assert len(progress) >= 5 and sum(p.numInputRows for p in progress) == 400
+    assert max(p.numInputRows for p in progress) < 200
+    assert progress[0].stateOperators[0].numShufflePartitions == spark.sparkContext.defaultParallelism
+    assert {r[0]: r[1] for r in outcome_counts(spark, folder).collect()} == {"accepted": 400}
+    assert sorted((r.opened_at.timestamp(), r.alerts, r.ip_count) for r in sent_digests(spark, folder).collect()) == [(100.0 + 10 * d, 100, 7) for d in range(4)]
+
+
 def test_digests_off_send_every_alert_alone(spark, scratch):
     from trafficwatch.streaming.alerting import sent_digests
 

@@ -23,6 +23,9 @@ from trafficwatch.streaming.detection import apply_stream_confs, run_detection
 
 ALERT_IDENTITY = ("window_start", "window_size", "attack_type", "src_ip", "signal_reason")
 FILES_PER_CHUNK = 4
+#: Alert records that a micro-batch of a replay holds at most, about; and the files they are read from, each a task.
+RECORDS_PER_CHUNK = 1_000_000
+ALERT_FILES_PER_CHUNK = 16
 
 # Progress totals of the last replay: input rows and trigger time per query.
 LAST_RUN: dict[str, dict[str, float]] = {}
@@ -56,10 +59,10 @@ def write_in_time_order(df: DataFrame, time_col: str, path: str, files: int) ->
 
 
 @contextmanager
-def stream_partitions(spark: SparkSession, most: int = 8):
-    """State partitions of a replay: few, as its input is; a live job sets its own."""
+def stream_partitions(spark: SparkSession, most: int = 400):
+    """State partitions of a replay: one a core, so that a batch is one wave of tasks; a live job sets its own."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(most, int(before))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(most, spark.sparkContext.defaultParallelism)))
     try:
         yield
     finally:
@@ -96,11 +99,14 @@ def replay_detection(
 def replay_alerting(spark: SparkSession, messages: DataFrame, config: AlertConfig = AlertConfig(), chunks: int = 3, digests: bool = True) -> AlertFolder:
     """Alert records (key, value, arrival) -> files -> the streaming alert job, on the records' own clock; returns its folder.
 
-    What is still open at the end is flushed, as when a job is shut down.
+    ``chunks`` micro-batches, or more where they would hold over
+    ``RECORDS_PER_CHUNK`` records.  What is still open at the end is flushed,
+    as when a job is shut down.
     """
     base = scratch_path(spark, "replay")
-    write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks)
-    wire = spark.readStream.option("maxFilesPerTrigger", "1").schema("key string, value string, arrival timestamp").parquet(f"{base}/in")
+    chunks = max(chunks, -(-messages.count() // RECORDS_PER_CHUNK))
+    write_in_time_order(messages.select("key", "value", "arrival"), "arrival", f"{base}/in", chunks * ALERT_FILES_PER_CHUNK)
+    wire = spark.readStream.option("maxFilesPerTrigger", str(ALERT_FILES_PER_CHUNK)).schema("key string, value string, arrival timestamp").parquet(f"{base}/in")
     with stream_partitions(spark):
         job = run_alerting(wire, f"{base}/cp", f"{base}/out", config, available_now=True, digests=digests, clock="arrival")
     _record("alerting", job.claims)
